@@ -36,3 +36,219 @@ def q_gold_transform(spark, sf_dir):
 @register("gold_stats")
 def q_gold_stats(spark, sf_dir):
     return G.transform_stats(TV.silver(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Car-name parsing and exclusion on their own (FN-1..6, FIL-1).
+# ---------------------------------------------------------------------------
+from ..functions import names as N  # noqa: E402
+from ..operators import lifecycle as LC  # noqa: E402
+from ..operators import quality as Q  # noqa: E402
+from ..operators import scd as SCD  # noqa: E402
+from ..operators import stats as ST  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+import datetime as _dt  # noqa: E402
+
+TEST_RUN_TS = _dt.datetime(2002, 7, 1, 6, 0, 0)
+TS_TEXT = "yyyy-MM-dd HH:mm:ss"
+
+
+@register("brand_model_trim")
+def q_brand_model_trim(spark, sf_dir):
+    s = TV.silver(spark, sf_dir).select("listing_id", "car_name")
+    t = N.with_brand_model_trim(s)
+    return t.select("listing_id", "_bmt.brand", "_bmt.model", "_bmt.trim")
+
+
+@register("commercial_filter")
+def q_commercial_filter(spark, sf_dir):
+    s = G.with_commercial_flag(TV.silver(spark, sf_dir))
+    return s.select("listing_id", F.col("_commercial").alias("commercial"))
+
+
+# ---------------------------------------------------------------------------
+# Data quality (VAL-*, SNK-3, AGG-5, TOP-1).
+# ---------------------------------------------------------------------------
+def _validated(spark, sf_dir):
+    return Q.validate(TV.silver(spark, sf_dir))
+
+
+def _quarantine(spark, sf_dir):
+    _, failures = Q.split_validated(_validated(spark, sf_dir))
+    return Q.to_quarantine(failures, 1, TEST_RUN_TS)
+
+
+@register("validate_clean")
+def q_validate_clean(spark, sf_dir):
+    recs, _ = Q.split_validated(_validated(spark, sf_dir))
+    return recs.withColumn("scraped_at", F.date_format("scraped_at", TS_TEXT))
+
+
+@register("validate_failures")
+def q_validate_failures(spark, sf_dir):
+    _, failures = Q.split_validated(_validated(spark, sf_dir))
+    return failures
+
+
+@register("quarantine_stats")
+def q_quarantine_stats(spark, sf_dir):
+    return Q.quarantine_stats(_quarantine(spark, sf_dir))
+
+
+@register("quarantine_by_rule")
+def q_quarantine_by_rule(spark, sf_dir):
+    return Q.quarantine_by_rule(_quarantine(spark, sf_dir))
+
+
+@register("quarantine_recent")
+def q_quarantine_recent(spark, sf_dir):
+    r = Q.quarantine_recent(_quarantine(spark, sf_dir), 50)
+    return r.withColumn("quarantined_at", F.date_format("quarantined_at", TS_TEXT))
+
+
+# ---------------------------------------------------------------------------
+# Statistics and profile (AGG-1..4, Q16, PIP-5, I-C1).
+# ---------------------------------------------------------------------------
+@register("listing_counts")
+def q_listing_counts(spark, sf_dir):
+    return ST.listing_counts(TV.silver(spark, sf_dir))
+
+
+@register("field_coverage")
+def q_field_coverage(spark, sf_dir):
+    return ST.field_coverage(TV.silver(spark, sf_dir))
+
+
+@register("price_stats")
+def q_price_stats(spark, sf_dir):
+    return ST.price_stats(TV.silver(spark, sf_dir))
+
+
+@register("profile_counts")
+def q_profile_counts(spark, sf_dir):
+    return ST.profile_counts(gold_of(spark, sf_dir))
+
+
+@register("profile_numeric")
+def q_profile_numeric(spark, sf_dir):
+    return ST.profile_numeric(gold_of(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Worklists, discovery, lifecycle (FIL-2/3, SET-1, J-2, J-3).
+# ---------------------------------------------------------------------------
+@register("worklist_missing")
+def q_worklist_missing(spark, sf_dir):
+    return LC.worklist_missing(TV.silver(spark, sf_dir))
+
+
+@register("worklist_active")
+def q_worklist_active(spark, sf_dir):
+    return LC.worklist_active(TV.silver(spark, sf_dir))
+
+
+@register("worklist_union")
+def q_worklist_union(spark, sf_dir):
+    return LC.worklist_union(TV.silver(spark, sf_dir))
+
+
+def _discovered(spark, sf_dir):
+    """Ids found by this run's discovery pages: the line items' order keys."""
+    li = TV.read_table(spark, sf_dir, "lineitem", spread=False)
+    return li.select(F.col("l_orderkey").alias("listing_id"))
+
+
+@register("new_only")
+def q_new_only(spark, sf_dir):
+    # Seen = the listings snapshot taken before 1998.
+    seen = TV.silver(spark, sf_dir).where(F.col("scraped_at") < F.lit("1998-01-01").cast("timestamp"))
+    return LC.new_only(_discovered(spark, sf_dir), seen)
+
+
+@register("delist_unseen")
+def q_delist_unseen(spark, sf_dir):
+    out = LC.delist_unseen(TV.silver(spark, sf_dir), _discovered(spark, sf_dir))
+    return out.select("listing_id", "status", F.col("_delisted").alias("delisted"))
+
+
+# ---------------------------------------------------------------------------
+# Merge and SCD-2 over the change feed (MRG-*, SCD-*, AGG-6/8, FIL-7/8).
+# ---------------------------------------------------------------------------
+FEED_COLS = ["price", "depreciation", "status", "detail_url", "owners"]
+FEED_AS_OF = _dt.datetime(2024, 1, 31, 0, 0, 0)
+
+
+def _run_ts(day_col="day"):
+    return F.col(day_col).cast("timestamp") + F.expr("INTERVAL 1 DAY")
+
+
+def _run_id(day_col="day"):
+    return F.date_format(F.col(day_col), "yyyyMMdd").cast("bigint")
+
+
+@register("batch_last_nonnull")
+def q_batch_last_nonnull(spark, sf_dir):
+    feed = TV.feed(spark, sf_dir).select("listing_id", "day", "seq", *FEED_COLS)
+    b = SCD.collapse_batch(feed, ["listing_id", "day"], "seq")
+    return b.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
+@register("upsert_coalesce")
+def q_upsert_coalesce(spark, sf_dir):
+    feed = TV.feed(spark, sf_dir).select("listing_id", "seq", *FEED_COLS)
+    inc = SCD.collapse_batch(feed, ["listing_id"], "seq").drop("seq")
+    out = SCD.upsert_coalesce(TV.silver(spark, sf_dir), inc, TEST_RUN_TS)
+    return out.select("listing_id", *FEED_COLS, F.date_format("scraped_at", TS_TEXT).alias("scraped_at"))
+
+
+def _replayed(spark, sf_dir):
+    feed = TV.feed(spark, sf_dir).select("listing_id", "day", "seq", *FEED_COLS)
+    return SCD.scd2_replay(feed, "day", "seq", _run_ts(), _run_id())
+
+
+def _history(spark, sf_dir):
+    return SCD.history_from_replay(_replayed(spark, sf_dir))
+
+
+def _fmt_history(h):
+    return h.select("listing_id", *FEED_COLS,
+                    F.date_format("valid_from", TS_TEXT).alias("valid_from"),
+                    F.date_format("valid_to", TS_TEXT).alias("valid_to"),
+                    "is_current", "scrape_run_id")
+
+
+@register("scd2_history")
+def q_scd2_history(spark, sf_dir):
+    return _fmt_history(_history(spark, sf_dir))
+
+
+@register("scd2_counts")
+def q_scd2_counts(spark, sf_dir):
+    c = SCD.replay_counts(_replayed(spark, sf_dir), "day")
+    return c.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
+@register("scd2_versions")
+def q_scd2_versions(spark, sf_dir):
+    feed = TV.feed(spark, sf_dir).select("listing_id", "seq", *FEED_COLS)
+    state = SCD.collapse_batch(feed, ["listing_id"], "seq")
+    return SCD.versions(state, _history(spark, sf_dir), 2)
+
+
+@register("recent_changes")
+def q_recent_changes(spark, sf_dir):
+    # As of the last daily run of the feed's month, 72 hours back.
+    return _fmt_history(SCD.recent_changes(_history(spark, sf_dir), FEED_AS_OF, 72))
+
+
+@register("current_rows")
+def q_current_rows(spark, sf_dir):
+    return _fmt_history(SCD.current_rows(_history(spark, sf_dir)))
+
+
+@register("integrity_violations")
+def q_integrity_violations(spark, sf_dir):
+    feed = TV.feed(spark, sf_dir).select("listing_id", "seq", *FEED_COLS)
+    state = SCD.collapse_batch(feed, ["listing_id"], "seq")
+    return ST.gold_violations(gold_of(spark, sf_dir)).unionByName(
+        ST.history_violations(_history(spark, sf_dir), state))

@@ -13,3 +13,8 @@ def add(name: str, sql: str) -> None:
 
 add("gold_transform", gold.gold_sql())
 add("gold_stats", gold.stats_sql())
+
+from . import ops  # noqa: E402
+
+for _k, _v in ops.oracles().items():
+    add(_k, _v)
