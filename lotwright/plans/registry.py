@@ -252,3 +252,49 @@ def q_integrity_violations(spark, sf_dir):
     state = SCD.collapse_batch(feed, ["listing_id"], "seq")
     return ST.gold_violations(gold_of(spark, sf_dir)).unionByName(
         ST.history_violations(_history(spark, sf_dir), state))
+
+
+# ---------------------------------------------------------------------------
+# SQL-gate audit and model-log jobs (GTE-*, LLM-*, AGG-9).
+# ---------------------------------------------------------------------------
+from ..operators import audit as AU  # noqa: E402
+
+
+@register("sql_audit")
+def q_sql_audit(spark, sf_dir):
+    g = AU.sql_gate(TV.sql_texts(spark, sf_dir))
+    return g.select("query_id", "passed", "reason", "cleaned_sql")
+
+
+@register("sql_audit_summary")
+def q_sql_audit_summary(spark, sf_dir):
+    g = AU.sql_gate(TV.sql_texts(spark, sf_dir))
+    return g.groupBy(AU.reason_class(F.col("reason")).alias("reason_class")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("sql_from_response")
+def q_sql_from_response(spark, sf_dir):
+    r = TV.responses(spark, sf_dir)
+    return r.select("response_id", AU.extract_sql(F.col("text")).alias("sql"))
+
+
+@register("verdict_class")
+def q_verdict_class(spark, sf_dir):
+    r = AU.parse_review(TV.reviews(spark, sf_dir))
+    return r.select("response_id", "approved", "review_reason", "category")
+
+
+@register("session_outcome")
+def q_session_outcome(spark, sf_dir):
+    return AU.session_outcome(TV.attempts(spark, sf_dir))
+
+
+@register("trace_rollup")
+def q_trace_rollup(spark, sf_dir):
+    return AU.trace_rollup(TV.trace_steps(spark, sf_dir))
+
+
+@register("trace_rollup_by_step")
+def q_trace_rollup_by_step(spark, sf_dir):
+    return AU.trace_rollup(TV.trace_steps(spark, sf_dir), by_step=True)

@@ -170,3 +170,115 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed_from_events(read_table(spark, sf_dir, "events"))
+
+
+# ---------------------------------------------------------------------------
+# Text tables for the gate audit and the model-log jobs.  Templates are
+# test-fixture choices covering every gate branch; ``{k}`` is replaced by the
+# row key, so every row is a distinct text and the table grows with the data.
+# ---------------------------------------------------------------------------
+SQL_TEMPLATES = [
+    "SELECT COUNT(*) FROM listings_gold WHERE brand = 'Toyota'",
+    "SELECT brand, AVG(price) FROM listings_gold GROUP BY brand LIMIT {k}",
+    "select * from listings_gold limit 50;",
+    "SELECT * FROM listings_gold; DROP TABLE listings_gold",
+    "DROP TABLE listings_gold",
+    "-- just a comment {k}",
+    "   ",
+    "PRAGMA table_info(listings_gold)",
+    "SELECT * FROM sqlite_master",
+    "SELECT * FROM users JOIN listings_gold ON 1=1",
+    "WITH cheap AS (SELECT * FROM listings_gold WHERE price < {k}) SELECT * FROM cheap",
+    "/* top */ SELECT model FROM listings_gold ORDER BY price DESC LIMIT 9999",
+    "SELECT * FROM listings_gold LIMIT 0",
+    "EXPLAIN SELECT {k}",
+    "SELECT {k}",
+    "SELECT a.brand FROM listings_gold a JOIN other_table b ON a.listing_id = b.id JOIN third c ON 1=1",
+    "ATTACH DATABASE 'x.db' AS x",
+    "SELECT * FROM listings_gold WHERE car_name LIKE '%;%'",
+    "UPDATE listings_gold SET price = 0",
+    "SELECT * FROM (SELECT * FROM listings_gold LIMIT 5) t LIMIT {k}",
+]
+RESPONSE_TEMPLATES = [
+    "Here is the query:\n```sql\nSELECT COUNT(*) FROM listings_gold;\n```\n",
+    "SELECT brand FROM listings_gold WHERE price < {k};\n",
+    "I cannot answer that.\n",
+    "```SQL\nselect * from listings_gold limit 5\n```\nDone.\n",
+    "The answer uses select avg(price) from listings_gold;;\n",
+]
+REVIEW_TEMPLATES = [
+    "VERDICT: APPROVED\nREASON: The query is correct.",
+    "VERDICT: REJECTED\nREASON: The query would DELETE rows.",
+    "verdict: rejected\nreason: Column price_usd does not exist",
+    "VERDICT: REJECTED\nREASON: The filter misses the year {k}.",
+    "I think it's fine.",
+    "VERDICT: APPROVED",
+    "VERDICT: REJECTED\nREASON:   ",
+]
+STEP_NAMES = ["generate", "safety", "review", "execute", "explain"]
+
+
+def _template(templates: list[str], k: Column) -> Column:
+    return F.replace(_pick(templates, k), F.lit("{k}"), k.cast("string"))
+
+
+def sql_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``queries(query_id, sql_text)``: one logged statement per order."""
+    o = read_table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    return o.select(k.alias("query_id"), _template(SQL_TEMPLATES, k).alias("sql_text"))
+
+
+def _assistant_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
+
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``responses(response_id, text)``: generator output = a template
+    followed by the whole assistant turn text."""
+    c = _assistant_turns(spark, sf_dir)
+    k = F.col("conv_id") * 100 + F.col("turn")
+    return c.select(k.alias("response_id"),
+                    F.concat(_template(RESPONSE_TEMPLATES, k), F.col("text")).alias("text"))
+
+
+def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``reviews(response_id, text)``: reviewer output per assistant turn."""
+    c = _assistant_turns(spark, sf_dir)
+    k = F.col("conv_id") * 100 + F.col("turn")
+    return c.select(k.alias("response_id"), _template(REVIEW_TEMPLATES, k).alias("text"))
+
+
+def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``attempts``: one generate/gate/review/execute attempt per assistant turn."""
+    from pyspark.sql import Window
+    c = _assistant_turns(spark, sf_dir)
+    cid, t = F.col("conv_id"), F.col("turn")
+    it = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))
+    safe = (cid * 3 + t) % 5 != 0
+    ok = (cid + 2 * t) % 3 != 0
+    return c.select(
+        cid.alias("session"), it.cast("int").alias("iteration"),
+        F.when((cid + t) % 7 == 0, F.lit("Generation failed: timeout")).alias("generation_error"),
+        safe.alias("safety_passed"), ok.alias("approved"),
+        F.when((cid + t) % 11 == 0, F.lit("no such column: x")).alias("exec_error"),
+        F.when(~safe, F.lit("Dangerous pattern detected")).when(~ok, F.lit("Filter is wrong"))
+        .alias("feedback"))
+
+
+def trace_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``trace_steps``: one pipeline step per conversation turn."""
+    c = read_table(spark, sf_dir, "conversations")
+    cid, t = F.col("conv_id"), F.col("turn")
+    name = _pick(STEP_NAMES, t)
+    llm = name.isin("generate", "review", "explain")
+    prompt = F.when(llm, (cid * 13 + t * 7) % 900 + 100).otherwise(0)
+    completion = F.when(llm, (cid * 5 + t * 3) % 200 + 10).otherwise(0)
+    return c.select(
+        cid.alias("trace_id"), t.cast("int").alias("step"), name.alias("name"),
+        (((cid * 37 + t * 11) % 1000) + 0.5).alias("duration_ms"),
+        prompt.cast("bigint").alias("prompt_tokens"), completion.cast("bigint").alias("completion_tokens"),
+        (prompt + completion).cast("bigint").alias("total_tokens"),
+        F.when(llm, F.lit("model-a")).alias("model"),
+        F.when((cid + t) % 13 == 0, F.lit("error")).otherwise(F.lit("ok")).alias("status"),
+        F.when((cid + t) % 13 == 0, F.lit("step failed")).alias("error"))

@@ -18,3 +18,8 @@ from . import ops  # noqa: E402
 
 for _k, _v in ops.oracles().items():
     add(_k, _v)
+
+from . import audit  # noqa: E402
+
+for _k, _v in audit.oracles().items():
+    add(_k, _v)

@@ -90,3 +90,51 @@ SELECT
   '/used-cars/info/' || CAST(user_id AS VARCHAR) AS detail_url,
   CAST({k} AS INTEGER) AS owners
 FROM events"""
+
+
+def template_sql(templates: list[str], k: str) -> str:
+    return f"replace({pick(templates, k)}, '{{k}}', CAST({k} AS VARCHAR))"
+
+
+def sql_texts_sql() -> str:
+    k = "o_orderkey"
+    return f"SELECT {k} AS query_id, {template_sql(TV.SQL_TEMPLATES, k)} AS sql_text FROM orders"
+
+
+def responses_sql() -> str:
+    k = "(conv_id * 100 + turn)"
+    return (f"SELECT {k} AS response_id, {template_sql(TV.RESPONSE_TEMPLATES, k)} || text AS text "
+            "FROM conversations WHERE role = 'assistant'")
+
+
+def reviews_sql() -> str:
+    k = "(conv_id * 100 + turn)"
+    return (f"SELECT {k} AS response_id, {template_sql(TV.REVIEW_TEMPLATES, k)} AS text "
+            "FROM conversations WHERE role = 'assistant'")
+
+
+def attempts_sql() -> str:
+    return """SELECT conv_id AS session,
+  CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS INTEGER) AS iteration,
+  CASE WHEN (conv_id + turn) % 7 = 0 THEN 'Generation failed: timeout' END AS generation_error,
+  (conv_id * 3 + turn) % 5 <> 0 AS safety_passed,
+  (conv_id + 2 * turn) % 3 <> 0 AS approved,
+  CASE WHEN (conv_id + turn) % 11 = 0 THEN 'no such column: x' END AS exec_error,
+  CASE WHEN NOT ((conv_id * 3 + turn) % 5 <> 0) THEN 'Dangerous pattern detected'
+       WHEN NOT ((conv_id + 2 * turn) % 3 <> 0) THEN 'Filter is wrong' END AS feedback
+FROM conversations WHERE role = 'assistant'"""
+
+
+def trace_steps_sql() -> str:
+    name = pick(TV.STEP_NAMES, "turn")
+    llm = f"{name} IN ('generate', 'review', 'explain')"
+    prompt = f"CASE WHEN {llm} THEN (conv_id * 13 + turn * 7) % 900 + 100 ELSE 0 END"
+    comp = f"CASE WHEN {llm} THEN (conv_id * 5 + turn * 3) % 200 + 10 ELSE 0 END"
+    return f"""SELECT conv_id AS trace_id, CAST(turn AS INTEGER) AS step, {name} AS name,
+  CAST((conv_id * 37 + turn * 11) % 1000 AS DOUBLE) + 0.5::DOUBLE AS duration_ms,
+  CAST({prompt} AS BIGINT) AS prompt_tokens, CAST({comp} AS BIGINT) AS completion_tokens,
+  CAST({prompt} + {comp} AS BIGINT) AS total_tokens,
+  CASE WHEN {llm} THEN 'model-a' END AS model,
+  CASE WHEN (conv_id + turn) % 13 = 0 THEN 'error' ELSE 'ok' END AS status,
+  CASE WHEN (conv_id + turn) % 13 = 0 THEN 'step failed' END AS error
+FROM conversations"""
