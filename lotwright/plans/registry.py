@@ -298,3 +298,20 @@ def q_trace_rollup(spark, sf_dir):
 @register("trace_rollup_by_step")
 def q_trace_rollup_by_step(spark, sf_dir):
     return AU.trace_rollup(TV.trace_steps(spark, sf_dir), by_step=True)
+
+
+# ---------------------------------------------------------------------------
+# Guarded query surface over the gold table (QRY-1, Q1..Q16).
+# ---------------------------------------------------------------------------
+from . import query as QRY  # noqa: E402
+
+
+def _question(name):
+    def run(spark, sf_dir):
+        return QRY.answer(spark, gold_of(spark, sf_dir), name)
+    run.__name__ = f"q_{name}"
+    return run
+
+
+for _name in QRY.QUESTIONS:
+    register(_name)(_question(_name))

@@ -23,3 +23,8 @@ from . import audit  # noqa: E402
 
 for _k, _v in audit.oracles().items():
     add(_k, _v)
+
+from . import questions  # noqa: E402
+
+for _k, _v in questions.oracles().items():
+    add(_k, _v)
