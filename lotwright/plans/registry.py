@@ -315,3 +315,38 @@ def _question(name):
 
 for _name in QRY.QUESTIONS:
     register(_name)(_question(_name))
+
+
+# ---------------------------------------------------------------------------
+# Bronze pages (SCR-*).  The driver's pages carry no payload chunks, so the
+# detail parser yields NULL records there; its branches are covered by the
+# hand-written page fixtures in tests/test_pages.py.
+# ---------------------------------------------------------------------------
+from ..sources import pages as PG  # noqa: E402
+
+LISTING_HOST = "www.example.com"
+
+
+@register("page_titles")
+def q_page_titles(spark, sf_dir):
+    return PG.page_titles(TV.read_table(spark, sf_dir, "pages"))
+
+
+@register("page_links_first")
+def q_page_links_first(spark, sf_dir):
+    return PG.first_links(TV.read_table(spark, sf_dir, "pages"))
+
+
+@register("page_scripts")
+def q_page_scripts(spark, sf_dir):
+    return PG.page_scripts(TV.read_table(spark, sf_dir, "pages"))
+
+
+@register("rsc_detail")
+def q_rsc_detail(spark, sf_dir):
+    return PG.parse_detail_pages(TV.read_table(spark, sf_dir, "pages"))
+
+
+@register("rsc_listing_links")
+def q_rsc_listing_links(spark, sf_dir):
+    return PG.discover_links(TV.read_table(spark, sf_dir, "pages"), LISTING_HOST)

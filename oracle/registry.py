@@ -28,3 +28,8 @@ from . import questions  # noqa: E402
 
 for _k, _v in questions.oracles().items():
     add(_k, _v)
+
+from . import pages  # noqa: E402
+
+for _k, _v in pages.oracles().items():
+    add(_k, _v)
