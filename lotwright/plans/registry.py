@@ -350,3 +350,29 @@ def q_rsc_detail(spark, sf_dir):
 @register("rsc_listing_links")
 def q_rsc_listing_links(spark, sf_dir):
     return PG.discover_links(TV.read_table(spark, sf_dir, "pages"), LISTING_HOST)
+
+
+# ---------------------------------------------------------------------------
+# Streaming ingest (STR-*): the feed written as one file per day, streamed in
+# micro-batches through the SCD-2 step; the result is the final listings
+# state, which must not depend on how the feed was split into batches.
+# ---------------------------------------------------------------------------
+@register("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    import uuid
+
+    from ..session import scratch_path
+    from ..streaming.ingest import ingest_stream
+    from ..sources import snapshots as SN
+    from ..schemas import LISTINGS
+
+    base = scratch_path(spark, f"stream-{uuid.uuid4().hex[:12]}")
+    feed = TV.feed(spark, sf_dir).select("listing_id", "day", "seq", *FEED_COLS)
+    src = f"{base}/source"
+    feed.repartition("day").write.partitionBy("day").parquet(src)
+    schema = spark.read.parquet(src).schema
+    q = ingest_stream(spark, src, schema, f"{base}/tables", f"{base}/checkpoint", "seq",
+                      FEED_AS_OF, max_files_per_trigger=10)
+    q.awaitTermination()
+    final = SN.read_table(spark, f"{base}/tables", "listings", LISTINGS)
+    return final.select("listing_id", *FEED_COLS)

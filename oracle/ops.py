@@ -197,3 +197,8 @@ def oracles() -> dict[str, str]:
         f"WHERE brand IS NULL OR status IS NULL OR status NOT IN {in_list(LK.GOLD_STATUS_VALUES)} "
         "UNION ALL SELECT 'multiple_current', listing_id FROM history WHERE valid_to IS NULL GROUP BY listing_id HAVING count(*) > 1")
     return o
+
+
+def stream_oracles() -> dict[str, str]:
+    return {"stream_ingest": FEED + "SELECT listing_id, " + ", ".join(FEED_COLS)
+            + " FROM (" + collapse(["listing_id"]) + ")"}

@@ -33,3 +33,5 @@ from . import pages  # noqa: E402
 
 for _k, _v in pages.oracles().items():
     add(_k, _v)
+for _k, _v in ops.stream_oracles().items():
+    add(_k, _v)
