@@ -25,7 +25,10 @@ def register(name: str):
 
 
 def gold_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.gold_transform(TV.silver(spark, sf_dir), TV.TEST_AS_OF)
+    """The gold table of the silver view (plan built once per session; its
+    value-score rank table is written once to the checkpoint folder)."""
+    return TV.memo_view(spark, "gold", sf_dir,
+                        lambda: G.gold_transform(TV.silver(spark, sf_dir), TV.TEST_AS_OF))
 
 
 @register("gold_transform")
@@ -376,3 +379,13 @@ def q_stream_ingest(spark, sf_dir):
     q.awaitTermination()
     final = SN.read_table(spark, f"{base}/tables", "listings", LISTINGS)
     return final.select("listing_id", *FEED_COLS)
+
+
+@register("value_score")
+def q_value_score(spark, sf_dir):
+    """WIN-1/WIN-2 alone: scores of the Available consumer listings."""
+    from ..functions import lookups as LK
+    gold = G.project_gold(G.tag_silver(TV.silver(spark, sf_dir)), TV.TEST_AS_OF)
+    avail = gold.where(F.col("status") == "Available").select(
+        "listing_id", *[m for m, _ in LK.SCORE_METRICS])
+    return G.value_scores(avail)

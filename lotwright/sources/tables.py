@@ -25,7 +25,7 @@ def with_parallelism_floor(df: DataFrame, floor: int | None = None,
     Checking the split count plans the scan (file listing) but runs no job."""
     spark = df.sparkSession
     floor = floor or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= floor:
+    if df._jdf.rdd().getNumPartitions() >= floor:   # JVM RDD: no Python row pipeline
         return df
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)

@@ -164,12 +164,28 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True)
     return with_parallelism_floor(df, key=path) if spread else df
 
 
+
+_VIEWS: dict[tuple, DataFrame] = {}
+
+
+def memo_view(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
+    """Build a derived view once per session and input folder.  A DataFrame is
+    an immutable plan, so sharing it between queries is safe; it saves the
+    Python-side construction of large expression trees on every call."""
+    key = (spark.sparkContext.applicationId, name, sf_dir)
+    if key not in _VIEWS:
+        _VIEWS[key] = build()
+    return _VIEWS[key]
+
+
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_from_orders(read_table(spark, sf_dir, "orders"))
+    return memo_view(spark, "silver", sf_dir,
+                     lambda: silver_from_orders(read_table(spark, sf_dir, "orders")))
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feed_from_events(read_table(spark, sf_dir, "events"))
+    return memo_view(spark, "feed", sf_dir,
+                     lambda: feed_from_events(read_table(spark, sf_dir, "events")))
 
 
 # ---------------------------------------------------------------------------

@@ -186,3 +186,7 @@ SELECT count(*) AS total_silver,
        count(*) FILTER (WHERE NOT commercial AND COALESCE({case_map('status', LK.STATUS_MAP)}, 'Available') = 'Available') AS available,
        count(*) FILTER (WHERE NOT commercial AND COALESCE({case_map('status', LK.STATUS_MAP)}, 'Available') = 'Sold') AS sold
 FROM tagged"""
+
+
+def value_score_sql() -> str:
+    return f"WITH {gold_ctes()}\nSELECT listing_id, value_score FROM scores"

@@ -35,3 +35,4 @@ for _k, _v in pages.oracles().items():
     add(_k, _v)
 for _k, _v in ops.stream_oracles().items():
     add(_k, _v)
+add("value_score", gold.value_score_sql())
