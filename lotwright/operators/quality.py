@@ -79,63 +79,103 @@ def _py_list_text(values) -> str:
     return "[" + ", ".join(f"'{v}'" for v in sorted(values)) + "]"
 
 
-def failure_reason(rule: Rule, c: Column) -> Column | None:
-    """Reason text when ``c`` breaks ``rule``, else NULL.  NULL values pass."""
-    n = rule.column
+def sql_str(text: str) -> str:
+    """A Spark SQL string literal (backslash escapes are processed by the parser)."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def failure_reason_sql(rule: Rule) -> str | None:
+    """Spark SQL expression: reason text when the column breaks ``rule``,
+    else NULL.  NULL values pass.  Rules compile to SQL text so that a whole
+    registry becomes a handful of expressions (one driver round trip each)."""
+    n = f"`{rule.column}`"
+    col = rule.column
     if rule.kind == "range":
         lo, hi = rule.args
-        bad = c.isNotNull() & ~c.between(lo, hi)
-        if LISTING_TYPES.get(n) is not None and LISTING_TYPES[n].typeName() == "double":
-            bad = bad & ~F.isnan(c)       # NaN compares false both ways: it passes
-        return F.when(bad, F.concat(F.lit(f"{n}: "), c.cast("string"),
-                                    F.lit(f" outside range [{lo}, {hi}]")))
+        nan = f" AND NOT isnan({n})" if LISTING_TYPES.get(col) is not None and \
+            LISTING_TYPES[col].typeName() == "double" else ""   # NaN compares false both ways
+        return (f"CASE WHEN {n} IS NOT NULL AND NOT ({n} BETWEEN {lo} AND {hi}){nan} THEN "
+                f"concat({sql_str(col + ': ')}, CAST({n} AS STRING), "
+                f"{sql_str(f' outside range [{lo}, {hi}]')}) END")
     if rule.kind == "enum":
-        return F.when(c.isNotNull() & ~c.isin(*rule.args),
-                      F.concat(F.lit(f"{n}: '"), c, F.lit(f"' not in {_py_list_text(rule.args)}")))
+        allowed = ", ".join(sql_str(v) for v in rule.args)
+        return (f"CASE WHEN {n} IS NOT NULL AND NOT ({n} IN ({allowed})) THEN "
+                f"concat({sql_str(col + ": '")}, {n}, "
+                f"{sql_str("' not in " + _py_list_text(rule.args))}) END")
     if rule.kind == "regex":
-        return F.when(c.isNotNull() & ~c.rlike(rule.args[0]),
-                      F.concat(F.lit(f"{n}: '"), c, F.lit("' does not match pattern")))
+        return (f"CASE WHEN {n} IS NOT NULL AND NOT ({n} RLIKE {sql_str(rule.args[0])}) THEN "
+                f"concat({sql_str(col + ": '")}, {n}, {sql_str("' does not match pattern")}) END")
     if rule.kind == "prefix":
         p = rule.args[0]
-        return F.when(c.isNotNull() & ~c.startswith(p),
-                      F.concat(F.lit(f"{n}: '"), c, F.lit(f"' does not start with '{p}'")))
+        return (f"CASE WHEN {n} IS NOT NULL AND NOT startswith({n}, {sql_str(p)}) THEN "
+                f"concat({sql_str(col + ": '")}, {n}, "
+                f"{sql_str("' does not start with '" + p + "'")}) END")
     return None   # pass-through rules never fail
 
 
-def validate(df: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
-    """VAL-7: add ``_failures`` ARRAY<STRUCT<listing_id, field_name, field_value,
-    rule_name, reason>> and NULL out failing values.  Per column the first
-    failing rule (in registry order) wins.
+def failure_reason(rule: Rule, c: Column | None = None) -> Column | None:
+    """Column form of ``failure_reason_sql`` (over the rule's own column)."""
+    sql = failure_reason_sql(rule)
+    return None if sql is None else F.expr(sql)
+
 
-    Reasons are computed once into an attribute; the failure array and the
-    cleaned columns both read that attribute."""
-    per_col: dict[str, list[tuple[Rule, Column]]] = {}
+def _stage_reasons(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, list[str]]:
+    """Add ``_reasons`` = struct(r_i reason, n_i rule name) per ruled column;
+    per column the first failing rule (registry order) wins."""
+    per_col: dict[str, list[tuple[Rule, str]]] = {}
     for r in rules:
         if r.column in df.columns:
-            reason = failure_reason(r, F.col(r.column))
-            if reason is not None:
-                per_col.setdefault(r.column, []).append((r, reason))
+            sql = failure_reason_sql(r)
+            if sql is not None:
+                per_col.setdefault(r.column, []).append((r, sql))
     cols = list(per_col)
-    fields = []
+    parts = []
     for i, c in enumerate(cols):
-        fields.append(F.coalesce(*[x for _, x in per_col[c]]).alias(f"r{i}"))
-        fields.append(F.coalesce(*[F.when(x.isNotNull(), F.lit(r.name)) for r, x in per_col[c]])
-                      .alias(f"n{i}"))
-    staged = df.withColumn("_reasons", F.struct(*fields))
-    key = F.col("listing_id") if "listing_id" in df.columns else F.lit(None).cast("bigint")
-    items = [F.when(F.col(f"_reasons.r{i}").isNotNull(), F.struct(
-        key.alias("listing_id"), F.lit(c).alias("field_name"),
-        F.col(c).cast("string").alias("field_value"),
-        F.col(f"_reasons.n{i}").alias("rule_name"), F.col(f"_reasons.r{i}").alias("reason")))
-        for i, c in enumerate(cols)]
-    failures = F.filter(F.array(*items), lambda x: x.isNotNull())
-    cleaned = {c: F.when(F.col(f"_reasons.r{i}").isNull(), F.col(c)) for i, c in enumerate(cols)}
-    return staged.select(*[cleaned[c].alias(c) if c in cleaned else F.col(c) for c in df.columns],
-                         failures.alias("_failures"))
+        reasons = [x for _, x in per_col[c]]
+        names = [f"CASE WHEN ({x}) IS NOT NULL THEN {sql_str(r.name)} END" for r, x in per_col[c]]
+        parts.append(f"'r{i}', coalesce({', '.join(reasons)})" if len(reasons) > 1 else f"'r{i}', {reasons[0]}")
+        parts.append(f"'n{i}', coalesce({', '.join(names)})" if len(names) > 1 else f"'n{i}', {names[0]}")
+    staged = df.select("*", F.expr(f"named_struct({', '.join(parts)})").alias("_reasons"))
+    return staged, cols
+
+
+def validate(df: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
+    """VAL-7: cleaned columns (bad value -> NULL) plus ``_failures``
+    ARRAY<STRUCT<listing_id, field_name, field_value, rule_name, reason>>.
+    Reasons are computed once into an attribute that both outputs read."""
+    staged, cols = _stage_reasons(df, rules)
+    key = "`listing_id`" if "listing_id" in df.columns else "CAST(NULL AS BIGINT)"
+    items = ", ".join(
+        f"CASE WHEN _reasons.r{i} IS NOT NULL THEN named_struct('listing_id', {key}, "
+        f"'field_name', {sql_str(c)}, 'field_value', CAST(`{c}` AS STRING), "
+        f"'rule_name', _reasons.n{i}, 'reason', _reasons.r{i}) END" for i, c in enumerate(cols))
+    idx = {c: i for i, c in enumerate(cols)}
+    out = [f"CASE WHEN _reasons.r{idx[c]} IS NULL THEN `{c}` END AS `{c}`" if c in idx else f"`{c}`"
+           for c in df.columns]
+    return staged.selectExpr(*out, f"filter(array({items}), x -> x IS NOT NULL) AS _failures")
+
+
+def validate_split(df: DataFrame, rules: list[Rule] = RULES) -> tuple[DataFrame, DataFrame]:
+    """VAL-8 in one pass each: (cleaned records, flattened failures).  The
+    failures are an unpivot (``stack``) of the staged reasons filtered to the
+    failing ones: no per-row array, no explode."""
+    staged, cols = _stage_reasons(df, rules)
+    idx = {c: i for i, c in enumerate(cols)}
+    records = staged.selectExpr(*[f"CASE WHEN _reasons.r{idx[c]} IS NULL THEN `{c}` END AS `{c}`"
+                                  if c in idx else f"`{c}`" for c in df.columns])
+    key = "`listing_id`" if "listing_id" in df.columns else "CAST(NULL AS BIGINT)"
+    args = ", ".join(f"{sql_str(c)}, CAST(`{c}` AS STRING), _reasons.n{i}, _reasons.r{i}"
+                     for i, c in enumerate(cols))
+    failures = staged.selectExpr(
+        f"{key} AS listing_id",
+        f"stack({len(cols)}, {args}) AS (field_name, field_value, rule_name, reason)"
+    ).where("reason IS NOT NULL")
+    return records, failures
 
 
 def split_validated(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """VAL-8: (cleaned records, flattened failures).  Every record is kept."""
+    """VAL-8 from a validated frame: (cleaned records, flattened failures).
+    Every record is kept."""
     records = validated.drop("_failures")
     failures = validated.select(F.explode("_failures").alias("f")).select("f.*")
     return records, failures

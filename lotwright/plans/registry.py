@@ -72,24 +72,24 @@ def q_commercial_filter(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Data quality (VAL-*, SNK-3, AGG-5, TOP-1).
 # ---------------------------------------------------------------------------
-def _validated(spark, sf_dir):
-    return Q.validate(TV.silver(spark, sf_dir))
+def _split(spark, sf_dir):
+    return Q.validate_split(TV.silver(spark, sf_dir))
 
 
 def _quarantine(spark, sf_dir):
-    _, failures = Q.split_validated(_validated(spark, sf_dir))
+    _, failures = _split(spark, sf_dir)
     return Q.to_quarantine(failures, 1, TEST_RUN_TS)
 
 
 @register("validate_clean")
 def q_validate_clean(spark, sf_dir):
-    recs, _ = Q.split_validated(_validated(spark, sf_dir))
+    recs, _ = _split(spark, sf_dir)
     return recs.withColumn("scraped_at", F.date_format("scraped_at", TS_TEXT))
 
 
 @register("validate_failures")
 def q_validate_failures(spark, sf_dir):
-    _, failures = Q.split_validated(_validated(spark, sf_dir))
+    _, failures = _split(spark, sf_dir)
     return failures
 
 
@@ -383,9 +383,8 @@ def q_stream_ingest(spark, sf_dir):
 
 @register("value_score")
 def q_value_score(spark, sf_dir):
-    """WIN-1/WIN-2 alone: scores of the Available consumer listings."""
-    from ..functions import lookups as LK
+    """WIN-1/WIN-2 alone: scores of the Available consumer listings, attached
+    the way the pipeline does (size-checked broadcast of the rank table)."""
     gold = G.project_gold(G.tag_silver(TV.silver(spark, sf_dir)), TV.TEST_AS_OF)
-    avail = gold.where(F.col("status") == "Available").select(
-        "listing_id", *[m for m, _ in LK.SCORE_METRICS])
-    return G.value_scores(avail)
+    scored = G.with_value_score(gold)
+    return scored.where(F.col("status") == "Available").select("listing_id", "value_score")

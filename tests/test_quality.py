@@ -67,3 +67,13 @@ def test_batch_and_quarantine(spark):
     assert r["field_value"] == "-100"
     s = Q.quarantine_stats(q).first()
     assert (s["total"], s["unresolved"]) == (1, 1)
+
+
+def test_split_forms_agree(spark):
+    from conftest import MID
+    from lotwright.sources import testviews as TV
+    s = TV.silver(spark, MID)
+    r1, f1 = Q.split_validated(Q.validate(s))
+    r2, f2 = Q.validate_split(s)
+    assert sorted(map(tuple, f1.collect())) == sorted(map(tuple, f2.collect()))
+    assert r1.exceptAll(r2).count() == 0 and r2.exceptAll(r1).count() == 0

@@ -56,3 +56,12 @@ def test_score_matches_sequential_definition(spark):
         sc = [(ranks[j][i] * w, w) for j, w in enumerate(weights) if ranks[j][i] is not None]
         want = round(sum(a for a, _ in sc) / sum(w for _, w in sc) * 100, 1) if sc else None
         assert got[r[0]] == want, r
+
+
+def test_broadcast_and_shuffle_paths_agree(spark):
+    from conftest import SMALL
+    from lotwright.sources import testviews as TV
+    gold = G.project_gold(G.tag_silver(TV.silver(spark, SMALL)), TV.TEST_AS_OF)
+    a = G.with_value_score(gold).select("listing_id", "value_score")
+    b = G.with_value_score(gold, max_broadcast_rows=0).select("listing_id", "value_score")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
