@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import lookups as LK
+from .cache import per_application
 
 
 def strip_ws(c: Column) -> Column:
@@ -105,43 +106,50 @@ def trim_keyword_split(rest: Column, pos: Column | None = None) -> Column:
     return F.when(pos > 1, _model_trim(model, trim))
 
 
-def with_brand_model_trim(df: DataFrame, name_col: str = "car_name",
-                          out: str = "_bmt") -> DataFrame:
-    """FN-6: add ``out`` = struct(brand, model, trim) of ``name_col``.
-
-    Built in stages over attributes: a Column is an expression tree, so using
-    ``rest`` or ``words`` several times as expressions would copy and
-    re-evaluate them (subexpression elimination does not reach into CASE
-    branches).  Each stage yields an attribute that is computed once;
-    Catalyst does not collapse a non-cheap projection into a consumer that
-    references it several times."""
+@per_application
+def _bmt_stages(name_col: str, out: str) -> list[tuple[str, Column]]:
     c = F.col
-    df = df.withColumn("_clean", clean_car_name(c(name_col)))
-    df = df.withColumn("_word", F.regexp_replace(c("_clean"), _BRAND_WORD_REGEX, "$1$2"))
+    stages = [("_clean", clean_car_name(c(name_col))),
+              ("_word", F.regexp_replace(c("_clean"), _BRAND_WORD_REGEX, "$1$2"))]
     canon = F.try_element_at(_all_brands_map(), F.lower(c("_word")))
     known_rest = strip_ws(F.substring(c("_clean"), F.length(c("_word")) + 1, 1 << 30))
     # Unknown brand: the raw first word; the rest loses leading whitespace only.
     fallback_rest = F.regexp_extract(c("_clean"), r"(?s)^\s*\S+\s+(.*)$", 1)
-    df = df.withColumn("_br", F.struct(
+    stages.append(("_br", F.struct(
         F.coalesce(canon, c("_word"), F.lit("Unknown")).alias("brand"),
         F.when(c("_word").isNull() | (c("_word") == ""), F.lit(""))
-         .when(canon.isNotNull(), known_rest).otherwise(fallback_rest).alias("rest")))
-    df = df.withColumn("_brand", c("_br.brand")).withColumn("_rest", c("_br.rest"))
-    df = (df.withColumn("_words", single_spaced(c("_rest")))
-            .withColumn("_kwpos", trim_keyword_position(c("_rest"))))
+         .when(canon.isNotNull(), known_rest).otherwise(fallback_rest).alias("rest"))))
+    stages += [("_brand", c("_br.brand")), ("_rest", c("_br.rest")),
+               ("_words", single_spaced(c("_rest"))), ("_kwpos", trim_keyword_position(c("_rest")))]
     brand, rest = c("_brand"), c("_rest")
     split = F.coalesce(brand_pattern_split(brand, rest), engine_code_split(c("_words")),
                        trim_keyword_split(rest, c("_kwpos")),
                        _model_trim(blank_to_null(rest), F.lit(None).cast("string")))
-    df = df.withColumn("_split", split)
+    stages.append(("_split", split))
     empty = rest == ""
-    df = df.withColumn(out, F.struct(brand.alias("brand"),
-                                     F.when(~empty, c("_split.model")).alias("model"),
-                                     F.when(~empty, c("_split.trim")).alias("trim")))
+    stages.append((out, F.struct(brand.alias("brand"),
+                                 F.when(~empty, c("_split.model")).alias("model"),
+                                 F.when(~empty, c("_split.trim")).alias("trim"))))
+    return stages
+
+
+def with_brand_model_trim(df: DataFrame, name_col: str = "car_name",
+                          out: str = "_bmt") -> DataFrame:
+    """FN-6: add ``out`` = struct(brand, model, trim) of ``name_col``.
+
+    Built in stages over attributes: a Column is an expression tree, so using
+    ``rest`` or ``words`` several times as expressions would copy and
+    re-evaluate them (subexpression elimination does not reach into CASE
+    branches).  Each stage yields an attribute that is computed once;
+    Catalyst does not collapse a non-cheap projection into a consumer that
+    references it several times."""
+    for name, col in _bmt_stages(name_col, out):
+        df = df.withColumn(name, col)
     return df.drop("_clean", "_word", "_br", "_brand", "_rest", "_words", "_kwpos", "_split")
 
 
 _COMMERCIAL_WORDS_REGEX = r"(?i)\b(" + "|".join(LK.COMMERCIAL_MODEL_WORDS) + r")\b"
+
 # Multi-word brand as a case-insensitive prefix, else the first word.
 _BRAND_WORD_REGEX = ("(?is)^(?:(" + "|".join(re.escape(b.lower()) for b in LK.MULTI_WORD_BRANDS)
                      + r")|\s*(\S+)).*$")
@@ -167,6 +175,12 @@ def brand_only(car_name: Column) -> Column:
                       F.lit("Unknown"))
 
 
+@per_application
+def commercial_flag(vehicle_type: str = "vehicle_type", car_name: str = "car_name") -> Column:
+    """``is_commercial`` over named columns, built once per application."""
+    return is_commercial(F.col(vehicle_type), F.col(car_name))
+
+
 def is_commercial(vehicle_type: Column, car_name: Column, brand: Column | None = None) -> Column:
     """FIL-1: commercial vehicle type, commercial brand (case-sensitive) or a
     commercial model word anywhere in the name.  Never NULL.  ``brand``

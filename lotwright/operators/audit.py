@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.cache import per_application
 from ..functions.names import strip_ws
 
 # Gate configuration, keyword sets and patterns.
@@ -54,18 +55,25 @@ def sql_gate(df: DataFrame, sql_col: str = "sql_text",
     """GTE-1..7: add ``passed``, ``reason``, ``cleaned_sql`` for every text.
 
     Intermediate texts are staged as attributes (computed once each)."""
-    allowed = [t.lower() for t in (allowed_tables or [DEFAULT_ALLOWED_TABLE])]
+    allowed = tuple(t.lower() for t in (allowed_tables or [DEFAULT_ALLOWED_TABLE]))
+    for name, col in _gate_stages(sql_col, allowed, max_limit):
+        df = df.withColumn(name, col)
+    return df.drop("_stripped", "_nc", "_work", "_first", "_bad_tables", "_limit")
+
+
+@per_application
+def _gate_stages(sql_col: str, allowed: tuple, max_limit: int) -> list[tuple[str, Column]]:
     c = F.col
-    d = df.withColumn("_stripped", strip_ws(c(sql_col)))
-    d = d.withColumn("_nc", strip_ws(F.regexp_replace(c("_stripped"), COMMENT_REGEX, "")))
-    d = d.withColumn("_work", _rstrip_ws(F.regexp_replace(c("_nc"), ";+$", "")))
-    d = d.withColumn("_first", F.upper(F.regexp_extract(c("_work"), r"^\s*(\S+)", 1)))
+    st = [("_stripped", strip_ws(c(sql_col))),
+          ("_nc", strip_ws(F.regexp_replace(c("_stripped"), COMMENT_REGEX, ""))),
+          ("_work", _rstrip_ws(F.regexp_replace(c("_nc"), ";+$", ""))),
+          ("_first", F.upper(F.regexp_extract(c("_work"), r"^\s*(\S+)", 1)))]
     tables = F.array_distinct(F.transform(F.regexp_extract_all(c("_work"), F.lit(TABLE_REGEX), 1),
                                           F.lower))
     ctes = F.transform(F.regexp_extract_all(c("_work"), F.lit(CTE_ALIAS_REGEX), 1), F.lower)
     effective = F.array_union(F.array(*[F.lit(t) for t in allowed]), ctes)
-    d = d.withColumn("_bad_tables", F.array_sort(F.array_except(tables, effective)))
-    d = d.withColumn("_limit", F.regexp_extract(c("_work"), LIMIT_REGEX, 1))
+    st += [("_bad_tables", F.array_sort(F.array_except(tables, effective))),
+           ("_limit", F.regexp_extract(c("_work"), LIMIT_REGEX, 1))]
     dangerous = None
     for p in DANGEROUS_PATTERNS:
         hit = c("_work").rlike("(?i)" + p)
@@ -80,15 +88,14 @@ def sql_gate(df: DataFrame, sql_col: str = "sql_text",
                   F.concat(F.lit("Statement type not allowed: "), c("_first")))
     tables_msg = F.when(F.size("_bad_tables") > 0, F.concat(
         F.lit("Tables not allowed: ['"), F.array_join("_bad_tables", "', '"), F.lit("']")))
-    reason = F.coalesce(reason, stmt, tables_msg)
     too_big = F.coalesce(c("_limit").try_cast("bigint") > max_limit, F.lit(True))
     cleaned = (F.when(c("_limit") == "", F.concat(c("_work"), F.lit(f" LIMIT {DEFAULT_AUTO_LIMIT}")))
                .when(too_big, F.regexp_replace(c("_work"), FIRST_LIMIT_REGEX, f"$1LIMIT {max_limit}"))
                .otherwise(c("_work")))
-    d = d.withColumn("reason", reason)
-    d = d.withColumn("passed", c("reason").isNull()) \
-         .withColumn("cleaned_sql", F.when(c("passed"), cleaned).otherwise(F.lit("")))
-    return d.drop("_stripped", "_nc", "_work", "_first", "_bad_tables", "_limit")
+    st += [("reason", F.coalesce(reason, stmt, tables_msg)),
+           ("passed", c("reason").isNull()),
+           ("cleaned_sql", F.when(c("passed"), cleaned).otherwise(F.lit("")))]
+    return st
 
 
 def reason_class(reason: Column) -> Column:

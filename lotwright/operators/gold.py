@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import lookups as LK
 from ..functions import names as N
 from ..functions import scalars as SC
+from ..functions.cache import per_application
 from ..schemas import GOLD_COLUMNS
 from .ranking import percentile_rank, rank_table
 
@@ -27,8 +28,7 @@ def with_commercial_flag(silver: DataFrame) -> DataFrame:
     """Add ``_commercial`` (FIL-1).  It needs the brand only, not model/trim,
     so the exclusion filter is small and Catalyst pushes it into the scan:
     excluded rows never reach the model/trim parse."""
-    return silver.withColumn("_commercial", N.is_commercial(F.col("vehicle_type"),
-                                                            F.col("car_name")))
+    return silver.withColumn("_commercial", N.commercial_flag("vehicle_type", "car_name"))
 
 
 def tag_silver(silver: DataFrame) -> DataFrame:
@@ -39,6 +39,11 @@ def tag_silver(silver: DataFrame) -> DataFrame:
 
 def project_gold(tagged: DataFrame, as_of: dt.date, keep_delisted: bool = False) -> DataFrame:
     """PRJ-1/PRJ-2/PRJ-3: the 35 gold columns (``value_score`` still NULL)."""
+    return tagged.select(*_gold_columns(as_of, keep_delisted))
+
+
+@per_application
+def _gold_columns(as_of: dt.date, keep_delisted: bool) -> list:
     c = F.col
     seen = F.date_format(c("scraped_at"), TS_TEXT)
     cols = {
@@ -78,7 +83,7 @@ def project_gold(tagged: DataFrame, as_of: dt.date, keep_delisted: bool = False)
         "first_seen_at": seen,
         "last_seen_at": seen,
     }
-    return tagged.select(*[v.alias(k) for k, v in cols.items()])
+    return [v.alias(k) for k, v in cols.items()]
 
 
 def _score_expr(rank_cols: dict, coe_higher_is_better: bool) -> F.Column:
@@ -103,7 +108,7 @@ def _metric_rows(scored: DataFrame) -> DataFrame:
 
 
 def value_scores(gold: DataFrame, coe_higher_is_better: bool = False,
-                 n_buckets: int = 128) -> DataFrame:
+                 n_buckets: int | None = None) -> DataFrame:
     """WIN-1/WIN-2 (shuffle form): (listing_id, value_score) for ``gold`` rows.
 
     Unpivot to narrow (listing_id, metric, v) rows, exact percentile rank,
@@ -125,7 +130,7 @@ MAX_BROADCAST_RANK_ROWS = 2_000_000
 
 
 def with_value_score(gold: DataFrame, coe_higher_is_better: bool = False,
-                     n_buckets: int = 128,
+                     n_buckets: int | None = None,
                      max_broadcast_rows: int = MAX_BROADCAST_RANK_ROWS) -> DataFrame:
     """Set ``value_score`` on ``Available`` rows of ``gold`` (others NULL)."""
     metrics = [m for m, _ in LK.SCORE_METRICS]
@@ -147,7 +152,7 @@ def with_value_score(gold: DataFrame, coe_higher_is_better: bool = False,
 
 
 def gold_transform(silver: DataFrame, as_of: dt.date, keep_delisted: bool = False,
-                   coe_higher_is_better: bool = False, n_buckets: int = 128,
+                   coe_higher_is_better: bool = False, n_buckets: int | None = None,
                    max_broadcast_rows: int = MAX_BROADCAST_RANK_ROWS) -> DataFrame:
     """PIP-1: the gold table (35 columns) for ``silver`` as of ``as_of``."""
     gold = project_gold(tag_silver(silver), as_of, keep_delisted)

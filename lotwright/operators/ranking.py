@@ -26,26 +26,37 @@ from pyspark.sql import functions as F
 from ..sources.tables import materialize
 
 
-def count_below(values: DataFrame, metric: str, value: str, n_buckets: int = 128,
-                accuracy: int = 10000) -> DataFrame:
+ROWS_PER_BUCKET = 1_000_000
+
+
+def count_below(values: DataFrame, metric: str, value: str, n_buckets: int | None = None,
+                accuracy: int = 10000, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """(metric, value) rows -> (metric, value, below, n) per distinct value.
 
     ``below`` = number of rows of the same metric with a strictly smaller
-    value, ``n`` = number of non-null rows of the metric."""
+    value, ``n`` = number of non-null rows of the metric.  The bucket count
+    defaults to ceil(distinct values / ``rows_per_bucket``), so every bucket's
+    sort is bounded; a small table uses one bucket per metric and needs no
+    cut points at all."""
     vals = values.where(F.col(value).isNotNull())
     # The distinct-value table feeds three branches below; write it once to
     # the shared checkpoint folder instead of re-running the input plan per
     # branch.  Its size is the number of distinct values, not of rows.
     dist = materialize(vals.groupBy(metric, value).agg(F.count(F.lit(1)).alias("_cnt")),
                        "rank-dist")
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = dist.groupBy(metric).agg(
-        F.percentile_approx(value, probs, accuracy).alias("_cuts"),
-        F.sum("_cnt").alias("n"))
-    # One row per metric, n_buckets-1 doubles each: a fixed, proven bound.
-    with_bucket = (dist.join(F.broadcast(cuts), metric)
-                   .withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(value))))
-                   .drop("_cuts"))
+    if n_buckets is None:
+        n_buckets = max(1, -(-dist.count() // rows_per_bucket))   # count of written files: cheap
+    totals_n = dist.groupBy(metric).agg(F.sum("_cnt").alias("n"))
+    if n_buckets == 1:
+        with_bucket = dist.join(F.broadcast(totals_n), metric).withColumn("_bucket", F.lit(0))
+    else:
+        probs = [i / n_buckets for i in range(1, n_buckets)]
+        cuts = dist.groupBy(metric).agg(
+            F.percentile_approx(value, probs, accuracy).alias("_cuts"), F.sum("_cnt").alias("n"))
+        # One row per metric, n_buckets-1 doubles each: a fixed, proven bound.
+        with_bucket = (dist.join(F.broadcast(cuts), metric)
+                       .withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(value))))
+                       .drop("_cuts"))
     totals = with_bucket.groupBy(metric, "_bucket").agg(F.sum("_cnt").alias("_bcnt"))
     prior = Window.partitionBy(metric).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1)
@@ -60,7 +71,7 @@ def count_below(values: DataFrame, metric: str, value: str, n_buckets: int = 128
                     .alias("below")))
 
 
-def rank_table(values: DataFrame, metric: str, value: str, n_buckets: int = 128) -> DataFrame:
+def rank_table(values: DataFrame, metric: str, value: str, n_buckets: int | None = None) -> DataFrame:
     """(metric, value) rows -> (metric, value, rank): one row per distinct
     non-null value, rank = #below / max(n - 1, 1).  Written once: it is read
     by a size check and then joined."""
@@ -70,7 +81,7 @@ def rank_table(values: DataFrame, metric: str, value: str, n_buckets: int = 128)
 
 
 def percentile_rank(values: DataFrame, key: str, metric: str, value: str,
-                    n_buckets: int = 128) -> DataFrame:
+                    n_buckets: int | None = None) -> DataFrame:
     """(key, metric, value) -> (key, metric, rank) with rank in [0, 1]; NULL
     values keep a NULL rank.  Equal to ``percent_rank()`` per metric."""
     ranks = count_below(values, metric, value, n_buckets)

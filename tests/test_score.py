@@ -65,3 +65,10 @@ def test_broadcast_and_shuffle_paths_agree(spark):
     a = G.with_value_score(gold).select("listing_id", "value_score")
     b = G.with_value_score(gold, max_broadcast_rows=0).select("listing_id", "value_score")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_adaptive_single_bucket_equals_many(spark):
+    df = spark.createDataFrame([(i, "m", float(i % 97)) for i in range(2000)], "k long, metric string, v double")
+    one = {r["k"]: r["rank"] for r in R.percentile_rank(df, "k", "metric", "v").collect()}
+    many = {r["k"]: r["rank"] for r in R.percentile_rank(df, "k", "metric", "v", n_buckets=32).collect()}
+    assert one == many
