@@ -388,3 +388,12 @@ def q_value_score(spark, sf_dir):
     gold = G.project_gold(G.tag_silver(TV.silver(spark, sf_dir)), TV.TEST_AS_OF)
     scored = G.with_value_score(gold)
     return scored.where(F.col("status") == "Available").select("listing_id", "value_score")
+
+
+@register("token_usage")
+def q_token_usage(spark, sf_dir):
+    """LLM-4 over every logged step: usage JSON -> canonical token counts (0 when absent)."""
+    s = TV.trace_steps(spark, sf_dir)
+    u = AU.token_usage(F.col("usage_metadata"))
+    return s.select("trace_id", "step", u["prompt_tokens"].alias("prompt_tokens"),
+                    u["completion_tokens"].alias("completion_tokens"), u["total_tokens"].alias("total_tokens"))

@@ -297,4 +297,8 @@ def trace_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
         (prompt + completion).cast("bigint").alias("total_tokens"),
         F.when(llm, F.lit("model-a")).alias("model"),
         F.when((cid + t) % 13 == 0, F.lit("error")).otherwise(F.lit("ok")).alias("status"),
-        F.when((cid + t) % 13 == 0, F.lit("step failed")).alias("error"))
+        F.when((cid + t) % 13 == 0, F.lit("step failed")).alias("error"),
+        # usage metadata as logged by the model client (absent for non-model steps)
+        F.when(llm, F.to_json(F.struct(prompt.alias("input_tokens"), completion.alias("output_tokens"),
+                                       (prompt + completion).alias("total_tokens"))))
+        .alias("usage_metadata"))

@@ -82,3 +82,11 @@ FROM l WHERE rn = 1"""
     o["trace_rollup_by_step"] = (f"WITH s AS ({trace_steps_sql()})\nSELECT trace_id, name, {roll} "
                                  "FROM s GROUP BY trace_id, name")
     return o
+
+
+def usage_oracles() -> dict[str, str]:
+    def get(k):
+        return f"COALESCE(TRY_CAST(json_extract_string(usage_metadata, '$.{k}') AS BIGINT), 0)"
+    return {"token_usage": (f"WITH s AS ({trace_steps_sql()})\nSELECT trace_id, step, "
+                            f"{get('input_tokens')} AS prompt_tokens, {get('output_tokens')} AS completion_tokens, "
+                            f"{get('total_tokens')} AS total_tokens FROM s")}

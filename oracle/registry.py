@@ -36,3 +36,5 @@ for _k, _v in pages.oracles().items():
 for _k, _v in ops.stream_oracles().items():
     add(_k, _v)
 add("value_score", gold.value_score_sql())
+for _k, _v in audit.usage_oracles().items():
+    add(_k, _v)

@@ -136,5 +136,8 @@ def trace_steps_sql() -> str:
   CAST({prompt} + {comp} AS BIGINT) AS total_tokens,
   CASE WHEN {llm} THEN 'model-a' END AS model,
   CASE WHEN (conv_id + turn) % 13 = 0 THEN 'error' ELSE 'ok' END AS status,
-  CASE WHEN (conv_id + turn) % 13 = 0 THEN 'step failed' END AS error
+  CASE WHEN (conv_id + turn) % 13 = 0 THEN 'step failed' END AS error,
+  CASE WHEN {llm} THEN '{{"input_tokens":' || CAST({prompt} AS VARCHAR) || ',"output_tokens":'
+       || CAST({comp} AS VARCHAR) || ',"total_tokens":' || CAST({prompt} + {comp} AS VARCHAR) || '}}' END
+    AS usage_metadata
 FROM conversations"""
