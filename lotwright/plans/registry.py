@@ -397,3 +397,10 @@ def q_token_usage(spark, sf_dir):
     u = AU.token_usage(F.col("usage_metadata"))
     return s.select("trace_id", "step", u["prompt_tokens"].alias("prompt_tokens"),
                     u["completion_tokens"].alias("completion_tokens"), u["total_tokens"].alias("total_tokens"))
+
+
+@register("worklist_fetch_urls")
+def q_worklist_fetch_urls(spark, sf_dir):
+    """SET-1 + SCR-14: the fetch list with absolute URLs."""
+    w = LC.worklist_union(TV.silver(spark, sf_dir))
+    return w.select("listing_id", LC.absolute_url(F.col("detail_url")).alias("url"), "priority")

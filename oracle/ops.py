@@ -161,6 +161,11 @@ def oracles() -> dict[str, str]:
     o["worklist_union"] = SILVER + (
         f"SELECT listing_id, detail_url, CASE WHEN {MISSING} THEN 0 ELSE 1 END AS priority FROM silver "
         f"WHERE ({MISSING}) OR ({ACTIVE}) ORDER BY priority, listing_id")
+    o["worklist_fetch_urls"] = SILVER + (
+        "SELECT listing_id, CASE WHEN starts_with(detail_url, 'http') THEN detail_url "
+        "ELSE 'https://www.example.com' || detail_url END AS url, "
+        f"CASE WHEN {MISSING} THEN 0 ELSE 1 END AS priority FROM silver "
+        f"WHERE ({MISSING}) OR ({ACTIVE}) ORDER BY priority, listing_id")
     o["new_only"] = SILVER + (
         "SELECT DISTINCT l_orderkey AS listing_id FROM lineitem WHERE l_orderkey NOT IN "
         "(SELECT listing_id FROM silver WHERE scraped_at < TIMESTAMP '1998-01-01 00:00:00')")
