@@ -40,29 +40,51 @@ def collapse_batch(batch: DataFrame, group: list[str], seq: str,
         F.max(seq).alias(seq))
 
 
+# Largest collapsed batch that is broadcast to the listings table.  A batch
+# is one crawl's (or one micro-batch's) records; beyond this bound the
+# operators fall back to shuffle joins.
+MAX_BROADCAST_BATCH_ROWS = 5_000_000
+
+
+def _small(batch: DataFrame, max_rows: int) -> bool:
+    """Size check behind every broadcast of a batch (one count of the batch)."""
+    return batch.limit(max_rows + 1).count() <= max_rows
+
+
 def upsert_coalesce(listings: DataFrame, batch: DataFrame, as_of: dt.datetime | Column,
-                    key: str = KEY) -> DataFrame:
+                    key: str = KEY, max_broadcast_rows: int = MAX_BROADCAST_BATCH_ROWS) -> DataFrame:
     """MRG-1: insert new keys, update existing ones column by column with
     COALESCE(incoming, existing); ``scraped_at`` keeps the first insert time.
     ``batch`` must hold one row per key (see ``collapse_batch``) and may
-    carry a subset of the columns.  Full outer join on the key."""
+    carry a subset of the columns.
+
+    Plan: existing rows stream through a left join with the batch (broadcast
+    when the size check passes, so the big table is not shuffled); new keys
+    come from a left anti join that moves only the key column of the table."""
     inc_cols = [c for c in batch.columns if c in listings.columns and c not in (key, "scraped_at")]
-    inc = batch.select(key, *[F.col(c).alias(f"_in_{c}") for c in inc_cols]) \
-        .withColumn("_in", F.lit(True))
-    j = listings.join(inc, key, "full_outer")
+    inc = batch.select(key, *[F.col(c).alias(f"_in_{c}") for c in inc_cols])
+    small = _small(inc, max_broadcast_rows)
     ts = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
-    out = []
+    updated = listings.join(F.broadcast(inc) if small else inc, key, "left")
+    upd_cols = []
+    for c in listings.columns:
+        if c in inc_cols:
+            upd_cols.append(F.coalesce(F.col(f"_in_{c}"), F.col(c)).cast(listings.schema[c].dataType)
+                            .alias(c))
+        else:
+            upd_cols.append(F.col(c))
+    new = inc.join(listings.select(key), key, "left_anti")
+    new_cols = []
     for c in listings.columns:
         if c == key:
-            out.append(F.col(key))
+            new_cols.append(F.col(key))
         elif c in inc_cols:
-            out.append(F.coalesce(F.col(f"_in_{c}"), F.col(c)).cast(listings.schema[c].dataType)
-                       .alias(c))
+            new_cols.append(F.col(f"_in_{c}").cast(listings.schema[c].dataType).alias(c))
         elif c == "scraped_at":
-            out.append(F.coalesce(F.col("scraped_at"), ts).alias(c))
+            new_cols.append(ts.alias(c))
         else:
-            out.append(F.col(c))
-    return j.select(*out)
+            new_cols.append(F.lit(None).cast(listings.schema[c].dataType).alias(c))
+    return updated.select(*upd_cols).unionByName(new.select(*new_cols))
 
 
 def changes(cur: dict, inc: dict, tracked: list[str] = LK.SCD_TRACKED_FIELDS) -> Column:
@@ -102,7 +124,10 @@ def scd2_apply(listings: DataFrame, history: DataFrame, batch: DataFrame, run_ts
     inc_cols = [c for c in inc.columns if c not in (KEY, seq)]
     cur = listings.select(KEY, *[F.col(f).alias(f"_cur_{f}") for f in tracked]) \
         .withColumn("_exists", F.lit(True))
-    j = inc.join(cur, KEY, "left")
+    # The batch is broadcast behind a size check: the listings table streams
+    # through a right outer join (build side = batch) without a shuffle.
+    small = _small(inc, MAX_BROADCAST_BATCH_ROWS)
+    j = cur.join(F.broadcast(inc), KEY, "right") if small else inc.join(cur, KEY, "left")
     cur_map = {f: F.col(f"_cur_{f}") for f in tracked}
     inc_map = {f: F.col(f) if f in inc_cols else F.lit(None) for f in tracked}
     action = (F.when(F.col("_exists").isNull(), "new")
@@ -121,7 +146,7 @@ def scd2_apply(listings: DataFrame, history: DataFrame, batch: DataFrame, run_ts
         .withColumn("_close", F.lit(True))
     current = history.where(F.col("is_current"))
     closed_part = history.where(~F.col("is_current"))
-    cur_next = current.join(changed_keys, KEY, "left").select(*[
+    cur_next = current.join(F.broadcast(changed_keys) if small else changed_keys, KEY, "left").select(*[
         (F.when(F.col("_close"), ts).otherwise(F.col("valid_to")) if c == "valid_to" else
          F.when(F.col("_close"), F.lit(False)).otherwise(F.col("is_current"))
          if c == "is_current" else F.col(c)).alias(c) for c in hist_cols])

@@ -99,17 +99,17 @@ def gold_violations(gold: DataFrame) -> DataFrame:
 
 def history_violations(history: DataFrame, listings: DataFrame) -> DataFrame:
     """I-C1 on history: keys with more than one current row, history keys with
-    no listing (left anti join), and broken chains (a closed row whose
-    ``valid_to`` is not the next row's ``valid_from``)."""
-    from pyspark.sql import Window
+    no listing (left anti join), and broken chains (a closed row with no row
+    of the same key starting at its ``valid_to``).  The chain check is an
+    anti join on (key, timestamp), so a key with very many versions is spread
+    over many join keys instead of forming one window partition."""
     multi = (history.where("is_current").groupBy("listing_id").agg(F.count(F.lit(1)).alias("n"))
              .where("n > 1").select(F.lit("multiple_current").alias("check"), "listing_id"))
     orphan = (history.select("listing_id").distinct()
               .join(listings.select("listing_id"), "listing_id", "left_anti")
               .select(F.lit("orphan_history").alias("check"), "listing_id"))
-    w = Window.partitionBy("listing_id").orderBy("valid_from")
-    chain = (history.select("listing_id", "valid_to",
-                            F.lead("valid_from").over(w).alias("_next"))
-             .where(~F.col("valid_to").eqNullSafe(F.col("_next")))
+    starts = history.select("listing_id", F.col("valid_from").alias("valid_to"))
+    chain = (history.where(F.col("valid_to").isNotNull()).select("listing_id", "valid_to")
+             .join(starts, ["listing_id", "valid_to"], "left_anti")
              .select(F.lit("broken_chain").alias("check"), "listing_id"))
     return multi.unionByName(orphan).unionByName(chain)
