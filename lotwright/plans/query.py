@@ -114,7 +114,7 @@ QUESTIONS: dict[str, str] = {
                        "ORDER BY top_price DESC, b, m LIMIT 20"),
     "q16_status_counts": "SELECT status, COUNT(*) AS n FROM listings_gold GROUP BY status",
     "q17_top3_price_per_brand": ("SELECT brand, listing_id, price, r FROM (SELECT brand, listing_id, price, "
-                                 "RANK() OVER (PARTITION BY brand ORDER BY price DESC, listing_id) AS r "
+                                 "CAST(RANK() OVER (PARTITION BY brand ORDER BY price DESC, listing_id) AS BIGINT) AS r "
                                  "FROM listings_gold WHERE status = 'Available' AND price IS NOT NULL) t "
                                  "WHERE r <= 3 ORDER BY brand, r, listing_id"),
     "q18_below_half_brand_avg": ("SELECT g.listing_id, g.brand, g.price, ROUND(a.avg_price, 2) AS avg_price "

@@ -76,8 +76,9 @@ SELECT session, iteration AS iterations, attempts,
        WHEN iteration >= {m} THEN COALESCE(feedback, 'Max iterations reached') END AS error
 FROM l WHERE rn = 1"""
     roll = ("count(*) AS steps, sum(duration_ms) AS total_duration_ms, "
-            "sum(prompt_tokens) AS total_prompt_tokens, sum(completion_tokens) AS total_completion_tokens, "
-            "sum(total_tokens) AS total_tokens, count(*) FILTER (WHERE status = 'error') AS errors")
+            "CAST(sum(prompt_tokens) AS BIGINT) AS total_prompt_tokens, "
+            "CAST(sum(completion_tokens) AS BIGINT) AS total_completion_tokens, "
+            "CAST(sum(total_tokens) AS BIGINT) AS total_tokens, count(*) FILTER (WHERE status = 'error') AS errors")
     o["trace_rollup"] = f"WITH s AS ({trace_steps_sql()})\nSELECT trace_id, {roll} FROM s GROUP BY trace_id"
     o["trace_rollup_by_step"] = (f"WITH s AS ({trace_steps_sql()})\nSELECT trace_id, name, {roll} "
                                  "FROM s GROUP BY trace_id, name")
