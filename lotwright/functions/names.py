@@ -19,9 +19,14 @@ from . import lookups as LK
 from .cache import per_application
 
 
+# The six ASCII whitespace characters (what ``\s`` matches in Java regex).
+WHITESPACE = " \t\n\r\x0b\x0c"
+
+
 def strip_ws(c: Column) -> Column:
-    """Remove leading and trailing whitespace (Java ``trim`` only removes spaces)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Remove leading and trailing whitespace.  ``trim`` only removes spaces;
+    ``btrim`` with the whitespace set does the job without a regex scan."""
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -181,12 +186,50 @@ def commercial_flag(vehicle_type: str = "vehicle_type", car_name: str = "car_nam
     return is_commercial(F.col(vehicle_type), F.col(car_name))
 
 
+def commercial_brand_regex() -> str:
+    """One regex over the cleaned name that is true exactly when the parsed
+    brand is in the commercial set, derived from the lookup tables:
+
+    * a multi-word brand prefix (case-insensitive) whose spelling is commercial;
+    * otherwise the first word, case-insensitively, when the brand map turns
+      it into a commercial spelling (``Sinotruk`` is not: the map spells it
+      ``SINOTRUK``);
+    * otherwise the raw first word, case-sensitively, for commercial names
+      the brand map does not know (they are kept as written).
+
+    A multi-word brand takes precedence over its first word, as in the
+    parser, so first words of non-commercial multi-word brands are excluded."""
+    canon = {}
+    for b in LK.SINGLE_WORD_BRANDS:
+        canon.setdefault(b.lower(), b)
+    commercial = set(LK.COMMERCIAL_BRANDS)
+    multi_low = [b.lower() for b in LK.MULTI_WORD_BRANDS]
+    multi_hit = [re.escape(b.lower()) for b in LK.MULTI_WORD_BRANDS if b in commercial]
+    multi_miss = [re.escape(b) for b in multi_low if b not in {m.lower() for m in commercial}]
+    single_hit = [re.escape(k) for k, v in canon.items() if v in commercial]
+    raw_hit = [re.escape(b) for b in LK.COMMERCIAL_BRANDS
+               if b.lower() not in canon and b.lower() not in multi_low]
+    end = r"(?=\s|$)"
+    alts = []
+    if multi_hit:
+        alts.append("(?i:" + "|".join(multi_hit) + ")")
+    guard = "(?!(?i:" + "|".join(multi_miss) + "))" if multi_miss else ""
+    if single_hit:
+        alts.append(guard + r"\s*(?i:" + "|".join(single_hit) + ")" + end)
+    if raw_hit:
+        alts.append(guard + r"\s*(?:" + "|".join(raw_hit) + ")" + end)
+    return "(?s)^(?:" + "|".join(alts) + ")"
+
+
 def is_commercial(vehicle_type: Column, car_name: Column, brand: Column | None = None) -> Column:
     """FIL-1: commercial vehicle type, commercial brand (case-sensitive) or a
     commercial model word anywhere in the name.  Never NULL.  ``brand``
     defaults to ``brand_only(car_name)``."""
-    brand = brand_only(car_name) if brand is None else brand
-    parts = [vehicle_type.isin(*LK.COMMERCIAL_VEHICLE_TYPES),
-             brand.isin(*LK.COMMERCIAL_BRANDS),
+    # Without a parsed brand, one regex over the cleaned name decides the
+    # brand test, so the predicate (pushed into the scan, where a fused filter
+    # gets no subexpression elimination) evaluates the cleaned name once.
+    brand_hit = (clean_car_name(car_name).rlike(commercial_brand_regex()) if brand is None
+                 else brand.isin(*LK.COMMERCIAL_BRANDS))
+    parts = [vehicle_type.isin(*LK.COMMERCIAL_VEHICLE_TYPES), brand_hit,
              car_name.rlike(_COMMERCIAL_WORDS_REGEX)]
     return reduce(lambda a, b: a | b, [F.coalesce(p, F.lit(False)) for p in parts])

@@ -22,12 +22,25 @@ def _map(d: dict) -> Column:
     return F.create_map(*items)
 
 
-def coe_months(coe_remaining: Column) -> Column:
-    """FN-7: ``5y 3m`` -> 63, ``10y`` -> 120, ``3m 15d`` -> 3; 0 or missing -> NULL."""
+def digits_to_long(digits: Column) -> Column:
+    """A run of digits (``''`` when a regex found none) as BIGINT.  The empty
+    case is answered before the cast: a failing cast raises and catches an
+    exception inside ``try_cast``, which costs more than the regex itself."""
+    return F.when(digits != "", digits.try_cast("bigint"))
+
+
+def coe_total_months(coe_remaining: Column) -> Column:
+    """Years * 12 + months of a COE text (0 when neither is present)."""
     text = strip_ws(coe_remaining)
-    years = F.regexp_extract(text, r"(\d+)y", 1).try_cast("bigint")
-    months = F.regexp_extract(text, r"(\d+)m", 1).try_cast("bigint")
-    total = F.coalesce(years, F.lit(0)) * 12 + F.coalesce(months, F.lit(0))
+    years = digits_to_long(F.regexp_extract(text, r"(\d+)y", 1))
+    months = digits_to_long(F.regexp_extract(text, r"(\d+)m", 1))
+    return F.coalesce(years, F.lit(0)) * 12 + F.coalesce(months, F.lit(0))
+
+
+def coe_months(coe_remaining: Column, total: Column | None = None) -> Column:
+    """FN-7: ``5y 3m`` -> 63, ``10y`` -> 120, ``3m 15d`` -> 3; 0 or missing -> NULL.
+    ``total`` is ``coe_total_months(coe_remaining)`` when already computed."""
+    total = coe_total_months(coe_remaining) if total is None else total
     return F.when((coe_remaining != "") & (total > 0), total.cast("int"))
 
 
@@ -68,9 +81,15 @@ def reg_date_iso(reg_date: Column) -> Column:
     return F.date_format(parse_day_mon_year(reg_date), "yyyy-MM-dd")
 
 
-def days_on_market(posted: Column, as_of: dt.date) -> Column:
-    """FN-12: days from the posted date (two formats tried) to ``as_of``, >= 0."""
-    d = F.coalesce(parse_day_mon_year(posted), parse_iso_day(posted))
+def posted_day(posted: Column) -> Column:
+    """The posted date: ``d-Mon-YYYY`` first, then ``YYYY-M-D``."""
+    return F.coalesce(parse_day_mon_year(posted), parse_iso_day(posted))
+
+
+def days_on_market(posted: Column, as_of: dt.date, day: Column | None = None) -> Column:
+    """FN-12: days from the posted date (two formats tried) to ``as_of``, >= 0.
+    ``day`` is ``posted_day(posted)`` when already computed."""
+    d = posted_day(posted) if day is None else day
     delta = F.datediff(F.lit(as_of), d)
     return F.when(d.isNotNull(), F.greatest(delta, F.lit(0))).cast("int")
 

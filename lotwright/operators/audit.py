@@ -88,7 +88,8 @@ def _gate_stages(sql_col: str, allowed: tuple, max_limit: int) -> list[tuple[str
                   F.concat(F.lit("Statement type not allowed: "), c("_first")))
     tables_msg = F.when(F.size("_bad_tables") > 0, F.concat(
         F.lit("Tables not allowed: ['"), F.array_join("_bad_tables", "', '"), F.lit("']")))
-    too_big = F.coalesce(c("_limit").try_cast("bigint") > max_limit, F.lit(True))
+    too_big = F.coalesce(F.when(c("_limit") != "", c("_limit").try_cast("bigint")) > max_limit,
+                         F.lit(True))
     cleaned = (F.when(c("_limit") == "", F.concat(c("_work"), F.lit(f" LIMIT {DEFAULT_AUTO_LIMIT}")))
                .when(too_big, F.regexp_replace(c("_work"), FIRST_LIMIT_REGEX, f"$1LIMIT {max_limit}"))
                .otherwise(c("_work")))

@@ -38,14 +38,26 @@ def tag_silver(silver: DataFrame) -> DataFrame:
 
 
 def project_gold(tagged: DataFrame, as_of: dt.date, keep_delisted: bool = False) -> DataFrame:
-    """PRJ-1/PRJ-2/PRJ-3: the 35 gold columns (``value_score`` still NULL)."""
-    return tagged.select(*_gold_columns(as_of, keep_delisted))
+    """PRJ-1/PRJ-2/PRJ-3: the 35 gold columns (``value_score`` still NULL).
+
+    Values used twice (posted date, COE total, seen text) are staged as
+    attributes first so each is computed once per row."""
+    staged = tagged.select("*", *_gold_stage())
+    return staged.select(*_gold_columns(as_of, keep_delisted))
+
+
+@per_application
+def _gold_stage() -> list:
+    c = F.col
+    return [SC.posted_day(c("posted_date")).alias("_posted"),
+            SC.coe_total_months(c("coe_remaining")).alias("_coe_total"),
+            F.date_format(c("scraped_at"), TS_TEXT).alias("_seen")]
 
 
 @per_application
 def _gold_columns(as_of: dt.date, keep_delisted: bool) -> list:
     c = F.col
-    seen = F.date_format(c("scraped_at"), TS_TEXT)
+    seen = c("_seen")
     cols = {
         "listing_id": c("listing_id"),
         "brand": c("_bmt.brand"),
@@ -66,14 +78,14 @@ def _gold_columns(as_of: dt.date, keep_delisted: bool) -> list:
         "curb_weight": c("curb_weight"),
         "reg_date": SC.reg_date_iso(c("reg_date")),
         "coe": c("coe"),
-        "coe_remaining_months": SC.coe_months(c("coe_remaining")),
+        "coe_remaining_months": SC.coe_months(c("coe_remaining"), c("_coe_total")),
         "road_tax": c("road_tax"),
         "omv": c("omv"),
         "arf": c("arf"),
         "vehicle_type": SC.normalize_vehicle_type(c("vehicle_type")),
         "listing_type": c("listing_type"),
         "owners": c("owners"),
-        "days_on_market": SC.days_on_market(c("posted_date"), as_of),
+        "days_on_market": SC.days_on_market(c("posted_date"), as_of, c("_posted")),
         "features": c("features"),
         "accessories": c("accessories"),
         "detail_url": c("detail_url"),

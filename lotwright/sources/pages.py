@@ -107,7 +107,9 @@ def parse_money(raw: Column) -> Column:
     v = F.replace(F.replace(F.replace(raw, F.lit("$"), F.lit("")), F.lit(","), F.lit("")),
                   F.lit("/yr"), F.lit(""))
     v = strip_ws(F.split_part(v, F.lit(" as of"), F.lit(1)))
-    d = v.try_cast("double")
+    # Only number-like text reaches the cast (a failing cast is an exception).
+    d = F.when(v.rlike(r"^[-+]?[0-9._eE+-]*[0-9][0-9._eE+-]*$|^(?i:[-+]?(inf|infinity|nan))$"),
+               v.try_cast("double"))
     ok = ~v.isin("N.A.", "N.A", "") & d.isNotNull() & ~F.isnan(d) & (F.abs(d) != float("inf"))
     return F.when((raw != "") & ok, d.try_cast("bigint"))
 
@@ -120,7 +122,8 @@ def parse_int(raw: Column) -> Column:
 
 def parse_float(raw: Column) -> Column:
     """SCR-10: the first run of digits and dots as a double."""
-    return F.when(raw.rlike(r"[0-9.]"), F.regexp_extract(raw, r"([0-9.]+)", 1).try_cast("double"))
+    first = F.regexp_extract(raw, r"([0-9.]+)", 1)
+    return F.when(first.rlike(r"[0-9]"), first.try_cast("double"))
 
 
 def parse_coe_remaining(raw: Column) -> Column:

@@ -102,3 +102,22 @@ def test_commercial(spark):
     got = {r["i"]: r["x"] for r in df.select(
         "i", N.is_commercial(F.col("vehicle_type"), F.col("car_name")).alias("x")).collect()}
     assert got == {i: c[3] for i, c in enumerate(COMMERCIAL)}
+
+
+def test_commercial_brand_regex_equals_parsed_brand(spark):
+    from conftest import MID
+    from lotwright.functions import lookups as LK
+    from lotwright.sources import testviews as TV
+    names = [c[0] for c in CASES] + [
+        "Hino 300", "hino 300", "HINO", "Hino-X 1", "Maxus V80", "MAXUS V80", "SOKON Glory", "Sokon x",
+        "Sinotruk HOWO", "SINOTRUK HOWO", "Mitsubishi Fuso Canter", "mitsubishi fusoX", "Mitsubishi Lancer",
+        "Isuzu D-Max", "UD Quon", "Land Rover Defender", "  Scania R500", "Golden Dragon", "Iveco",
+        "Toyota Hiace (renewed)", "(renewed) Hino 300", "MAN TGS", "man tgs", "Mana X"]
+    df = spark.createDataFrame([(n,) for n in names], "car_name string")
+    df = df.unionByName(TV.silver(spark, MID).select("car_name"))
+    got = df.select(
+        F.coalesce(N.clean_car_name(F.col("car_name")).rlike(N.commercial_brand_regex()), F.lit(False)).alias("a"),
+        F.coalesce(N.brand_only(F.col("car_name")).isin(*LK.COMMERCIAL_BRANDS), F.lit(False)).alias("b"),
+        "car_name")
+    bad = got.where(F.col("a") != F.col("b")).collect()
+    assert bad == []
