@@ -73,7 +73,12 @@ def upsert_coalesce(listings: DataFrame, batch: DataFrame, as_of: dt.datetime |
                             .alias(c))
         else:
             upd_cols.append(F.col(c))
-    new = inc.join(listings.select(key), key, "left_anti")
+    # Keys already present: the big table's key column is semi-joined
+    # against the broadcast batch keys (streamed, no shuffle, at most batch
+    # size); the anti join then runs between two small sides.
+    keys = inc.select(key)
+    present = listings.select(key).join(F.broadcast(keys) if small else keys, key, "left_semi")
+    new = inc.join(present, key, "left_anti")
     new_cols = []
     for c in listings.columns:
         if c == key:
@@ -124,10 +129,15 @@ def scd2_apply(listings: DataFrame, history: DataFrame, batch: DataFrame, run_ts
     inc_cols = [c for c in inc.columns if c not in (KEY, seq)]
     cur = listings.select(KEY, *[F.col(f).alias(f"_cur_{f}") for f in tracked]) \
         .withColumn("_exists", F.lit(True))
-    # The batch is broadcast behind a size check: the listings table streams
-    # through a right outer join (build side = batch) without a shuffle.
+    # Point lookup of the batch keys (SRC-4): the listings table streams
+    # through a semi join against the broadcast batch keys (size-checked), so
+    # it is not shuffled; the batch is then joined to the few matching rows.
+    # (A broadcast hash join cannot build the preserved side of an outer join,
+    # so "listings RIGHT JOIN broadcast(batch)" would not broadcast.)
     small = _small(inc, MAX_BROADCAST_BATCH_ROWS)
-    j = cur.join(F.broadcast(inc), KEY, "right") if small else inc.join(cur, KEY, "left")
+    keys = inc.select(KEY)
+    hits = cur.join(F.broadcast(keys) if small else keys, KEY, "left_semi")
+    j = inc.join(F.broadcast(hits) if small else hits, KEY, "left")
     cur_map = {f: F.col(f"_cur_{f}") for f in tracked}
     inc_map = {f: F.col(f) if f in inc_cols else F.lit(None) for f in tracked}
     action = (F.when(F.col("_exists").isNull(), "new")
