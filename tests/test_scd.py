@@ -85,3 +85,18 @@ def test_sequential_daily_batches_equal_replay(spark):
     a = sorted(tuple(r) for r in listings.select("listing_id", *COLS).collect())
     b = sorted(tuple(r) for r in whole.select("listing_id", *COLS).collect())
     assert a == b
+
+
+def test_history_violations_detects_breaks(spark):
+    from lotwright.operators import stats as ST
+    t = [dt.datetime(2024, 1, d) for d in range(1, 6)]
+    rows = [
+        (1, t[0], t[1], False), (1, t[1], None, True),            # sound chain
+        (2, t[0], t[1], False), (2, t[2], None, True),            # gap: t1 is never a start
+        (3, t[0], None, True), (3, t[1], None, True),             # two current rows
+        (4, t[0], None, True),                                    # no listing
+    ]
+    h = spark.createDataFrame(rows, "listing_id long, valid_from timestamp, valid_to timestamp, is_current boolean")
+    listings = spark.createDataFrame([(1,), (2,), (3,)], "listing_id long")
+    got = sorted(tuple(r) for r in ST.history_violations(h, listings).collect())
+    assert got == [("broken_chain", 2), ("multiple_current", 3), ("orphan_history", 4)]
