@@ -100,3 +100,17 @@ def test_history_violations_detects_breaks(spark):
     listings = spark.createDataFrame([(1,), (2,), (3,)], "listing_id long")
     got = sorted(tuple(r) for r in ST.history_violations(h, listings).collect())
     assert got == [("broken_chain", 2), ("multiple_current", 3), ("orphan_history", 4)]
+
+
+def test_first_wins_and_history_of(spark):
+    from lotwright.operators import lifecycle as LC
+    df = spark.createDataFrame([(7, 2, 0, "b"), (7, 1, 5, "a"), (7, 1, 3, "c"), (8, 1, 0, "z")],
+                               "listing_id long, page int, pos int, url string")
+    got = {r["listing_id"]: r["url"] for r in LC.first_wins(df, "listing_id", ["page", "pos"]).collect()}
+    assert got == {7: "c", 8: "z"}
+    t = [dt.datetime(2024, 1, d) for d in (3, 1, 2)]
+    h = spark.createDataFrame([(1, t[0], None, True), (1, t[1], t[2], False), (1, t[2], t[0], False),
+                               (2, t[1], None, True)],
+                              "listing_id long, valid_from timestamp, valid_to timestamp, is_current boolean")
+    r = SCD.history_of(h, 1).collect()
+    assert [x["version"] for x in r] == [1, 2, 3] and [x["valid_from"] for x in r] == sorted(t)
