@@ -115,12 +115,15 @@ def run_event(spark: SparkSession, run_id: int, status: str, at: dt.datetime,
 
 
 def run_state(events: DataFrame) -> DataFrame:
-    """Latest state per run: the newest event wins; ``started_at`` comes from
-    the run's first event (partial aggregates, no group is collected)."""
+    """Latest state per run: the newest event wins, and at equal timestamps
+    a terminal event (completed/failed) wins over ``running``; ``started_at``
+    comes from the run's first event (partial aggregates, no group is
+    collected)."""
+    order = F.struct(F.col("event_ts"), (F.col("status") != "running").cast("int"))
     return events.groupBy("run_id").agg(
         F.min("started_at").alias("started_at"),
         F.max_by(F.struct("finished_at", "pages_fetched", "listings_count", "status"),
-                 F.col("event_ts")).alias("s")).select(
+                 order).alias("s")).select(
         "run_id", "started_at", "s.finished_at", "s.pages_fetched", "s.listings_count", "s.status")
 
 

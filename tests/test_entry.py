@@ -53,3 +53,20 @@ def test_ingest_and_gold_pipeline(spark):
     assert counts["quarantined"] > 0
     stats = P.rebuild_gold(spark, t, dt.date(2002, 6, 30))
     assert stats["gold_rows"] + stats["excluded_commercial"] == stats["total_silver"]
+
+
+def test_run_daily_records_phases(spark):
+    from lotwright.plans import pipelines as P
+    from lotwright.schemas import RUN_EVENTS
+    from lotwright.sources import snapshots as SN
+    from test_pages import DETAIL, EMPTY, FALLBACK, LISTING
+    t = P.Tables(root=tempfile.mkdtemp(prefix="lotwright-daily-"))
+    listing_pages = spark.createDataFrame([(1, "u", LISTING)], "page_id long, url string, html string")
+    detail_pages = spark.createDataFrame([(123, "u", DETAIL), (124, "u", FALLBACK), (125, "u", EMPTY)],
+                                         "page_id long, url string, html string")
+    out = P.run_daily(spark, t, listing_pages, detail_pages, "www.example.com",
+                      dt.datetime(2024, 3, 1), run_id=1, complete_crawl=True)
+    assert out["status"] == "completed", out
+    assert out["phases"]["discover"]["new"] == 2 and out["phases"]["details"]["status"] == "ok"
+    ev = SN.read_appended(spark, t.root, t.runs, RUN_EVENTS)
+    assert SN.run_state(ev).first()["status"] == "completed"
