@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import oracles, quality_rules
+from . import oracles, quality_rules, token_store
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = dict(oracles.ORACLE)
@@ -31,3 +31,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @register("op3_quality_rules")
 def op3_quality_rules(spark, sf_dir):
     return quality_rules.report(table(spark, sf_dir, "documents"))
+
+
+@register("op10_token_store")
+def op10_token_store(spark, sf_dir):
+    import public_tokenizers
+    return token_store.encode_and_digest(table(spark, sf_dir, "documents"),
+                                         public_tokenizers.path("word_bpe_49k.json"))
