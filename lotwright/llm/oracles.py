@@ -38,7 +38,7 @@ quality_counts AS (
     length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
     coalesce(l.n, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
-    length(regexp_replace(t, '[^a-z]+', '', 'g')) AS c_lower,
+    length(regexp_replace(t, '{Q.NOT_PUNCTUATION.replace(chr(92) * 2, chr(92))}', '', 'g')) AS c_punct,
     length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS c_upper,
     length(regexp_replace(t, '[^0-9]+', '', 'g')) AS c_digit,
     length(regexp_replace(t, '[\x00-\x7F]+', '', 'g')) AS c_wide,
@@ -47,8 +47,8 @@ quality_counts AS (
   FROM quality_words w LEFT JOIN quality_lines l USING (rid) LEFT JOIN quality_repeat r USING (rid)),
 quality_base AS (
   SELECT *, n_words < {Q.MIN_WORDS} OR 100 * n_repeat_words > {Q.MAX_REPEAT_PERCENT} * n_words AS base_failed,
-    [c_lower, c_upper, c_digit, n_symbols, c_wide,
-     greatest(word_chars - c_lower - c_upper - c_digit - n_symbols - c_wide, 0)] AS chars,
+    [c_upper, c_digit, n_symbols, c_wide, c_punct,
+     word_chars - c_upper - c_digit - n_symbols - c_wide - c_punct] AS chars,
     list_append(h, n_words - n_common) AS hits
   FROM quality_counts),
 quality_ref AS (

@@ -39,18 +39,16 @@ MIN_REFERENCE_DOCS = 20   # guard of a language's reference
 MAX_CHAR_DISTANCE = 0.35
 MAX_WORD_DISTANCE = 0.65
 
+#: Runs without ASCII punctuation; the symbols of the base rule are no punctuation.
+NOT_PUNCTUATION = r"[^!\\x22\\x27-)+,./:;=?@\\x5B-`{}~-]+"
 _WORDS = r"array_remove(split({t}, '[\\x20\\x09-\\x0D]+'), '')"
 
 
 def _steps(text: str) -> list[dict[str, str]]:
     """Feature expressions in layers; each layer may use the columns before it."""
     in_words = ", ".join(f"'{w}'" for w in COMMON_WORDS)
-    same = ("(x & -_q_unit) = ({0} & -_q_unit)"
-            " AND _q_words[x & (_q_unit - 1)] = _q_words[{0} & (_q_unit - 1)]"
-            " AND _q_words[(x & (_q_unit - 1)) + 1] = _q_words[({0} & (_q_unit - 1)) + 1]"
-            " AND _q_words[(x & (_q_unit - 1)) + 2] = _q_words[({0} & (_q_unit - 1)) + 2]")
-    before = same.format("get(_q_sorted, i - 1)")
-    after = same.format("get(_q_sorted, i + 1)")
+    at = "(_q_sorted[{0}] & (_q_unit - 1))"
+    words = " AND ".join(f"_q_words[{at.format('i')} + {d}] = _q_words[{at.format('i - 1')} + {d}]" for d in range(3))
     return [
         {"_q_text": text},
         {"_q_words": _WORDS.format(t="_q_text"),
@@ -58,25 +56,31 @@ def _steps(text: str) -> list[dict[str, str]]:
         {"_q_n": "CAST(size(_q_words) AS BIGINT)"},
         # A window's hash and its position share one long, so equal windows
         # meet by a sort of plain longs; the words themselves are then compared.
-        {"_q_unit": "shiftleft(1L, CAST(ceil(log2(_q_n + 2)) AS INT))"},
+        {"_q_bits": "CAST(ceil(log2(_q_n + 2)) AS INT)"},
+        {"_q_unit": "shiftleft(1L, _q_bits)"},
+        # A window's hash and its position share one long, so equal windows
+        # become neighbours by a sort of plain longs; their words are then compared.
         {"_q_sorted": "sort_array(IF(_q_n >= 3, transform(sequence(0L, _q_n - 3), p -> "
                       "(xxhash64(_q_words[p], _q_words[p + 1], _q_words[p + 2]) & -_q_unit) | p), "
                       "CAST(array() AS ARRAY<BIGINT>)))"},
-        {"_q_at": f"sort_array(transform(filter(_q_sorted, (x, i) -> ({before}) OR ({after})), "
-                  "x -> x & (_q_unit - 1)))"},
+        {"_q_same": "IF(_q_n >= 4, filter(sequence(1, CAST(_q_n AS INT) - 3), i -> "
+                    f"shiftright(_q_sorted[i] ^ _q_sorted[i - 1], _q_bits) = 0 AND {words}), "
+                    "CAST(array() AS ARRAY<INT>))"},
+        {"_q_at": f"sort_array(array_distinct(flatten(transform(_q_same, i -> array({at.format('i')}, {at.format('i - 1')})))))"},
         {"_q_repeat": "IF(size(_q_at) = 0, 0L, aggregate(transform(_q_at, (p, i) -> "
                       "least(3L, coalesce(get(_q_at, i + 1) - p, 3L))), 0L, (s, d) -> s + d))",
          "_q_common": f"filter(_q_words, w -> w IN ({in_words}))",
-         "_q_word_chars": r"CAST(length(regexp_replace(_q_text, '[\\x20\\x09-\\x0D]+', '')) AS BIGINT)",
+         "_q_word_chars": "CAST(length(array_join(_q_words, '')) AS BIGINT)",
          "_q_symbols": r"CAST(length(regexp_replace(_q_text, '[^#*$%&|<>]+', '')) AS BIGINT)",
          "_q_upper": "CAST(length(regexp_replace(_q_text, '[^A-Z]+', '')) AS BIGINT)",
          "_q_digit": "CAST(length(regexp_replace(_q_text, '[^0-9]+', '')) AS BIGINT)",
          "_q_wide": r"CAST(length(regexp_replace(_q_text, '[\\x00-\\x7F]+', '')) AS BIGINT)",
-         "_q_dup_lines": "CAST(size(_q_lines) - size(array_distinct(_q_lines)) AS BIGINT)",
-         "_q_lower": "CAST(length(_q_text) - length(regexp_replace(_q_text, '[a-z]+', '')) AS BIGINT)"},
+         "_q_punct": f"CAST(length(regexp_replace(_q_text, '{NOT_PUNCTUATION}', '')) AS BIGINT)",
+         "_q_dup_lines": "CAST(size(_q_lines) - size(array_distinct(_q_lines)) AS BIGINT)"},
         {"_q_failed": f"_q_n < {MIN_WORDS} OR 100 * _q_repeat > {MAX_REPEAT_PERCENT} * _q_n",
-         "_q_chars": "array(_q_lower, _q_upper, _q_digit, _q_symbols, _q_wide, "
-                     "greatest(_q_word_chars - _q_lower - _q_upper - _q_digit - _q_symbols - _q_wide, 0L))",
+         # Lower-case letters and whatever is left are the last class.
+         "_q_chars": "array(_q_upper, _q_digit, _q_symbols, _q_wide, _q_punct, "
+                     "_q_word_chars - _q_upper - _q_digit - _q_symbols - _q_wide - _q_punct)",
          "_q_hits": "array(" + ", ".join(
              f"CAST(size(_q_common) - size(array_remove(_q_common, '{w}')) AS BIGINT)"
              for w in COMMON_WORDS) + ", _q_n - size(_q_common))"},
