@@ -11,7 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import oracles, quality_rules, token_store
+from ..sources.tables import materialize
+from . import oracles, quality_rules, token_store, topk_search
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = dict(oracles.ORACLE)
@@ -38,3 +39,9 @@ def op10_token_store(spark, sf_dir):
     import public_tokenizers
     return token_store.encode_and_digest(table(spark, sf_dir, "documents"),
                                          public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register("op6_topk_search")
+def op6_topk_search(spark, sf_dir):
+    rows = materialize(topk_search.quantised(table(spark, sf_dir, "embeddings")), "topk-vectors")
+    return topk_search.search(rows, rows.where("id % 50 = 0"))
