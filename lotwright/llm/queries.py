@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import materialize
-from . import oracles, quality_rules, token_store, topk_search
+from . import line_dedup, oracles, quality_rules, token_store, topk_search
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = dict(oracles.ORACLE)
@@ -45,3 +45,8 @@ def op10_token_store(spark, sf_dir):
 def op6_topk_search(spark, sf_dir):
     rows = materialize(topk_search.quantised(table(spark, sf_dir, "embeddings")), "topk-vectors")
     return topk_search.search(rows, rows.where("id % 50 = 0"))
+
+
+@register("op9_line_dedup")
+def op9_line_dedup(spark, sf_dir):
+    return line_dedup.report(table(spark, sf_dir, "documents"))
