@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import materialize
-from . import line_dedup, oracles, packing, quality_rules, token_store, topk_search
+from . import line_dedup, near_dedup, oracles, packing, quality_rules, token_store, topk_search
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = dict(oracles.ORACLE)
@@ -55,3 +55,8 @@ def op9_line_dedup(spark, sf_dir):
 @register("op5_bestfit_packing")
 def op5_bestfit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@register("op4_near_dedup")
+def op4_near_dedup(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
