@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import materialize
-from . import line_dedup, near_dedup, oracles, packing, quality_rules, token_store, topk_search
+from . import line_dedup, lm_scoring, near_dedup, oracles, packing, quality_rules, token_store, topk_search
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = dict(oracles.ORACLE)
@@ -60,3 +60,8 @@ def op5_bestfit_packing(spark, sf_dir):
 @register("op4_near_dedup")
 def op4_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
+@register("op8_lm_scoring")
+def op8_lm_scoring(spark, sf_dir):
+    return lm_scoring.train_and_score(table(spark, sf_dir, "documents"))
