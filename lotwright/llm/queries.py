@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import materialize
-from . import line_dedup, lm_scoring, near_dedup, oracles, packing, quality_rules, token_store, topk_search
+from . import line_dedup, lm_scoring, near_dedup, oracles, packing, pii, quality_rules, token_store, topk_search
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = dict(oracles.ORACLE)
@@ -65,3 +65,8 @@ def op4_near_dedup(spark, sf_dir):
 @register("op8_lm_scoring")
 def op8_lm_scoring(spark, sf_dir):
     return lm_scoring.train_and_score(table(spark, sf_dir, "documents"))
+
+
+@register("op1_pii")
+def op1_pii(spark, sf_dir):
+    return pii.find(table(spark, sf_dir, "documents"))
