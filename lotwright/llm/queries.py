@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import materialize
-from . import line_dedup, lm_scoring, near_dedup, oracles, packing, pii, quality_rules, token_store, topk_search
+from . import html_extract, line_dedup, lm_scoring, near_dedup, oracles, packing, pii, quality_rules, token_store, topk_search
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = dict(oracles.ORACLE)
@@ -70,3 +70,8 @@ def op8_lm_scoring(spark, sf_dir):
 @register("op1_pii")
 def op1_pii(spark, sf_dir):
     return pii.find(table(spark, sf_dir, "documents"))
+
+
+@register("op2_html_extract")
+def op2_html_extract(spark, sf_dir):
+    return html_extract.extract(table(spark, sf_dir, "pages"))
