@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import materialize
-from . import html_extract, line_dedup, lm_scoring, near_dedup, oracles, packing, pii, quality_rules, token_store, topk_search
+from . import html_extract, line_dedup, lm_scoring, near_dedup, oracles, packing, piece_dropout, pii, quality_rules, token_store, topk_search
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = dict(oracles.ORACLE)
@@ -75,3 +75,13 @@ def op1_pii(spark, sf_dir):
 @register("op2_html_extract")
 def op2_html_extract(spark, sf_dir):
     return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+@register("op7_piece_dropout")
+def op7_piece_dropout(spark, sf_dir):
+    import public_tokenizers
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = piece_dropout.encode(table(spark, sf_dir, "documents"), model)
+    return piece_dropout.decode(encoded, model).selectExpr(
+        "doc_id", "variant", "CAST(size(ids) AS BIGINT) AS n_pieces", "xxhash64(ids) AS ids_hash",
+        "decoded = coalesce(text, '') AS lossless")
