@@ -1,9 +1,10 @@
 """Subword encoding with seeded merge-dropout, and lossless decoding.
 
 A text gets the vocabulary's dummy prefix and its spaces become the space
-mark.  Merges never cross from a character to a following space mark, nor
-over a character outside the vocabulary, so the text falls into chunks
-that are encoded on their own.  In a chunk an agenda holds the adjacent pairs
+mark.  No piece goes from a character to a following space mark or from a
+letter to a full stop or comma, and none holds a line end (this is checked when
+the vocabulary is read), so the text falls into chunks that are encoded on
+their own.  In a chunk an agenda holds the adjacent pairs
 that form a piece, best score first, then leftmost.  Each popped candidate is
 skipped for good when a keyed hash of (seed, variant, chunk, place of the
 pair) falls below the dropout rate, so the same seed always gives the same
@@ -40,7 +41,8 @@ VARIANTS = 4
 CACHE_CHUNKS = 600_000
 CACHE_CHUNK_CHARS = 32
 
-_CHUNK = re.compile(f" *[^ \n{MARK}]+| *[\n{MARK}]| +")
+_CHUNK = re.compile(f" *[^\\W\\d_]+(?=[.,])| *[^ \n{MARK}]+| *[\n{MARK}]| +")
+_EDGE = re.compile(f"[^{MARK}]{MARK}|[^\\W\\d_][.,]|\n")      # what no piece may hold
 _LITERAL = "\x00" + MARK          # a space mark of the text itself; no piece
 _WORKER: dict[tuple, "Encoder"] = {}
 
@@ -63,7 +65,7 @@ class Vocabulary:
             if model.get_score(i) != last:
                 rank, last = rank + 1, model.get_score(i)
             self.rank[pieces[i]] = rank
-        if any(re.search(f"[^{MARK}]{MARK}|\n", p) for p in self.ids):
+        if any(_EDGE.search(p) for p in self.ids):
             raise ValueError("pieces of this vocabulary cross chunk edges")
         self.byte_ids = {int(pieces[i][3:5], 16): i for i in range(n) if model.is_byte(i)}
         self.raw = [b""] * n
