@@ -41,8 +41,8 @@ VARIANTS = 4
 CACHE_CHUNKS = 600_000
 CACHE_CHUNK_CHARS = 32
 
-_CHUNK = re.compile(f" *[^\\W\\d_]+(?=[.,])| *[^ \n{MARK}]+| *[\n{MARK}]| +")
-_EDGE = re.compile(f"[^{MARK}]{MARK}|[^\\W\\d_][.,]|\n")      # what no piece may hold
+_CHUNK = re.compile(f" *[A-Za-zÀ-ɏ]+(?=[.,])| *[^ \n{MARK}]+| *[\n{MARK}]| +")
+_EDGE = re.compile(f"[^{MARK}]{MARK}|[A-Za-zÀ-ɏ][.,]|\n")      # what no piece may hold
 _LITERAL = "\x00" + MARK          # a space mark of the text itself; no piece
 _WORKER: dict[tuple, "Encoder"] = {}
 
