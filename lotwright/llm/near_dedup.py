@@ -300,3 +300,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     return full.select("doc_id", "n", "component_id").union(empty).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each group of near duplicates, with its columns.
+
+    The document with the group's smallest doc_id stays; of rows that repeat a
+    document (same doc_id and text), one.
+    """
+    kept = near_duplicates(docs, size, percent).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    held = docs.select(docs["doc_id"].cast("long").alias("_d"), F.xxhash64(docs["text"]).alias("_t"),
+                       F.struct(*[docs[c].alias(n) for c, n in zip(docs.columns, names)]).alias("_row"))
+    rows = held.join(kept, F.col("_d").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["_d", "_t"])
+    return rows.select(*[F.col(f"_row.{n}").alias(c) for c, n in zip(docs.columns, names)])
