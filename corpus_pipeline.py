@@ -18,6 +18,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from lotwright.llm import line_dedup, near_dedup, packing, pii, quality_rules
+from lotwright.llm.shipping import ship
 from lotwright.session import scratch_path
 
 
@@ -49,6 +50,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each result is written and read again."""
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     place = scratch_path(spark, f"pipeline-{uuid.uuid4().hex[:12]}")
     for name, stage in STAGES:

@@ -10,11 +10,11 @@ inserted or deleted) away when both have ``MIN_NEAR_WORDS`` words or more.
 2. An edit touches one half of a line only, so a line can have a neighbour only
    if another line has the same first or last half.  Half keys find the lines
    that need variants, and of which kind; no pair is lost.
-3. Those lines emit every variant with one word deleted as a hashed key: a
-   replaced word meets under (length, position, variant), an inserted word
-   under (length, variant) against the whole shorter line.  All lines under a
-   key are neighbours of each other, so only the earliest has to be kept per
-   key: no pairs inside a group are made.
+3. Those lines emit every variant with one word deleted as a hashed key.  A
+   replaced word meets under (length, position, variant), where all lines are
+   neighbours of each other; an inserted word under (length, variant), where
+   the longer lines are neighbours of the one whole shorter line.  So one or two
+   earliest places per key answer for the whole group: no pairs inside it are made.
 4. The edit distance of each line and its earliest neighbour is verified on the words.
 
 Defined results: null and empty texts have no words and lose nothing; rows
@@ -106,7 +106,7 @@ def _line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _variant_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Deletion variants of single lines (doc_id, line_no, need, line)."""
+    """Deletion variants of single lines (doc_id, line_no, need, line), each with its kind."""
     for batch in batches:
         for a, b in slices(batch.column("line")):
             line = batch.column("line").slice(a, b - a)
@@ -117,10 +117,11 @@ def _variant_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 continue
             lines = LineHashes(words, string_buffers(line)[1])
             need = np.asarray(batch.column("need").slice(a, b - a))
-            who, keys = [], []
+            who, keys, kinds = [], [], []
             own = np.flatnonzero(need & _OWN)
             who.append(own)
             keys.append(_key(lines.of(first[own], first[own] + n[own]), n[own], 3))
+            kinds.append(np.full(len(own), _OWN, np.int32))
             for flag in (_SUB, _DEL):
                 some = np.flatnonzero(need & flag)
                 line = np.repeat(some, n[some])
@@ -132,11 +133,12 @@ def _variant_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 keys.append(_key(left + rest, n[line], 4, at) if flag == _SUB
                             else _key(left + rest, n[line] - 1, 3))
                 who.append(line)
-            line, key = np.concatenate(who), np.concatenate(keys)
-            take = pa.array(a + line)
+                kinds.append(np.full(len(line), flag, np.int32))
+            take = pa.array(a + np.concatenate(who))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), batch.column("doc_id").take(take),
-                 batch.column("line_no").take(take)], names=["key", "doc_id", "line_no"])
+                [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(kinds)),
+                 batch.column("doc_id").take(take), batch.column("line_no").take(take)],
+                names=["key", "kind", "doc_id", "line_no"])
 
 
 def within_one_edit(x: list, y: list) -> bool:
@@ -181,10 +183,13 @@ def near_removed(docs: DataFrame, distinct: DataFrame) -> DataFrame:
             source["doc_id"].alias("doc_id"), F.explode("_lines").alias("l"), F.split("text", "\n", -1).alias("t"))
         .select("doc_id", F.col("l.line_no").alias("line_no"), F.col("l.need").alias("need"),
                 F.expr("coalesce(get(t, l.line_no), '')").alias("line")), "line-candidates")
-    variants = lines.mapInArrow(_variant_batches, "key long, doc_id long, line_no int")
-    earliest = variants.groupBy("key").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last")) \
-        .where("first < last").select("key", "first")
-    pairs = (variants.join(earliest, "key").where(F.col("first") < _place())
+    variants = lines.mapInArrow(_variant_batches, "key long, kind int, doc_id long, line_no int")
+    is_own = F.col("kind") == _OWN
+    earliest = variants.groupBy("key").agg(
+        F.min(F.when(is_own, _place())).alias("own"), F.min(F.when(~is_own, _place())).alias("rest"),
+        F.count("*").alias("n")).where("n >= 2 AND rest IS NOT NULL").drop("n")
+    first = F.when(F.col("kind") == _DEL, F.col("own")).otherwise(F.col("rest"))
+    pairs = (variants.join(earliest, "key").withColumn("first", first).where(F.col("first") < _place())
              .groupBy("doc_id", "line_no").agg(F.min("first").alias("first")))
     other = lines.select(F.col("doc_id").alias("o_doc"), F.col("line_no").alias("o_line"), F.col("line").alias("other"))
     both = (pairs.join(lines.select("doc_id", "line_no", "line"),

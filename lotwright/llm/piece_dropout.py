@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .textops import slices
 
@@ -208,4 +209,5 @@ def _decode_batches(model_file: str):
 
 def decode(encoded: DataFrame, model_file: str) -> DataFrame:
     """``encoded`` with the column ``decoded``; it may have any other columns besides ``ids``."""
-    return encoded.mapInArrow(_decode_batches(model_file), encoded.schema.add("decoded", "string"))
+    schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())])
+    return encoded.mapInArrow(_decode_batches(model_file), schema)

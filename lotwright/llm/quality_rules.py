@@ -122,7 +122,7 @@ def _distance(counts: str, reference: str) -> str:
 
 
 def assess(docs: DataFrame, carry: list[str]) -> DataFrame:
-    """``carry`` columns, then ``_q`` (counts) and ``_v`` (distances, ``kept``).
+    """``carry`` columns named c0.., then ``_q`` (counts) and ``_v`` (distances, ``kept``).
 
     The measured rows are written once: they feed both the references (one row
     per language, exact integer sums with partial aggregation) and the verdict.
@@ -136,19 +136,19 @@ def assess(docs: DataFrame, carry: list[str]) -> DataFrame:
         "*",
         f"IF(_r_docs IS NULL OR _q.word_chars < {MIN_CHARS}, 0D, {_distance('_q.chars', '_r_chars')}) AS _d_char",
         f"IF(_r_docs IS NULL OR _q.n_common < {MIN_COMMON}, 0D, {_distance('_q.hits', '_r_hits')}) AS _d_word")
-    names = [f"c{i} AS `{c.replace('`', '``')}`" for i, c in enumerate(carry)]
-    return judged.selectExpr(*names, "_q", f"""named_struct('char_distance', _d_char, 'word_distance', _d_word,
+    return judged.selectExpr(*[f"c{i}" for i in range(len(carry))], "_q", f"""named_struct('char_distance', _d_char, 'word_distance', _d_word,
         'kept', NOT _q.base_failed AND _d_char <= {MAX_CHAR_DISTANCE} AND _d_word <= {MAX_WORD_DISTANCE}) AS _v""")
 
 
 def report(docs: DataFrame) -> DataFrame:
     """Per document: base counts, ``base_failed``, the two distances and ``kept``."""
     return assess(docs, ["doc_id"]).selectExpr(
-        "doc_id", "_q.n_words", "_q.word_chars", "_q.n_symbols", "_q.n_dup_lines", "_q.n_repeat_words",
+        "c0 AS doc_id", "_q.n_words", "_q.word_chars", "_q.n_symbols", "_q.n_dup_lines", "_q.n_repeat_words",
         "_q.base_failed", "_v.kept", "round(_v.char_distance, 6) AS char_distance",
         "round(_v.word_distance, 6) AS word_distance")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns."""
-    return assess(docs, docs.columns).where("_v.kept").drop("_q", "_v")
+    good = assess(docs, docs.columns).where("_v.kept")
+    return good.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

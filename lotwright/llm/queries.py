@@ -7,12 +7,14 @@ the operator.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import materialize
 from . import html_extract, line_dedup, lm_scoring, near_dedup, oracles, packing, piece_dropout, pii, quality_rules, token_store, topk_search
+from .shipping import ship
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = dict(oracles.ORACLE)
@@ -20,8 +22,12 @@ ORACLE: dict[str, str] = dict(oracles.ORACLE)
 
 def register(name: str):
     def keep(fn):
-        REGISTRY[name] = fn
-        return fn
+        @functools.wraps(fn)
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+        REGISTRY[name] = query
+        return query
     return keep
 
 
