@@ -40,13 +40,14 @@ MAX_CHAR_DISTANCE = 0.35
 MAX_WORD_DISTANCE = 0.65
 
 #: Runs without ASCII punctuation; the symbols of the base rule are no punctuation.
-NOT_PUNCTUATION = r"[^!\\x22\\x27-)+,./:;=?@\\x5B-`{}~-]+"
+NOT_PUNCTUATION = r"[^!\\x22\\x27()+,./:;=?@\\x5B\\x5C\\x5D^_`{}~-]+"
 _WORDS = r"array_remove(split({t}, '[\\x20\\x09-\\x0D]+'), '')"
 
 
 def _steps(text: str) -> list[dict[str, str]]:
     """Feature expressions in layers; each layer may use the columns before it."""
     in_words = ", ".join(f"'{w}'" for w in COMMON_WORDS)
+    keys = ", ".join(f"hash('{w}')" for w in COMMON_WORDS)
     at = "(_q_sorted[{0}] & (_q_unit - 1))"
     words = " AND ".join(f"_q_words[{at.format('i')} + {d}] = _q_words[{at.format('i - 1')} + {d}]" for d in range(3))
     return [
@@ -69,7 +70,8 @@ def _steps(text: str) -> list[dict[str, str]]:
         {"_q_at": f"sort_array(array_distinct(flatten(transform(_q_same, i -> array({at.format('i')}, {at.format('i - 1')})))))"},
         {"_q_repeat": "IF(size(_q_at) = 0, 0L, aggregate(transform(_q_at, (p, i) -> "
                       "least(3L, coalesce(get(_q_at, i + 1) - p, 3L))), 0L, (s, d) -> s + d))",
-         "_q_common": f"filter(_q_words, w -> w IN ({in_words}))",
+         # Common words as sorted hashes (they differ): equal words are runs.
+         "_q_common": f"sort_array(transform(filter(_q_words, w -> w IN ({in_words})), w -> hash(w)))",
          "_q_word_chars": "CAST(length(array_join(_q_words, '')) AS BIGINT)",
          "_q_symbols": r"CAST(length(regexp_replace(_q_text, '[^#*$%&|<>]+', '')) AS BIGINT)",
          "_q_upper": "CAST(length(regexp_replace(_q_text, '[^A-Z]+', '')) AS BIGINT)",
@@ -81,9 +83,13 @@ def _steps(text: str) -> list[dict[str, str]]:
          # Lower-case letters and whatever is left are the last class.
          "_q_chars": "array(_q_upper, _q_digit, _q_symbols, _q_wide, _q_punct, "
                      "_q_word_chars - _q_upper - _q_digit - _q_symbols - _q_wide - _q_punct)",
-         "_q_hits": "array(" + ", ".join(
-             f"CAST(size(_q_common) - size(array_remove(_q_common, '{w}')) AS BIGINT)"
-             for w in COMMON_WORDS) + ", _q_n - size(_q_common))"},
+         "_q_runs": "IF(size(_q_common) = 0, CAST(array() AS ARRAY<INT>), filter(sequence(0, size(_q_common) - 1), "
+                    "i -> i = 0 OR _q_common[i] <> _q_common[i - 1]))"},
+        {"_q_kinds": "transform(_q_runs, i -> _q_common[i])"},
+        {"_q_hits": f"concat(transform(array({keys}), k -> CAST(coalesce("
+                    "coalesce(get(_q_runs, CAST(array_position(_q_kinds, k) AS INT)), size(_q_common)) "
+                    "- get(_q_runs, CAST(array_position(_q_kinds, k) AS INT) - 1), 0) AS BIGINT)), "
+                    "array(_q_n - size(_q_common)))"},
     ]
 
 
@@ -105,18 +111,17 @@ def references(measured: DataFrame) -> DataFrame:
     """One row per language: summed histograms of the documents that pass the base rules."""
     n_bins = len(COMMON_WORDS) + 1
     sums = measured.where("NOT _q.base_failed").groupBy(F.col("_q.lang").alias("_r_lang")).agg(
-        F.count("*").alias("_r_docs"),
+        F.count("*").alias("_r_docs"), F.sum("_q.word_chars").alias("_r_n_chars"), F.sum("_q.n_words").alias("_r_n_words"),
         F.array(*[F.sum(F.col("_q.chars")[i]) for i in range(6)]).alias("_r_chars"),
         F.array(*[F.sum(F.col("_q.hits")[i]) for i in range(n_bins)]).alias("_r_hits"))
     return sums.where(F.col("_r_docs") >= MIN_REFERENCE_DOCS)
 
 
-def _distance(counts: str, reference: str) -> str:
-    """SQL text of the Jensen-Shannon distance of two count arrays."""
-    total = "aggregate({0}, 0L, (s, x) -> s + x)"
+def _distance(counts: str, total: str, reference: str, reference_total: str) -> str:
+    """SQL text of the Jensen-Shannon distance of two count arrays with their totals."""
     part = "IF({0} > 0, {0} * log2(2 * {0} / ({0} + {1})), 0D)"
-    shares = (f"zip_with(transform({counts}, x -> x / greatest({total.format(counts)}, 1L)), "
-              f"transform({reference}, x -> x / greatest({total.format(reference)}, 1L)), "
+    shares = (f"zip_with(transform({counts}, x -> x / greatest({total}, 1L)), "
+              f"transform({reference}, x -> x / greatest({reference_total}, 1L)), "
               f"(p, q) -> {part.format('p', 'q')} + {part.format('q', 'p')})")
     return f"sqrt(greatest(aggregate({shares}, 0D, (s, x) -> s + x) / 2, 0D))"
 
@@ -134,8 +139,8 @@ def assess(docs: DataFrame, carry: list[str]) -> DataFrame:
     joined = measured.join(refs, measured["_q"]["lang"] == refs["_r_lang"], "left")
     judged = joined.selectExpr(
         "*",
-        f"IF(_r_docs IS NULL OR _q.word_chars < {MIN_CHARS}, 0D, {_distance('_q.chars', '_r_chars')}) AS _d_char",
-        f"IF(_r_docs IS NULL OR _q.n_common < {MIN_COMMON}, 0D, {_distance('_q.hits', '_r_hits')}) AS _d_word")
+        f"IF(_r_docs IS NULL OR _q.word_chars < {MIN_CHARS}, 0D, {_distance('_q.chars', '_q.word_chars', '_r_chars', '_r_n_chars')}) AS _d_char",
+        f"IF(_r_docs IS NULL OR _q.n_common < {MIN_COMMON}, 0D, {_distance('_q.hits', '_q.n_words', '_r_hits', '_r_n_words')}) AS _d_word")
     return judged.selectExpr(*[f"c{i}" for i in range(len(carry))], "_q", f"""named_struct('char_distance', _d_char, 'word_distance', _d_word,
         'kept', NOT _q.base_failed AND _d_char <= {MAX_CHAR_DISTANCE} AND _d_word <= {MAX_WORD_DISTANCE}) AS _v""")
 
