@@ -8,10 +8,12 @@ is kept whole.
 2. Inverted lists.  Two sets at the limit share at least ``MIN_OVERLAP`` of
    ``K`` retained values (probability of fewer below 1e-10; sets kept whole
    have an exact bound).  With values ordered by document frequency, rarest
-   first, such a pair must meet within the first K - MIN_OVERLAP + 1, so only
-   these enter the lists: common values make no lists.
-3. Lists of up to ``COLD`` nodes give pairs, which the estimate from the
-   union's sketch filters; exact Jaccard on the full sets verifies the rest.
+   first, such a pair must meet ``MEETINGS`` times within the first
+   K - MIN_OVERLAP + MEETINGS, so only these enter the lists: common values
+   make no lists.
+3. Lists of up to ``COLD`` nodes give pairs; those that meet often enough are
+   filtered by the estimate from the union's sketch, and exact Jaccard on the
+   full sets verifies the rest.
 4. Longer lists are never expanded into pairs.  The nodes they connect form
    families (large groups of near copies), cut into blocks of bounded size;
    each pair of blocks is one task that computes all its exact intersections as
@@ -36,11 +38,14 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import materialize
 from .components import components
+from .prefilter import likely_in
 from .textops import Words, chain, mix, slices, words_of
 
 K = 64
 MIN_OVERLAP = 26
-COLD = 64
+#: Two sets at the limit meet in this many lists (or in all they can).
+MEETINGS = 3
+COLD = 32
 BLOCK_ROWS = 400
 BLOCK_VALUES = 1 << 20
 
@@ -214,12 +219,17 @@ def _family_links(percent: int):
     return run
 
 
+def _meetings(n: str, percent: int) -> str:
+    """In how many lists a set's pairs at the limit meet at least."""
+    return f"least({MEETINGS}, CAST(ceil({percent} * {n} / 100) AS INT))"
+
+
 def _prefix_length(percent: int):
     """How many of a set's rarest retained values enter the lists."""
-    whole = f"n - CAST(ceil({percent} * n / 100) AS INT) + 1"
+    whole = f"n - CAST(ceil({percent} * n / 100) AS INT) + {_meetings('n', percent)}"
     # A whole set's partner may be larger than K and so retain only a part.
-    across = f"n - ({K} - CAST(floor((100 * n) / {percent}) AS INT) + n) + 1"
-    return F.expr(f"IF(n > {K}, {K - MIN_OVERLAP + 1}, least(n, greatest({whole}, {across})))")
+    across = f"n - ({K} - CAST(floor((100 * n) / {percent}) AS INT) + n) + {MEETINGS}"
+    return F.expr(f"IF(n > {K}, {K - MIN_OVERLAP + MEETINGS}, least(n, greatest({whole}, {across})))")
 
 
 def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
@@ -244,11 +254,16 @@ def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFra
     cold = members.where(F.col("length") <= COLD).select("value", "node", "n")
     other = cold.select("value", F.col("node").alias("v"), F.col("n").alias("n_v"))
     close = (F.col("node") < F.col("v")) & (100 * F.least("n", "n_v") >= percent * F.greatest("n", "n_v"))
-    pairs = cold.join(other, "value").where(close).select(F.col("node").alias("u"), "v").distinct()
+    # Nodes of different families share no longer list, so all their meetings count here.
+    pairs = (cold.join(other, "value").where(close).groupBy(F.col("node").alias("u"), "v")
+             .agg(F.count("*").alias("met"), F.min(F.least("n", "n_v")).alias("low"))
+             .where(F.col("met") >= F.expr(_meetings("low", percent))).select("u", "v"))
     f_u = families.select(F.col("node").alias("u"), F.col("family").alias("f_u"))
     f_v = families.select(F.col("node").alias("v"), F.col("family").alias("f_v"))
-    pairs = pairs.join(f_u, "u", "left").join(f_v, "v", "left").where("f_u IS NULL OR f_v IS NULL OR f_u <> f_v")
-    sketches = nodes.select("node", "n", "sketch")
+    pairs = materialize(pairs.join(f_u, "u", "left").join(f_v, "v", "left")
+                        .where("f_u IS NULL OR f_v IS NULL OR f_u <> f_v").select("u", "v"), "near-pairs")
+    paired = pairs.select(F.col("u").alias("key")).union(pairs.select("v"))
+    sketches = likely_in(nodes.select("node", "n", "sketch"), "node", paired, "key", "near-bits")
     for side in ("u", "v"):
         pairs = pairs.join(sketches.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"),
                                            F.col("sketch").alias(f"sketch_{side}")), side)
@@ -258,7 +273,7 @@ def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFra
     needed = (likely.select(F.col("u").alias("node")).union(likely.select("v")).union(families.select("node"))
               .distinct().join(nodes.select("node", "rep"), "node"))
     wanted = materialize(needed, "near-wanted")
-    source = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
+    source = likely_in(docs.select(F.col("doc_id").cast("long").alias("rep"), "text"), "rep", wanted, "rep", "near-bits")
     sets = materialize(source.join(wanted, source["rep"].eqNullSafe(wanted["rep"])).select("node", "text")
                        .mapInArrow(_set_batches(size), "node long, shingles binary").dropDuplicates(["node"]), "near-sets")
     exact = likely
