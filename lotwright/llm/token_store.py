@@ -44,7 +44,9 @@ PAGE_ROWS = 2000
 CACHE_WORDS = 700_000
 CACHE_WORD_BYTES = 64
 _ENCODERS: dict[str, "WordEncoder"] = {}      # kept for the worker's life
-_TAIL = re.compile(rb"([a-z])([.,])(?=[\x20\x09-\x0D]|\Z)")
+_TAIL = re.compile(rb"([a-z])([!-&(-/:-@\[-`{-~]+)(?=[\x20\x09-\x0D]|\Z)")     # no apostrophe
+_LETTERS = re.compile(rb"[a-z]+\Z")
+_SEPARATOR = " <|startoftext|> "
 
 SCHEMA = T.StructType([
     T.StructField("part", T.IntegerType(), False),
@@ -61,13 +63,19 @@ class WordEncoder:
     The vocabulary drops white space and its pre-tokens never cross it, so a
     text's ids are the ids of its words in a row; every word goes through the
     tokenizer once and is then remembered.  Two more properties of it keep the
-    words few: it lower-cases, and a full stop or comma after a letter is a
+    words few: it lower-cases, and ASCII punctuation after a letter is a
     pre-token of its own.  (A text that may hold a special token stays as it is.)
+    A word of the letters a-z is one pre-token that normalising leaves alone, so
+    the tokenizer's model takes it directly; other words go through the whole
+    tokenizer, many at once, with a special token between them.
     """
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.separator = self.tokenizer.token_to_id(_SEPARATOR.strip())
+        if self.separator is None:
+            raise ValueError(f"the vocabulary has no {_SEPARATOR.strip()}")
         self.known: dict[bytes, bytes] = {}
 
     @staticmethod
@@ -75,9 +83,24 @@ class WordEncoder:
         return (text if b"<|" in text else _TAIL.sub(rb"\1 \2", text.lower())).split()
 
     def _ids(self, words: list[bytes]) -> list[bytes]:
-        done = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words],
-                                           add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in done]
+        model, out = self.tokenizer.model, [b""] * len(words)
+        rest: list[int] = []
+        for i, w in enumerate(words):
+            if _LETTERS.match(w):
+                out[i] = np.array([t.id for t in model.tokenize(w.decode())], dtype="<u4").tobytes()
+            elif b"<|" in w:
+                ids = self.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids
+                out[i] = np.array(ids, dtype="<u4").tobytes()
+            else:
+                rest.append(i)
+        for a in range(0, len(rest), 1000):
+            some = rest[a:a + 1000]
+            text = _SEPARATOR.join(words[i].decode("utf-8", "replace") for i in some)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+            edges = np.concatenate([[-1], np.flatnonzero(ids == self.separator), [len(ids)]])
+            for i, x, y in zip(some, edges[:-1], edges[1:]):
+                out[i] = ids[x + 1:y].tobytes()
+        return out
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         split = [self._words(t or b"") for t in texts]
