@@ -30,18 +30,18 @@ def digits_to_long(digits: Column) -> Column:
 
 
 def coe_total_months(coe_remaining: Column) -> Column:
-    """Years * 12 + months of a COE text (0 when neither is present)."""
+    """Years * 12 + months of a COE text (0 when neither is present, NULL beyond BIGINT)."""
     text = strip_ws(coe_remaining)
     years = digits_to_long(F.regexp_extract(text, r"(\d+)y", 1))
     months = digits_to_long(F.regexp_extract(text, r"(\d+)m", 1))
-    return F.coalesce(years, F.lit(0)) * 12 + F.coalesce(months, F.lit(0))
+    return F.try_add(F.try_multiply(F.coalesce(years, F.lit(0)), F.lit(12)), F.coalesce(months, F.lit(0)))
 
 
 def coe_months(coe_remaining: Column, total: Column | None = None) -> Column:
-    """FN-7: ``5y 3m`` -> 63, ``10y`` -> 120, ``3m 15d`` -> 3; 0 or missing -> NULL.
+    """FN-7: ``5y 3m`` -> 63, ``10y`` -> 120, ``3m 15d`` -> 3; 0, missing or beyond INT -> NULL.
     ``total`` is ``coe_total_months(coe_remaining)`` when already computed."""
     total = coe_total_months(coe_remaining) if total is None else total
-    return F.when((coe_remaining != "") & (total > 0), total.cast("int"))
+    return F.when((coe_remaining != "") & (total > 0), total.try_cast("int"))
 
 
 def normalize_fuel(fuel: Column) -> Column:

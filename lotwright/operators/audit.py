@@ -18,8 +18,6 @@ from ..functions.names import strip_ws
 DEFAULT_ALLOWED_TABLE = "listings_gold"
 DEFAULT_MAX_LIMIT = 1000
 DEFAULT_AUTO_LIMIT = 100
-BLOCKED_KEYWORDS = ["INSERT", "UPDATE", "DELETE", "DROP", "ALTER", "CREATE",
-                    "TRUNCATE", "REPLACE", "ATTACH", "DETACH", "PRAGMA", "LOAD"]
 DANGEROUS_PATTERNS = [
     r"\bPRAGMA\b",
     r"\bATTACH\b\s+\bDATABASE\b",
@@ -153,14 +151,17 @@ def token_usage(usage_json: Column) -> Column:
 def session_outcome(attempts: DataFrame, max_iterations: int = MAX_ITERATIONS) -> DataFrame:
     """LLM-5: final status per session from its ordered attempts.
 
-    The last attempt decides: a generation error ends with ``error``; an
-    approved attempt that passed the gate is executed (``success`` or
-    ``error``); otherwise the session is ``rejected`` once the iteration
-    budget is spent (error = last feedback), else it is still ``running``.
-    ``max_by`` per session is a partial aggregate (no group is collected)."""
+    The first terminal attempt decides: a generation error, an approved
+    attempt that passed the gate (executed: ``success`` or ``error``), or the
+    attempt that spends the iteration budget (``rejected``, error = its
+    feedback).  Without one the session is still ``running``.  Both candidates
+    are partial aggregates (no group is collected)."""
+    c = F.col
+    row = F.struct(*[c(x) for x in attempts.columns if x != "session"])
+    ends = c("generation_error").isNotNull() | (c("safety_passed") & c("approved")) | (c("iteration") >= max_iterations)
     last = attempts.groupBy("session").agg(
-        F.max_by(F.struct(*[F.col(x) for x in attempts.columns if x != "session"]),
-                 F.col("iteration")).alias("a"), F.count(F.lit(1)).alias("attempts"))
+        F.coalesce(F.min_by(row, F.when(ends, c("iteration"))), F.max_by(row, c("iteration"))).alias("a"),
+        F.count(F.lit(1)).alias("attempts"))
     a = F.col
     status = (F.when(a("a.generation_error").isNotNull(), "error")
               .when(a("a.safety_passed") & a("a.approved"),

@@ -135,9 +135,9 @@ def value_scores(gold: DataFrame, coe_higher_is_better: bool = False,
     return pivot.select("listing_id", score.alias("value_score"))
 
 
-# Largest rank table (distinct metric values) attached by broadcast joins.
-# The five metrics have bounded domains (validated ranges, 3-decimal ratio),
-# so this holds for any table size in practice; beyond it the shuffle form runs.
+# Largest rank table (distinct metric values, two doubles each) attached by
+# broadcast joins.  Both forms give the same scores; beyond the bound the
+# shuffle form runs, e.g. when unvalidated ratios take very many values.
 MAX_BROADCAST_RANK_ROWS = 2_000_000
 
 

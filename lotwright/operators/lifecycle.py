@@ -69,8 +69,11 @@ def delist_unseen(listings: DataFrame, active_ids: DataFrame,
     """J-3 / LIF-1: listings not found by a *complete* discovery run become
     ``Delisted`` when their status is active; NULL or other statuses are
     kept (three-valued logic).  Returns the whole table with a
-    ``_delisted`` flag.  The caller must only pass the ids of a complete run."""
-    hits = active_ids.select(key).distinct().withColumn("_hit", F.lit(True))
+    ``_delisted`` flag.  The caller must only pass the ids of a complete run.
+    A run that found nothing delists nothing."""
+    hits = active_ids.where(F.col(key).isNotNull()).select(key).distinct().withColumn("_hit", F.lit(True))
+    if active_ids.where(F.col(key).isNotNull()).isEmpty():
+        return listings.withColumn("_delisted", F.lit(False))
     j = listings.join(hits, key, "left")
     st = F.col("status")
     flag = F.col("_hit").isNull() & (st != "Delisted") & st.isin(*LK.DELISTABLE_STATUSES)

@@ -181,8 +181,8 @@ def split_validated(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     return records, failures
 
 
-def is_valid(validated: DataFrame) -> Column:
-    """VAL-11: no failure for the record."""
+def is_valid() -> Column:
+    """VAL-11: no failure for the record, over the result of ``validate``."""
     return F.size("_failures") == 0
 
 

@@ -5,8 +5,8 @@ as a DataFrame; writers put it in a new snapshot folder (``sources.snapshots``)
 and readers resolve the newest one.  Two forms of SCD-2:
 
 * ``scd2_apply`` -- one batch against the current state (the daily job).
-  Only the ``is_current`` rows are joined and rewritten; closed history is
-  carried over untouched.
+  Only the ``is_current`` rows are joined and rewritten; the rows it closes
+  come back on their own, to be appended to the closed history.
 * ``scd2_replay`` -- many batches at once (backfill).  A window per key over
   the per-(key, batch) collapsed records gives exactly the rows that applying
   the batches one after the other would give.  Hot keys are collapsed per
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lookups as LK
 from ..functions.scalars import values_equal
+from ..sources.tables import materialize
 
 KEY = "listing_id"
 
@@ -40,56 +41,30 @@ def collapse_batch(batch: DataFrame, group: list[str], seq: str,
         F.max(seq).alias(seq))
 
 
-# Largest collapsed batch that is broadcast to the listings table.  A batch
-# is one crawl's (or one micro-batch's) records; beyond this bound the
-# operators fall back to shuffle joins.
-MAX_BROADCAST_BATCH_ROWS = 5_000_000
-
-
-def _small(batch: DataFrame, max_rows: int) -> bool:
-    """Size check behind every broadcast of a batch (one count of the batch)."""
-    return batch.limit(max_rows + 1).count() <= max_rows
-
-
 def upsert_coalesce(listings: DataFrame, batch: DataFrame, as_of: dt.datetime | Column,
-                    key: str = KEY, max_broadcast_rows: int = MAX_BROADCAST_BATCH_ROWS) -> DataFrame:
+                    key: str = KEY) -> DataFrame:
     """MRG-1: insert new keys, update existing ones column by column with
     COALESCE(incoming, existing); ``scraped_at`` keeps the first insert time.
     ``batch`` must hold one row per key (see ``collapse_batch``) and may
     carry a subset of the columns.
 
-    Plan: existing rows stream through a left join with the batch (broadcast
-    when the size check passes, so the big table is not shuffled); new keys
-    come from a left anti join that moves only the key column of the table."""
+    Plan: the batch is written once, so its real size is known to the planner;
+    one full outer join on the key then updates and inserts."""
     inc_cols = [c for c in batch.columns if c in listings.columns and c not in (key, "scraped_at")]
-    inc = batch.select(key, *[F.col(c).alias(f"_in_{c}") for c in inc_cols])
-    small = _small(inc, max_broadcast_rows)
+    inc = materialize(batch.select(key, *[F.col(c).alias(f"_in_{c}") for c in inc_cols]), "batch")
     ts = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
-    updated = listings.join(F.broadcast(inc) if small else inc, key, "left")
-    upd_cols = []
+    old = listings.withColumn("_old", F.lit(True))
+    joined = old.join(inc, key, "full_outer")
+    out = []
     for c in listings.columns:
+        kind = listings.schema[c].dataType
         if c in inc_cols:
-            upd_cols.append(F.coalesce(F.col(f"_in_{c}"), F.col(c)).cast(listings.schema[c].dataType)
-                            .alias(c))
-        else:
-            upd_cols.append(F.col(c))
-    # Keys already present: the big table's key column is semi-joined
-    # against the broadcast batch keys (streamed, no shuffle, at most batch
-    # size); the anti join then runs between two small sides.
-    keys = inc.select(key)
-    present = listings.select(key).join(F.broadcast(keys) if small else keys, key, "left_semi")
-    new = inc.join(present, key, "left_anti")
-    new_cols = []
-    for c in listings.columns:
-        if c == key:
-            new_cols.append(F.col(key))
-        elif c in inc_cols:
-            new_cols.append(F.col(f"_in_{c}").cast(listings.schema[c].dataType).alias(c))
+            out.append(F.coalesce(F.col(f"_in_{c}"), F.col(c)).cast(kind).alias(c))
         elif c == "scraped_at":
-            new_cols.append(ts.alias(c))
+            out.append(F.when(F.col("_old"), F.col(c)).otherwise(ts).cast(kind).alias(c))
         else:
-            new_cols.append(F.lit(None).cast(listings.schema[c].dataType).alias(c))
-    return updated.select(*upd_cols).unionByName(new.select(*new_cols))
+            out.append(F.col(c).cast(kind).alias(c))
+    return joined.select(*out)
 
 
 def changes(cur: dict, inc: dict, tracked: list[str] = LK.SCD_TRACKED_FIELDS) -> Column:
@@ -110,7 +85,8 @@ def any_change(cur: dict, inc: dict, tracked: list[str] = LK.SCD_TRACKED_FIELDS)
 @dataclass
 class ScdResult:
     listings: DataFrame      # new listings state (coalesced)
-    history: DataFrame       # new history state
+    current: DataFrame       # new current part of the history
+    closed: DataFrame        # rows that this batch closed (closed rows never change again)
     actions: DataFrame       # (listing_id, _action) per incoming key
     counts: DataFrame        # one row: new, changed, unchanged, total
 
@@ -123,26 +99,28 @@ def scd2_apply(listings: DataFrame, history: DataFrame, batch: DataFrame, run_ts
     Duplicate keys in the batch are collapsed first (last non-NULL wins), so
     every key gets at most one new history row and keeps one current row.
     NULL keys are skipped (they belong in quarantine).  The history row holds
-    the *incoming* record, not the coalesced one."""
+    the *incoming* record, not the coalesced one.  Only the current rows of
+    ``history`` are read: closed rows are appended to and never rewritten."""
     b = batch.where(F.col(KEY).isNotNull())
     inc = collapse_batch(b, [KEY], seq) if seq in b.columns else b
-    inc_cols = [c for c in inc.columns if c not in (KEY, seq)]
+    if seq in b.columns:
+        rows = b.groupBy(KEY).agg(F.count(F.lit(1)).alias("_rows"))
+        inc = inc.join(rows, KEY)
+    else:
+        inc = inc.withColumn("_rows", F.lit(1))
+    inc = materialize(inc, "incoming")
+    inc_cols = [c for c in inc.columns if c not in (KEY, seq, "_rows")]
     cur = listings.select(KEY, *[F.col(f).alias(f"_cur_{f}") for f in tracked]) \
         .withColumn("_exists", F.lit(True))
-    # Point lookup of the batch keys (SRC-4): the listings table streams
-    # through a semi join against the broadcast batch keys (size-checked), so
-    # it is not shuffled; the batch is then joined to the few matching rows.
-    # (A broadcast hash join cannot build the preserved side of an outer join,
-    # so "listings RIGHT JOIN broadcast(batch)" would not broadcast.)
-    small = _small(inc, MAX_BROADCAST_BATCH_ROWS)
-    keys = inc.select(KEY)
-    hits = cur.join(F.broadcast(keys) if small else keys, KEY, "left_semi")
-    j = inc.join(F.broadcast(hits) if small else hits, KEY, "left")
+    # The batch keys are written, so the planner knows their size when it picks
+    # how to look them up in the listings table (SRC-4).
+    hits = cur.join(inc.select(KEY), KEY, "left_semi")
+    j = inc.join(hits, KEY, "left")
     cur_map = {f: F.col(f"_cur_{f}") for f in tracked}
     inc_map = {f: F.col(f) if f in inc_cols else F.lit(None) for f in tracked}
     action = (F.when(F.col("_exists").isNull(), "new")
               .when(any_change(cur_map, inc_map, tracked), "changed").otherwise("unchanged"))
-    j = j.withColumn("_action", action)
+    j = materialize(j.withColumn("_action", action), "actions")
     ts = F.lit(run_ts).cast("timestamp")
     hist_cols = [c for c in history.columns]
     new_rows = j.where(F.col("_action").isin("new", "changed")).select(*[
@@ -154,19 +132,18 @@ def scd2_apply(listings: DataFrame, history: DataFrame, batch: DataFrame, run_ts
         for c in hist_cols])
     changed_keys = j.where(F.col("_action") == "changed").select(KEY) \
         .withColumn("_close", F.lit(True))
-    current = history.where(F.col("is_current"))
-    closed_part = history.where(~F.col("is_current"))
-    cur_next = current.join(F.broadcast(changed_keys) if small else changed_keys, KEY, "left").select(*[
-        (F.when(F.col("_close"), ts).otherwise(F.col("valid_to")) if c == "valid_to" else
-         F.when(F.col("_close"), F.lit(False)).otherwise(F.col("is_current"))
-         if c == "is_current" else F.col(c)).alias(c) for c in hist_cols])
-    new_history = closed_part.unionByName(cur_next).unionByName(new_rows)
-    new_listings = upsert_coalesce(listings, inc.drop(seq) if seq in inc.columns else inc, run_ts)
+    current = history.where(F.col("is_current")).join(changed_keys, KEY, "left")
+    closing = F.col("_close")
+    closed = current.where(closing).select(*[
+        (ts if c == "valid_to" else F.lit(False) if c == "is_current" else F.col(c))
+        .cast(history.schema[c].dataType).alias(c) for c in hist_cols])
+    still = current.where(closing.isNull()).select(*hist_cols)
+    new_listings = upsert_coalesce(listings, inc.drop(seq, "_rows"), run_ts)
     counts = j.agg(F.count_if(F.col("_action") == "new").alias("new"),
                    F.count_if(F.col("_action") == "changed").alias("changed"),
                    F.count_if(F.col("_action") == "unchanged").alias("unchanged"),
-                   F.count(F.lit(1)).alias("total"))
-    return ScdResult(new_listings, new_history, j.select(KEY, "_action"), counts)
+                   F.coalesce(F.sum("_rows"), F.lit(0)).alias("total"))
+    return ScdResult(new_listings, still.unionByName(new_rows), closed, j.select(KEY, "_action"), counts)
 
 
 def scd2_replay(feed: DataFrame, batch_col: str, seq: str, run_ts: Column, run_id: Column,
@@ -176,7 +153,11 @@ def scd2_replay(feed: DataFrame, batch_col: str, seq: str, run_ts: Column, run_i
     Returns the collapsed batch records with ``_action`` (new / changed /
     unchanged) and, for history rows, ``valid_from``/``valid_to``/``is_current``/
     ``scrape_run_id``.  ``run_ts``/``run_id`` are Columns over ``batch_col``."""
-    b = collapse_batch(feed.where(F.col(KEY).isNotNull()), [KEY, batch_col], seq)
+    feed = feed.where(F.col(KEY).isNotNull())
+    cols = [c for c in feed.columns if c not in (KEY, batch_col, seq)]
+    b = feed.groupBy(KEY, batch_col).agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(seq))).alias(c) for c in cols],
+        F.max(seq).alias(seq), F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(KEY).orderBy(batch_col).rowsBetween(
         Window.unboundedPreceding, -1)
     prev = {f: F.last(F.col(f), ignorenulls=True).over(before) for f in tracked}
@@ -197,15 +178,15 @@ def history_from_replay(replayed: DataFrame) -> DataFrame:
     h = replayed.where(F.col("_action").isin("new", "changed"))
     w = Window.partitionBy(KEY).orderBy("valid_from")
     h = h.withColumn("valid_to", F.lead("valid_from").over(w))
-    return h.withColumn("is_current", F.col("valid_to").isNull()).drop("_action")
+    return h.withColumn("is_current", F.col("valid_to").isNull()).drop("_action", "_rows")
 
 
 def replay_counts(replayed: DataFrame, batch_col: str) -> DataFrame:
-    """AGG-8 per batch: new, changed, unchanged, total."""
+    """AGG-8 per batch: new, changed, unchanged keys; ``total`` incoming rows."""
     a = F.col("_action")
     return replayed.groupBy(batch_col).agg(
         F.count_if(a == "new").alias("new"), F.count_if(a == "changed").alias("changed"),
-        F.count_if(a == "unchanged").alias("unchanged"), F.count(F.lit(1)).alias("total"))
+        F.count_if(a == "unchanged").alias("unchanged"), F.sum("_rows").alias("total"))
 
 
 def versions(listings: DataFrame, history: DataFrame, min_versions: int = 2) -> DataFrame:
@@ -225,11 +206,13 @@ def recent_changes(history: DataFrame, as_of: dt.datetime | Column, hours: int =
             .orderBy(F.desc("valid_from"), KEY))
 
 
-def history_of(history: DataFrame, listing_id: int) -> DataFrame:
-    """FIL-7 / WIN-5: one key's history, oldest first, with a version number."""
+def history_of(history: DataFrame, listing_id: int, limit: int | None = None) -> DataFrame:
+    """FIL-7 / WIN-5 / TOP-5: one key's history, oldest first, with a version
+    number; ``limit`` keeps the first versions."""
     w = Window.partitionBy(KEY).orderBy("valid_from")
-    return (history.where(F.col(KEY) == listing_id)
-            .withColumn("version", F.row_number().over(w)).orderBy("valid_from"))
+    out = (history.where(F.col(KEY) == listing_id)
+           .withColumn("version", F.row_number().over(w)).orderBy("valid_from"))
+    return out.limit(limit) if limit else out
 
 
 def current_rows(history: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from ..operators import gold as G
 from ..operators import lifecycle as LC
 from ..operators import quality as Q
 from ..operators import scd as SCD
-from ..schemas import GOLD, HISTORY, LISTINGS, QUARANTINE, RUN_EVENTS
+from ..schemas import HISTORY, LISTINGS
 from ..sources import pages as PG
 from ..sources import snapshots as SN
 from ..sources.tables import materialize
@@ -30,7 +30,8 @@ class Tables:
     """Locations of the pipeline's tables under one root folder."""
     root: str
     listings: str = "listings"
-    history: str = "listings_history"
+    history: str = "listings_history"            # current rows only
+    closed: str = "listings_history_closed"      # closed rows, appended
     quarantine: str = "quarantine"
     runs: str = "run_events"
     gold: str = "gold"
@@ -47,27 +48,32 @@ def ingest_batch(spark: SparkSession, batch: DataFrame, t: Tables, run_id: int,
         seq = "_seq"
     validated = materialize(Q.validate(batch), "validated")      # feeds two sinks
     records, failures = Q.split_validated(validated)
-    SN.append_table(Q.to_quarantine(failures, run_id, as_of), t.root, t.quarantine)
+    commit = SN.Commit(spark, t.root)             # quarantine, history and listings as one change
+    commit.append(Q.to_quarantine(failures, run_id, as_of), t.quarantine)
     listings = SN.read_table(spark, t.root, t.listings, LISTINGS)
     keyed = records.where(F.col("listing_id").isNotNull())
     if track_history:
-        history = SN.read_table(spark, t.root, t.history, HISTORY)
-        res = SCD.scd2_apply(listings, history, keyed, as_of, run_id, seq)
+        res = SCD.scd2_apply(listings, SN.read_table(spark, t.root, t.history, HISTORY), keyed, as_of, run_id, seq)
         counts = res.counts.first().asDict()
-        new_hist = materialize(res.history, "history")
-        new_list = materialize(res.listings, "listings")
-        SN.write_table(new_hist, t.root, t.history)
-        SN.write_table(new_list, t.root, t.listings)
+        commit.append(res.closed, t.closed)
+        commit.snapshot(res.current, t.history)
+        commit.snapshot(res.listings, t.listings)
     else:
-        inc = SCD.collapse_batch(keyed, ["listing_id"], seq).drop(seq)
-        SN.write_table(materialize(SCD.upsert_coalesce(listings, inc, as_of), "listings"),
-                       t.root, t.listings)
+        inc = materialize(SCD.collapse_batch(keyed, ["listing_id"], seq).drop(seq), "incoming")
+        commit.snapshot(SCD.upsert_coalesce(listings, inc, as_of), t.listings)
         counts = {"upserted": inc.count()}
-    counts["total"] = batch.count()
+    commit.finish()
+    counts["total"] = validated.count()
     counts["quarantined"] = failures.count()
     return counts
 
 
+def full_history(spark: SparkSession, t: Tables) -> DataFrame:
+    """Closed and current rows of the history."""
+    return SN.read_appended(spark, t.root, t.closed, HISTORY).unionByName(
+        SN.read_table(spark, t.root, t.history, HISTORY))
+
+
 def discover_batch(spark: SparkSession, listing_pages: DataFrame, t: Tables, host: str,
                    as_of: dt.datetime, complete: bool) -> dict:
     """PIP-3: links -> first-wins dedupe -> new ids only -> upsert -> delist
@@ -79,7 +85,6 @@ def discover_batch(spark: SparkSession, listing_pages: DataFrame, t: Tables, hos
     state = SCD.upsert_coalesce(listings, new, as_of)
     if complete:
         state = LC.delist_unseen(state, found).drop("_delisted")
-    state = materialize(state, "listings")
     SN.write_table(state, t.root, t.listings)
     return {"found": found.count(), "new": new.count()}
 
@@ -126,7 +131,3 @@ def run_daily(spark: SparkSession, t: Tables, listing_pages: DataFrame | None,
                                  pages, listings), t.root, t.runs)
     out["status"] = "completed" if ok else "failed"
     return out
-
-
-__all__ = ["Tables", "ingest_batch", "discover_batch", "rebuild_gold", "stats_report", "run_daily",
-           "GOLD", "QUARANTINE", "RUN_EVENTS"]

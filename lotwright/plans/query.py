@@ -1,15 +1,20 @@
 """Guarded read-only query surface over the gold table (QRY-1, Q1..Q16).
 
 ``guarded_sql`` runs one statement the way the question-answering path does:
-gate verdict (the same compiled gate as the audit job) -> register only the
-allowed views -> ``SELECT * FROM (<sql>) q`` (INSERT/CTAS forms cannot parse
-inside a subquery, so the surface is read-only) -> bounded result with a
-``truncated`` flag.  Parse/analysis/runtime errors come back as data.
+gate verdict (the same compiled gate as the audit job) -> a session of its own
+that holds the allowed views and nothing else -> ``SELECT * FROM (<sql>) q``
+(INSERT/CTAS forms cannot parse inside a subquery, so the surface is read-only)
+-> bounded result with a ``truncated`` flag and the full ``row_count``.
+Parse, analysis and runtime errors come back as data.
+
+The gate's automatic LIMIT is for interactive statements; a stored question
+(``answer``) returns its whole result.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
@@ -17,9 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import audit as AU
 
-# Spark-only escape routes the reference gate does not know about (T32):
-# quoted/back-quoted table names and JVM reflection functions.
-_EXTRA_DENY = re.compile(r"(?i)(?:\bFROM\b|\bJOIN\b)\s+[`\"]|\b(?:reflect|java_method|try_reflect)\s*\(")
+# Escape routes of Spark that the gate does not know about (T32): quoted
+# table names and JVM reflection functions.
+_EXTRA_DENY = re.compile(r"(?i)(?:\bFROM\b|\bJOIN\b|,)\s*[`\"]|\b(?:reflect|java_method|try_reflect)\s*\(")
 
 
 @dataclass
@@ -41,19 +46,46 @@ def gate_one(spark: SparkSession, sql: str, allowed_tables: list[str] | None = N
     return bool(r["passed"]), r["reason"], r["cleaned_sql"]
 
 
+def _names_a_database(spark: SparkSession, sql: str) -> bool:
+    """Whether the statement names a catalog or database, so that it could
+    reach tables besides the allowed views."""
+    names = {"global_temp", *(c.name for c in spark.catalog.listCatalogs()),
+             *(d.name for d in spark.catalog.listDatabases())}
+    return any(re.search(rf"(?i)\b{re.escape(n)}\s*\.", sql) for n in names)
+
+
+def _private_session(spark: SparkSession, views: dict[str, DataFrame]) -> SparkSession:
+    """A session that shares the context but not the caller's views."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.runSQLOnFiles", "false")
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    for name, df in views.items():
+        handover = f"handover_{uuid.uuid4().hex}"
+        df.createGlobalTempView(handover)
+        own.table(f"global_temp.{handover}").createOrReplaceTempView(name)
+        spark.catalog.dropGlobalTempView(handover)
+    return own
+
+
 def guarded_sql(spark: SparkSession, sql: str, views: dict[str, DataFrame],
-                max_limit: int = AU.DEFAULT_MAX_LIMIT) -> GuardedResult:
-    """QRY-1: gate, then run on the registered views only.  The result is
-    bounded by ``bounded_rows`` (an inner LIMIT can satisfy the gate)."""
+                max_limit: int = AU.DEFAULT_MAX_LIMIT, whole: bool = False) -> GuardedResult:
+    """QRY-1: gate, then run on the allowed views only.
+
+    ``whole`` runs the statement as it was given, without the gate's LIMIT."""
     passed, reason, cleaned = gate_one(spark, sql, list(views), max_limit)
     if passed and _EXTRA_DENY.search(cleaned):
         passed, reason = False, "Quoted table names and reflection functions are not allowed"
+    if passed and _names_a_database(spark, cleaned):
+        passed, reason = False, "Database names are not allowed"
     if not passed:
         return GuardedResult(False, reason, cleaned)
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
     try:
-        df = spark.sql(f"SELECT * FROM ({cleaned}) q")
+        own = _private_session(spark, views)
+        # Names that no view of this session has may still be tables of the catalog.
+        stored = [t.name for t in own.catalog.listTables() if not t.isTemporary]
+        if any(re.search(rf"(?i)\b{re.escape(t)}\b", cleaned) for t in stored):
+            return GuardedResult(False, "Stored tables are not allowed", cleaned)
+        df = own.sql(f"SELECT * FROM ({sql.strip().rstrip(';') if whole else cleaned}) q")
         df.schema  # analysis errors surface here
         return GuardedResult(True, None, cleaned, df)
     except PySparkException as e:
@@ -61,18 +93,21 @@ def guarded_sql(spark: SparkSession, sql: str, views: dict[str, DataFrame],
 
 
 def bounded_rows(res: GuardedResult, max_limit: int = AU.DEFAULT_MAX_LIMIT,
-                 with_count: bool = False) -> dict:
-    """TOP-7: at most ``max_limit`` rows, ``truncated`` flag from fetching one
-    extra row, and (opt-in) the full ``row_count`` by a separate count."""
+                 with_count: bool = True) -> dict:
+    """TOP-7: at most ``max_limit`` rows, a ``truncated`` flag from fetching one
+    more, and the ``row_count`` before the cut (a count of its own, only when
+    the result was cut; without ``with_count`` it is then NULL)."""
+    failed = {"rows": [], "columns": [], "row_count": 0, "truncated": False}
     if res.df is None:
-        return {"rows": [], "columns": [], "row_count": 0, "truncated": False,
-                "error": res.error or res.reason}
-    probe = res.df.limit(max_limit + 1)
-    rows = probe.collect()            # bounded by max_limit + 1
-    out = {"rows": rows[:max_limit], "columns": res.df.columns,
-           "truncated": len(rows) > max_limit, "error": None}
-    out["row_count"] = res.df.count() if with_count else min(len(rows), max_limit)
-    return out
+        return {**failed, "error": res.error or res.reason}
+    try:
+        rows = res.df.limit(max_limit + 1).collect()            # bounded by max_limit + 1
+        truncated = len(rows) > max_limit
+        count = len(rows) if not truncated else res.df.count() if with_count else None
+    except PySparkException as e:
+        return {**failed, "error": f"{type(e).__name__}: {e}"}
+    return {"rows": rows[:max_limit], "columns": res.df.columns, "row_count": count,
+            "truncated": truncated, "error": None}
 
 
 GOLD_VIEW = AU.DEFAULT_ALLOWED_TABLE
@@ -125,9 +160,9 @@ QUESTIONS: dict[str, str] = {
 
 
 def answer(spark: SparkSession, gold: DataFrame, name: str) -> DataFrame:
-    """Run a stored question through the guarded surface; the result
-    DataFrame (an error raises, since stored questions must be valid)."""
-    res = guarded_sql(spark, QUESTIONS[name], {GOLD_VIEW: gold})
+    """The whole result of a stored question through the guarded surface (an
+    error raises, since stored questions must be valid)."""
+    res = guarded_sql(spark, QUESTIONS[name], {GOLD_VIEW: gold}, whole=True)
     if res.df is None:
         raise ValueError(f"{name}: {res.reason or res.error}")
-    return res.df.limit(AU.DEFAULT_MAX_LIMIT)
+    return res.df

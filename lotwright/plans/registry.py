@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 
 from ..operators import gold as G
 from ..sources import testviews as TV
+from ..sources.tables import materialize
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -25,15 +26,15 @@ def register(name: str):
 
 
 def gold_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The gold table of the silver view (plan built once per session; its
-    value-score rank table is written once to the checkpoint folder)."""
-    return TV.memo_view(spark, "gold", sf_dir,
-                        lambda: G.gold_transform(TV.silver(spark, sf_dir), TV.TEST_AS_OF))
+    """The gold table of the silver view: rebuilt and written once per session
+    and input folder (SNK-2); questions and profiles read the stored table."""
+    return TV.memo_view(spark, "gold", sf_dir, lambda: materialize(
+        G.gold_transform(TV.silver(spark, sf_dir), TV.TEST_AS_OF), "gold"))
 
 
 @register("gold_transform")
 def q_gold_transform(spark, sf_dir):
-    return gold_of(spark, sf_dir)
+    return G.gold_transform(TV.silver(spark, sf_dir), TV.TEST_AS_OF)
 
 
 @register("gold_stats")
@@ -157,7 +158,7 @@ def q_worklist_union(spark, sf_dir):
 
 def _discovered(spark, sf_dir):
     """Ids found by this run's discovery pages: the line items' order keys."""
-    li = TV.read_table(spark, sf_dir, "lineitem", spread=False)
+    li = TV.read_table(spark, sf_dir, "lineitem")
     return li.select(F.col("l_orderkey").alias("listing_id"))
 
 
@@ -251,10 +252,55 @@ def q_current_rows(spark, sf_dir):
 
 @register("integrity_violations")
 def q_integrity_violations(spark, sf_dir):
+    """I-C1 over tables with seeded faults, so that each of the checks has rows:
+    keys divisible by 501 twice in gold, by 701 without brand, by 901 with a
+    foreign status; in the history, keys divisible by 7 keep their closed rows
+    open, by 11 lose their second version, by 13 have no listing."""
+    k = F.col("listing_id")
+    gold = gold_of(spark, sf_dir).withColumns({
+        "brand": F.when(k % 701 != 0, F.col("brand")),
+        "status": F.when(k % 901 == 0, F.lit("Lost")).otherwise(F.col("status"))})
+    gold = gold.unionByName(gold.where(k % 501 == 0))
     feed = TV.feed(spark, sf_dir).select("listing_id", "seq", *FEED_COLS)
-    state = SCD.collapse_batch(feed, ["listing_id"], "seq")
-    return ST.gold_violations(gold_of(spark, sf_dir)).unionByName(
-        ST.history_violations(_history(spark, sf_dir), state))
+    state = SCD.collapse_batch(feed, ["listing_id"], "seq").where(k % 13 != 0)
+    rank = F.row_number().over(Window.partitionBy("listing_id").orderBy("valid_from"))
+    history = _history(spark, sf_dir).withColumn("_rank", rank).where((k % 11 != 0) | (F.col("_rank") != 2))
+    history = materialize(history.withColumn("is_current", F.col("is_current") | (k % 7 == 0)).drop("_rank"), "seeded")
+    return ST.gold_violations(gold).unionByName(ST.history_violations(history, state))
+
+
+@register("change_details")
+def q_change_details(spark, sf_dir):
+    """SCD-1: what the feed's last value changes on each known listing."""
+    feed = TV.feed(spark, sf_dir).select("listing_id", "seq", *FEED_COLS)
+    inc = SCD.collapse_batch(feed, ["listing_id"], "seq")
+    cur = TV.silver(spark, sf_dir).select("listing_id", *[F.col(c).alias(f"cur_{c}") for c in FEED_COLS])
+    tracked = ["price", "depreciation", "status"]
+    both = inc.join(cur, "listing_id")
+    found = SCD.changes({c: F.col(f"cur_{c}") for c in tracked}, {c: F.col(c) for c in tracked}, tracked)
+    return both.select("listing_id", F.explode(found).alias("c")).select(
+        "listing_id", "c.field", F.col("c.old").alias("old_value"), F.col("c.new").alias("new_value"))
+
+
+@register("record_validity")
+def q_record_validity(spark, sf_dir):
+    """VAL-11: whether each listing passes every rule."""
+    return Q.validate(TV.silver(spark, sf_dir)).select("listing_id", Q.is_valid().alias("is_valid"))
+
+
+@register("worklist_limited")
+def q_worklist_limited(spark, sf_dir):
+    """TOP-2: the first 500 entries of the work list."""
+    return LC.worklist_union(TV.silver(spark, sf_dir), 500)
+
+
+@register("history_slice")
+def q_history_slice(spark, sf_dir):
+    """WIN-5 / TOP-5: the first five versions of the key with the smallest id."""
+    history = materialize(_history(spark, sf_dir), "history")
+    key = history.agg(F.min("listing_id")).first()[0]
+    out = SCD.history_of(history, key, 5)
+    return out.select("listing_id", "version", *FEED_COLS, F.date_format("valid_from", TS_TEXT).alias("valid_from"))
 
 
 # ---------------------------------------------------------------------------
@@ -322,8 +368,7 @@ for _name in QRY.QUESTIONS:
 
 # ---------------------------------------------------------------------------
 # Bronze pages (SCR-*).  The driver's pages carry no payload chunks, so the
-# detail parser yields NULL records there; its branches are covered by the
-# hand-written page fixtures in tests/test_pages.py.
+# payload parser runs on pages that Spark derives from ``orders``.
 # ---------------------------------------------------------------------------
 from ..sources import pages as PG  # noqa: E402
 
@@ -347,40 +392,88 @@ def q_page_scripts(spark, sf_dir):
 
 @register("rsc_detail")
 def q_rsc_detail(spark, sf_dir):
-    return PG.parse_detail_pages(TV.read_table(spark, sf_dir, "pages"))
+    """SCR-1..13 + the work-list key: records of the fetched detail pages."""
+    work = LC.worklist_union(TV.silver(spark, sf_dir))
+    return PG.detail_records(TV.payload_detail_pages(spark, sf_dir), work)
 
 
 @register("rsc_listing_links")
 def q_rsc_listing_links(spark, sf_dir):
-    return PG.discover_links(TV.read_table(spark, sf_dir, "pages"), LISTING_HOST)
+    return PG.discover_links(TV.payload_listing_pages(spark, sf_dir), LISTING_HOST)
+
+
+@register("detail_quarantine")
+def q_detail_quarantine(spark, sf_dir):
+    """VAL-9: failures of the fetched records, out-of-range integers included."""
+    _, failures = Q.validate_split(q_rsc_detail(spark, sf_dir))
+    return failures
 
 
 # ---------------------------------------------------------------------------
 # Streaming ingest (STR-*): the feed written as one file per day, streamed in
-# micro-batches through the SCD-2 step; the result is the final listings
-# state, which must not depend on how the feed was split into batches.
+# micro-batches through the SCD-2 step; the result is the final listings state.
 # ---------------------------------------------------------------------------
-@register("stream_ingest")
-def q_stream_ingest(spark, sf_dir):
+def _streamed(spark, sf_dir, files_per_trigger):
+    """Tables after streaming the feed, written day after day, through the SCD-2 step."""
     import uuid
 
     from ..session import scratch_path
     from ..streaming.ingest import ingest_stream
-    from ..sources import snapshots as SN
-    from ..schemas import LISTINGS
+    from .pipelines import Tables
 
     base = scratch_path(spark, f"stream-{uuid.uuid4().hex[:12]}")
-    feed = TV.feed(spark, sf_dir).select("listing_id", "day", "seq", *FEED_COLS)
+    feed = materialize(TV.feed(spark, sf_dir).select("listing_id", "day", "seq", *FEED_COLS), "feed")
     src = f"{base}/source"
-    feed.repartition("day").write.partitionBy("day").parquet(src)
-    schema = spark.read.parquet(src).schema
-    q = ingest_stream(spark, src, schema, f"{base}/tables", f"{base}/checkpoint", "seq",
-                      FEED_AS_OF, max_files_per_trigger=10)
+    # The file source takes files by modification time: one day after another.
+    for day in [r[0] for r in feed.select("day").distinct().orderBy("day").collect()]:
+        feed.where(F.col("day") == F.lit(day)).write.mode("append").parquet(src)
+
+    def next_midnight(batch):
+        return _dt.datetime.combine(batch.agg(F.max("day")).first()[0], _dt.time()) + _dt.timedelta(days=1)
+
+    q = ingest_stream(spark, src, feed.schema, f"{base}/tables", f"{base}/checkpoint", "seq",
+                      next_midnight, max_files_per_trigger=files_per_trigger)
     q.awaitTermination()
-    final = SN.read_table(spark, f"{base}/tables", "listings", LISTINGS)
+    return Tables(f"{base}/tables")
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    from ..schemas import LISTINGS
+    from ..sources import snapshots as SN
+
+    t = _streamed(spark, sf_dir, 10_000)
+    final = SN.read_table(spark, t.root, t.listings, LISTINGS)
     return final.select("listing_id", *FEED_COLS)
 
 
+APPLY_WEEK = 7
+
+
+def _weekly_feed(spark, sf_dir):
+    """The feed with its 7-day batch number; four or five batches."""
+    feed = TV.feed(spark, sf_dir).select("listing_id", "day", "seq", *FEED_COLS)
+    return feed.withColumn("batch", F.floor(F.date_diff("day", F.lit("2024-01-01").cast("date")) / APPLY_WEEK))
+
+
+@register("scd2_apply_history")
+def q_scd2_apply_history(spark, sf_dir):
+    """SCD-2 batch by batch through the committed tables (J-4, SCD-2..4, PIP-2):
+    the history after every 7-day batch, equal to the replay over those batches."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..streaming.ingest import make_batch_step
+    from . import pipelines as P
+
+    feed = materialize(_weekly_feed(spark, sf_dir), "weekly-feed")
+    root = scratch_path(spark, f"apply-{uuid.uuid4().hex[:12]}")
+    for n in [r[0] for r in feed.select("batch").distinct().orderBy("batch").collect()]:
+        at = _dt.datetime(2024, 1, 1) + _dt.timedelta(days=APPLY_WEEK * (int(n) + 1))
+        make_batch_step(root, "seq", at, run_id_base=0)(feed.where(F.col("batch") == n), int(n))
+    return _fmt_history(P.full_history(spark, P.Tables(root)))
+
+
 @register("value_score")
 def q_value_score(spark, sf_dir):
     """WIN-1/WIN-2 alone: scores of the Available consumer listings, attached

@@ -61,20 +61,3 @@ GOLD_FIELDS: list[tuple[str, T.DataType]] = [
 ]
 GOLD_COLUMNS = [n for n, _ in GOLD_FIELDS]
 GOLD = T.StructType([T.StructField(n, t) for n, t in GOLD_FIELDS])
-
-PAGES = T.StructType([T.StructField("page_id", L), T.StructField("url", S),
-                      T.StructField("html", S)])
-
-TRACE_STEPS = T.StructType([
-    T.StructField("trace_id", L), T.StructField("step", I), T.StructField("name", S),
-    T.StructField("duration_ms", D), T.StructField("prompt_tokens", L),
-    T.StructField("completion_tokens", L), T.StructField("total_tokens", L),
-    T.StructField("model", S), T.StructField("status", S), T.StructField("error", S),
-])
-
-ATTEMPTS = T.StructType([
-    T.StructField("session", L), T.StructField("iteration", I),
-    T.StructField("generation_error", S), T.StructField("safety_passed", B),
-    T.StructField("approved", B), T.StructField("exec_error", S),
-    T.StructField("feedback", S),
-])

@@ -2,8 +2,8 @@
 
 Library code never builds its own session; it receives one.  ``get_session``
 is for tests, ``bench.py`` and scripts.  ``checkpoint_dir`` reads the shared
-folder the cluster names in ``spark.checkpoint.dir`` and only falls back to a
-fresh local scratch folder when the setting is absent (local runs, tests).
+folder the cluster names in ``spark.checkpoint.dir``; a fresh local scratch
+folder takes its place only when the master is local and the setting is absent.
 """
 
 from __future__ import annotations
@@ -59,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="lotwright-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.names import blank_to_null, strip_ws
 from ..schemas import LISTING_COLUMNS, LISTING_TYPES
@@ -151,7 +152,8 @@ def resolve_ref(value: Column, rsc: Column) -> Column:
 
 
 def parse_detail_pages(pages: DataFrame) -> DataFrame:
-    """SCR-3..13: one silver record per page (``listing_id`` = ``page_id``).
+    """SCR-3..13: one silver record per page (``listing_id`` = ``page_id``; see
+    ``detail_records`` for keys from the work list).
     Pages without a data line give a record of NULLs."""
     c = F.col
     d = pages.withColumn("_rsc", rsc_payload(c("html")))
@@ -185,7 +187,24 @@ def parse_detail_pages(pages: DataFrame) -> DataFrame:
         "features": feats, "accessories": blank_to_null(strip_ws(r["accessories"])),
         "detail_url": F.lit(None).cast("string"),
     }
-    return d.select(*[out[n].cast(LISTING_TYPES[n]).alias(n) for n in LISTING_COLUMNS])
+    # Integers stay BIGINT, so that a value too large for its column meets the
+    # validation rules instead of failing the job.
+    wide = {n: "bigint" if t == T.IntegerType() else t for n, t in LISTING_TYPES.items()}
+    return d.select(*[(out[n] if n == "listing_id" else out[n].cast(wide[n])).alias(n) for n in LISTING_COLUMNS])
+
+
+def detail_records(pages: DataFrame, worklist: DataFrame, host: str = "https://www.example.com") -> DataFrame:
+    """Detail records of the work list (listing_id, detail_url): a page belongs
+    to the entry whose absolute URL it was fetched from, which gives the
+    record its key and detail_url.  Pages of no entry give no record."""
+    from ..operators.lifecycle import absolute_url
+    wanted = worklist.where(F.col("detail_url").isNotNull()).select(
+        F.col("listing_id").alias("_key"), F.col("detail_url").alias("_path"),
+        absolute_url(F.col("detail_url"), host).alias("url"))
+    hits = pages.join(wanted, "url")
+    parsed = parse_detail_pages(hits.select(F.struct("_key", "_path").alias("page_id"), "html"))
+    out = {"listing_id": F.col("listing_id._key"), "detail_url": F.col("listing_id._path")}
+    return parsed.select(*[out.get(n, F.col(n)).alias(n) for n in LISTING_COLUMNS])
 
 
 def discover_links(pages: DataFrame, host: str) -> DataFrame:

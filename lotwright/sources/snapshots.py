@@ -1,17 +1,22 @@
-"""Snapshot tables on Parquet, run ledger, schema conformance (SNK-1..6, WIN-3, LIF-2).
-
-Plain Parquet has no transactions, so a table is a folder of immutable
-snapshots ``<root>/<table>/v=<n>`` plus a small ``_CURRENT`` file naming the
-newest one.  A writer never overwrites the snapshot it read from: it writes
-``v=<n+1>`` and then moves the pointer; readers resolve the pointer once.
-A failed job leaves at most an orphaned snapshot folder, never a half table.
-The pointer is read and written through the Hadoop FileSystem of the path,
-so the same code works on HDFS or object stores.
+"""Versioned tables on Parquet, run ledger, schema conformance (SNK-1..6, WIN-3, LIF-2).
+
+Plain Parquet has no transactions.  Every change is a numbered commit of a
+root folder: its data goes to ``<root>/<table>/commit=<n>``, and then one small
+marker ``<root>/_commits/<n>`` is created, never overwritten or deleted.  The
+largest complete marker is the state; it names the newest commit of every
+snapshot table.  Append tables are all their commits up to the state's number.
+
+A job that fails before its marker leaves folders nobody reads; the retry gets
+the same number and overwrites them, so a replay is harmless.  One writer
+per root is expected; a second one fails when it creates the marker.
+The markers go through the Hadoop FileSystem of the path, so the same code
+works on HDFS or object stores.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +25,7 @@ from pyspark.sql import types as T
 from ..schemas import LISTING_COLUMNS, RUN_EVENTS
 from .tables import empty_table
 
-POINTER = "_CURRENT"
+COMMITS = "_commits"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -29,70 +34,105 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def current_version(spark: SparkSession, root: str, table: str) -> int | None:
-    fs, p = _fs(spark, f"{root.rstrip('/')}/{table}/{POINTER}")
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream))
-        return int(reader.readLine().strip())
-    finally:
-        stream.close()
-
-
-def _set_version(spark: SparkSession, root: str, table: str, version: int) -> None:
-    fs, p = _fs(spark, f"{root.rstrip('/')}/{table}/{POINTER}")
-    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{table}/_CURRENT.tmp")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(str(version).encode()))
-    finally:
-        out.close()
-    fs.delete(p, False)
-    fs.rename(tmp, p)
+def state(spark: SparkSession, root: str) -> tuple[int, dict]:
+    """(newest commit number or 0, its content)."""
+    fs, folder = _fs(spark, f"{root.rstrip('/')}/{COMMITS}")
+    if not fs.exists(folder):
+        return 0, {}
+    names = sorted((int(f.getPath().getName()) for f in fs.listStatus(folder)
+                    if f.getPath().getName().isdigit()), reverse=True)
+    for n in names:                       # a marker cut off while written is no commit
+        jvm = spark.sparkContext._jvm
+        stream = fs.open(jvm.org.apache.hadoop.fs.Path(folder, str(n)))
+        try:
+            text = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream)).readLine()
+        finally:
+            stream.close()
+        try:
+            return n, json.loads(text or "")
+        except json.JSONDecodeError:
+            continue
+    return 0, {}
+
+
+class Commit:
+    """The next commit of a root: write tables, then ``finish``."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.before, self.content = state(spark, root)
+        self.number = self.before + 1
+        fs, _ = _fs(spark, self.root)
+        while fs.exists(_fs(spark, f"{self.root}/{COMMITS}/{self.number}")[1]):
+            self.number += 1              # past markers that were cut off
+
+    def snapshot(self, df: DataFrame, table: str, partition_by: list[str] | None = None) -> None:
+        """The whole new content of ``table``."""
+        self.append(df, table, partition_by)
+        self.content = {**self.content, table: self.number}
+
+    def append(self, df: DataFrame, table: str, partition_by: list[str] | None = None) -> None:
+        """Rows added to an append table."""
+        writer = df.write.mode("overwrite")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(f"{self.root}/{table}/commit={self.number}")
+
+    def note(self, key: str, value) -> None:
+        """A small fact kept with the state, e.g. the last batch of a stream."""
+        self.content = {**self.content, key: value}
+
+    def finish(self) -> int:
+        fs, marker = _fs(self.spark, f"{self.root}/{COMMITS}/{self.number}")
+        out = fs.create(marker, False)    # fails if another writer was first
+        try:
+            out.write(bytearray((json.dumps(self.content) + "\n").encode()))
+        finally:
+            out.close()
+        return self.number
 
 
 def read_table(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
     """SNK-6: the current snapshot, or an empty frame of ``schema`` if none."""
-    v = current_version(spark, root, table)
-    if v is None:
+    n = state(spark, root)[1].get(table)
+    if n is None:
         return empty_table(spark, schema)
-    return conform(spark.read.parquet(f"{root.rstrip('/')}/{table}/v={v}"), schema)
+    return conform(spark.read.parquet(f"{root.rstrip('/')}/{table}/commit={n}"), schema)
 
 
 def write_table(df: DataFrame, root: str, table: str,
                 partition_by: list[str] | None = None) -> int:
-    """SNK-2: write a new snapshot and move the pointer to it."""
-    spark = df.sparkSession
-    v = (current_version(spark, root, table) or 0) + 1
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(f"{root.rstrip('/')}/{table}/v={v}")
-    _set_version(spark, root, table, v)
-    return v
+    """SNK-2: commit a new snapshot; returns the commit's number."""
+    commit = Commit(df.sparkSession, root)
+    commit.snapshot(df, table, partition_by)
+    return commit.finish()
 
 
-def append_table(df: DataFrame, root: str, table: str) -> None:
-    """SNK-3: append-only tables (quarantine, run events) get plain appends."""
-    df.write.mode("append").parquet(f"{root.rstrip('/')}/{table}")
+def append_table(df: DataFrame, root: str, table: str) -> int:
+    """SNK-3: commit rows added to an append table (quarantine, run events)."""
+    commit = Commit(df.sparkSession, root)
+    commit.append(df, table)
+    return commit.finish()
 
 
 def read_appended(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
+    """All committed rows of an append table."""
+    n, _ = state(spark, root)
     fs, p = _fs(spark, f"{root.rstrip('/')}/{table}")
-    if not fs.exists(p):
+    if n == 0 or not fs.exists(p):
         return empty_table(spark, schema)
-    return conform(spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{table}"), schema)
+    wide = T.StructType([*schema.fields, T.StructField("commit", T.LongType())])
+    rows = spark.read.schema(wide).parquet(f"{root.rstrip('/')}/{table}").where(F.col("commit") <= n)
+    return conform(rows.drop("commit"), schema)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """SNK-5: additive schema migration: columns missing from older files
-    are added as NULL, every column is cast to the target type, order fixed."""
+    are added as NULL, every column is cast to the target type (a value that
+    does not fit becomes NULL), order fixed."""
     have = set(df.columns)
-    return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-                       for f in schema.fields])
+    return df.select(*[(F.col(f.name).try_cast(f.dataType) if f.name in have
+                        else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
 
 
 def export_parquet(listings: DataFrame, path: str) -> bool:

@@ -1,4 +1,4 @@
-"""Table access helpers: parallelism floor, empty-with-schema, snapshot swap."""
+"""Table access helpers: empty-with-schema, written intermediate tables."""
 
 from __future__ import annotations
 
@@ -6,40 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-_SPREAD: dict[tuple[str, str], DataFrame] = {}
-
-
-def with_parallelism_floor(df: DataFrame, floor: int | None = None,
-                           key: str | None = None) -> DataFrame:
-    """Spread a scan over at least ``floor`` tasks (default: the session's
-    default parallelism) when its file splits are fewer.
-
-    A file with a single row group is one split, and the per-row parsing that
-    follows is CPU-bound.  A plain ``repartition`` is not enough: Catalyst
-    pushes the following filters below the round-robin exchange, back into
-    the single scan task.  So an under-split input is repartitioned and
-    checkpointed once (reliable checkpoint in the shared checkpoint folder,
-    survives executor loss) and reused for the session under ``key``.  On a
-    cluster the scan of a large table has thousands of splits and ``df`` is
-    returned untouched: no shuffle, no copy, filters reach the scan.
-    Checking the split count plans the scan (file listing) but runs no job."""
-    spark = df.sparkSession
-    floor = floor or spark.sparkContext.defaultParallelism
-    if df._jdf.rdd().getNumPartitions() >= floor:   # JVM RDD: no Python row pipeline
-        return df
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    cache_key = (spark.sparkContext.applicationId, key) if key else None
-    if cache_key and cache_key in _SPREAD:
-        return _SPREAD[cache_key]
-    # A reliable checkpoint in the shared folder.  (A Parquet copy was
-    # measured ~1 s slower per query for the wide silver views built on it.)
-    spread = df.repartition(floor).checkpoint(eager=True)
-    if cache_key:
-        _SPREAD[cache_key] = spread
-    return spread
-
-
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """SNK-6: the "create if absent" form of a table: an empty frame with its schema."""
     return spark.createDataFrame([], schema)

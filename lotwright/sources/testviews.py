@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import LISTINGS
-from .tables import with_parallelism_floor
 
 # Car names chosen so that every parsing branch is hit: multi-word brands,
 # brand patterns (anchored and unanchored), engine codes, bare A/M tokens,
@@ -68,8 +67,6 @@ LISTING_TYPES = ["Dealer", "Direct Owner", None]
 
 # Gold rebuilds over the test views use this fixed as-of date.
 TEST_AS_OF = dt.date(2002, 6, 30)
-# Replays of the feed use this run date for the closing timestamp of batches.
-FEED_DAYS = 30
 
 
 def _pick(values: list, k: Column) -> Column:
@@ -157,12 +154,9 @@ def feed_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Read one driver table; see ``tables.with_parallelism_floor`` for ``spread``."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    return with_parallelism_floor(df, key=path) if spread else df
-
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one driver table plainly, so filters and columns reach the scan."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 _VIEWS: dict[tuple, DataFrame] = {}
@@ -178,6 +172,11 @@ def memo_view(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
     return _VIEWS[key]
 
 
+def forget_views() -> None:
+    """Drop all memoised views (the next query builds, and writes, them anew)."""
+    _VIEWS.clear()
+
+
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return memo_view(spark, "silver", sf_dir,
                      lambda: silver_from_orders(read_table(spark, sf_dir, "orders")))
@@ -302,3 +301,64 @@ def trace_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(llm, F.to_json(F.struct(prompt.alias("input_tokens"), completion.alias("output_tokens"),
                                        (prompt + completion).alias("total_tokens"))))
         .alias("usage_metadata"))
+
+
+# ---------------------------------------------------------------------------
+# Pages with payload chunks, one detail page per order and one listing page
+# per 25 orders; every parser branch depends on the key.
+# ---------------------------------------------------------------------------
+def payload_detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages(page_id, url, html)``: the detail page of every order."""
+    k = F.col("o_orderkey")
+    n = k.cast("string")
+    e = r'\"'                                     # a quote inside a payload
+
+    def text(name, value):
+        return F.concat(F.lit(f"{e}{name}{e}:{e}"), value, F.lit(f"{e},"))
+
+    def number(name, value):
+        return F.concat(F.lit(f"{e}{name}{e}:"), value.cast("string"), F.lit(","))
+
+    priced = F.when(k % 5 == 0, F.lit("")).otherwise(F.concat(
+        text("price", F.concat(F.lit("$"), F.format_number(k * 10 + 1, 0))),
+        text("depreciation", F.when(k % 8 == 0, F.lit("N.A.")).otherwise(F.concat(n, F.lit("/yr as of today"))))))
+    model = F.when(k % 4 == 0, F.lit("")).otherwise(text("carmodel", F.concat(F.lit("Model "), n)))
+    vehicle = F.when(k % 3 == 0, F.lit("$15f")).otherwise(F.lit("Sedan"))
+    line = F.concat(
+        F.lit("1a:{"), priced, text("road_tax", F.concat(F.lit("$"), (k % 900).cast("string"), F.lit("/yr"))),
+        text("features", F.concat(F.lit(r'Rims 19\\\" '), n, F.lit("  View specs of the car"))),
+        text("mileage", F.concat(F.format_number(k * 3, 0), F.lit(" km (about)"))),
+        text("engine_cap", F.when(k % 97 == 0, F.lit("1598 cc / 2000000000")).otherwise(F.concat(n, F.lit(" cc")))),
+        text("type_of_vehicle", vehicle), model, number("owners", k % 6),
+        F.lit(f"{e}accessories{e}:{{{e}text{e}:{e}Kit "), n, F.lit(f"{e},{e}x{e}:1}},"),
+        text("coe_left", F.when(k % 10 == 0, F.lit("New 10-yr COE")).otherwise(
+            F.concat((k % 9).cast("string"), F.lit("yrs "), (k % 12).cast("string"), F.lit("mths 3days")))),
+        text("power", F.concat((k % 300).cast("string"), F.lit(".5 kW"))),
+        text("is_direct_owner", F.when(k % 2 == 0, F.lit("1")).otherwise(F.lit("0"))),
+        F.lit(f"{e}status{e}:{e}Available for sale{e}}}"))
+    push = lambda body: F.concat(F.lit('<script>self.__next_f.push([1,"'), body, F.lit('"])</script>'))
+    ref = F.when(k % 6 == 0, push(F.lit(f"15f:{{{e}text{e}:{e}SUV{e},{e}link{e}:{e}/x{e}}}"))).otherwise(F.lit(""))
+    data = F.when(k % 7 == 0, F.lit("<p>sold out</p>")).otherwise(F.concat(push(line), ref))
+    url = F.when(k % 19 == 0, F.concat(F.lit("https://example.com/info/"), n)) \
+        .otherwise(F.concat(F.lit("https://www.example.com/used-cars/info/"), n))
+    html = F.concat(F.lit("<html><title>Used 2019 Title "), n, F.lit(" for Sale</title>"), data, F.lit("</html>"))
+    return read_table(spark, sf_dir, "orders").select(k.alias("page_id"), url.alias("url"), html.alias("html"))
+
+
+def payload_listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages(page_id, url, html)``: listing pages of 25 keys; every key also
+    has a card with another link on the page after its own."""
+    k = F.col("o_orderkey")
+    e = r'\"'
+    cards = read_table(spark, sf_dir, "orders").select(
+        k, F.explode(F.array(F.lit(0), F.lit(1))).alias("again")).select(
+        (F.floor(k / 25) + F.col("again")).alias("page_id"), "again", k,
+        F.concat(F.lit(f"{e}id{e}:"), k.cast("string"), F.lit(f",{e}link{e}:{e}https://www.example.com/used-cars/info/"),
+                 F.when(F.col("again") == 1, F.lit("again-")).otherwise(F.lit("car-")), k.cast("string"),
+                 F.when(k % 3 == 0, F.lit("/?x=1")).otherwise(F.lit("/")), F.lit(e)).alias("card"))
+    # At most 50 cards on a page.
+    body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("again", "o_orderkey", "card"))),
+                                    lambda c: c["card"]), "},{")
+    return cards.groupBy("page_id").agg(
+        F.concat(F.lit('<script>self.__next_f.push([1,"5:[{'), body, F.lit('}]"])</script>')).alias("html")).select(
+        "page_id", F.lit("u").alias("url"), "html")

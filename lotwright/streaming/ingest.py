@@ -1,58 +1,71 @@
 """Structured Streaming ingest of listing records (STR-1 .. STR-3).
 
 A file source with a fixed schema feeds ``foreachBatch``; every micro-batch
-runs the same SCD-2 / upsert step as the batch job against the snapshot
-tables.  The query's checkpoint (in the shared checkpoint folder) makes the
-source offsets exactly-once; the run ledger makes the sink idempotent: a
-micro-batch whose id is already recorded as completed is skipped on replay.
+runs the same SCD-2 / upsert step as the batch job against the versioned
+tables.  The query's checkpoint (in the shared checkpoint folder) fixes what
+each batch holds; history, listings, the run event and the batch's number are one
+commit, so a batch replayed after a crash either finds its number committed
+and is skipped, or starts again from the state before it.
 No streaming state store is used: the unbounded "seen ids" state lives in
-the listings table itself (left anti / left joins inside the batch step).
+the listings table itself (left joins inside the batch step).
+
+Later batches overwrite earlier ones, so the source must bring its files in the
+order of their records (Spark takes files by modification time).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import scd as SCD
-from ..schemas import HISTORY, LISTINGS, RUN_EVENTS
+from ..plans.pipelines import Tables
+from ..schemas import HISTORY, LISTINGS
 from ..sources import snapshots as SN
 from ..sources.tables import materialize
 
-
-def _already_done(spark: SparkSession, root: str, runs_table: str, batch_run_id: int) -> bool:
-    ev = SN.read_appended(spark, root, runs_table, RUN_EVENTS)
-    return ev.where((F.col("run_id") == batch_run_id) & (F.col("status") == "completed")).limit(1).count() > 0
+RunTime = dt.datetime | Callable[[DataFrame], dt.datetime]
+LAST_BATCH = "stream_batch"
 
 
-def make_batch_step(root: str, seq: str, run_ts: dt.datetime, track_history: bool = True,
+def make_batch_step(root: str, seq: str, run_ts: RunTime, track_history: bool = True,
                     run_id_base: int = 1_000_000, runs_table: str = "stream_runs"):
-    """The ``foreachBatch`` function: SCD-2 (or upsert) of one micro-batch."""
+    """The ``foreachBatch`` function: SCD-2 (or upsert) of one micro-batch.
+
+    ``run_ts`` is one time for all batches, or gives each batch its own."""
+    t = Tables(root)
+
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        commit = SN.Commit(spark, root)
+        if commit.content.get(LAST_BATCH, -1) >= batch_id:
+            return                                   # replayed after its commit: no double apply
         rid = run_id_base + batch_id
-        if _already_done(spark, root, runs_table, rid):
-            return                                   # replayed after a failure: no double apply
-        listings = SN.read_table(spark, root, "listings", LISTINGS)
-        keyed = batch.where(F.col("listing_id").isNotNull())
+        keyed = materialize(batch.where(F.col("listing_id").isNotNull()), "stream-batch")
+        at = run_ts(keyed) if callable(run_ts) else run_ts
+        columns = [c for c in keyed.columns if c in {*LISTINGS.fieldNames(), seq}]
+        keyed = keyed.select(*columns)
+        listings = SN.read_table(spark, root, t.listings, LISTINGS)
         if track_history:
-            history = SN.read_table(spark, root, "listings_history", HISTORY)
-            res = SCD.scd2_apply(listings, history, keyed, run_ts, rid, seq)
-            SN.write_table(materialize(res.history, "history"), root, "listings_history")
-            SN.write_table(materialize(res.listings, "listings"), root, "listings")
+            res = SCD.scd2_apply(listings, SN.read_table(spark, root, t.history, HISTORY), keyed, at, rid, seq)
+            commit.append(res.closed, t.closed)
+            commit.snapshot(res.current, t.history)
+            commit.snapshot(res.listings, t.listings)
         else:
             inc = SCD.collapse_batch(keyed, ["listing_id"], seq).drop(seq)
-            SN.write_table(materialize(SCD.upsert_coalesce(listings, inc, run_ts), "listings"),
-                           root, "listings")
-        SN.append_table(SN.run_event(spark, rid, "completed", run_ts), root, runs_table)
+            commit.snapshot(SCD.upsert_coalesce(listings, inc, at), t.listings)
+        commit.append(SN.run_event(spark, rid, "completed", at), runs_table)
+        commit.note(LAST_BATCH, batch_id)
+        commit.finish()
     return step
 
 
 def ingest_stream(spark: SparkSession, source_dir: str, schema: T.StructType, root: str,
-                  checkpoint: str, seq: str, run_ts: dt.datetime, max_files_per_trigger: int = 1,
+                  checkpoint: str, seq: str, run_ts: RunTime, max_files_per_trigger: int = 1,
                   track_history: bool = True, available_now: bool = True):
     """STR-1: start the streaming ingest; returns the StreamingQuery.
     ``available_now`` processes what is there and stops (scheduled runs)."""

@@ -65,7 +65,10 @@ SELECT response_id, COALESCE(verdict = 'APPROVED', false) AS approved,
        ELSE 'correctness' END AS category FROM p"""
     m = AU.MAX_ITERATIONS
     o["session_outcome"] = f"""WITH a AS ({attempts_sql()}),
-l AS (SELECT *, row_number() OVER (PARTITION BY session ORDER BY iteration DESC) AS rn,
+l AS (SELECT *, row_number() OVER (PARTITION BY session ORDER BY
+    generation_error IS NULL AND NOT (safety_passed AND approved) AND iteration < {m},
+    CASE WHEN generation_error IS NULL AND NOT (safety_passed AND approved) AND iteration < {m}
+         THEN -iteration ELSE iteration END) AS rn,
              count(*) OVER (PARTITION BY session) AS attempts FROM a)
 SELECT session, iteration AS iterations, attempts,
   CASE WHEN generation_error IS NOT NULL THEN 'error'

@@ -107,23 +107,27 @@ ACTIVE = (f"detail_url IS NOT NULL AND price IS NOT NULL AND accessories IS NOT
           f"(status IS NULL OR status NOT IN {in_list(LK.INACTIVE_STATUSES)})")
 
 
-def collapse(group: list[str]) -> str:
+def collapse(group: list[str], extra: str = "") -> str:
     g = ", ".join(group)
     cols = ", ".join(f"arg_max({c}, seq) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in FEED_COLS)
-    return f"SELECT {g}, {cols}, max(seq) AS seq FROM feed GROUP BY {g}"
+    return f"SELECT {g}, {cols}, max(seq) AS seq{extra} FROM feed GROUP BY {g}"
 
 
-def replay_cte() -> str:
+DAILY = ("day", "CAST(day AS TIMESTAMP) + INTERVAL 1 DAY", "CAST(strftime(day, '%Y%m%d') AS BIGINT)")
+WEEKLY = ("batch", "TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(7 * (batch + 1) AS INT))", "batch")
+
+
+def replay_cte(batches: tuple[str, str, str] = DAILY) -> str:
+    batch, run_ts, run_id = batches
     prev = ", ".join(
         f"last_value({f} IGNORE NULLS) OVER w AS _prev_{f}" for f in LK.SCD_TRACKED_FIELDS)
     change = " OR ".join(
         f"({f} IS NOT NULL AND (_prev_{f} IS NULL OR _prev_{f} <> {f}))" for f in LK.SCD_TRACKED_FIELDS)
-    return f"""b AS ({collapse(['listing_id', 'day'])}),
+    return f"""b AS ({collapse(['listing_id', batch], ', count(*) AS _rows')}),
 p AS (SELECT *, {prev}, count(*) OVER w AS _n_before FROM b
-      WINDOW w AS (PARTITION BY listing_id ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+      WINDOW w AS (PARTITION BY listing_id ORDER BY {batch} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 replayed AS (SELECT *, CASE WHEN _n_before = 0 THEN 'new' WHEN {change} THEN 'changed' ELSE 'unchanged' END AS _action,
-      CAST(day AS TIMESTAMP) + INTERVAL 1 DAY AS valid_from,
-      CAST(strftime(day, '%Y%m%d') AS BIGINT) AS scrape_run_id FROM p),
+      {run_ts} AS valid_from, {run_id} AS scrape_run_id FROM p),
 h0 AS (SELECT * FROM replayed WHERE _action IN ('new', 'changed')),
 history AS (SELECT *, lead(valid_from) OVER (PARTITION BY listing_id ORDER BY valid_from) AS valid_to FROM h0)"""
 
@@ -186,7 +190,7 @@ def oracles() -> dict[str, str]:
     o["scd2_history"] = rp + HIST_SELECT
     o["scd2_counts"] = rp + ("SELECT strftime(day, '%Y-%m-%d') AS day, count(*) FILTER (WHERE _action = 'new') AS new, "
                              "count(*) FILTER (WHERE _action = 'changed') AS changed, "
-                             "count(*) FILTER (WHERE _action = 'unchanged') AS unchanged, count(*) AS total "
+                             "count(*) FILTER (WHERE _action = 'unchanged') AS unchanged, CAST(sum(_rows) AS BIGINT) AS total "
                              "FROM replayed GROUP BY day")
     o["scd2_versions"] = (f"WITH feed AS ({feed_sql()}), {replay_cte()}, state AS ({collapse(['listing_id'])}), "
                           "v AS (SELECT listing_id, count(*) AS versions FROM history GROUP BY listing_id)\n"
@@ -195,12 +199,37 @@ def oracles() -> dict[str, str]:
     o["recent_changes"] = rp + HIST_SELECT + (f" WHERE valid_from >= {FEED_AS_OF} - INTERVAL 72 HOURS "
                                               "ORDER BY valid_from DESC, listing_id")
     o["current_rows"] = rp + HIST_SELECT + " WHERE valid_to IS NULL"
+    o["scd2_apply_history"] = (
+        f"WITH day_feed AS ({feed_sql()}), feed AS (SELECT *, CAST(floor(date_diff('day', DATE '2024-01-01', day) / 7) "
+        f"AS BIGINT) AS batch FROM day_feed), {replay_cte(WEEKLY)}\n" + HIST_SELECT)
     o["integrity_violations"] = (
-        f"WITH {gold_ctes()}, feed AS ({feed_sql()}), {replay_cte()}\n"
-        "SELECT 'duplicate_key' AS \"check\", listing_id FROM gold GROUP BY listing_id HAVING count(*) > 1 "
-        "UNION ALL SELECT CASE WHEN brand IS NULL THEN 'null_brand' ELSE 'status_not_allowed' END, listing_id FROM gold "
+        f"WITH {gold_ctes()}, feed AS ({feed_sql()}), {replay_cte()}, "
+        "g0 AS (SELECT listing_id, CASE WHEN listing_id % 701 <> 0 THEN brand END AS brand, "
+        "CASE WHEN listing_id % 901 = 0 THEN 'Lost' ELSE status END AS status FROM gold), "
+        "g AS (SELECT * FROM g0 UNION ALL SELECT * FROM g0 WHERE listing_id % 501 = 0), "
+        "r AS (SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY valid_from) AS rk FROM history), "
+        "h AS (SELECT listing_id, valid_from, valid_to, valid_to IS NULL OR listing_id % 7 = 0 AS cur FROM r "
+        "WHERE listing_id % 11 <> 0 OR rk <> 2)\n"
+        "SELECT 'duplicate_key' AS \"check\", listing_id FROM g GROUP BY listing_id HAVING count(*) > 1 "
+        "UNION ALL SELECT CASE WHEN brand IS NULL THEN 'null_brand' ELSE 'status_not_allowed' END, listing_id FROM g "
         f"WHERE brand IS NULL OR status IS NULL OR status NOT IN {in_list(LK.GOLD_STATUS_VALUES)} "
-        "UNION ALL SELECT 'multiple_current', listing_id FROM history WHERE valid_to IS NULL GROUP BY listing_id HAVING count(*) > 1")
+        "UNION ALL SELECT 'multiple_current', listing_id FROM h WHERE cur GROUP BY listing_id HAVING count(*) > 1 "
+        "UNION ALL SELECT DISTINCT 'orphan_history', listing_id FROM h WHERE listing_id % 13 = 0 "
+        "UNION ALL SELECT 'broken_chain', listing_id FROM h WHERE valid_to IS NOT NULL AND NOT EXISTS "
+        "(SELECT 1 FROM h s WHERE s.listing_id = h.listing_id AND s.valid_from = h.valid_to)")
+    cast = "CAST({} AS VARCHAR)"
+    o["change_details"] = (
+        f"WITH silver AS ({silver_sql()}), feed AS ({feed_sql()}), inc AS ({collapse(['listing_id'])}) " + " UNION ALL ".join(
+            f"SELECT i.listing_id, '{c}' AS field, {cast.format('s.' + c)} AS old_value, {cast.format('i.' + c)} AS new_value "
+            f"FROM inc i JOIN silver s USING (listing_id) WHERE i.{c} IS NOT NULL AND (s.{c} IS NULL OR s.{c} <> i.{c})"
+            for c in ("price", "depreciation", "status")))
+    o["worklist_limited"] = o["worklist_union"] + " LIMIT 500"
+    o["record_validity"] = (SILVER + f", {_checked()[1]}\nSELECT listing_id, "
+                            + " AND ".join(f"_r_{r.column} IS NULL" for r, _ in _checked()[0]) + " AS is_valid FROM checked")
+    o["history_slice"] = rp + (
+        f"SELECT listing_id, CAST(row_number() OVER (ORDER BY valid_from) AS INT) AS version, {', '.join(FEED_COLS)}, "
+        f"strftime(valid_from, {TS}) AS valid_from FROM history WHERE listing_id = (SELECT min(listing_id) FROM history) "
+        "ORDER BY version LIMIT 5")
     return o
 
 

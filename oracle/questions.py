@@ -1,9 +1,7 @@
-"""DuckDB oracles of the stored gold questions (same SQL text, gold as a CTE)."""
+"""DuckDB oracles of the stored gold questions: whole results, gold as a CTE."""
 
 from __future__ import annotations
 
-import re
-
 from lotwright.plans.query import QUESTIONS
 
 from .gold import gold_ctes
@@ -12,7 +10,6 @@ from .gold import gold_ctes
 def oracles() -> dict[str, str]:
     out = {}
     for name, sql in QUESTIONS.items():
-        cleaned = sql if re.search(r"(?i)\bLIMIT\s+\d+", sql) else f"{sql} LIMIT 100"
         out[name] = (f"WITH {gold_ctes()}, listings_gold AS (SELECT * FROM gold)\n"
-                     f"SELECT * FROM ({cleaned}) q")
+                     f"SELECT * FROM ({sql}) q")
     return out

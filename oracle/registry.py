@@ -31,7 +31,7 @@ for _k, _v in questions.oracles().items():
 
 from . import pages  # noqa: E402
 
-for _k, _v in pages.oracles().items():
+for _k, _v in {**pages.oracles(), **pages.payload_oracles()}.items():
     add(_k, _v)
 for _k, _v in ops.stream_oracles().items():
     add(_k, _v)

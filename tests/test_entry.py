@@ -37,6 +37,11 @@ def test_snapshots_and_ledger(spark):
     ev = SN.read_appended(spark, root, "runs", RUN_EVENTS)
     st = {r["run_id"]: r["status"] for r in SN.run_state(ev).collect()}
     assert st == {1: "completed", 2: "running"}
+    with open(os.path.join(root, "_commits", "99"), "w"):
+        pass                                        # a marker cut off while written is no commit
+    assert SN.state(spark, root)[0] == 5 and SN.read_table(spark, root, "listings", LISTINGS).count() == 2
+    big = spark.createDataFrame([(1, 1 << 40)], "listing_id long, owners long")
+    assert SN.conform(big, LISTINGS).first()["owners"] is None
     assert SN.last_run(ev).first()["run_id"] == 2
     assert SN.resume_page(ev).first()["resume_page"] == 1
     assert not SN.export_parquet(spark.createDataFrame([], LISTINGS), os.path.join(root, "x"))
@@ -70,3 +75,17 @@ def test_run_daily_records_phases(spark):
     assert out["phases"]["discover"]["new"] == 2 and out["phases"]["details"]["status"] == "ok"
     ev = SN.read_appended(spark, t.root, t.runs, RUN_EVENTS)
     assert SN.run_state(ev).first()["status"] == "completed"
+
+
+def test_discovery_that_finds_nothing_delists_nothing(spark):
+    from lotwright.operators import lifecycle as LC
+    listings = spark.createDataFrame([(1, "Available"), (2, "Reserved")], "listing_id long, status string")
+    none = LC.delist_unseen(listings, listings.where("false"))
+    assert [r["status"] for r in none.orderBy("listing_id").collect()] == ["Available", "Reserved"]
+    assert none.where("_delisted").count() == 0
+
+
+def test_overflowing_values_do_not_fail(spark):
+    from lotwright.functions import scalars as SC
+    rows = spark.createDataFrame([("99999999999y",), ("9223372036854775807y 9m",), ("5y 3m",)], "t string")
+    assert [r[0] for r in rows.select(SC.coe_months(F.col("t"))).collect()] == [None, None, 63]

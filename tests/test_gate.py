@@ -68,8 +68,10 @@ def test_guarded_surface(spark):
                                  "listing_id long, name string, value long")
     ok = QRY.guarded_sql(spark, "SELECT * FROM listings_gold ORDER BY listing_id", {"listings_gold": gold},
                          max_limit=3)
-    res = QRY.bounded_rows(ok, 3, with_count=False)
-    assert res["truncated"] is True and len(res["rows"]) == 3
+    res = QRY.bounded_rows(ok, 3)
+    assert res["truncated"] is True and len(res["rows"]) == 3 and res["row_count"] == 5
+    whole = QRY.bounded_rows(QRY.guarded_sql(spark, "SELECT * FROM listings_gold", {"listings_gold": gold}), 3)
+    assert whole["truncated"] is True and whole["row_count"] == 5 and len(whole["rows"]) == 3
     bad = QRY.guarded_sql(spark, "INSERT INTO listings_gold VALUES (1)", {"listings_gold": gold})
     assert not bad.passed and bad.reason == "Statement type not allowed: INSERT"
     missing = QRY.guarded_sql(spark, "SELECT nope FROM listings_gold", {"listings_gold": gold})
@@ -77,3 +79,24 @@ def test_guarded_surface(spark):
     ref = QRY.guarded_sql(spark, "SELECT reflect('java.lang.System', 'exit', '0') FROM listings_gold",
                           {"listings_gold": gold})
     assert not ref.passed
+
+
+def test_guarded_surface_is_closed(spark):
+    gold = spark.createDataFrame([(1, 0)], "listing_id long, value long")
+    spark.createDataFrame([("s",)], "secret string").createOrReplaceTempView("secret_tbl")
+    spark.createDataFrame([("g",)], "secret string").createOrReplaceGlobalTempView("secret_global")
+    views = {"listings_gold": gold}
+    comma = QRY.guarded_sql(spark, "SELECT secret FROM listings_gold a, secret_tbl b", views)
+    assert comma.df is None and (comma.error or comma.reason)
+    other = QRY.guarded_sql(spark, "SELECT secret FROM listings_gold a, global_temp.secret_global b", views)
+    assert other.df is None and other.reason == "Database names are not allowed"
+    zero = QRY.bounded_rows(QRY.guarded_sql(spark, "SELECT 1 / value AS x FROM listings_gold", views))
+    assert "DIVIDE_BY_ZERO" in zero["error"] and zero["rows"] == []
+    gone = QRY.guarded_sql(spark, "SELECT * FROM nowhere", views)
+    assert not gone.passed and "Tables not allowed" in gone.reason
+    spark.createDataFrame([(7,)], "mine long").createOrReplaceTempView("listings_gold")
+    QRY.guarded_sql(spark, "SELECT * FROM listings_gold", views)
+    assert spark.table("listings_gold").columns == ["mine"]          # the caller's view is left alone
+    for v in ("secret_tbl", "listings_gold"):
+        spark.catalog.dropTempView(v)
+    spark.catalog.dropGlobalTempView("secret_global")

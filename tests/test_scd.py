@@ -29,12 +29,17 @@ def _batch(spark, recs):
                                  "listing_id long, price long, status string, seq long")
 
 
+def _history(before, res):
+    """Closed rows stay; the batch's closed rows and the new current part join them."""
+    return before.where("NOT is_current").unionByName(res.closed).unionByName(res.current)
+
+
 def test_price_drop_chain(spark):
     listings, history = empty_table(spark, LISTINGS), empty_table(spark, HISTORY)
     for day, price in enumerate([90000, 85000, 80000], start=1):
         res = SCD.scd2_apply(listings, history, _batch(spark, [{"listing_id": 200, "price": price}]),
                              dt.datetime(2024, 1, day), day)
-        listings, history = materialize(res.listings, "l"), materialize(res.history, "h")
+        listings, history = materialize(res.listings, "l"), materialize(_history(history, res), "h")
     h = history.orderBy("valid_from").collect()
     assert [r["price"] for r in h] == [90000, 85000, 80000]
     assert [r["is_current"] for r in h] == [False, False, True]
@@ -45,7 +50,7 @@ def test_unchanged_is_idempotent_and_null_means_keep(spark):
     listings, history = empty_table(spark, LISTINGS), empty_table(spark, HISTORY)
     b = _batch(spark, [{"listing_id": 1, "price": 100, "status": "Available"}])
     res = SCD.scd2_apply(listings, history, b, dt.datetime(2024, 1, 1), 1)
-    listings, history = materialize(res.listings, "l"), materialize(res.history, "h")
+    listings, history = materialize(res.listings, "l"), materialize(_history(history, res), "h")
     res2 = SCD.scd2_apply(listings, history, b, dt.datetime(2024, 1, 2), 2)
     assert res2.counts.first().asDict() == {"new": 0, "changed": 0, "unchanged": 1, "total": 1}
     res3 = SCD.scd2_apply(listings, history, _batch(spark, [{"listing_id": 1}]), dt.datetime(2024, 1, 3), 3)
@@ -74,7 +79,7 @@ def test_sequential_daily_batches_equal_replay(spark):
         batch = feed.where(F.col("day") == d).drop("day")
         ts = dt.datetime.combine(d, dt.time()) + dt.timedelta(days=1)
         res = SCD.scd2_apply(listings, history, batch, ts, None)
-        listings, history = materialize(res.listings, "l"), materialize(res.history, "h")
+        listings, history = materialize(res.listings, "l"), materialize(_history(history, res), "h")
     got = sorted((r["listing_id"], r["valid_from"], r["valid_to"], r["is_current"], r["price"], r["status"])
                  for r in history.collect())
     assert got == want
