@@ -12,6 +12,10 @@ pieces, on any machine and in any order.  A document's variant is a keyed
 hash of its doc_id; different variants and seeds split the same word
 differently.  With a rate of 0 the result is the library's own segmentation.
 
+New chunks of a slice of texts run their agendas side by side in numpy: each
+round takes every chunk's best candidate.  Long chunks, and chunks with
+characters outside the vocabulary, use a heap; both give the same pieces.
+
 Characters outside the vocabulary become byte pieces, and so does the space
 mark itself where a text holds it: decoding gives back every text exactly.
 
@@ -22,13 +26,14 @@ gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,12 +44,13 @@ MARK = "▁"
 RATE = 0.1
 VARIANTS = 4
 #: A worker forgets its cached chunks beyond this number (memory, not results).
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 900_000
 CACHE_CHUNK_CHARS = 32
 
-_CHUNK = re.compile(f" *[A-Za-zÀ-ɏ]+(?=[.,])| *[^ \n{MARK}]+| *[\n{MARK}]| +")
+_CHUNK = re.compile(f" *[A-Za-zÀ-ɏ]++(?=[.,])| *[^ \n{MARK}]+| *[\n{MARK}]| +")
 _EDGE = re.compile(f"[^{MARK}]{MARK}|[A-Za-zÀ-ɏ][.,]|\n")      # what no piece may hold
 _LITERAL = "\x00" + MARK          # a space mark of the text itself; no piece
+NO_MERGE = np.iinfo(np.int32).max
 _WORKER: dict[tuple, "Encoder"] = {}
 
 
@@ -68,6 +74,13 @@ class Vocabulary:
             self.rank[pieces[i]] = rank
         if any(_EDGE.search(p) for p in self.ids):
             raise ValueError("pieces of this vocabulary cross chunk edges")
+        # Merges by ids: every way to put a piece together from two pieces.
+        merges = {(self.ids[p[:i]], self.ids[p[i:]]): (n_id, self.rank[p]) for p, n_id in self.ids.items()
+                  for i in range(1, len(p)) if p[:i] in self.ids and p[i:] in self.ids}
+        pairs = np.array([a * n + b for a, b in merges], np.int64)
+        order = np.argsort(pairs)
+        self.n_pieces, self.pairs = n, pairs[order]
+        self.merged, self.merge_rank = (np.array(x, np.int32)[order] for x in zip(*merges.values()))
         self.byte_ids = {int(pieces[i][3:5], 16): i for i in range(n) if model.is_byte(i)}
         self.raw = [b""] * n
         for p, i in self.ids.items():
@@ -75,10 +88,46 @@ class Vocabulary:
         for b, i in self.byte_ids.items():
             self.raw[i] = bytes([b])
 
+        self.sizes = np.array([len(r) for r in self.raw], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.table = np.frombuffer(b"".join(self.raw), np.uint8)
+
+    def merges(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(merged id, rank) of pairs of ids; the rank is NO_MERGE where there is none."""
+        key = left.astype(np.int64) * self.n_pieces + right
+        at = np.searchsorted(self.pairs, key)
+        at[at == len(self.pairs)] = 0
+        good = (self.pairs[at] == key) & (left >= 0) & (right >= 0)
+        return self.merged[at], np.where(good, self.merge_rank[at], NO_MERGE)
+
     def decode(self, ids: list[int]) -> str:
         """The text of a piece sequence, without the dummy prefix."""
         return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
+    def decode_all(self, ids: np.ndarray, edges: np.ndarray) -> list[bytes]:
+        """UTF-8 texts of many sequences, ids[edges[i]:edges[i + 1]] each."""
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        data = self.table[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.starts[ids] - ends + sizes, sizes)]
+        at = np.concatenate([[0], ends])[edges]
+        whole = data.tobytes()
+        return [whole[a + 1:b] for a, b in zip(at[:-1], at[1:])]
+
+
+def _draw(key: int, left: int, right: int, size: int) -> int:
+    """32 bits of a candidate's keyed hash; ``_draws`` is the same for arrays."""
+    h = key ^ (left << 42 | right << 21 | size)
+    h = ((h ^ (h >> 30)) * 0xBF58476D1CE4E5B9) & 0xFFFFFFFFFFFFFFFF
+    h = ((h ^ (h >> 27)) * 0x94D049BB133111EB) & 0xFFFFFFFFFFFFFFFF
+    return h >> 32
+
+
+def _draws(key: np.ndarray, left: np.ndarray, right: np.ndarray, size: np.ndarray) -> np.ndarray:
+    h = key ^ (left << 42 | right << 21 | size).astype(np.uint64)
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h >> np.uint64(32)
+
 
 class Encoder:
     """Keyed agenda encoder of one (seed, rate), with a cache of chunks per variant."""
@@ -89,23 +138,20 @@ class Encoder:
         self.known: dict[int, dict[str, bytes]] = {}
 
     def _key(self, variant: int, chunk: str) -> int:
-        return int.from_bytes(hashlib.blake2b(chunk.encode(), digest_size=8,
-                                              key=b"%d:%d" % (self.seed, variant)).digest(), "little")
+        return xxhash.xxh3_64_intdigest(chunk.encode(), seed=self.seed * 1_000_003 + variant)
 
     def pieces(self, chunk: str, variant: int) -> list[str]:
         """Agenda processing of one chunk."""
         rank = self.vocabulary.rank
-        symbols: list[str | None] = [MARK if c == " " else _LITERAL if c == MARK else c for c in chunk]
+        symbols: list[str | None] = list(chunk)
+        if " " in chunk or MARK in chunk:
+            symbols = [MARK if c == " " else _LITERAL if c == MARK else c for c in chunk]
         n = len(symbols)
         if n == 1:
             return symbols
         following, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda = []
-        for i in range(n - 1):
-            piece = symbols[i] + symbols[i + 1]
-            r = rank.get(piece)
-            if r is not None:
-                agenda.append((r, i, piece))
+        pairs = map(str.__add__, symbols, symbols[1:])
+        agenda = [(rank[p], i, p) for i, p in enumerate(pairs) if p in rank]
         heapq.heapify(agenda)
         below, key = self.below, self._key(variant, chunk) if self.below and agenda else 0
         while agenda:
@@ -114,9 +160,7 @@ class Encoder:
             if left is None or j >= n or len(left) >= len(piece) or left + symbols[j] != piece:
                 continue
             if below:
-                h = (key ^ (i * 0x9E3779B97F4A7C15 + j * 0xC2B2AE3D27D4EB4F + len(piece) * 0x165667B19E3779F9)) * 0xD6E8FEB86659FD93
-                h = ((h & 0xFFFFFFFFFFFFFFFF) ^ ((h & 0xFFFFFFFFFFFFFFFF) >> 29)) * 0xBF58476D1CE4E5B9
-                if ((h >> 31) & 0xFFFFFFFF) < below:
+                if _draw(key, i, j, len(piece)) < below:
                     continue
             symbols[i], symbols[j] = piece, None
             following[i] = k = following[j]
@@ -142,31 +186,92 @@ class Encoder:
                 out.append(i)
             else:
                 out += [v.byte_ids[b] for b in (MARK if s == _LITERAL else s).encode()]
-        return np.array(out, "<i4").tobytes()
+        return array("i", out).tobytes()
+
+    def _side_by_side(self, chunks: list[str], variant: int) -> list[bytes | None]:
+        """Agendas of short chunks in numpy; None for chunks with unknown characters."""
+        v = self.vocabulary
+        size = np.array([len(c) for c in chunks])
+        codes = np.frombuffer("".join(chunks).encode("utf-32-le"), "<u4")
+        letters, which = np.unique(codes, return_inverse=True)
+        ids = np.array([v.ids.get(MARK if x == 32 else "" if chr(x) == MARK else chr(x), -2) for x in letters.tolist()], np.int64)
+        n, width = len(chunks), int(size.max())
+        column = np.arange(width)
+        inside = column < size[:, None]
+        symbol = np.full((n, width + 2), -1, np.int64)
+        symbol[:, :width][inside] = ids[which]
+        unknown = (symbol == -2).any(axis=1)
+        start = np.full((n, width + 2), 0, np.int64)
+        start[:, :width] = column
+        start[:, :width + 1][np.arange(n), size] = size             # where a row's last symbol ends
+        piece, rank = v.merges(symbol[:, :-1].ravel(), symbol[:, 1:].ravel())
+        piece, rank = piece.reshape(n, -1), rank.reshape(n, -1)
+        key = np.array([self._key(variant, c) for c in chunks], np.uint64) if self.below else None
+        live = np.arange(n)
+        while len(live):
+            best = rank[live].argmin(axis=1)
+            live, best = live[(some := rank[live, best] < NO_MERGE)], best[some]
+            if self.below and len(live):
+                left, right, end = (start[live, best + d] for d in range(3))
+                skip = _draws(key[live], left, right, end - left) < np.uint64(self.below)
+                rank[live[skip], best[skip]] = NO_MERGE
+                rows, at = live[~skip], best[~skip]
+            else:
+                rows, at = live, best
+            if not len(rows):
+                continue
+            symbol[rows, at] = piece[rows, at]
+            # The right symbol of each merge goes: what follows moves up by one.
+            for table, first in ((symbol, 1), (start, 1), (piece, 0), (rank, 0)):
+                some = table[rows]
+                moved = np.where(np.arange(table.shape[1] - 1) >= (at + first)[:, None], some[:, 1:], some[:, :-1])
+                table[rows, :-1] = moved
+            for d in (-1, 0):
+                there = at + d >= 0
+                r, p = rows[there], at[there] + d
+                piece[r, p], rank[r, p] = v.merges(symbol[r, p], symbol[r, p + 1])
+        kept = symbol >= 0
+        edges = np.concatenate([[0], np.cumsum(kept.sum(axis=1))]) * 4
+        flat = symbol[kept].astype("<i4").tobytes()
+        return [None if u else flat[a:b] for u, a, b in zip(unknown.tolist(), edges[:-1].tolist(), edges[1:].tolist())]
 
-    def encode(self, text: str, variant: int) -> bytes:
-        """Ids of a text as little-endian int32 bytes."""
-        if not text:
-            return b""
+    def learn(self, chunks: list[str], variant: int) -> None:
+        """Encode chunks that are not known yet."""
         known = self.known.setdefault(variant, {})
-        chunks = _CHUNK.findall(" " + text)
-        long = False
-        for c in set(chunks).difference(known):
-            known[c] = self._ids(c, variant)
-            long |= len(c) > CACHE_CHUNK_CHARS
-        out = b"".join(map(known.__getitem__, chunks))
-        if long:
-            for c in [c for c in set(chunks) if len(c) > CACHE_CHUNK_CHARS]:
-                del known[c]
+        short = sorted((c for c in chunks if len(c) <= CACHE_CHUNK_CHARS), key=len)
+        for a in range(0, len(short), 4096):
+            some = short[a:a + 4096]
+            known.update(zip(some, self._side_by_side(some, variant)))
+        for c in chunks:
+            if known.get(c) is None:
+                known[c] = self._ids(c, variant)
+
+    def encode_all(self, texts: list[str | None], variants: list[int]) -> list[bytes]:
+        """Ids of texts as little-endian int32 bytes."""
         if sum(map(len, self.known.values())) > CACHE_CHUNKS:
             self.known.clear()
+        chunks = [_CHUNK.findall(" " + t) if t else [] for t in texts]
+        out = [b""] * len(texts)
+        for v in set(variants):
+            mine = [i for i, x in enumerate(variants) if x == v]
+            known = self.known.setdefault(v, {})
+            new = set().union(*[chunks[i] for i in mine]).difference(known)
+            self.learn(list(new), v)
+            for i in mine:
+                out[i] = b"".join(map(known.__getitem__, chunks[i]))
+            for c in new:
+                if len(c) > CACHE_CHUNK_CHARS:
+                    del known[c]
         return out
 
+    def encode(self, text: str | None, variant: int) -> bytes:
+        return self.encode_all([text], [variant])[0]
+
 
 def variant_of(doc_id: int | None, seed: int, variants: int) -> int:
     if doc_id is None:
         return 0
-    return int.from_bytes(hashlib.blake2b(b"%d" % doc_id, digest_size=8, key=b"%d" % seed).digest(), "little") % variants
+    return xxhash.xxh3_64_intdigest(b"%d" % doc_id, seed=seed) % variants
 
 
 def _encode_batches(model_file: str, seed: int, rate: float, variants: int):
@@ -180,7 +285,7 @@ def _encode_batches(model_file: str, seed: int, rate: float, variants: int):
             for a, b in slices(batch.column("text")):
                 text = batch.column("text").slice(a, b - a)
                 variant = [variant_of(d, seed, variants) for d in doc_ids[a:b]]
-                ids = [encoder.encode(t, v) for t, v in zip(text.to_pylist(), variant)]
+                ids = encoder.encode_all(text.to_pylist(), variant)
                 edges = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(a, b - a), text, pa.array(variant, pa.int32()),
@@ -201,9 +306,13 @@ def _decode_batches(model_file: str):
         for batch in batches:
             ids = batch.column("ids")
             edges, values = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False)
-            decoded = [vocabulary.decode(values[a:b].tolist()) for a, b in zip(edges[:-1], edges[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.string())],
-                                             names=[*batch.schema.names, "decoded"])
+            decoded: list[bytes] = []
+            for a in range(0, len(edges) - 1, 256):
+                some = edges[a:a + 257]
+                decoded += vocabulary.decode_all(values[some[0]:some[-1]], some - some[0])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(decoded, pa.binary()).cast(pa.string())],
+                names=[*batch.schema.names, "decoded"])
     return run
 
 
