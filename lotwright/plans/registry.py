@@ -497,3 +497,78 @@ def q_worklist_fetch_urls(spark, sf_dir):
     """SET-1 + SCR-14: the fetch list with absolute URLs."""
     w = LC.worklist_union(TV.silver(spark, sf_dir))
     return w.select("listing_id", LC.absolute_url(F.col("detail_url")).alias("url"), "priority")
+
+
+# ---------------------------------------------------------------------------
+# Storage and ledger operators (SNK-1, SNK-4, WIN-3, LIF-2, PIP-2, PIP-5).
+# ---------------------------------------------------------------------------
+def _root(spark, name):
+    import uuid
+
+    from ..session import scratch_path
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@register("export_listings")
+def q_export_listings(spark, sf_dir):
+    """SNK-1: the exported Parquet file, read back."""
+    from ..sources import snapshots as SN
+    path = _root(spark, "export")
+    SN.export_parquet(TV.silver(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+@register("ingest_listings")
+def q_ingest_listings(spark, sf_dir):
+    """PIP-2 / VAL-9: listings after validating and ingesting the whole silver view."""
+    from ..schemas import LISTING_COLUMNS, LISTINGS
+    from ..sources import snapshots as SN
+    from . import pipelines as P
+    t = P.Tables(_root(spark, "ingest"))
+    P.ingest_batch(spark, TV.silver(spark, sf_dir).drop("scraped_at"), t, 1, TEST_RUN_TS)
+    return SN.read_table(spark, t.root, t.listings, LISTINGS).select(*LISTING_COLUMNS)
+
+
+def _run_events(spark, sf_dir):
+    """Ledger: one run per day of the feed; the last one is still running."""
+    day = TV.feed(spark, sf_dir).groupBy("day").agg(
+        F.min("ts").alias("a"), F.max("ts").alias("b"), F.count("*").cast("int").alias("n"),
+        F.count_distinct("listing_id").cast("int").alias("k"))
+    none_ts, none_int = F.lit(None).cast("timestamp"), F.lit(None).cast("int")
+    run = _run_id().alias("run_id")
+    begun = day.select(run, F.col("a").alias("event_ts"), F.col("a").alias("started_at"), none_ts.alias("finished_at"),
+                       none_int.alias("pages_fetched"), none_int.alias("listings_count"), F.lit("running").alias("status"))
+    done = day.where(F.col("day") < F.lit("2024-01-30").cast("date")).select(
+        run, F.col("b").alias("event_ts"), none_ts.alias("started_at"), F.col("b").alias("finished_at"),
+        F.col("n").alias("pages_fetched"), F.col("k").alias("listings_count"), F.lit("completed").alias("status"))
+    return begun.unionByName(done)
+
+
+@register("run_states")
+def q_run_states(spark, sf_dir):
+    """SNK-4: the ledger appended as commits and read back, latest state per run."""
+    from ..schemas import RUN_EVENTS
+    from ..sources import snapshots as SN
+    root = _root(spark, "ledger")
+    SN.append_table(_run_events(spark, sf_dir), root, "run_events")
+    st = SN.run_state(SN.read_appended(spark, root, "run_events", RUN_EVENTS))
+    return st.select("run_id", F.date_format("started_at", TS_TEXT).alias("started_at"),
+                     F.date_format("finished_at", TS_TEXT).alias("finished_at"), "pages_fetched", "listings_count", "status")
+
+
+@register("last_run")
+def q_last_run(spark, sf_dir):
+    from ..sources import snapshots as SN
+    return SN.last_run(_run_events(spark, sf_dir)).select("run_id", "pages_fetched", "status")
+
+
+@register("resume_page")
+def q_resume_page(spark, sf_dir):
+    """LIF-2 over the completed runs."""
+    from ..sources import snapshots as SN
+    return SN.resume_page(_run_events(spark, sf_dir).where(F.col("run_id") < 20240130))
+
+
+@register("stats_report")
+def q_stats_report(spark, sf_dir):
+    return ST.stats_report(TV.silver(spark, sf_dir))

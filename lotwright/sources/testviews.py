@@ -86,7 +86,11 @@ def silver_from_orders(orders: DataFrame) -> DataFrame:
               .when(k % 61 == 0, "N.A.").when(k % 67 == 0, "Sold Out")
               .when(st == "O", "Available for sale").when(st == "F", "SOLD")
               .when(st == "P", "Reserved"))
-    name = _pick(CAR_NAMES, k)
+    # Engine sizes and COE dates vary with the key, so names do too.
+    name = F.concat(_pick(CAR_NAMES, k), F.when(k % 5 == 1, F.concat(
+        F.lit(" "), (k % 4 + 1).cast("string"), F.lit("."), (k % 10).cast("string"), F.lit("A")))
+        .when(k % 5 == 2, F.concat(F.lit(" (COE till 0"), (k % 9 + 1).cast("string"), F.lit("/20"),
+                                   (k % 15 + 26).cast("string"), F.lit(")"))).otherwise(F.lit("")))
     cols = {
         "listing_id": k,
         "car_name": name,
@@ -258,10 +262,12 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``reviews(response_id, text)``: reviewer output per assistant turn."""
+    """``reviews(response_id, text)``: reviewer output = a template followed by
+    the whole assistant turn text."""
     c = _assistant_turns(spark, sf_dir)
     k = F.col("conv_id") * 100 + F.col("turn")
-    return c.select(k.alias("response_id"), _template(REVIEW_TEMPLATES, k).alias("text"))
+    return c.select(k.alias("response_id"),
+                    F.concat(_template(REVIEW_TEMPLATES, k), F.lit("\n"), F.col("text")).alias("text"))
 
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:

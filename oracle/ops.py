@@ -233,6 +233,32 @@ def oracles() -> dict[str, str]:
     return o
 
 
+def ledger_oracles() -> dict[str, str]:
+    runs = (f"WITH feed AS ({feed_sql()}), d AS (SELECT day, CAST(strftime(day, '%Y%m%d') AS BIGINT) AS run_id, min(ts) AS a, "
+            "max(ts) AS b, CAST(count(*) AS INT) AS n, CAST(count(DISTINCT listing_id) AS INT) AS k, "
+            "day < DATE '2024-01-30' AS done FROM feed GROUP BY day)\n")
+    cols = ", ".join(LISTING_COLUMNS)
+    rules, checked = _checked()
+    ruled = {r.column for r, _ in rules}
+    clean = ", ".join(f"CASE WHEN _r_{c} IS NULL THEN {c} END AS {c}" if c in ruled else c for c in LISTING_COLUMNS)
+    coverage = " UNION ALL ".join(f"SELECT 'coverage.{c}' AS metric, CAST(count({c}) AS DOUBLE) AS value FROM silver"
+                                  for c in LISTING_COLUMNS)
+    price = " UNION ALL ".join(
+        f"SELECT 'price.{n}', CAST({x} AS DOUBLE) FROM silver WHERE price IS NOT NULL HAVING count(*) > 0" for n, x in
+        (("count", "count(*)"), ("min", "min(price)"), ("max", "max(price)"), ("mean", "trunc(avg(price))")))
+    return {
+        "export_listings": SILVER + f"SELECT {cols} FROM silver",
+        "ingest_listings": SILVER + f", {checked}\nSELECT {clean} FROM checked WHERE listing_id IS NOT NULL",
+        "run_states": runs + f"SELECT run_id, strftime(a, {TS}) AS started_at, CASE WHEN done THEN strftime(b, {TS}) END AS "
+                      "finished_at, CASE WHEN done THEN n END AS pages_fetched, CASE WHEN done THEN k END AS listings_count, "
+                      "CASE WHEN done THEN 'completed' ELSE 'running' END AS status FROM d",
+        "last_run": runs + "SELECT run_id, CASE WHEN done THEN n END AS pages_fetched, "
+                    "CASE WHEN done THEN 'completed' ELSE 'running' END AS status FROM d ORDER BY run_id DESC LIMIT 1",
+        "resume_page": runs + "SELECT n + 1 AS resume_page FROM d WHERE done ORDER BY run_id DESC LIMIT 1",
+        "stats_report": SILVER + f"{coverage} UNION ALL {price}",
+    }
+
+
 def stream_oracles() -> dict[str, str]:
     return {"stream_ingest": FEED + "SELECT listing_id, " + ", ".join(FEED_COLS)
             + " FROM (" + collapse(["listing_id"]) + ")"}

@@ -23,12 +23,14 @@ def pick(values: list, k: str) -> str:
 def silver_sql() -> str:
     k = "o_orderkey"
     p = "o_totalprice"
+    name = (f"({pick(TV.CAR_NAMES, k)} || CASE {k} % 5 WHEN 1 THEN ' ' || ({k} % 4 + 1) || '.' || ({k} % 10) || 'A' "
+            f"WHEN 2 THEN ' (COE till 0' || ({k} % 9 + 1) || '/20' || ({k} % 15 + 26) || ')' ELSE '' END)")
     day = "CAST(o_orderdate AS DATE)"
     posted = f"({day} + CAST({k} % 90 AS INTEGER))"
     return f"""
 SELECT
   CAST({k} AS BIGINT) AS listing_id,
-  {pick(TV.CAR_NAMES, k)} AS car_name,
+  {name} AS car_name,
   CASE WHEN {k} % 17 = 0 THEN NULL
        WHEN {k} % 19 = 0 THEN 'https://example.com/info/' || CAST({k} AS VARCHAR)
        ELSE '/used-cars/info/' || CAST({k} AS VARCHAR) END AS detail_url,
@@ -52,7 +54,7 @@ SELECT
   CASE WHEN {k} % 19 = 0 THEN 'yesterday'
        WHEN {k} % 8 = 0 THEN strftime({posted}, '%Y-%m-%d')
        ELSE strftime({posted}, '%d-%b-%Y') END AS posted_date,
-  {pick(TV.CAR_NAMES, k)} AS car_model,
+  {name} AS car_model,
   CAST(CAST(floor({p} / 4) AS BIGINT) % 120000 AS BIGINT) AS coe,
   CAST(500 + {k} % 3000 AS BIGINT) AS road_tax,
   CAST(CASE WHEN {k} % 8 = 0 THEN NULL WHEN {k} % 29 = 0 THEN 0
@@ -109,7 +111,7 @@ def responses_sql() -> str:
 
 def reviews_sql() -> str:
     k = "(conv_id * 100 + turn)"
-    return (f"SELECT {k} AS response_id, {template_sql(TV.REVIEW_TEMPLATES, k)} AS text "
+    return (f"SELECT {k} AS response_id, {template_sql(TV.REVIEW_TEMPLATES, k)} || chr(10) || text AS text "
             "FROM conversations WHERE role = 'assistant'")
 
 
