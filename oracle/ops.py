@@ -248,7 +248,7 @@ def ledger_oracles() -> dict[str, str]:
         (("count", "count(*)"), ("min", "min(price)"), ("max", "max(price)"), ("mean", "trunc(avg(price))")))
     return {
         "export_listings": SILVER + f"SELECT {cols} FROM silver",
-        "ingest_listings": SILVER + f", {checked}\nSELECT {clean} FROM checked WHERE listing_id IS NOT NULL",
+        "ingest_listings": SILVER + f", {checked}, c AS (SELECT {clean} FROM checked)\nSELECT * FROM c WHERE listing_id IS NOT NULL",
         "run_states": runs + f"SELECT run_id, strftime(a, {TS}) AS started_at, CASE WHEN done THEN strftime(b, {TS}) END AS "
                       "finished_at, CASE WHEN done THEN n END AS pages_fetched, CASE WHEN done THEN k END AS listings_count, "
                       "CASE WHEN done THEN 'completed' ELSE 'running' END AS status FROM d",
