@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import line_dedup as D
 from . import quality_rules as Q
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -65,7 +66,45 @@ quality_verdict AS (
   FROM quality_distance)"""
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+NEAR = rf"""WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS ws FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(ws) >= 2 THEN
+    list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) ELSE ws END AS s FROM w),
+sh AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v FROM sh a JOIN sh b ON a.x = b.x AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+both_ways AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach(doc_id, seen) AS (
+  SELECT doc_id, doc_id FROM sets UNION SELECT r.doc_id, b.v FROM reach r JOIN both_ways b ON b.u = r.seen)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, m.c AS component_id, s.doc_id = m.c AS kept
+FROM sets s JOIN (SELECT doc_id, min(seen) AS c FROM reach GROUP BY doc_id) m USING (doc_id)"""
+
+# A line's place is doc_id * 10^6 + line number, which orders the test tables' lines.
+LINES = rf"""WITH l0 AS (
+  SELECT doc_id, string_split({_LOWER}, chr(10)) AS ls FROM documents),
+l1 AS (SELECT doc_id, unnest(range(len(ls))) AS i, unnest(ls) AS line FROM l0),
+l AS (SELECT doc_id, i, doc_id * 1000000 + i AS place, regexp_extract_all(line, '{_WORD}') AS w FROM l1),
+d AS (SELECT w, min(place) AS place, len(any_value(w)) AS n FROM l WHERE len(w) >= {D.MIN_WORDS} GROUP BY w),
+v AS (SELECT place, n, p, w[1:p - 1] AS a, w[p + 1:] AS b FROM (
+  SELECT *, unnest(range(1, n + 1)) AS p FROM d WHERE n >= {D.MIN_NEAR_WORDS})),
+sub AS (SELECT place, min(place) OVER (PARTITION BY n, p, a, b) AS earliest FROM v),
+ins AS (SELECT v.place AS longer, d.place AS shorter FROM v JOIN d ON d.w = list_concat(v.a, v.b) AND d.n >= {D.MIN_NEAR_WORDS}),
+near AS (
+  SELECT place FROM sub WHERE earliest < place UNION SELECT longer FROM ins WHERE shorter < longer
+  UNION SELECT shorter FROM ins WHERE longer < shorter),
+gone AS (
+  SELECT l.doc_id, l.i FROM l JOIN d ON d.w = l.w WHERE l.place > d.place OR d.place IN (SELECT place FROM near))
+SELECT l0.doc_id, len(ls)::BIGINT AS n_lines, coalesce(g.n, 0)::BIGINT AS n_removed, coalesce(g.r, '') AS removed
+FROM l0 LEFT JOIN (SELECT doc_id, count(*) AS n, string_agg(i, ',' ORDER BY i) AS r FROM gone GROUP BY doc_id) g USING (doc_id)"""
+
+
 ORACLE = {
+    "op4_near_dedup": NEAR,
+    "op9_line_dedup": LINES,
     "op3_quality_rules": f"""WITH {quality_ctes("documents")}
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
   n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed, kept,
