@@ -13,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import materialize
-from . import html_extract, line_dedup, lm_scoring, near_dedup, oracles, packing, piece_dropout, pii, quality_rules, token_store, topk_search
+from . import (html_extract, line_dedup, lm_scoring, near_dedup, oracles, packing, piece_dropout, pii, quality_rules,
+               token_store, topk_search)
 from .shipping import ship
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
