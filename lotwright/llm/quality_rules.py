@@ -126,15 +126,19 @@ def _distance(counts: str, total: str, reference: str, reference_total: str) ->
     return f"sqrt(greatest(aggregate({shares}, 0D, (s, x) -> s + x) / 2, 0D))"
 
 
-def assess(docs: DataFrame, carry: list[str]) -> DataFrame:
+def assess(docs: DataFrame, carry: list[str], write: bool) -> DataFrame:
     """``carry`` columns named c0.., then ``_q`` (counts) and ``_v`` (distances, ``kept``).
 
-    The measured rows are written once: they feed both the references (one row
-    per language, exact integer sums with partial aggregation) and the verdict.
+    The measured rows feed both the references (one row per language, exact
+    integer sums with partial aggregation) and the verdict.  With ``write``
+    they are written once; without, they are measured twice, which spares a
+    copy of the corpus when whole texts are carried.
     The reference table has one fixed-size row per language; whether it is
     broadcast is Spark's choice by its written size.
     """
-    measured = materialize(features(docs, carry), "quality")
+    measured = features(docs, carry)
+    if write:
+        measured = materialize(measured, "quality")
     refs = materialize(references(measured), "quality-ref")
     joined = measured.join(refs, measured["_q"]["lang"] == refs["_r_lang"], "left")
     judged = joined.selectExpr(
@@ -147,7 +151,7 @@ def assess(docs: DataFrame, carry: list[str]) -> DataFrame:
 
 def report(docs: DataFrame) -> DataFrame:
     """Per document: base counts, ``base_failed``, the two distances and ``kept``."""
-    return assess(docs, ["doc_id"]).selectExpr(
+    return assess(docs, ["doc_id"], write=True).selectExpr(
         "c0 AS doc_id", "_q.n_words", "_q.word_chars", "_q.n_symbols", "_q.n_dup_lines", "_q.n_repeat_words",
         "_q.base_failed", "_v.kept", "round(_v.char_distance, 6) AS char_distance",
         "round(_v.word_distance, 6) AS word_distance")
@@ -155,5 +159,5 @@ def report(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns."""
-    good = assess(docs, docs.columns).where("_v.kept")
+    good = assess(docs, docs.columns, write=False).where("_v.kept")
     return good.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
