@@ -11,18 +11,19 @@ def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Cut lineage by writing ``df`` as Parquet under the shared checkpoint
     folder (``spark.checkpoint.dir``) and reading it back.
 
     One job (an eager ``checkpoint()`` computes and then writes in a second
     job); the files survive executor loss; the read-back relation carries real
-    size statistics for the planner.  Each call gets a fresh folder."""
+    size statistics for the planner.  Each call gets a fresh folder.
+    ``compression`` is Parquet's; the session's default if not given."""
     import uuid
 
     from ..session import scratch_path
 
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return spark.read.parquet(path)
