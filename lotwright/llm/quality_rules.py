@@ -134,7 +134,7 @@ def assess(docs: DataFrame, carry: list[str]) -> DataFrame:
     The reference table has one fixed-size row per language; whether it is
     broadcast is Spark's choice by its written size.
     """
-    measured = materialize(features(docs, carry), "quality")
+    measured = materialize(features(docs, carry), "quality", "zstd")       # it may hold whole texts
     refs = materialize(references(measured), "quality-ref")
     joined = measured.join(refs, measured["_q"]["lang"] == refs["_r_lang"], "left")
     judged = joined.selectExpr(
