@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter
 
@@ -51,6 +52,27 @@ def test_quality_divergence_rejects_symbol_text(spark):
     assert abs(js - got[99]["char_distance"]) < 1e-5
 
 
+def test_quality_word_histogram_rejects_other_texts(spark):
+    common = {"en": "the of and to in a is that it was for on with as at".split(),
+              "fr": "de la le et les des en un une est pour que dans du qui".split(),
+              "es": "de la el y los se del las por con no para al que en".split(), "it": "di che e il per".split()}
+    rng = random.Random(4)
+
+    def text(lang, n):
+        return " ".join(rng.choice(common[lang]) if lang and rng.random() < 0.2 else f"v{''.join(rng.choices('abcdefg', k=6))}"
+                        for _ in range(n))
+    rows = [(i, text(lang, n), lang) for i, (lang, n) in enumerate(
+        (lang, n) for lang in ("en", "fr", "es") for n in (60, 150, 400, 1500) for _ in range(40))]
+    clean = {i for i, _, _ in rows}
+    rows += [(1000 + n, text(None, n), "en") for n in (60, 150, 400, 1500)]                  # no common word
+    rows += [(4000 + n, text("fr", n), "en") for n in (150, 400, 1500)] + [(8000 + n, text("es", n), "fr") for n in (400, 1500)]
+    rows += [(12000, text("it", 400), "en")]                                                 # an unlisted language
+    got = {r["doc_id"]: r for r in Q.report(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert {i for i, r in got.items() if r["kept"]} == clean
+    assert all(r["char_distance"] <= Q.MAX_CHAR_DISTANCE for r in got.values())              # the word rule alone rejects
+
+
 def test_quality_keeps_columns_and_empty_table(spark):
     docs = edge_docs(spark)
     assert Q.keep_good(docs).columns == docs.columns
