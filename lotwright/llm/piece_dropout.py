@@ -6,13 +6,14 @@ letter to a full stop or comma, and none holds a line end (this is checked when
 the vocabulary is read), so the text falls into chunks that are encoded on
 their own.  In a chunk an agenda holds the adjacent pairs
 that form a piece, best score first, then leftmost.  Each popped candidate is
-skipped for good when a keyed hash of (seed, variant, chunk, place of the
-pair) falls below the dropout rate, so the same seed always gives the same
-pieces, on any machine and in any order.  A document's variant is a keyed
-hash of its doc_id; different variants and seeds split the same word
-differently.  With a rate of 0 the result is the library's own segmentation.
-
-New chunks of a slice of texts run their agendas side by side in numpy: each
+skipped for good when a keyed hash of (seed, variant, doc_id, the chunk's place
+in the text, place of the pair) falls below the dropout rate, so the same seed
+always gives the same pieces, on any machine and in any order, and every
+occurrence of a word draws for itself.  A document's variant is a keyed hash
+of its doc_id.  With a rate of 0 the result is the library's own segmentation.
+
+What a worker caches are outcomes: a chunk with the candidates dropped from it.
+New outcomes of a slice of texts run their agendas side by side in numpy: each
 round takes every chunk's best candidate.  Long chunks, and chunks with
 characters outside the vocabulary, use a heap; both give the same pieces.
 
@@ -20,7 +21,7 @@ Characters outside the vocabulary become byte pieces, and so does the space
 mark itself where a text holds it: decoding gives back every text exactly.
 
 Defined results: null and empty texts have no pieces (decoded: empty); a null
-doc_id is variant 0; repeated rows are encoded each, alike; an empty table
+doc_id is variant 0 and draws by its text; repeated rows are encoded each, alike; an empty table
 gives an empty result; extra columns are ignored.
 """
 
@@ -28,7 +29,6 @@ from __future__ import annotations
 
 import heapq
 import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,8 +43,8 @@ from .textops import slices
 MARK = "▁"
 RATE = 0.1
 VARIANTS = 4
-#: A worker forgets its cached chunks beyond this number (memory, not results).
-CACHE_CHUNKS = 900_000
+#: A worker forgets its cached outcomes beyond this number (memory, not results).
+CACHE_OUTCOMES = 500_000
 CACHE_CHUNK_CHARS = 32
 
 _CHUNK = re.compile(f" *[A-Za-zÀ-ɏ]++(?=[.,])| *[^ \n{MARK}]+| *[\n{MARK}]| +")
@@ -114,34 +114,83 @@ class Vocabulary:
         return [whole[a + 1:b] for a, b in zip(at[:-1], at[1:])]
 
 
-def _draw(key: int, left: int, right: int, size: int) -> int:
+def _draw(key: int, candidate: int) -> int:
     """32 bits of a candidate's keyed hash; ``_draws`` is the same for arrays."""
-    h = key ^ (left << 42 | right << 21 | size)
+    h = key ^ candidate
     h = ((h ^ (h >> 30)) * 0xBF58476D1CE4E5B9) & 0xFFFFFFFFFFFFFFFF
     h = ((h ^ (h >> 27)) * 0x94D049BB133111EB) & 0xFFFFFFFFFFFFFFFF
     return h >> 32
 
 
-def _draws(key: np.ndarray, left: np.ndarray, right: np.ndarray, size: np.ndarray) -> np.ndarray:
-    h = key ^ (left << 42 | right << 21 | size).astype(np.uint64)
+def _draws(key: np.ndarray, candidate: np.ndarray) -> np.ndarray:
+    h = key ^ candidate.astype(np.uint64)
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return h >> np.uint64(32)
 
 
+def _place_keys(doc_key: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Keys of the occurrences at the places of texts."""
+    h = doc_key + (place + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+class _Rows:
+    """Rows of numbers of different lengths, one after another in one growing array."""
+
+    def __init__(self, kind):
+        self.values, self.first, self.size, self.n, self.used = np.zeros(1024, kind), np.zeros(1024, np.int64), np.zeros(1024, np.int64), 0, 0
+
+    def add(self, values: np.ndarray, sizes: np.ndarray) -> None:
+        while self.used + len(values) > len(self.values):
+            self.values = np.concatenate([self.values, np.zeros_like(self.values)])
+        while self.n + len(sizes) > len(self.first):
+            self.first, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.size))
+        self.values[self.used:self.used + len(values)] = values
+        self.first[self.n:self.n + len(sizes)] = self.used + np.cumsum(sizes) - sizes
+        self.size[self.n:self.n + len(sizes)] = sizes
+        self.n, self.used = self.n + len(sizes), self.used + len(values)
+
+    def cut(self, n: int) -> None:
+        """Forget the rows from the n-th on."""
+        if n < self.n:
+            self.n, self.used = n, int(self.first[n])
+
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(values of the rows one after another, where each row ends)."""
+        size = self.size[rows]
+        ends = np.cumsum(size)
+        return self.values[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.first[rows] - ends + size, size)], ends
+
+
 class Encoder:
-    """Keyed agenda encoder of one (seed, rate), with a cache of chunks per variant."""
+    """Keyed agenda encoder of one (seed, rate), with a cache of agendas.
+
+    An outcome is a chunk with the candidates that were dropped from it: its
+    pieces and the candidates merged on the way follow from these alone.  Each
+    occurrence draws for its own candidates and goes from the outcome without
+    drops to the one with its first drop, and so on until it drops no more.
+    """
 
     def __init__(self, vocabulary: Vocabulary, seed: int, rate: float):
         self.vocabulary, self.seed = vocabulary, seed
         self.below = int(rate * (1 << 32))
-        self.known: dict[int, dict[str, bytes]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.whole: dict[str, int] = {}                 # outcome without drops; -1: by the heap
+        self.after: dict[int, int] = {}                 # outcome * 64 + dropped candidate's number: outcome
+        self.chunk: list[str] = []                      # by outcome, as the next three
+        self.drops: list[tuple[int, ...]] = []
+        self.ids, self.merged = _Rows(np.int32), _Rows(np.int64)
 
     def _key(self, variant: int, chunk: str) -> int:
         return xxhash.xxh3_64_intdigest(chunk.encode(), seed=self.seed * 1_000_003 + variant)
 
-    def pieces(self, chunk: str, variant: int) -> list[str]:
-        """Agenda processing of one chunk."""
+    def pieces(self, chunk: str, variant: int, key: int | None = None) -> list[str]:
+        """Agenda processing of one chunk; ``key`` is its occurrence's."""
         rank = self.vocabulary.rank
         symbols: list[str | None] = list(chunk)
         if " " in chunk or MARK in chunk:
@@ -153,14 +202,16 @@ class Encoder:
         pairs = map(str.__add__, symbols, symbols[1:])
         agenda = [(rank[p], i, p) for i, p in enumerate(pairs) if p in rank]
         heapq.heapify(agenda)
-        below, key = self.below, self._key(variant, chunk) if self.below and agenda else 0
+        below = self.below
+        if key is None:
+            key = self._key(variant, chunk)
         while agenda:
             _, i, piece = heapq.heappop(agenda)
             left, j = symbols[i], following[i]
             if left is None or j >= n or len(left) >= len(piece) or left + symbols[j] != piece:
                 continue
             if below:
-                if _draw(key, i, j, len(piece)) < below:
+                if _draw(key, i << 42 | j << 21 | len(piece)) < below:
                     continue
             symbols[i], symbols[j] = piece, None
             following[i] = k = following[j]
@@ -178,18 +229,22 @@ class Encoder:
                     heapq.heappush(agenda, (r, p, new))
         return [s for s in symbols if s is not None]
 
-    def _ids(self, chunk: str, variant: int) -> bytes:
+    def _ids(self, chunk: str, variant: int, key: int) -> np.ndarray:
         v, out = self.vocabulary, []
-        for s in self.pieces(chunk, variant):
+        for s in self.pieces(chunk, variant, key):
             i = v.ids.get(s)
             if i is not None:
                 out.append(i)
             else:
                 out += [v.byte_ids[b] for b in (MARK if s == _LITERAL else s).encode()]
-        return array("i", out).tobytes()
+        return np.array(out, np.int32)
 
-    def _side_by_side(self, chunks: list[str], variant: int) -> list[bytes | None]:
-        """Agendas of short chunks in numpy; None for chunks with unknown characters."""
+    def _side_by_side(self, chunks: list[str], drops: list[tuple[int, ...]]) -> tuple[np.ndarray, ...]:
+        """Agendas of short chunks in numpy, each without the candidates in its ``drops``.
+
+        (ids, their number by chunk, merged candidates, their number by chunk,
+        whether a chunk has unknown characters).
+        """
         v = self.vocabulary
         size = np.array([len(c) for c in chunks])
         codes = np.frombuffer("".join(chunks).encode("utf-32-le"), "<u4")
@@ -206,20 +261,23 @@ class Encoder:
         start[:, :width + 1][np.arange(n), size] = size             # where a row's last symbol ends
         piece, rank = v.merges(symbol[:, :-1].ravel(), symbol[:, 1:].ravel())
         piece, rank = piece.reshape(n, -1), rank.reshape(n, -1)
-        key = np.array([self._key(variant, c) for c in chunks], np.uint64) if self.below else None
+        dropped = np.full((n, max(1, max(map(len, drops)))), -1, np.int64)
+        for i, d in enumerate(drops):
+            dropped[i, :len(d)] = d
+        merged, n_merged = np.zeros((n, width), np.int64), np.zeros(n, np.int64)
         live = np.arange(n)
         while len(live):
             best = rank[live].argmin(axis=1)
             live, best = live[(some := rank[live, best] < NO_MERGE)], best[some]
-            if self.below and len(live):
-                left, right, end = (start[live, best + d] for d in range(3))
-                skip = _draws(key[live], left, right, end - left) < np.uint64(self.below)
-                rank[live[skip], best[skip]] = NO_MERGE
-                rows, at = live[~skip], best[~skip]
-            else:
-                rows, at = live, best
+            left, right, end = (start[live, best + d] for d in range(3))
+            candidate = left << 42 | right << 21 | (end - left)
+            skip = (dropped[live] == candidate[:, None]).any(axis=1)
+            rank[live[skip], best[skip]] = NO_MERGE
+            rows, at = live[~skip], best[~skip]
             if not len(rows):
                 continue
+            merged[rows, n_merged[rows]] = candidate[~skip]
+            n_merged[rows] += 1
             symbol[rows, at] = piece[rows, at]
             # The right symbol of each merge goes: what follows moves up by one.
             for table, first in ((symbol, 1), (start, 1), (piece, 0), (rank, 0)):
@@ -230,42 +288,99 @@ class Encoder:
                 there = at + d >= 0
                 r, p = rows[there], at[there] + d
                 piece[r, p], rank[r, p] = v.merges(symbol[r, p], symbol[r, p + 1])
-        kept = symbol >= 0
-        edges = np.concatenate([[0], np.cumsum(kept.sum(axis=1))]) * 4
-        flat = symbol[kept].astype("<i4").tobytes()
-        return [None if u else flat[a:b] for u, a, b in zip(unknown.tolist(), edges[:-1].tolist(), edges[1:].tolist())]
-
-    def learn(self, chunks: list[str], variant: int) -> None:
-        """Encode chunks that are not known yet."""
-        known = self.known.setdefault(variant, {})
-        short = sorted((c for c in chunks if len(c) <= CACHE_CHUNK_CHARS), key=len)
-        for a in range(0, len(short), 4096):
-            some = short[a:a + 4096]
-            known.update(zip(some, self._side_by_side(some, variant)))
-        for c in chunks:
-            if known.get(c) is None:
-                known[c] = self._ids(c, variant)
+        kept = (symbol >= 0) & ~unknown[:, None]
+        n_merged[unknown] = 0
+        return symbol[kept], kept.sum(axis=1), merged[column < n_merged[:, None]], n_merged, unknown
+
+    def _add(self, chunks: list[str], drops: list[tuple[int, ...]]) -> list[int]:
+        """New outcomes of short chunks; -1 for those with unknown characters."""
+        order, out = sorted(range(len(chunks)), key=lambda i: len(chunks[i])), [-1] * len(chunks)
+        for a in range(0, len(order), 4096):
+            some = order[a:a + 4096]
+            ids, n_ids, merged, n_merged, unknown = self._side_by_side([chunks[i] for i in some], [drops[i] for i in some])
+            good = ~unknown
+            for i, at in zip(np.array(some)[good].tolist(), range(self.ids.n, self.ids.n + int(good.sum()))):
+                out[i] = at
+                self.chunk.append(chunks[i])
+                self.drops.append(drops[i])
+            self.ids.add(ids, n_ids[good])
+            self.merged.add(merged, n_merged[good])
+        return out
 
-    def encode_all(self, texts: list[str | None], variants: list[int]) -> list[bytes]:
+    def learn(self, chunks: list[str]) -> None:
+        """Outcomes without drops of chunks that are not known yet."""
+        short = [c for c in chunks if len(c) <= CACHE_CHUNK_CHARS]
+        self.whole.update(zip(short, self._add(short, [()] * len(short))))
+        for c in chunks:
+            if self.whole.setdefault(c, -1) < 0 and len(c) <= CACHE_CHUNK_CHARS and (not self.below or self._fixed(c)):
+                self.whole[c] = self._keep(c, self._ids(c, 0, 0))
+
+    def _fixed(self, chunk: str) -> bool:
+        """Whether a chunk has no possible merge."""
+        rank, text = self.vocabulary.rank, chunk.replace(MARK, "\x00").replace(" ", MARK)
+        return not any(a + b in rank for a, b in zip(text, text[1:]))
+
+    def _keep(self, chunk: str, ids: np.ndarray) -> int:
+        self.chunk.append(chunk)
+        self.drops.append(())
+        self.ids.add(ids, np.array([len(ids)]))
+        self.merged.add(np.zeros(0, np.int64), np.array([0]))
+        return self.ids.n - 1
+
+    def _dropped(self, outcome: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """Outcomes after the drop of a candidate, by its number among those merged."""
+        step, which = np.unique(outcome * 64 + number, return_inverse=True)
+        step = step.tolist()
+        new = [s for s in step if s not in self.after]
+        drops = [(*self.drops[s >> 6], int(self.merged.values[self.merged.first[s >> 6] + (s & 63)])) for s in new]
+        self.after.update(zip(new, self._add([self.chunk[s >> 6] for s in new], drops)))
+        return np.array([self.after[s] for s in step], np.int64)[which]
+
+    def encode_flat(self, texts: list[str | None], variants: list[int], docs: list[int | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, edges of the texts)."""
+        if self.ids.n > CACHE_OUTCOMES:
+            self._forget()
+        found = [_CHUNK.findall(" " + t) if t else [] for t in texts]
+        count = np.array([len(f) for f in found], np.int64)
+        chunks = [c for f in found for c in f]
+        # A document without an id is known by its text.
+        doc_key = np.array([self._key(v, (t or "") if d is None else str(d)) for t, v, d in zip(texts, variants, docs)], np.uint64)
+        place = np.arange(len(chunks)) - np.repeat(np.cumsum(count) - count, count)
+        key = _place_keys(np.repeat(doc_key, count), place)
+        new = set(chunks).difference(self.whole)
+        self.learn(list(new))
+        outcome = np.fromiter(map(self.whole.__getitem__, chunks), np.int64, len(chunks))
+        open_ = np.flatnonzero(outcome >= 0) if self.below else np.zeros(0, np.int64)
+        while len(open_):
+            at = outcome[open_]
+            merged, ends = self.merged.take(at)
+            size = self.merged.size[at]
+            hit = np.flatnonzero(_draws(np.repeat(key[open_], size), merged) < np.uint64(self.below))
+            row, first = np.unique(np.searchsorted(ends, hit, "right"), return_index=True)
+            open_ = open_[row]
+            if len(open_):
+                outcome[open_] = self._dropped(at[row], hit[first] - (ends - size)[row])
+        known = self.ids.n
+        variant = np.repeat(np.array(variants, np.int64), count)
+        for i in np.flatnonzero(outcome < 0).tolist():
+            outcome[i] = self._keep(chunks[i], self._ids(chunks[i], int(variant[i]), int(key[i])))
+        ids, ends = self.ids.take(outcome)
+        edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(count)])]
+        for rows in (self.ids, self.merged):            # outcomes of one occurrence, and long chunks
+            rows.cut(known)
+        del self.chunk[known:], self.drops[known:]
+        for c in new:
+            if len(c) > CACHE_CHUNK_CHARS:
+                del self.whole[c]
+        return ids, edges
+
+    def encode_all(self, texts: list[str | None], variants: list[int], docs: list[int | None]) -> list[bytes]:
         """Ids of texts as little-endian int32 bytes."""
-        if sum(map(len, self.known.values())) > CACHE_CHUNKS:
-            self.known.clear()
-        chunks = [_CHUNK.findall(" " + t) if t else [] for t in texts]
-        out = [b""] * len(texts)
-        for v in set(variants):
-            mine = [i for i, x in enumerate(variants) if x == v]
-            known = self.known.setdefault(v, {})
-            new = set().union(*[chunks[i] for i in mine]).difference(known)
-            self.learn(list(new), v)
-            for i in mine:
-                out[i] = b"".join(map(known.__getitem__, chunks[i]))
-            for c in new:
-                if len(c) > CACHE_CHUNK_CHARS:
-                    del known[c]
-        return out
+        ids, edges = self.encode_flat(texts, variants, docs)
+        return [ids[a:b].astype("<i4").tobytes() for a, b in zip(edges[:-1], edges[1:])]
 
-    def encode(self, text: str | None, variant: int) -> bytes:
-        return self.encode_all([text], [variant])[0]
+    def encode(self, text: str | None, variant: int, doc: int | None = None) -> bytes:
+        return self.encode_all([text], [variant], [doc])[0]
 
 
 def variant_of(doc_id: int | None, seed: int, variants: int) -> int:
@@ -285,11 +400,10 @@ def _encode_batches(model_file: str, seed: int, rate: float, variants: int):
             for a, b in slices(batch.column("text")):
                 text = batch.column("text").slice(a, b - a)
                 variant = [variant_of(d, seed, variants) for d in doc_ids[a:b]]
-                ids = encoder.encode_all(text.to_pylist(), variant)
-                edges = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])]).astype(np.int32)
+                ids, edges = encoder.encode_flat(text.to_pylist(), variant, doc_ids[a:b])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(a, b - a), text, pa.array(variant, pa.int32()),
-                     pa.ListArray.from_arrays(pa.array(edges), pa.array(np.frombuffer(b"".join(ids), "<i4")))],
+                     pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(ids))],
                     names=["doc_id", "text", "variant", "ids"])
     return run
 

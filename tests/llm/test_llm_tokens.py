@@ -99,6 +99,31 @@ def test_dropout_is_keyed_and_lossless(spark, vocabulary):
     assert everything.pieces(" the", 0) == [D.MARK, "t", "h", "e"]
 
 
+def test_dropout_varies_inside_a_document(spark, vocabulary):
+    one, n = D.Encoder(vocabulary, 1, 0.1), 400
+    seen = {}
+    for doc in (7, 8):
+        got = np.frombuffer(one.encode("segmentation " * n, 0, doc), "<i4").tolist()
+        text = [vocabulary.raw[i].decode() for i in got]
+        starts = [i for i, t in enumerate(text) if t.startswith(" ")]
+        seen[doc] = ["|".join(text[a:b]) for a, b in zip(starts, starts[1:] + [len(text)])][:n]
+    assert all(s.replace("|", "") == " segmentation" for s in seen[7])
+    assert len(set(seen[7])) > 8 and seen[7] != seen[8]         # 4 in the whole corpus before
+    plain = np.frombuffer(D.Encoder(vocabulary, 1, 0.0).encode("segmentation", 0), "<i4").tolist()
+    assert seen[7].count("|".join(vocabulary.raw[i].decode() for i in plain)) > n // 10
+
+
+def test_cached_outcomes_are_those_of_the_heap(spark, vocabulary):
+    for rate in (0.0, 0.1, 0.6, 1.0):
+        one = D.Encoder(vocabulary, 3, rate)
+        for r in documents(spark, SMALL).limit(20).collect() + edge_docs(spark).where("doc_id in (8, 10, 11, 15)").collect():
+            chunks = D._CHUNK.findall(" " + r["text"])
+            doc = np.full(len(chunks), one._key(2, str(r["doc_id"])), np.uint64)
+            keys = D._place_keys(doc, np.arange(len(chunks))).tolist()
+            want = np.concatenate([one._ids(c, 2, k) for c, k in zip(chunks, keys)])
+            assert np.frombuffer(one.encode(r["text"], 2, r["doc_id"]), "<i4").tolist() == want.tolist()
+
+
 def test_dropout_query_round_trip(spark):
     for docs in (edge_docs(spark), empty_docs(spark)):
         encoded = D.encode(docs, PIECES)
