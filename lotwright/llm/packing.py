@@ -2,7 +2,8 @@
 
 A document longer than the capacity is cut into pieces; whole pieces fill a
 bin of their own, the rest is packed.  A bin never holds two pieces of one
-source, of one duplicate cluster or of one document.
+source, of one duplicate cluster or of one document.  The clusters are the
+components of near duplicates (five-word shingles, similarity 0.8 or more).
 
 Pieces are dealt by a hash into groups of about ``GROUP_ITEMS``, so a source or
 cluster that holds a third of all rows is spread evenly, and every group is one
@@ -26,26 +27,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import materialize
+from .near_dedup import near_duplicates
 
 CAPACITY = 2048
 GROUP_ITEMS = 4096
 _SCAN = 256
 
+#: Ids may repeat or be null, so a row meets its cluster by id and text.
+_KEY = "xxhash64(CAST(doc_id AS BIGINT), lower(text))"
 _PACKED = "doc_id long, piece int, start long, n_words long, bin_id long"
 
 
+def clusters(docs: DataFrame) -> DataFrame:
+    """(key, cluster): the near-duplicate component of each text with words, in lower case."""
+    lowered = docs.select(F.lower("text").alias("text"), F.expr(_KEY).alias("doc_id"))
+    near = near_duplicates(lowered, size=5, percent=80).where("n_shingles > 0")
+    return near.select(F.col("doc_id").alias("key"), F.col("component_id").alias("cluster")).dropDuplicates(["key"])
+
+
 def pieces(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, piece, start, n_words, source, cluster): pieces of at most ``capacity`` words.
 
-    The cluster of a document is a hash of its words in lower case, so
-    copies that differ in white space or case are one cluster.
+    The cluster of a document is its component of near duplicates; copies that
+    differ in white space or case are one cluster, too.
     """
     words = r"array_remove(split(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), '')"
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                        F.expr(words).alias("w"))
-    sized = sized.selectExpr(
-        "doc_id", "source", "CAST(size(w) AS BIGINT) AS n",
-        "IF(size(w) = 0, NULL, xxhash64(lower(array_join(w, ' ')))) AS cluster")
+                        F.expr(_KEY).alias("key"), F.expr(f"CAST(size({words}) AS BIGINT)").alias("n"))
+    sized = sized.join(clusters(docs), "key", "left")
     cut = sized.withColumn("piece", F.explode(F.expr(
         f"sequence(0, CAST(greatest(ceil(n / {capacity}) - 1, 0) AS INT))")))
     return cut.selectExpr("doc_id", "piece", f"CAST(piece AS BIGINT) * {capacity} AS start",

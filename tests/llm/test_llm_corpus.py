@@ -183,6 +183,27 @@ def test_packing_covers_every_word_without_conflicts(spark):
     assert K.pack(empty_docs(spark)).count() == 0
 
 
+def test_near_copies_never_share_a_bin(spark):
+    """Copies that differ by a word, each from a source of its own, among short other texts."""
+    rows = []
+    for c in range(12):
+        base = [f"c{c}x{i}" for i in range(60)]
+        for j in range(5):
+            w = base[:30] + [f"own{c}n{j}"] + base[31:]
+            rows.append((100 * c + j, " ".join(w) if j else "\n ".join(w).upper(), f"s{c}n{j}"))
+    rows += [(5000 + i, f"alone {i} " * 10, f"t{i}") for i in range(30)]
+    rows += [(None, "no id " * 20 + "É", "u1"), (None, "no id " * 20 + "é", "u2"), (9000, None, "u3"), (9001, "", "u4")]
+    got = K.pack(spark.createDataFrame(rows, "doc_id long, text string, source string"), capacity=512).collect()
+    assert len(got) == len(rows)
+    bins = defaultdict(list)
+    for r in got:
+        bins[r["bin_id"]].append(r["doc_id"])
+    for members in bins.values():
+        copies_of = [d // 100 for d in members if d is not None and d < 5000]
+        assert len(copies_of) == len(set(copies_of)) and sum(d is None for d in members) <= 1
+    assert max(len(m) for m in bins.values()) > 3               # different texts still share bins
+
+
 def brute_model(rows):
     docs = [(d, words(t) + ["end"], zlib.crc32(b"" if d is None else str(d).encode()) % 10 == 0) for d, t in rows]
     count, pairs = Counter(), Counter()
