@@ -11,10 +11,11 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import materialize
 from . import (html_extract, line_dedup, lm_scoring, near_dedup, oracles, packing, piece_dropout, pii, quality_rules,
-               token_store, topk_search)
+               token_store, topk_search, word_bpe)
 from .shipping import ship
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +93,11 @@ def op7_piece_dropout(spark, sf_dir):
     return piece_dropout.decode(encoded, model).selectExpr(
         "doc_id", "variant", "CAST(size(ids) AS BIGINT) AS n_pieces", "xxhash64(ids) AS ids_hash",
         "decoded = coalesce(text, '') AS lossless")
+
+
+@register("op11_word_bpe")
+def op11_word_bpe(spark, sf_dir):
+    import public_tokenizers
+    out = word_bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+                                 digest=True)
+    return out.select("doc_id", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
