@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import materialize
-from . import (html_extract, line_dedup, lm_scoring, near_dedup, oracles, packing, piece_dropout, pii, quality_rules,
-               token_store, topk_search, word_bpe)
+from . import (centroids, html_extract, line_dedup, lm_scoring, near_dedup, oracles, packing, piece_dropout, pii, quality_rules,
+               token_store, topk_search, whitening, word_bpe)
 from .shipping import ship
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,13 @@ def op11_word_bpe(spark, sf_dir):
     out = word_bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
                                  digest=True)
     return out.select("doc_id", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
+
+
+@register("op12_centroids")
+def op12_centroids(spark, sf_dir):
+    return centroids.cluster(table(spark, sf_dir, "embeddings")).rows()
+
+
+@register("op13_whitening")
+def op13_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
