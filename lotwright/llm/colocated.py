@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
 
@@ -17,6 +19,18 @@ def buckets_of(df: DataFrame) -> int:
     return max(1, min(MAX_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
+@contextmanager
+def shuffles_end_with_the_write(spark: SparkSession) -> Iterator[None]:
+    """Spark removes the shuffle files of a write when the write is done: its rows are in the written table."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def bucketed(df: DataFrame, key: str, name: str, buckets: int) -> DataFrame:
     """Write ``df`` in ``buckets`` buckets of ``key`` to the shared scratch folder and read it back.
 
@@ -26,6 +40,7 @@ def bucketed(df: DataFrame, key: str, name: str, buckets: int) -> DataFrame:
     """
     spark = df.sparkSession
     table = f"{name}_{uuid.uuid4().hex[:12]}"
-    (df.write.format("parquet").option("path", scratch_path(spark, table)).option("compression", "zstd")
-     .bucketBy(buckets, key).saveAsTable(table))
+    with shuffles_end_with_the_write(spark):
+        (df.write.format("parquet").option("path", scratch_path(spark, table)).option("compression", "zstd")
+         .bucketBy(buckets, key).saveAsTable(table))
     return spark.table(table)

@@ -33,7 +33,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import materialize
 from .colocated import bucketed, buckets_of
 from .shipping import ship
 from .textops import slices
@@ -96,12 +95,20 @@ def _block(number: int, ids: list[pa.Array], texts: list[pa.Array]) -> pa.Record
     keep = real[codes] if len(codes) else np.zeros(0, bool)
     owner = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths()))
     counts = np.bincount(owner[keep], minlength=len(lists)).astype(np.int32)
-    codes = (np.cumsum(real) - 1)[codes[keep]]
+    codes, known = codes[keep], known.filter(pa.array(real))
+    codes = (np.cumsum(real) - 1)[codes]
+    # Frequent words first, equals in order of the alphabet: small numbers and shared beginnings compress well.
+    seen = pa.array(np.bincount(codes, minlength=len(known)))
+    order = np.asarray(pc.sort_indices(pa.table({"seen": seen, "word": known}),
+                                       sort_keys=[("seen", "descending"), ("word", "ascending")]))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    codes, known = rank[codes], known.take(pa.array(order))
     one = lambda a, kind: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a.cast(kind))
     doc_ids = pa.concat_arrays([i.cast(pa.int64()) for i in ids])
     return pa.RecordBatch.from_arrays(
         [pa.array([number], pa.int64()), one(doc_ids, pa.int64()), one(pa.array(counts), pa.int32()),
-         pa.array([_pack_numbers(codes)], pa.binary()), one(known.filter(pa.array(real)), pa.string())],
+         pa.array([_pack_numbers(codes)], pa.binary()), one(known, pa.string())],
         names=["block", "doc_ids", "counts", "codes", "words"])
 
 
@@ -168,18 +175,19 @@ def pieces(spark: SparkSession, tokenizer_file: str) -> DataFrame:
 
 
 def word_table(words: DataFrame, tokenizer_file: str) -> DataFrame:
-    """(word, ids, text) of distinct ``words``: each encoded once, decoded by the join of ids to pieces."""
-    encoded = materialize(words.mapInArrow(_encode_words(tokenizer_file), "word string, ids array<int>"), "word-ids")
+    """(word, ids, text) of distinct ``words``: each encoded once, decoded by the join of ids to pieces.
+
+    The ids are written in buckets of the word, so neither the join of a word's
+    pieces nor what is joined to the result moves the table again.
+    """
+    encoded = bucketed(words.mapInArrow(_encode_words(tokenizer_file), "word string, ids array<int>"),
+                       "word", "word_ids", buckets_of(words))
     known = F.broadcast(pieces(words.sparkSession, tokenizer_file))        # at most MAX_PIECES rows
-    several = F.size("ids") > 1
-    single = encoded.where(F.size("ids") == 1).withColumn("id", F.col("ids")[0]) \
-        .join(known, "id").select("word", "ids", F.col("piece").alias("text"))
-    parts = encoded.where(several).select("word", F.posexplode("ids").alias("at", "id")).join(known, "id")
-    longer = (parts.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("at", "id", "piece"))).alias("p"))
-              .select("word", F.expr("transform(p, x -> x.id)").alias("ids"),
-                      F.expr("array_join(transform(p, x -> x.piece), ' ')").alias("text")))
-    none = encoded.where(F.size("ids") == 0).select("word", "ids", F.lit("").alias("text"))
-    return single.unionByName(longer).unionByName(none)
+    parts = encoded.select("word", F.posexplode_outer("ids").alias("at", "id")).join(known, "id", "left")
+    return (parts.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("at", "id", "piece"))).alias("p"))
+            .withColumn("p", F.expr("filter(p, x -> x.id IS NOT NULL)"))
+            .select("word", F.expr("transform(p, x -> x.id)").alias("ids"),
+                    F.expr("array_join(transform(p, x -> x.piece), ' ')").alias("text")))
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
