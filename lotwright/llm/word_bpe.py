@@ -3,12 +3,13 @@
 1. Each task cuts its texts at ASCII white space and numbers the words of a
    block of about ``BLOCK_BYTES`` of text: a block is one row that holds its
    distinct words and, for every position of its texts, the number of the word.
-   The blocks are written once, bucketed by their number.
-2. The words of all blocks are made distinct; every distinct word goes through
-   the tokenizer once.  Its ids are joined to the table of pieces, which gives
-   the word's decoded text.
-3. Ids and pieces are joined to the words of the blocks, packed and sent to
-   their block, where they are put at the positions of the texts.
+   The blocks are written once, bucketed by their number, and so are their
+   words, (word, block, place) bucketed by word: a word has one row per block.
+2. The words are made distinct; every distinct word goes through the tokenizer
+   once.  Its ids are joined to the table of pieces, which gives the word's
+   decoded text.
+3. Ids and pieces are joined to the words' places, packed and sent to their
+   block, where they are put at the positions of the texts.
 
 Cutting at white space is safe for a vocabulary that drops white space, which
 is checked when the file is read: its pre-tokens never cross it, so the ids of
@@ -38,9 +39,9 @@ from .shipping import ship
 from .textops import slices
 
 #: Text bytes of a block: larger blocks repeat fewer words, and a task holds one at a time.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 #: Joined words of a task that are packed together.
-PACK_ROWS = 1 << 20
+PACK_ROWS = 1 << 19
 ENCODE_WORDS = 1000
 #: The table of pieces is broadcast; a vocabulary beyond this is refused.
 MAX_PIECES = 1 << 21
@@ -93,15 +94,15 @@ def _block(number: int, ids: list[pa.Array], texts: list[pa.Array]) -> pa.Record
     codes, known = np.asarray(words.indices), words.dictionary
     real = np.asarray(pc.not_equal(known, ""))            # white space at the ends leaves empty words
     keep = real[codes] if len(codes) else np.zeros(0, bool)
-    owner = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths()))
+    owner = np.repeat(np.arange(len(lists), dtype=np.int32), np.asarray(lists.value_lengths()))
     counts = np.bincount(owner[keep], minlength=len(lists)).astype(np.int32)
     codes, known = codes[keep], known.filter(pa.array(real))
-    codes = (np.cumsum(real) - 1)[codes]
+    codes = (np.cumsum(real, dtype=np.int32) - 1)[codes]
     # Frequent words first, equals in order of the alphabet: small numbers and shared beginnings compress well.
     seen = pa.array(np.bincount(codes, minlength=len(known)))
     order = np.asarray(pc.sort_indices(pa.table({"seen": seen, "word": known}),
                                        sort_keys=[("seen", "descending"), ("word", "ascending")]))
-    rank = np.empty(len(order), np.int64)
+    rank = np.empty(len(order), np.int32)
     rank[order] = np.arange(len(order))
     codes, known = rank[codes], known.take(pa.array(order))
     one = lambda a, kind: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a.cast(kind))
@@ -137,6 +138,13 @@ def blocks_of(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     return bucketed(rows.mapInArrow(_blocks(block_bytes), _BLOCK), "block", "word_blocks", buckets_of(docs))
 
 
+def word_places(blocks: DataFrame) -> DataFrame:
+    """(word, block, place) of the blocks' words, written in buckets of the word."""
+    n = buckets_of(blocks)
+    rows = blocks.select("block", F.posexplode("words").alias("place", "word"))
+    return bucketed(rows.repartition(n, "word").sortWithinPartitions("word", "block"), "word", "word_places", n)
+
+
 def _encode_words(tokenizer_file: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, separator, sep_id = _tokenizer(tokenizer_file)
@@ -199,11 +207,12 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = t["ids"].combine_chunks()
         sizes = np.asarray(ids.value_lengths()).astype(np.int64)
         flat, edges = np.asarray(ids.flatten()), np.concatenate([[0], np.cumsum(sizes)])
-        texts = t["text"].to_pylist()
+        texts = t["text"].combine_chunks().cast(pa.large_string())
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]])
+        joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(cuts, pa.int64()), texts), "\n")
         rows = [(int(block[a]), _pack_numbers(place[a:b]), _pack_numbers(sizes[a:b]),
-                 _pack_numbers(flat[edges[a]:edges[b]]), _zip("\n".join(texts[a:b]).encode()))
-                for a, b in zip(cuts[:-1], cuts[1:])]
+                 _pack_numbers(flat[edges[a]:edges[b]]), _zip(joined[i].as_py().encode()))
+                for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))]
         kinds = [pa.int64(), *[pa.binary()] * 4]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
                                           names=["block", "places", "sizes", "ids", "pieces"])
@@ -223,7 +232,7 @@ def _assemble(digest: bool):
     def run(blocks: pa.Table, packs: pa.Table) -> pa.Table:
         if not blocks.num_rows:
             raise ValueError("words without their block")
-        codes = _numbers(blocks["codes"][0].as_py()).astype(np.int64)
+        codes = _numbers(blocks["codes"][0].as_py())
         counts = np.asarray(blocks["counts"][0].values).astype(np.int64)
         n_words = int(codes.max()) + 1 if len(codes) else 0
         size, ids, text = np.zeros(n_words, np.int64), [None] * n_words, [b""] * n_words
@@ -273,7 +282,7 @@ def encode_decode(docs: DataFrame, tokenizer_file: str, digest: bool = False,
     """
     ship(docs.sparkSession)
     blocks = blocks_of(docs, block_bytes)
-    places = blocks.select("block", F.posexplode("words").alias("place", "word"))
+    places = word_places(blocks)
     known = word_table(places.select("word").distinct(), tokenizer_file)
     packs = places.join(known, "word").select("block", "place", "ids", "text").mapInArrow(_pack, _PACK)
     schema = ("doc_id long, n_tokens long, ids string, decoded string" if digest else
