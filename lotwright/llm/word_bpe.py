@@ -209,7 +209,8 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, edges = np.asarray(ids.flatten()), np.concatenate([[0], np.cumsum(sizes)])
         texts = t["text"].combine_chunks().cast(pa.large_string())
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]])
-        joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(cuts, pa.int64()), texts), "\n")
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), texts),
+                                pa.scalar("\n", pa.large_string()))
         rows = [(int(block[a]), _pack_numbers(place[a:b]), _pack_numbers(sizes[a:b]),
                  _pack_numbers(flat[edges[a]:edges[b]]), _zip(joined[i].as_py().encode()))
                 for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))]
