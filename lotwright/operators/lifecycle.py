@@ -83,6 +83,23 @@ def delist_unseen(listings: DataFrame, active_ids: DataFrame,
             .drop("_hit"))
 
 
+def unseen(listings: DataFrame, active_ids: DataFrame, key: str = "listing_id") -> DataFrame:
+    """LIF-1 as a key set: active listings that a *complete* discovery run did not find (one anti
+    join over key and status).  A run that found nothing has nothing to say: no row."""
+    hits = active_ids.where(F.col(key).isNotNull()).select(key).distinct()
+    st = F.col("status")
+    live = listings.where((st != "Delisted") & st.isin(*LK.DELISTABLE_STATUSES)).select(key)
+    gone = live.join(hits, key, "left_anti")
+    return gone.where(F.lit(False)) if hits.isEmpty() else gone
+
+
+def delist(listings: DataFrame, gone: DataFrame, key: str = "listing_id") -> DataFrame:
+    """The listings with the status of the ``gone`` keys set to ``Delisted``."""
+    marked = listings.join(gone.select(key).withColumn("_gone", F.lit(True)), key, "left")
+    status = F.when(F.col("_gone"), F.lit("Delisted")).otherwise(F.col("status"))
+    return marked.withColumn("status", status).select(*listings.columns)
+
+
 def absolute_url(url, host: str = "https://www.example.com"):
     """SCR-14: prefix the host unless the URL already starts with ``http``."""
     return F.when(url.startswith("http"), url).otherwise(F.concat(F.lit(host), url))

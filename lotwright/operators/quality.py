@@ -181,17 +181,34 @@ def split_validated(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     return records, failures
 
 
+#: Rule name of a record that came without a key.
+MISSING_KEY = "missing_key"
+
+
+def keyless(validated: DataFrame) -> DataFrame:
+    """Failures for the records of a validated frame that came without a key: they can
+    only be quarantined, so the row keeps the whole record as JSON."""
+    fields = [c for c in validated.columns if c in LISTING_TYPES]
+    own = validated.where(F.col("listing_id").isNull()
+                          & ~F.exists("_failures", lambda f: f["field_name"] == "listing_id"))
+    return own.select(F.lit(None).cast("bigint").alias("listing_id"), F.lit("listing_id").alias("field_name"),
+                      F.lit(None).cast("string").alias("field_value"), F.lit(MISSING_KEY).alias("rule_name"),
+                      F.lit("listing_id: missing").alias("reason"),
+                      F.to_json(F.struct(*fields)).alias("raw_record"))
+
+
 def is_valid() -> Column:
     """VAL-11: no failure for the record, over the result of ``validate``."""
     return F.size("_failures") == 0
 
 
 def to_quarantine(failures: DataFrame, run_id: int | None, quarantined_at: dt.datetime) -> DataFrame:
-    """VAL-10 / SNK-3 input: failures as quarantine rows (``raw_record`` NULL,
-    unresolved).  ``run_id`` is always recorded."""
+    """VAL-10 / SNK-3 input: failures as quarantine rows (``raw_record`` NULL
+    unless given, unresolved).  ``run_id`` is always recorded."""
+    raw = F.col("raw_record") if "raw_record" in failures.columns else F.lit(None)
     return failures.select(
         "listing_id", "field_name", "field_value", "rule_name", "reason",
-        F.lit(None).cast("string").alias("raw_record"),
+        raw.cast("string").alias("raw_record"),
         F.lit(quarantined_at).cast("timestamp").alias("quarantined_at"),
         F.lit(run_id).cast("bigint").alias("scrape_run_id"),
         F.lit(False).alias("resolved"))

@@ -37,7 +37,7 @@ def collapse_batch(batch: DataFrame, group: list[str], seq: str,
     ``max_by`` is a partial aggregate, so a hot key is combined map-side."""
     cols = cols or [c for c in batch.columns if c not in group and c != seq]
     return batch.groupBy(*group).agg(
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(seq))).alias(c) for c in cols],
+        *[F.expr(f"max_by(`{c}`, CASE WHEN `{c}` IS NOT NULL THEN `{seq}` END) AS `{c}`") for c in cols],
         F.max(seq).alias(seq))
 
 
@@ -54,17 +54,14 @@ def upsert_coalesce(listings: DataFrame, batch: DataFrame, as_of: dt.datetime |
     inc = materialize(batch.select(key, *[F.col(c).alias(f"_in_{c}") for c in inc_cols]), "batch")
     ts = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
     old = listings.withColumn("_old", F.lit(True))
-    joined = old.join(inc, key, "full_outer")
+    joined = old.join(inc, key, "full_outer").withColumn("_now", ts)
     out = []
-    for c in listings.columns:
-        kind = listings.schema[c].dataType
-        if c in inc_cols:
-            out.append(F.coalesce(F.col(f"_in_{c}"), F.col(c)).cast(kind).alias(c))
-        elif c == "scraped_at":
-            out.append(F.when(F.col("_old"), F.col(c)).otherwise(ts).cast(kind).alias(c))
-        else:
-            out.append(F.col(c).cast(kind).alias(c))
-    return joined.select(*out)
+    for f in listings.schema.fields:
+        c, kind = f.name, f.dataType.simpleString()
+        value = (f"coalesce(`_in_{c}`, `{c}`)" if c in inc_cols else
+                 f"CASE WHEN _old THEN `{c}` ELSE _now END" if c == "scraped_at" else f"`{c}`")
+        out.append(f"CAST({value} AS {kind}) AS `{c}`")
+    return joined.selectExpr(*out)
 
 
 def changes(cur: dict, inc: dict, tracked: list[str] = LK.SCD_TRACKED_FIELDS) -> Column:
@@ -122,21 +119,21 @@ def scd2_apply(listings: DataFrame, history: DataFrame, batch: DataFrame, run_ts
               .when(any_change(cur_map, inc_map, tracked), "changed").otherwise("unchanged"))
     j = materialize(j.withColumn("_action", action), "actions")
     ts = F.lit(run_ts).cast("timestamp")
-    hist_cols = [c for c in history.columns]
-    new_rows = j.where(F.col("_action").isin("new", "changed")).select(*[
-        (F.col(c) if c in inc_cols or c == KEY else
-         ts if c == "valid_from" else
-         F.lit(True) if c == "is_current" else
-         F.lit(run_id) if c == "scrape_run_id" else
-         F.lit(None)).cast(history.schema[c].dataType).alias(c)
-        for c in hist_cols])
+    hist_cols = history.columns
+    kinds = {f.name: f.dataType.simpleString() for f in history.schema.fields}
+
+    def row(values: dict[str, str], other) -> list[str]:
+        return [f"CAST({values.get(c) or other(c)} AS {kinds[c]}) AS `{c}`" for c in hist_cols]
+
+    new_rows = j.where(F.col("_action").isin("new", "changed")).withColumn("_now", ts).selectExpr(*row(
+        {"valid_from": "_now", "is_current": "true", "scrape_run_id": "NULL" if run_id is None else str(run_id)},
+        lambda c: f"`{c}`" if c in inc_cols or c == KEY else "NULL"))
     changed_keys = j.where(F.col("_action") == "changed").select(KEY) \
         .withColumn("_close", F.lit(True))
     current = history.where(F.col("is_current")).join(changed_keys, KEY, "left")
     closing = F.col("_close")
-    closed = current.where(closing).select(*[
-        (ts if c == "valid_to" else F.lit(False) if c == "is_current" else F.col(c))
-        .cast(history.schema[c].dataType).alias(c) for c in hist_cols])
+    closed = current.where(closing).withColumn("_now", ts).selectExpr(*row(
+        {"valid_to": "_now", "is_current": "false"}, lambda c: f"`{c}`"))
     still = current.where(closing.isNull()).select(*hist_cols)
     new_listings = upsert_coalesce(listings, inc.drop(seq, "_rows"), run_ts)
     counts = j.agg(F.count_if(F.col("_action") == "new").alias("new"),

@@ -51,7 +51,16 @@ from ..operators import quality as Q  # noqa: E402
 from ..operators import scd as SCD  # noqa: E402
 from ..operators import stats as ST  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
+from . import pipelines as P  # noqa: E402
+from ..schemas import HISTORY, LISTING_COLUMNS, LISTINGS, QUARANTINE, RUN_EVENTS  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import snapshots as SN  # noqa: E402
 import datetime as _dt  # noqa: E402
+import uuid  # noqa: E402
+
+
+def _root(spark, name):
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 TEST_RUN_TS = _dt.datetime(2002, 7, 1, 6, 0, 0)
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
@@ -239,15 +248,29 @@ def q_scd2_versions(spark, sf_dir):
     return SCD.versions(state, _history(spark, sf_dir), 2)
 
 
+#: Keys of a range of the merged tables of these queries: small, so that the feed's 150 keys fill several.
+FEED_WIDTH = 40
+
+
+def _stored_history(spark, sf_dir):
+    """The feed's history as stored: current rows by key range, closed rows by month."""
+    def build():
+        t = P.Tables(_root(spark, "history"), FEED_WIDTH)
+        P.store_history(spark, _history(spark, sf_dir), t)
+        return t
+    return TV.memo_view(spark, "stored_history", sf_dir, build)
+
+
 @register("recent_changes")
 def q_recent_changes(spark, sf_dir):
     # As of the last daily run of the feed's month, 72 hours back.
-    return _fmt_history(SCD.recent_changes(_history(spark, sf_dir), FEED_AS_OF, 72))
+    return _fmt_history(P.recent_history(spark, _stored_history(spark, sf_dir), FEED_AS_OF, 72))
 
 
 @register("current_rows")
 def q_current_rows(spark, sf_dir):
-    return _fmt_history(SCD.current_rows(_history(spark, sf_dir)))
+    t = _stored_history(spark, sf_dir)
+    return _fmt_history(SN.read_table(spark, t.root, t.history, HISTORY))
 
 
 @register("integrity_violations")
@@ -285,7 +308,8 @@ def q_change_details(spark, sf_dir):
 @register("record_validity")
 def q_record_validity(spark, sf_dir):
     """VAL-11: whether each listing passes every rule."""
-    return Q.validate(TV.silver(spark, sf_dir)).select("listing_id", Q.is_valid().alias("is_valid"))
+    rows = TV.silver(spark, sf_dir).withColumn("key", F.col("listing_id"))     # validating blanks a bad key
+    return Q.validate(rows).select(F.col("key").alias("listing_id"), Q.is_valid().alias("is_valid"))
 
 
 @register("worklist_limited")
@@ -297,9 +321,9 @@ def q_worklist_limited(spark, sf_dir):
 @register("history_slice")
 def q_history_slice(spark, sf_dir):
     """WIN-5 / TOP-5: the first five versions of the key with the smallest id."""
-    history = materialize(_history(spark, sf_dir), "history")
-    key = history.agg(F.min("listing_id")).first()[0]
-    out = SCD.history_of(history, key, 5)
+    t = _stored_history(spark, sf_dir)
+    key = P.full_history(spark, t).agg(F.min("listing_id")).first()[0]
+    out = P.key_history(spark, t, key, 5)
     return out.select("listing_id", "version", *FEED_COLS, F.date_format("valid_from", TS_TEXT).alias("valid_from"))
 
 
@@ -413,38 +437,72 @@ def q_detail_quarantine(spark, sf_dir):
 # Streaming ingest (STR-*): the feed written as one file per day, streamed in
 # micro-batches through the SCD-2 step; the result is the final listings state.
 # ---------------------------------------------------------------------------
-def _streamed(spark, sf_dir, files_per_trigger):
-    """Tables after streaming the feed, written day after day, through the SCD-2 step."""
-    import uuid
+FILES_PER_DAY = 2
 
-    from ..session import scratch_path
-    from ..streaming.ingest import ingest_stream
-    from .pipelines import Tables
 
-    base = scratch_path(spark, f"stream-{uuid.uuid4().hex[:12]}")
-    feed = materialize(TV.feed(spark, sf_dir).select("listing_id", "day", "seq", *FEED_COLS), "feed")
-    src = f"{base}/source"
-    # The file source takes files by modification time: one day after another.
-    for day in [r[0] for r in feed.select("day").distinct().orderBy("day").collect()]:
-        feed.where(F.col("day") == F.lit(day)).write.mode("append").parquet(src)
+def _next_midnight(batch):
+    return _dt.datetime.combine(batch.agg(F.max("day")).first()[0], _dt.time()) + _dt.timedelta(days=1)
 
-    def next_midnight(batch):
-        return _dt.datetime.combine(batch.agg(F.max("day")).first()[0], _dt.time()) + _dt.timedelta(days=1)
 
-    q = ingest_stream(spark, src, feed.schema, f"{base}/tables", f"{base}/checkpoint", "seq",
-                      next_midnight, max_files_per_trigger=files_per_trigger)
-    q.awaitTermination()
-    return Tables(f"{base}/tables")
+def _streamed(spark, sf_dir, days_per_trigger=3):
+    """Tables after streaming the feed, written day after day, through the validated SCD-2 step."""
+    from ..streaming.ingest import ingest_stream
+
+    def build():
+        base = _root(spark, "stream")
+        feed = materialize(TV.feed(spark, sf_dir).select("listing_id", "day", "seq", *FEED_COLS), "feed")
+        src = f"{base}/source"
+        # The file source takes files by modification time: one day after another.
+        for day in [r[0] for r in feed.select("day").distinct().orderBy("day").collect()]:
+            feed.where(F.col("day") == F.lit(day)).repartition(FILES_PER_DAY).write.mode("append").parquet(src)
+        ingest_stream(spark, src, feed.schema, f"{base}/tables", f"{base}/checkpoint", "seq", _next_midnight,
+                      max_files_per_trigger=days_per_trigger * FILES_PER_DAY, width=FEED_WIDTH).awaitTermination()
+        return P.Tables(f"{base}/tables", FEED_WIDTH)
+    return TV.memo_view(spark, f"streamed-{days_per_trigger}", sf_dir, build)
 
 
 @register("stream_ingest")
 def q_stream_ingest(spark, sf_dir):
-    from ..schemas import LISTINGS
-    from ..sources import snapshots as SN
+    """STR-1: listings after ten micro-batches of three days."""
+    t = _streamed(spark, sf_dir)
+    return SN.read_table(spark, t.root, t.listings, LISTINGS).select("listing_id", *FEED_COLS)
+
+
+@register("stream_history")
+def q_stream_history(spark, sf_dir):
+    """STR-3: the history that those micro-batches leave."""
+    return _fmt_history(P.full_history(spark, _streamed(spark, sf_dir)))
+
 
-    t = _streamed(spark, sf_dir, 10_000)
-    final = SN.read_table(spark, t.root, t.listings, LISTINGS)
-    return final.select("listing_id", *FEED_COLS)
+@register("stream_quarantine")
+def q_stream_quarantine(spark, sf_dir):
+    """VAL-9 on the stream: what the micro-batches quarantined, with ids that go on from batch to batch."""
+    t = _streamed(spark, sf_dir)
+    return SN.read_appended(spark, t.root, t.quarantine, QUARANTINE).select(
+        "quarantine_id", "listing_id", "field_name", "field_value", "rule_name", "reason",
+        F.date_format("quarantined_at", TS_TEXT).alias("quarantined_at"), "scrape_run_id", "resolved")
+
+
+DISCOVERY_WRITES = 7
+#: Keys of a range where the listings of ``orders`` are merged.
+LISTING_WIDTH = 4000
+
+
+@register("stream_discovery")
+def q_stream_discovery(spark, sf_dir):
+    """STR-2 / SRC-5: listing pages streamed through the discovery; the anti join keeps the
+    first link of an id that later micro-batches bring again."""
+    from ..streaming.ingest import discovery_stream
+    base = _root(spark, "discovery")
+    pages = materialize(TV.payload_listing_pages(spark, sf_dir), "listing-pages")
+    # Later pages come in later files: their cards of the same ids carry other links.
+    last = pages.agg(F.max("page_id")).first()[0]
+    for part in range(DISCOVERY_WRITES):
+        some = F.floor(F.col("page_id") * DISCOVERY_WRITES / F.lit((last or 0) + 1)) == part
+        pages.where(some).repartition(1).write.mode("append").parquet(f"{base}/source")
+    discovery_stream(spark, f"{base}/source", f"{base}/tables", f"{base}/checkpoint", LISTING_HOST, TEST_RUN_TS,
+                     max_files_per_trigger=2, width=LISTING_WIDTH).awaitTermination()
+    return SN.read_table(spark, f"{base}/tables", "listings", LISTINGS).select("listing_id", "detail_url")
 
 
 APPLY_WEEK = 7
@@ -460,18 +518,14 @@ def _weekly_feed(spark, sf_dir):
 def q_scd2_apply_history(spark, sf_dir):
     """SCD-2 batch by batch through the committed tables (J-4, SCD-2..4, PIP-2):
     the history after every 7-day batch, equal to the replay over those batches."""
-    import uuid
-
-    from ..session import scratch_path
     from ..streaming.ingest import make_batch_step
-    from . import pipelines as P
 
     feed = materialize(_weekly_feed(spark, sf_dir), "weekly-feed")
-    root = scratch_path(spark, f"apply-{uuid.uuid4().hex[:12]}")
+    root = _root(spark, "apply")
     for n in [r[0] for r in feed.select("batch").distinct().orderBy("batch").collect()]:
         at = _dt.datetime(2024, 1, 1) + _dt.timedelta(days=APPLY_WEEK * (int(n) + 1))
-        make_batch_step(root, "seq", at, run_id_base=0)(feed.where(F.col("batch") == n), int(n))
-    return _fmt_history(P.full_history(spark, P.Tables(root)))
+        make_batch_step(root, "seq", at, run_id_base=0, width=FEED_WIDTH)(feed.where(F.col("batch") == n), int(n))
+    return _fmt_history(P.full_history(spark, P.Tables(root, FEED_WIDTH)))
 
 
 @register("value_score")
@@ -502,17 +556,9 @@ def q_worklist_fetch_urls(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Storage and ledger operators (SNK-1, SNK-4, WIN-3, LIF-2, PIP-2, PIP-5).
 # ---------------------------------------------------------------------------
-def _root(spark, name):
-    import uuid
-
-    from ..session import scratch_path
-    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
-
-
 @register("export_listings")
 def q_export_listings(spark, sf_dir):
     """SNK-1: the exported Parquet file, read back."""
-    from ..sources import snapshots as SN
     path = _root(spark, "export")
     SN.export_parquet(TV.silver(spark, sf_dir), path)
     return spark.read.parquet(path)
@@ -521,10 +567,7 @@ def q_export_listings(spark, sf_dir):
 @register("ingest_listings")
 def q_ingest_listings(spark, sf_dir):
     """PIP-2 / VAL-9: listings after validating and ingesting the whole silver view."""
-    from ..schemas import LISTING_COLUMNS, LISTINGS
-    from ..sources import snapshots as SN
-    from . import pipelines as P
-    t = P.Tables(_root(spark, "ingest"))
+    t = P.Tables(_root(spark, "ingest"), LISTING_WIDTH)
     P.ingest_batch(spark, TV.silver(spark, sf_dir).drop("scraped_at"), t, 1, TEST_RUN_TS)
     return SN.read_table(spark, t.root, t.listings, LISTINGS).select(*LISTING_COLUMNS)
 
@@ -547,8 +590,6 @@ def _run_events(spark, sf_dir):
 @register("run_states")
 def q_run_states(spark, sf_dir):
     """SNK-4: the ledger appended as commits and read back, latest state per run."""
-    from ..schemas import RUN_EVENTS
-    from ..sources import snapshots as SN
     root = _root(spark, "ledger")
     SN.append_table(_run_events(spark, sf_dir), root, "run_events")
     st = SN.run_state(SN.read_appended(spark, root, "run_events", RUN_EVENTS))
@@ -558,17 +599,82 @@ def q_run_states(spark, sf_dir):
 
 @register("last_run")
 def q_last_run(spark, sf_dir):
-    from ..sources import snapshots as SN
     return SN.last_run(_run_events(spark, sf_dir)).select("run_id", "pages_fetched", "status")
 
 
 @register("resume_page")
 def q_resume_page(spark, sf_dir):
     """LIF-2 over the completed runs."""
-    from ..sources import snapshots as SN
     return SN.resume_page(_run_events(spark, sf_dir).where(F.col("run_id") < 20240130))
 
 
 @register("stats_report")
 def q_stats_report(spark, sf_dir):
     return ST.stats_report(TV.silver(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Quarantine life, mixed schemas, discovery and the daily run (SNK-3, SNK-5, PIP-3, PIP-4).
+# ---------------------------------------------------------------------------
+@register("quarantine_resolved")
+def q_quarantine_resolved(spark, sf_dir):
+    """SNK-3 / FIL-6: silver ingested in two commits (odd keys, then even ones); the rows of two rules are
+    resolved, and those of one of them opened again."""
+    t = P.Tables(_root(spark, "quarantine"), LISTING_WIDTH)
+    silver = TV.silver(spark, sf_dir).drop("scraped_at")
+    for run, rest in ((1, 1), (2, 0)):
+        P.ingest_batch(spark, silver.where(F.col("listing_id") % 2 == rest), t, run, TEST_RUN_TS, track_history=False)
+    rows = SN.read_appended(spark, t.root, t.quarantine, QUARANTINE)
+    both, again = rows.where(F.col("rule_name").isin("price_range", "fuel_type_enum")), rows.where("rule_name = 'price_range'")
+    P.resolve_quarantine(spark, t, both, TEST_RUN_TS + _dt.timedelta(hours=1))
+    P.resolve_quarantine(spark, t, again, TEST_RUN_TS + _dt.timedelta(hours=2), resolved=False)
+    return P.quarantine_state(spark, t).select("quarantine_id", "listing_id", "field_name", "field_value", "rule_name",
+                                               "reason", "scrape_run_id", "resolved")
+
+
+@register("schema_migration")
+def q_schema_migration(spark, sf_dir):
+    """SNK-5: even keys in an old commit of 14 columns with narrow integers, odd keys in a
+    new one of 28; one read gives both."""
+    root, silver, even = _root(spark, "migration"), TV.silver(spark, sf_dir), F.col("listing_id") % 2 == 0
+    old = silver.where(even).select(*LISTING_COLUMNS[:14]).withColumns(
+        {c: F.col(c).cast("int") for c in ("listing_id", "price", "mileage_km")})
+    SN.append_table(old, root, "listings")
+    SN.append_table(silver.where(~even).select(*LISTING_COLUMNS), root, "listings")
+    return SN.read_appended(spark, root, "listings", LISTINGS).drop("scraped_at")
+
+
+def _preloaded(spark, sf_dir, name):
+    """Tables that hold two thirds of the silver listings, and for every 50th key a listing
+    (key + 100,000,000) that the site no longer has."""
+    t = P.Tables(_root(spark, name), LISTING_WIDTH)
+    k, silver = F.col("listing_id"), TV.silver(spark, sf_dir)
+    gone = silver.where(k % 50 == 0).withColumn("listing_id", k + 100_000_000)
+    state = SN.conform(silver.where(k % 3 != 0).unionByName(gone), LISTINGS)
+    step = SN.Commit(spark, t.root)
+    step.merge(state, t.listings, "listing_id", t.width, SN.touched_ranges(state, "listing_id", t.width))
+    step.finish()
+    return t
+
+
+@register("discover_listings")
+def q_discover_listings(spark, sf_dir):
+    """PIP-3: the listings after a complete discovery: new ids with the first link, unseen active ones delisted."""
+    t = _preloaded(spark, sf_dir, "discover")
+    P.discover_batch(spark, TV.payload_listing_pages(spark, sf_dir), t, LISTING_HOST, TEST_RUN_TS, complete=True)
+    out = SN.read_table(spark, t.root, t.listings, LISTINGS)
+    return out.select("listing_id", "detail_url", "status", "price", F.date_format("scraped_at", TS_TEXT).alias("scraped_at"))
+
+
+@register("daily_run")
+def q_daily_run(spark, sf_dir):
+    """PIP-4: a daily run with a phase that fails; one row per phase and count."""
+    t = _preloaded(spark, sf_dir, "daily")
+
+    def broken():
+        raise RuntimeError("no connection")
+    out = P.run_daily(spark, t, TV.payload_listing_pages(spark, sf_dir), TV.payload_detail_pages(spark, sf_dir),
+                      LISTING_HOST, TEST_RUN_TS, 7, complete_crawl=True, more=[("export", broken)])
+    run_status = SN.run_state(SN.read_appended(spark, t.root, t.runs, RUN_EVENTS)).first()["status"]
+    return out.select("phase_no", "phase", "status", "error", F.explode_outer("counts").alias("metric", "value"),
+                      F.lit(run_status).alias("run_status"))

@@ -32,13 +32,24 @@ HISTORY = T.StructType([T.StructField(n, t) for n, t in LISTING_FIELDS] + [
 HISTORY_COLUMNS = [f.name for f in HISTORY.fields]
 
 QUARANTINE = T.StructType([
-    T.StructField("listing_id", L), T.StructField("field_name", S, False),
+    T.StructField("quarantine_id", L), T.StructField("listing_id", L), T.StructField("field_name", S, False),
     T.StructField("field_value", S), T.StructField("rule_name", S, False),
     T.StructField("reason", S, False), T.StructField("raw_record", S),
     T.StructField("quarantined_at", TS), T.StructField("scrape_run_id", L),
     T.StructField("resolved", B),
 ])
 
+# A quarantine row's life is append-only too: one event per change of ``resolved``.
+QUARANTINE_EVENTS = T.StructType([
+    T.StructField("quarantine_id", L), T.StructField("event_ts", TS), T.StructField("resolved", B),
+])
+
+# Outcome of a run's phases.
+PHASES = T.StructType([
+    T.StructField("phase_no", I, False), T.StructField("phase", S, False), T.StructField("status", S, False),
+    T.StructField("error", S), T.StructField("counts", T.MapType(S, L), False),
+])
+
 # Run ledger is append-only: one event row per state change of a run.
 RUN_EVENTS = T.StructType([
     T.StructField("run_id", L, False), T.StructField("event_ts", TS, False),

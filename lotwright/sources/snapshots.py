@@ -6,6 +6,11 @@ marker ``<root>/_commits/<n>`` is created, never overwritten or deleted.  The
 largest complete marker is the state; it names the newest commit of every
 snapshot table.  Append tables are all their commits up to the state's number.
 
+A *merged* table is cut into key ranges of a fixed width.  A commit rewrites
+the ranges its keys touch and leaves the files of the others alone; the state
+names the newest commit of every range.  As keys are unique, a range holds at
+most ``width`` rows, whatever the batches bring.
+
 A job that fails before its marker leaves folders nobody reads; the retry gets
 the same number and overwrites them, so a replay is harmless.  One writer
 per root is expected; a second one fails when it creates the marker.
@@ -18,14 +23,16 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import LISTING_COLUMNS, RUN_EVENTS
-from .tables import empty_table
+from .tables import empty_table, materialize
 
 COMMITS = "_commits"
+#: State entry of the schemas that the commits of each table were written with.
+SCHEMAS = "schemas"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -55,6 +62,16 @@ def state(spark: SparkSession, root: str) -> tuple[int, dict]:
     return 0, {}
 
 
+def range_of(key: str, width: int) -> Column:
+    """Number of the key range that a key belongs to."""
+    return F.floor(F.col(key) / F.lit(width)).cast("long")
+
+
+def touched_ranges(df: DataFrame, key: str, width: int) -> list[int]:
+    """The key ranges of ``df``; as many numbers as ranges, not rows."""
+    return sorted(r[0] for r in df.where(F.col(key).isNotNull()).select(range_of(key, width)).distinct().collect())
+
+
 class Commit:
     """The next commit of a root: write tables, then ``finish``."""
 
@@ -77,6 +94,56 @@ class Commit:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.root}/{table}/commit={self.number}")
+        self._wrote_with(table, df.schema)
+
+    def _wrote_with(self, table: str, schema: T.StructType) -> None:
+        """Keep the schema with the state, if it is not that of the commit before."""
+        known = self.content.get(SCHEMAS, {})
+        text = schema.json()
+        if not known.get(table) or known[table][-1][1] != text:
+            self.content = {**self.content, SCHEMAS: {**known, table: [*known.get(table, []), [self.number, text]]}}
+
+    def merge(self, df: DataFrame, table: str, key: str, width: int, ranges: list[int]) -> None:
+        """The new content of some key ranges of a merged table; the other ranges are not touched."""
+        entry = self.content.get(table) or {"width": width, "live": {}}
+        if entry["width"] != width:
+            raise ValueError(f"{table} has key ranges of {entry['width']}")
+        folder = f"{self.root}/{table}/commit={self.number}"
+        rows = df.withColumn("range", range_of(key, width))
+        rows.hint("rebalance", "range").write.mode("overwrite").partitionBy("range").parquet(folder)
+        fs, path = _fs(self.spark, folder)
+        names = [f.getPath().getName() for f in fs.listStatus(path)]
+        written = {int(n.split("=")[1]) for n in names if n.startswith("range=")}
+        if not written <= set(ranges):
+            raise ValueError(f"{table}: rows of ranges that the commit does not replace")
+        live = {r: n for r, n in entry["live"].items() if int(r) not in ranges}
+        live |= {str(r): self.number for r in sorted(written)}
+        self.content = {**self.content, table: {"width": width, "live": live}}
+
+    def read(self, table: str, schema: T.StructType, ranges: list[int] | None = None) -> DataFrame:
+        """The table as this commit found or has made it."""
+        return _read_state(self.spark, self.root, self.content, table, schema, ranges)
+
+    def append_numbered(self, df: DataFrame, table: str, id_col: str, order_by: list[str]) -> None:
+        """SNK-3: rows added to an append table with ids that go on from the last commit's.
+
+        Ids are dense and follow ``order_by``.  The rows are written once in
+        ranges of the order; a part's first id comes from the counts of the
+        parts before it (one small row per part), so no window sees the rows."""
+        last = self.content.get(f"{table}.{id_col}", 0)
+        ordered = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+        placed = materialize(ordered.withColumns({"_part": F.spark_partition_id(),
+                                                  "_at": F.monotonically_increasing_id()}), "numbered")
+        counts = sorted(tuple(r) for r in placed.groupBy("_part").count().collect())
+        firsts, n = [], last
+        for part, count in counts:
+            firsts.append((part, n + 1))
+            n += count
+        starts = self.spark.createDataFrame(firsts, "_part int, _first long")
+        at = F.col("_at") - F.shiftleft(F.col("_part").cast("long"), 33)      # place within its part
+        rows = placed.join(F.broadcast(starts), "_part")                      # a row per part
+        self.append(rows.select((F.col("_first") + at).alias(id_col), *df.columns), table)
+        self.note(f"{table}.{id_col}", n)
 
     def note(self, key: str, value) -> None:
         """A small fact kept with the state, e.g. the last batch of a stream."""
@@ -92,12 +159,37 @@ class Commit:
         return self.number
 
 
-def read_table(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
-    """SNK-6: the current snapshot, or an empty frame of ``schema`` if none."""
-    n = state(spark, root)[1].get(table)
-    if n is None:
+def _read_state(spark: SparkSession, root: str, content: dict, table: str, schema: T.StructType,
+                ranges: list[int] | None = None) -> DataFrame:
+    entry, folder = content.get(table), f"{root.rstrip('/')}/{table}"
+    if entry is None:
+        return empty_table(spark, schema)
+    if isinstance(entry, int):
+        return conform(spark.read.parquet(f"{folder}/commit={entry}"), schema)
+    live = {int(r): n for r, n in entry["live"].items()}
+    wanted = sorted(live if ranges is None else live.keys() & set(ranges))
+    if not wanted:
         return empty_table(spark, schema)
-    return conform(spark.read.parquet(f"{root.rstrip('/')}/{table}/commit={n}"), schema)
+    wide = T.StructType([*schema.fields, T.StructField("commit", T.LongType()), T.StructField("range", T.LongType())])
+    rows = (spark.read.schema(wide).option("basePath", folder)
+            .parquet(*[f"{folder}/commit={live[r]}/range={r}" for r in wanted]))
+    if ranges is not None:
+        rows = rows.where(F.col("range").isin(wanted))
+    return conform(rows.drop("commit", "range"), schema)
+
+
+def read_table(spark: SparkSession, root: str, table: str, schema: T.StructType,
+               ranges: list[int] | None = None) -> DataFrame:
+    """SNK-6: the current snapshot or merged table, or an empty frame of ``schema`` if none.
+
+    ``ranges`` reads some key ranges of a merged table only."""
+    return _read_state(spark, root, state(spark, root)[1], table, schema, ranges)
+
+
+def range_width(spark: SparkSession, root: str, table: str) -> int | None:
+    """Width of the key ranges of a merged table."""
+    entry = state(spark, root)[1].get(table)
+    return entry["width"] if isinstance(entry, dict) else None
 
 
 def write_table(df: DataFrame, root: str, table: str,
@@ -115,15 +207,28 @@ def append_table(df: DataFrame, root: str, table: str) -> int:
     return commit.finish()
 
 
-def read_appended(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
-    """All committed rows of an append table."""
-    n, _ = state(spark, root)
+def read_appended(spark: SparkSession, root: str, table: str, schema: T.StructType,
+                  parts: T.StructType | None = None) -> DataFrame:
+    """All committed rows of an append table (SNK-5: whatever schema they were written with).
+
+    ``parts`` are partition columns of its folders, kept in the result.  Commits
+    written with one schema are one scan; each is conformed to ``schema``, so a
+    column that older files lack is NULL and a narrower type is widened."""
+    n, content = state(spark, root)
     fs, p = _fs(spark, f"{root.rstrip('/')}/{table}")
     if n == 0 or not fs.exists(p):
-        return empty_table(spark, schema)
-    wide = T.StructType([*schema.fields, T.StructField("commit", T.LongType())])
-    rows = spark.read.schema(wide).parquet(f"{root.rstrip('/')}/{table}").where(F.col("commit") <= n)
-    return conform(rows.drop("commit"), schema)
+        return empty_table(spark, T.StructType([*schema.fields, *(parts.fields if parts else [])]))
+    extra = [*(parts.fields if parts else []), T.StructField("commit", T.LongType())]
+    names = {f.name for f in extra}
+    written = content.get(SCHEMAS, {}).get(table) or [[0, schema.json()]]
+    out = None
+    for (first, text), after in zip(written, [w[0] for w in written[1:]] + [n + 1]):
+        own = T.StructType([f for f in T.StructType.fromJson(json.loads(text)).fields if f.name not in names])
+        rows = (spark.read.schema(T.StructType([*own.fields, *extra])).parquet(f"{root.rstrip('/')}/{table}")
+                .where(F.col("commit").between(first, after - 1)))
+        rows = conform(rows, T.StructType([*schema.fields, *(parts.fields if parts else [])]))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -131,8 +236,9 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     are added as NULL, every column is cast to the target type (a value that
     does not fit becomes NULL), order fixed."""
     have = set(df.columns)
-    return df.select(*[(F.col(f.name).try_cast(f.dataType) if f.name in have
-                        else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
+    return df.selectExpr(*[
+        (f"TRY_CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" if f.name in have
+         else f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`") for f in schema.fields])
 
 
 def export_parquet(listings: DataFrame, path: str) -> bool:

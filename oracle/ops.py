@@ -200,7 +200,7 @@ def oracles() -> dict[str, str]:
                                               "ORDER BY valid_from DESC, listing_id")
     o["current_rows"] = rp + HIST_SELECT + " WHERE valid_to IS NULL"
     o["scd2_apply_history"] = (
-        f"WITH day_feed AS ({feed_sql()}), feed AS (SELECT *, CAST(floor(date_diff('day', DATE '2024-01-01', day) / 7) "
+        f"WITH {valid_feed('day_feed')}, feed AS (SELECT *, CAST(floor(date_diff('day', DATE '2024-01-01', day) / 7) "
         f"AS BIGINT) AS batch FROM day_feed), {replay_cte(WEEKLY)}\n" + HIST_SELECT)
     o["integrity_violations"] = (
         f"WITH {gold_ctes()}, feed AS ({feed_sql()}), {replay_cte()}, "
@@ -259,6 +259,57 @@ def ledger_oracles() -> dict[str, str]:
     }
 
 
+def valid_feed(name: str = "feed") -> str:
+    """CTEs of the feed as the step leaves it: values that break a rule blanked, rows without a key gone."""
+    rules = [(r, reason_sql(r)) for r in Q.RULES if r.column in ("listing_id", *FEED_COLS) and reason_sql(r) is not None]
+    why = {r.column: x for r, x in rules}
+    clean = ", ".join(f"CASE WHEN ({why[c]}) IS NULL THEN {c} END AS {c}" if c in why else c
+                      for c in ("listing_id", *FEED_COLS))
+    bad = " UNION ALL ".join(
+        f"SELECT listing_id, '{r.column}' AS field_name, CAST({r.column} AS VARCHAR) AS field_value, '{r.name}' AS rule_name, "
+        f"({x}) AS reason, day FROM raw WHERE ({x}) IS NOT NULL" for r, x in rules)
+    return (f"raw AS ({feed_sql()}), bad AS ({bad}), "
+            f"{name} AS (SELECT * FROM (SELECT {clean}, seq, ts, day FROM raw) WHERE listing_id IS NOT NULL)")
+
+
 def stream_oracles() -> dict[str, str]:
-    return {"stream_ingest": FEED + "SELECT listing_id, " + ", ".join(FEED_COLS)
-            + " FROM (" + collapse(["listing_id"]) + ")"}
+    batch = "CAST((dense_rank() OVER (ORDER BY day) - 1) // 3 AS BIGINT)"
+    three = ("batch", "CAST(last_day AS TIMESTAMP) + INTERVAL 1 DAY", "1000000 + batch")
+    ids = f"SELECT *, row_number() OVER (ORDER BY batch, listing_id, field_name, field_value, reason) AS quarantine_id FROM n"
+    days = f"days AS (SELECT day, batch, max(day) OVER (PARTITION BY batch) AS last_day FROM (SELECT day, {batch} AS batch FROM (SELECT DISTINCT day FROM raw)))"
+    replay = replay_cte(three).replace("FROM p),", "FROM p JOIN (SELECT DISTINCT batch, last_day FROM days) USING (batch)),")
+    return {
+        "stream_ingest": f"WITH {valid_feed()} SELECT listing_id, " + ", ".join(FEED_COLS)
+                         + " FROM (" + collapse(["listing_id"]) + ")",
+        "stream_history": (f"WITH {valid_feed('feed0')}, {days}, "
+                           f"feed AS (SELECT feed0.*, batch FROM feed0 JOIN days USING (day)), {replay}\n" + HIST_SELECT),
+        "stream_quarantine": (f"WITH {valid_feed()}, {days}, n AS (SELECT bad.*, batch, last_day FROM bad JOIN days USING (day)), "
+                              f"i AS ({ids}) SELECT quarantine_id, listing_id, field_name, field_value, rule_name, reason, "
+                              f"strftime(CAST(last_day AS TIMESTAMP) + INTERVAL 1 DAY, {TS}) AS quarantined_at, "
+                              "1000000 + batch AS scrape_run_id, false AS resolved FROM i"),
+        "stream_discovery": ("SELECT o_orderkey AS listing_id, '/used-cars/info/car-' || o_orderkey AS detail_url FROM orders"),
+    }
+
+
+def pipeline_oracles() -> dict[str, str]:
+    """Quarantine life, mixed schemas, discovery, daily run."""
+    from .pages import detail_sql
+    old = LISTING_COLUMNS[:14]
+    mixed = ", ".join(c if c in old else f"CASE WHEN listing_id % 2 <> 0 THEN {c} END AS {c}" for c in LISTING_COLUMNS)
+    preload = (f"silver AS ({silver_sql()}), stored AS (SELECT * FROM silver WHERE listing_id % 3 <> 0 UNION ALL "
+               "SELECT * REPLACE (listing_id + 100000000 AS listing_id) FROM silver WHERE listing_id % 50 = 0), "
+               "found AS (SELECT o_orderkey AS listing_id, '/used-cars/info/car-' || o_orderkey AS detail_url FROM orders), "
+               "new AS (SELECT * FROM found WHERE listing_id NOT IN (SELECT listing_id FROM stored)), "
+               "gone AS (SELECT listing_id FROM stored WHERE listing_id NOT IN (SELECT listing_id FROM found) "
+               f"AND status <> 'Delisted' AND status IN {in_list(LK.DELISTABLE_STATUSES)})")
+    return {
+        "quarantine_resolved": quarantine_sql(
+            "SELECT row_number() OVER (ORDER BY listing_id % 2 DESC, listing_id, field_name, field_value, reason) AS quarantine_id, "
+            "listing_id, field_name, field_value, rule_name, reason, CASE WHEN listing_id % 2 = 1 THEN 1 ELSE 2 END AS scrape_run_id, "
+            "rule_name = 'fuel_type_enum' AS resolved FROM quarantine"),
+        "schema_migration": SILVER + f"SELECT {mixed} FROM silver",
+        "discover_listings": (
+            f"WITH {preload} SELECT s.listing_id, s.detail_url, CASE WHEN g.listing_id IS NOT NULL THEN 'Delisted' ELSE s.status END "
+            f"AS status, s.price, strftime(s.scraped_at, {TS}) AS scraped_at FROM stored s LEFT JOIN gone g USING (listing_id) "
+            f"UNION ALL SELECT listing_id, detail_url, NULL, NULL, strftime({RUN_TS}, {TS}) FROM new"),
+    }

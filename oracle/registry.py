@@ -33,7 +33,7 @@ from . import pages  # noqa: E402
 
 for _k, _v in {**pages.oracles(), **pages.payload_oracles()}.items():
     add(_k, _v)
-for _k, _v in {**ops.stream_oracles(), **ops.ledger_oracles()}.items():
+for _k, _v in {**ops.stream_oracles(), **ops.ledger_oracles(), **ops.pipeline_oracles()}.items():
     add(_k, _v)
 add("value_score", gold.value_score_sql())
 for _k, _v in audit.usage_oracles().items():

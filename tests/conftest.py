@@ -6,10 +6,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SMALL = "/root/testdata/sf0.001"
-MID = "/root/testdata/sf0.01"
-
-
 @pytest.fixture(scope="session")
 def spark():
     from lotwright.session import get_session
@@ -18,7 +14,3 @@ def spark():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lotwright-test-ckpt-"))
     yield s
 
-
-def rows(df, order=None):
-    out = [tuple(r) for r in df.collect()]
-    return sorted(out, key=lambda r: tuple("" if x is None else str(x) for x in r)) if order is None else out

@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from conftest import SMALL
+from paths import SMALL
 
 
 def test_entry_and_contract(spark):

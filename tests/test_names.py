@@ -105,7 +105,7 @@ def test_commercial(spark):
 
 
 def test_commercial_brand_regex_equals_parsed_brand(spark):
-    from conftest import MID
+    from paths import MID
     from lotwright.functions import lookups as LK
     from lotwright.sources import testviews as TV
     names = [c[0] for c in CASES] + [

@@ -70,7 +70,7 @@ def test_batch_and_quarantine(spark):
 
 
 def test_split_forms_agree(spark):
-    from conftest import MID
+    from paths import MID
     from lotwright.sources import testviews as TV
     s = TV.silver(spark, MID)
     r1, f1 = Q.split_validated(Q.validate(s))

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from paths import SMALL
 from lotwright.operators import scd as SCD
 from lotwright.schemas import HISTORY, LISTINGS
 from lotwright.sources import testviews as TV

@@ -59,7 +59,7 @@ def test_score_matches_sequential_definition(spark):
 
 
 def test_broadcast_and_shuffle_paths_agree(spark):
-    from conftest import SMALL
+    from paths import SMALL
     from lotwright.sources import testviews as TV
     gold = G.project_gold(G.tag_silver(TV.silver(spark, SMALL)), TV.TEST_AS_OF)
     a = G.with_value_score(gold).select("listing_id", "value_score")

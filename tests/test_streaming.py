@@ -6,7 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from paths import SMALL
 from lotwright.operators import scd as SCD
 from lotwright.plans import pipelines as P
 from lotwright.schemas import LISTINGS
