@@ -4,8 +4,9 @@
 gate verdict (the same compiled gate as the audit job) -> a session of its own
 that holds the allowed views and nothing else -> ``SELECT * FROM (<sql>) q``
 (INSERT/CTAS forms cannot parse inside a subquery, so the surface is read-only)
--> bounded result with a ``truncated`` flag and the full ``row_count``.
-Parse, analysis and runtime errors come back as data.
+-> bounded result with a ``truncated`` flag and the full ``row_count``, within a
+time limit.  Parse, analysis and runtime errors and timeouts come back as data.
+A recursive CTE runs through the same path, within a bound of rows and levels.
 
 The gate's automatic LIMIT is for interactive statements; a stored question
 (``answer``) returns its whole result.
@@ -14,7 +15,10 @@ The gate's automatic LIMIT is for interactive statements; a stored question
 from __future__ import annotations
 
 import re
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
@@ -22,6 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import audit as AU
 
+# Fixed value: seconds that a statement may take.
+QUERY_TIMEOUT = 10.0
+# Rows and levels of a recursive CTE.
+RECURSION_ROWS = 1_000_000
+RECURSION_LEVELS = 1_000
+
 # Escape routes of Spark that the gate does not know about (T32): quoted
 # table names and JVM reflection functions.
 _EXTRA_DENY = re.compile(r"(?i)(?:\bFROM\b|\bJOIN\b|,)\s*[`\"]|\b(?:reflect|java_method|try_reflect)\s*\(")
@@ -58,6 +68,8 @@ def _private_session(spark: SparkSession, views: dict[str, DataFrame]) -> SparkS
     """A session that shares the context but not the caller's views."""
     own = spark.newSession()
     own.conf.set("spark.sql.runSQLOnFiles", "false")
+    own.conf.set("spark.sql.cteRecursionRowLimit", str(RECURSION_ROWS))
+    own.conf.set("spark.sql.cteRecursionLevelLimit", str(RECURSION_LEVELS))
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     for name, df in views.items():
         handover = f"handover_{uuid.uuid4().hex}"
@@ -92,20 +104,54 @@ def guarded_sql(spark: SparkSession, sql: str, views: dict[str, DataFrame],
         return GuardedResult(True, None, cleaned, None, f"{type(e).__name__}: {e}")
 
 
+@contextmanager
+def time_limit(spark: SparkSession, seconds: float) -> Iterator[threading.Event]:
+    """Tag what this thread runs and interrupt that tag's jobs after ``seconds``.
+
+    Other jobs of the session and the context go on.  The event tells whether
+    the time was up; interrupting goes on until the block is left, as a job
+    may follow the one that was interrupted."""
+    tag, left, up = f"guarded_{uuid.uuid4().hex}", threading.Event(), threading.Event()
+
+    def watch() -> None:
+        if left.wait(seconds):
+            return
+        up.set()
+        while not left.is_set():
+            spark.interruptTag(tag)
+            left.wait(0.2)
+
+    spark.addTag(tag)
+    watcher = threading.Thread(target=watch, daemon=True)
+    watcher.start()
+    try:
+        yield up
+    finally:
+        left.set()
+        watcher.join()
+        spark.removeTag(tag)
+
+
 def bounded_rows(res: GuardedResult, max_limit: int = AU.DEFAULT_MAX_LIMIT,
-                 with_count: bool = True) -> dict:
+                 with_count: bool = True, timeout: float = QUERY_TIMEOUT) -> dict:
     """TOP-7: at most ``max_limit`` rows, a ``truncated`` flag from fetching one
     more, and the ``row_count`` before the cut (a count of its own, only when
-    the result was cut; without ``with_count`` it is then NULL)."""
+    the result was cut; without ``with_count`` it is then NULL).  A statement
+    that takes longer than ``timeout`` seconds is interrupted and is an error."""
     failed = {"rows": [], "columns": [], "row_count": 0, "truncated": False}
     if res.df is None:
         return {**failed, "error": res.error or res.reason}
-    try:
-        rows = res.df.limit(max_limit + 1).collect()            # bounded by max_limit + 1
-        truncated = len(rows) > max_limit
-        count = len(rows) if not truncated else res.df.count() if with_count else None
-    except PySparkException as e:
-        return {**failed, "error": f"{type(e).__name__}: {e}"}
+    with time_limit(res.df.sparkSession, timeout) as up:
+        try:
+            rows = res.df.limit(max_limit + 1).collect()            # bounded by max_limit + 1
+            truncated = len(rows) > max_limit
+            count = len(rows) if not truncated else res.df.count() if with_count else None
+        except Exception as e:  # noqa: BLE001 - what fails in a statement is data
+            if up.is_set():
+                return {**failed, "error": f"Query timed out after {timeout}s"}
+            if not isinstance(e, PySparkException):
+                raise
+            return {**failed, "error": f"{type(e).__name__}: {e}"}
     return {"rows": rows[:max_limit], "columns": res.df.columns, "row_count": count,
             "truncated": truncated, "error": None}
 
@@ -144,6 +190,11 @@ QUESTIONS: dict[str, str] = {
     "q13_median_price": "SELECT MEDIAN(price) AS median_price FROM listings_gold",
     "q14_cte_brands": ("WITH by_brand AS (SELECT brand, COUNT(*) AS n FROM listings_gold GROUP BY brand) "
                        "SELECT brand, n FROM by_brand WHERE n > 100 ORDER BY n DESC, brand"),
+    # A recursive walk over the price bands, so that a band without listings shows too.
+    "q14_recursive_price_bands": (
+        "WITH RECURSIVE bands AS (SELECT 0 AS low UNION ALL SELECT low + 50000 AS low FROM bands WHERE low < 950000) "
+        "SELECT b.low, COALESCE(c.n, 0) AS n FROM bands b LEFT JOIN (SELECT CAST(FLOOR(price / 50000) AS INT) * 50000 AS low, "
+        "COUNT(*) AS n FROM listings_gold WHERE price >= 0 GROUP BY 1) c ON c.low = b.low"),
     "q15_top_models": ("SELECT brand AS b, model AS m, MAX(price) AS top_price FROM listings_gold "
                        "WHERE status = 'Available' GROUP BY brand, model "
                        "ORDER BY top_price DESC, b, m LIMIT 20"),
@@ -166,3 +217,26 @@ def answer(spark: SparkSession, gold: DataFrame, name: str) -> DataFrame:
     if res.df is None:
         raise ValueError(f"{name}: {res.reason or res.error}")
     return res.df
+
+
+# Statements with results of every kind: whole, cut, empty, refused, not analysable, failing at run time.
+BOUNDED_LIMIT = 20
+BOUNDED_STATEMENTS: dict[str, str] = {
+    "few_rows": "SELECT DISTINCT status FROM listings_gold",
+    "cut": "SELECT listing_id FROM listings_gold WHERE brand = 'Toyota'",
+    "empty": "SELECT listing_id FROM listings_gold WHERE price < 0 AND price > 0",
+    "refused": "DROP TABLE listings_gold",
+    "unknown_column": "SELECT no_such_column FROM listings_gold",
+    "runtime_error": "SELECT CAST(brand AS INT) FROM listings_gold",
+    "recursive": ("WITH RECURSIVE n AS (SELECT 1 AS x UNION ALL SELECT x + 1 AS x FROM n WHERE x < 25) SELECT x FROM n"),
+}
+
+
+def bounded_report(spark: SparkSession, gold: DataFrame) -> DataFrame:
+    """(statement, returned, row_count, truncated, failed) of BOUNDED_STATEMENTS over gold."""
+    rows = []
+    for name, sql in BOUNDED_STATEMENTS.items():
+        res = guarded_sql(spark, sql, {GOLD_VIEW: gold}, whole=True)
+        out = bounded_rows(res, BOUNDED_LIMIT, timeout=600)
+        rows.append((name, len(out["rows"]), out["row_count"], out["truncated"], out["error"] is not None))
+    return spark.createDataFrame(rows, "statement string, returned long, row_count long, truncated boolean, failed boolean")

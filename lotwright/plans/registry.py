@@ -390,6 +390,12 @@ for _name in QRY.QUESTIONS:
     register(_name)(_question(_name))
 
 
+@register("bounded_results")
+def q_bounded_results(spark, sf_dir):
+    """TOP-7: what a caller of the guarded surface is told about each statement."""
+    return QRY.bounded_report(spark, gold_of(spark, sf_dir))
+
+
 # ---------------------------------------------------------------------------
 # Bronze pages (SCR-*).  The driver's pages carry no payload chunks, so the
 # payload parser runs on pages that Spark derives from ``orders``.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from lotwright.functions import lookups as LK
 from lotwright.operators import quality as Q
-from lotwright.schemas import LISTING_COLUMNS
+from lotwright.schemas import LISTING_COLUMNS, LISTING_TYPES
 
 from .gold import gold_ctes
 from .views import feed_sql, q, silver_sql
@@ -291,6 +291,48 @@ def stream_oracles() -> dict[str, str]:
     }
 
 
+def daily_sql(preload: str, detail: str) -> str:
+    """Counts of the daily run's phases: discovery on the stored listings, details of the entries whose page
+    was fetched (only URLs of ``orders`` pages are), a phase that fails, gold over the result."""
+    rules = [(r, reason_sql(r)) for r in Q.RULES if reason_sql(r) is not None]
+    failures = " + ".join(f"count(*) FILTER (WHERE ({x}) IS NOT NULL)" for _, x in rules)
+    why = {r.column: x for r, x in rules}
+    types = {f: t.simpleString() for f, t in LISTING_TYPES.items()}
+    fit = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+    clean = ", ".join(f"TRY_CAST(CASE WHEN ({why[c]}) IS NULL THEN {c} END AS {fit[types[c]]}) AS {c}" if c in why
+                      else f"{c}" for c in LISTING_COLUMNS)
+    changed = " OR ".join(f"(c.{f} IS NOT NULL AND (b.{f} IS NULL OR b.{f} <> c.{f}))" for f in LK.SCD_TRACKED_FIELDS)
+    merged = ", ".join("b.listing_id" if c == "listing_id" else f"COALESCE(c.{c}, b.{c}) AS {c}" for c in LISTING_COLUMNS)
+    detail = detail.replace("silver AS", "silver0 AS").replace("FROM silver ", "FROM crawled ").replace(
+        "work AS (", "work AS (SELECT * FROM (").replace("), detail AS", ") WHERE k < 100000000 AND (k % 3 <> 0)), detail AS")
+    detail = detail[detail.index("work AS"):]
+    commercial = gold_ctes(silver_cte="SELECT * FROM after").split("silver AS", 1)[1]
+    return (
+        f"WITH {preload.replace('silver AS', 'silver1 AS', 1).replace('FROM silver ', 'FROM silver1 ')}, "
+        "crawled AS (SELECT s.* REPLACE (CASE WHEN g.listing_id IS NOT NULL THEN 'Delisted' ELSE s.status END AS status) "
+        "FROM stored s LEFT JOIN gone g USING (listing_id) UNION ALL BY NAME SELECT listing_id, detail_url, "
+        f"{RUN_TS} AS scraped_at FROM new), pending AS (SELECT count(*) AS n FROM crawled WHERE ({MISSING}) OR ({ACTIVE})), "
+        f"{detail}, c AS (SELECT {clean} FROM detail), "
+        f"d AS (SELECT count(*) AS total, {failures} AS quarantined FROM detail), "
+        f"act AS (SELECT {changed} AS changed FROM c JOIN crawled b ON b.listing_id = c.listing_id), "
+        f"after AS (SELECT {merged}, b.scraped_at FROM crawled b LEFT JOIN c ON c.listing_id = b.listing_id), "
+        f"silver AS{commercial}, m AS ("
+        "SELECT 0 AS phase_no, 'discover' AS phase, 'found' AS metric, (SELECT count(*) FROM found) AS value "
+        "UNION ALL SELECT 0, 'discover', 'new', (SELECT count(*) FROM new) UNION ALL SELECT 0, 'discover', 'delisted', (SELECT count(*) FROM gone) "
+        "UNION ALL SELECT 1, 'details', 'pending', (SELECT n FROM pending) UNION ALL SELECT 1, 'details', 'total', (SELECT total FROM d) "
+        "UNION ALL SELECT 1, 'details', 'quarantined', (SELECT quarantined FROM d) UNION ALL SELECT 1, 'details', 'new', 0 "
+        "UNION ALL SELECT 1, 'details', 'changed', (SELECT count(*) FROM act WHERE changed) "
+        "UNION ALL SELECT 1, 'details', 'unchanged', (SELECT count(*) FROM act WHERE NOT COALESCE(changed, false)) "
+        "UNION ALL SELECT 2, 'export', NULL, NULL "
+        "UNION ALL SELECT 3, 'gold', 'total_silver', (SELECT count(*) FROM after) UNION ALL SELECT 3, 'gold', 'gold_rows', (SELECT count(*) FROM gold) "
+        "UNION ALL SELECT 3, 'gold', 'excluded_commercial', (SELECT count(*) FROM after) - (SELECT count(*) FROM gold) "
+        "UNION ALL SELECT 3, 'gold', 'available', (SELECT count(*) FROM gold WHERE status = 'Available') "
+        "UNION ALL SELECT 3, 'gold', 'sold', (SELECT count(*) FROM gold WHERE status = 'Sold')) "
+        "SELECT CAST(phase_no AS INT) AS phase_no, phase, CASE WHEN metric IS NULL THEN 'failed' ELSE 'completed' END AS status, "
+        "CASE WHEN metric IS NULL THEN 'RuntimeError: no connection' END AS error, metric, CAST(value AS BIGINT) AS value, "
+        "'failed' AS run_status FROM m")
+
+
 def pipeline_oracles() -> dict[str, str]:
     """Quarantine life, mixed schemas, discovery, daily run."""
     from .pages import detail_sql
@@ -308,6 +350,7 @@ def pipeline_oracles() -> dict[str, str]:
             "listing_id, field_name, field_value, rule_name, reason, CASE WHEN listing_id % 2 = 1 THEN 1 ELSE 2 END AS scrape_run_id, "
             "rule_name = 'fuel_type_enum' AS resolved FROM quarantine"),
         "schema_migration": SILVER + f"SELECT {mixed} FROM silver",
+        "daily_run": daily_sql(preload, detail_sql()),
         "discover_listings": (
             f"WITH {preload} SELECT s.listing_id, s.detail_url, CASE WHEN g.listing_id IS NOT NULL THEN 'Delisted' ELSE s.status END "
             f"AS status, s.price, strftime(s.scraped_at, {TS}) AS scraped_at FROM stored s LEFT JOIN gone g USING (listing_id) "
