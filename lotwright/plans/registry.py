@@ -652,10 +652,11 @@ def q_schema_migration(spark, sf_dir):
 
 def _preloaded(spark, sf_dir, name):
     """Tables that hold two thirds of the silver listings, and for every 50th key a listing
-    (key + 100,000,000) that the site no longer has."""
+    (key + 50,000,000) that the site no longer has."""
     t = P.Tables(_root(spark, name), LISTING_WIDTH)
     k, silver = F.col("listing_id"), TV.silver(spark, sf_dir)
-    gone = silver.where(k % 50 == 0).withColumn("listing_id", k + 100_000_000)
+    gone = silver.where(k % 50 == 0).withColumn("listing_id", k + 50_000_000).withColumn(
+        "detail_url", F.concat(F.lit("/used-cars/info/gone-"), k.cast("string")))
     state = SN.conform(silver.where(k % 3 != 0).unionByName(gone), LISTINGS)
     step = SN.Commit(spark, t.root)
     step.merge(state, t.listings, "listing_id", t.width, SN.touched_ranges(state, "listing_id", t.width))

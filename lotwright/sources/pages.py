@@ -102,6 +102,50 @@ def field(payload: Column, name: str) -> Column:
     return F.when(payload.rlike(rx), _unescape(F.regexp_replace(payload, rx, "$1$2$3$4")))
 
 
+def field_entries_regex(names: list[str]) -> str:
+    """Zero-width match at every ``\\"name\\":`` of the names; group 1 is the name and the value by the
+    first of the four patterns that matches there, delimiters included.
+
+    The kind of an entry shows at its ends.  Pattern i matches somewhere for a
+    name, and no earlier one does, exactly if the smallest kind among the
+    name's entries is i; the first such entry is then its first match."""
+    v = r"[^\n]*?"
+    text = Q + v + Q
+    value = "|".join([text + "," + Q, text + r"\}", r"\d+", r"\{" + Q + "text" + Q + ":" + text])
+    return "(?=" + Q + "((?:" + "|".join(names) + ")" + Q + ":(?:" + value + ")))"
+
+
+def fields(payload: Column, names: list[str]) -> tuple[Column, Column]:
+    """SCR-4/SCR-5 for all names in one scan of the payload: (names, values) of its entries, the
+    values bare, best pattern first."""
+    found = F.regexp_extract_all(payload, F.lit(field_entries_regex(names)), 1)
+    sep = '\\":'                                                   # ends a name
+    key = lambda e: F.substring_index(e, sep, 1)                     # noqa: E731
+    val = lambda e: F.substr(e, F.length(key(e)) + F.lit(len(sep) + 1))
+    kinds = [lambda e: e.endswith('\\",\\"'), lambda e: e.endswith('\\"}'),
+             lambda e: e.rlike(r"[0-9]$"), lambda e: val(e).startswith("{")]
+    cut = [(2, 5), (2, 3), (0, 0), (len('{\\"text\\":\\"'), 2)]      # delimiters before and after the value
+    def bare(before: int, after: int):
+        return lambda e: F.substr(val(e), F.lit(before + 1), F.length(val(e)) - F.lit(before + after))
+
+    def without(kind):
+        return lambda e: ~kind(e)
+
+    names_of, values_of, rest = [], [], found
+    for i, (kind, ends) in enumerate(zip(kinds, cut)):
+        mine = F.filter(rest, kind) if i + 1 < len(kinds) else rest
+        rest = F.filter(rest, without(kind))
+        names_of.append(F.transform(mine, key))
+        values_of.append(F.transform(mine, bare(*ends)))
+    return F.concat(*names_of), F.concat(*values_of)
+
+
+def field_of(names: Column, values: Column, name: str) -> Column:
+    """One field of ``fields``: its first entry, unescaped; NULL when absent."""
+    at = F.array_position(names, F.lit(name))
+    return F.when(at > 0, _unescape(F.element_at(values, at.cast("int"))))
+
+
 def parse_money(raw: Column) -> Column:
     """SCR-8: drop ``$ , /yr``, cut at `` as of``; N.A./empty -> NULL;
     float text truncated to an integer."""
@@ -158,7 +202,10 @@ def parse_detail_pages(pages: DataFrame) -> DataFrame:
     c = F.col
     d = pages.withColumn("_rsc", rsc_payload(c("html")))
     d = d.withColumn("_line", data_line(c("_rsc")))
-    raw = {f: field(c("_line"), f) for f in DETAIL_FIELDS + ["type_of_vehicle", "carmodel"]}
+    wanted = DETAIL_FIELDS + ["type_of_vehicle", "carmodel"]
+    names, values = fields(c("_line"), wanted)
+    d = d.select("page_id", "html", "_rsc", "_line", names.alias("_names"), values.alias("_values"))
+    raw = {f: field_of(c("_names"), c("_values"), f) for f in wanted}
     d = d.select("page_id", "html", "_rsc", "_line", *[v.alias(f"_raw_{k}") for k, v in raw.items()])
     r = {k: c(f"_raw_{k}") for k in raw}
     title = strip_ws(F.regexp_extract(c("html"), TITLE_MODEL_REGEX, 1))

@@ -304,7 +304,7 @@ def daily_sql(preload: str, detail: str) -> str:
     changed = " OR ".join(f"(c.{f} IS NOT NULL AND (b.{f} IS NULL OR b.{f} <> c.{f}))" for f in LK.SCD_TRACKED_FIELDS)
     merged = ", ".join("b.listing_id" if c == "listing_id" else f"COALESCE(c.{c}, b.{c}) AS {c}" for c in LISTING_COLUMNS)
     detail = detail.replace("silver AS", "silver0 AS").replace("FROM silver ", "FROM crawled ").replace(
-        "work AS (", "work AS (SELECT * FROM (").replace("), detail AS", ") WHERE k < 100000000 AND (k % 3 <> 0)), detail AS")
+        "work AS (", "work AS (SELECT * FROM (").replace("), detail AS", ") WHERE k < 50000000 AND (k % 3 <> 0)), detail AS")
     detail = detail[detail.index("work AS"):]
     commercial = gold_ctes(silver_cte="SELECT * FROM after").split("silver AS", 1)[1]
     return (
@@ -339,7 +339,8 @@ def pipeline_oracles() -> dict[str, str]:
     old = LISTING_COLUMNS[:14]
     mixed = ", ".join(c if c in old else f"CASE WHEN listing_id % 2 <> 0 THEN {c} END AS {c}" for c in LISTING_COLUMNS)
     preload = (f"silver AS ({silver_sql()}), stored AS (SELECT * FROM silver WHERE listing_id % 3 <> 0 UNION ALL "
-               "SELECT * REPLACE (listing_id + 100000000 AS listing_id) FROM silver WHERE listing_id % 50 = 0), "
+               "SELECT * REPLACE (listing_id + 50000000 AS listing_id, '/used-cars/info/gone-' || (listing_id + 50000000) AS detail_url) "
+               "FROM silver WHERE listing_id % 50 = 0), "
                "found AS (SELECT o_orderkey AS listing_id, '/used-cars/info/car-' || o_orderkey AS detail_url FROM orders), "
                "new AS (SELECT * FROM found WHERE listing_id NOT IN (SELECT listing_id FROM stored)), "
                "gone AS (SELECT listing_id FROM stored WHERE listing_id NOT IN (SELECT listing_id FROM found) "
