@@ -35,7 +35,7 @@ def blank_to_null(c: Column) -> Column:
 
 def clean_car_name(car_name: Column) -> Column:
     """FN-1: strip ``(COE till ..)``, ``(New N-yr COE)`` and ``(renewed)`` suffixes."""
-    s = F.regexp_replace(strip_ws(car_name), LK.COE_SUFFIX_PATTERN, "")
+    s = F.regexp_replace(strip_ws(F.replace(car_name, F.lit(PART), F.lit(""))), LK.COE_SUFFIX_PATTERN, "")
     return F.regexp_replace(s, LK.RENEWED_SUFFIX_PATTERN, "")
 
 
@@ -60,19 +60,29 @@ def brand_pattern_regex(patterns: list[str]) -> tuple[str, str, str]:
     return r"(?is)^(?:" + "|".join(alts) + r")$", "".join(model_refs), "".join(rest_refs)
 
 
-def brand_pattern_split(brand: Column, rest: Column) -> Column:
-    """FN-3: first matching brand-specific pattern; NULL when none applies."""
+#: Parts model and trim within one text; a name must not hold this private-use character
+#: (``clean_car_name`` drops it).
+PART = "\ue000"
+
+
+def brand_pattern_mark(brand: Column, rest: Column) -> Column:
+    """FN-3: ``model PART trim`` by the first matching brand-specific pattern, in one regex pass;
+    without a match the text has no PART.  NULL when the brand has no patterns."""
     out = None
     for b, patterns in LK.BRAND_MODEL_PATTERNS.items():
         rx, model_ref, rest_ref = brand_pattern_regex(patterns)
-        val = F.when(rest.rlike(rx), _model_trim(
-            F.regexp_replace(rest, rx, model_ref),
-            blank_to_null(strip_ws(F.regexp_replace(rest, rx, rest_ref)))))
-        cond = brand == F.lit(b)
+        cond, val = brand == F.lit(b), F.regexp_replace(rest, rx, model_ref + PART + rest_ref)
         out = F.when(cond, val) if out is None else out.when(cond, val)
     return out
 
 
+def brand_pattern_split(marked: Column) -> Column:
+    """FN-3: model and trim of ``brand_pattern_mark``; NULL when no pattern applied."""
+    at = F.instr(marked, PART)
+    return F.when(at > 0, _model_trim(F.substring(marked, F.lit(1), at - 1),
+                                      blank_to_null(strip_ws(F.substring(marked, at + 1, F.lit(1 << 30))))))
+
+
 _CODE = r"(?:\d+\.\d+[AM]|A|M)"
 # On single-spaced words: not starting with an engine code, lazy model words,
 # then the first whole-token engine code (or bare A/M).
@@ -83,16 +93,20 @@ def single_spaced(rest: Column) -> Column:
     return F.regexp_replace(strip_ws(rest), r"\s+", " ")
 
 
-def engine_code_split(words: Column) -> Column:
-    """FN-4: split before the first engine-code token (``1.6A``) or a bare
-    ``A``/``M`` token that is not the first word; needs a word before it, and
-    a leading engine code means no split.  ``words`` is ``single_spaced(rest)``.
+def engine_code_mark(words: Column) -> Column:
+    """FN-4: ``model PART trim`` split before the first engine-code token (``1.6A``) or a bare
+    ``A``/``M`` token that is not the first word; needs a word before it, and a leading engine code
+    means no split (then the text has no PART).  ``words`` is ``single_spaced(rest)``.
+
+    One regex pass, no higher-order function, so the projection stays in whole-stage codegen."""
+    return F.regexp_replace(words, ENGINE_SPLIT_REGEX, "$1" + PART + "$2")
+
 
-    One regex, no higher-order function, so the projection stays in
-    whole-stage codegen."""
-    return F.when(words.rlike(ENGINE_SPLIT_REGEX),
-                  _model_trim(F.regexp_extract(words, ENGINE_SPLIT_REGEX, 1),
-                              F.regexp_extract(words, ENGINE_SPLIT_REGEX, 2)))
+def engine_code_split(marked: Column) -> Column:
+    """Model and trim of ``engine_code_mark``; NULL without a split."""
+    at = F.instr(marked, PART)
+    return F.when(at > 0, _model_trim(F.substring(marked, F.lit(1), at - 1),
+                                      F.substring(marked, at + 1, F.lit(1 << 30))))
 
 
 TRIM_KEYWORD_REGEX = r"(?i)\b(" + "|".join(LK.TRIM_KEYWORDS) + r")\b"
@@ -125,9 +139,13 @@ def _bmt_stages(name_col: str, out: str) -> list[tuple[str, Column]]:
         F.when(c("_word").isNull() | (c("_word") == ""), F.lit(""))
          .when(canon.isNotNull(), known_rest).otherwise(fallback_rest).alias("rest"))))
     stages += [("_brand", c("_br.brand")), ("_rest", c("_br.rest")),
-               ("_words", single_spaced(c("_rest"))), ("_kwpos", trim_keyword_position(c("_rest")))]
+               ("_marked", brand_pattern_mark(c("_brand"), c("_rest"))),
+               # Each later strategy looks only at what the earlier ones left.
+               ("_engine", F.when(F.coalesce(F.instr("_marked", PART), F.lit(0)) == 0,
+                                  engine_code_mark(single_spaced(c("_rest"))))),
+               ("_kwpos", F.when(F.instr("_engine", PART) == 0, trim_keyword_position(c("_rest"))))]
     brand, rest = c("_brand"), c("_rest")
-    split = F.coalesce(brand_pattern_split(brand, rest), engine_code_split(c("_words")),
+    split = F.coalesce(brand_pattern_split(c("_marked")), engine_code_split(c("_engine")),
                        trim_keyword_split(rest, c("_kwpos")),
                        _model_trim(blank_to_null(rest), F.lit(None).cast("string")))
     stages.append(("_split", split))
@@ -150,7 +168,7 @@ def with_brand_model_trim(df: DataFrame, name_col: str = "car_name",
     references it several times."""
     for name, col in _bmt_stages(name_col, out):
         df = df.withColumn(name, col)
-    return df.drop("_clean", "_word", "_br", "_brand", "_rest", "_words", "_kwpos", "_split")
+    return df.drop("_clean", "_word", "_br", "_brand", "_rest", "_marked", "_engine", "_kwpos", "_split")
 
 
 _COMMERCIAL_WORDS_REGEX = r"(?i)\b(" + "|".join(LK.COMMERCIAL_MODEL_WORDS) + r")\b"

@@ -115,10 +115,14 @@ def field_entries_regex(names: list[str]) -> str:
     return "(?=" + Q + "((?:" + "|".join(names) + ")" + Q + ":(?:" + value + ")))"
 
 
-def fields(payload: Column, names: list[str]) -> tuple[Column, Column]:
-    """SCR-4/SCR-5 for all names in one scan of the payload: (names, values) of its entries, the
-    values bare, best pattern first."""
-    found = F.regexp_extract_all(payload, F.lit(field_entries_regex(names)), 1)
+def field_entries(payload: Column, names: list[str]) -> Column:
+    """SCR-4/SCR-5: the entries of all names, in one scan of the payload."""
+    return F.regexp_extract_all(payload, F.lit(field_entries_regex(names)), 1)
+
+
+def fields(found: Column) -> tuple[Column, Column]:
+    """(names, values) of ``field_entries``, the values bare, best pattern first.  ``found`` is used
+    several times: stage it as an attribute."""
     sep = '\\":'                                                   # ends a name
     key = lambda e: F.substring_index(e, sep, 1)                     # noqa: E731
     val = lambda e: F.substr(e, F.length(key(e)) + F.lit(len(sep) + 1))
@@ -203,7 +207,8 @@ def parse_detail_pages(pages: DataFrame) -> DataFrame:
     d = pages.withColumn("_rsc", rsc_payload(c("html")))
     d = d.withColumn("_line", data_line(c("_rsc")))
     wanted = DETAIL_FIELDS + ["type_of_vehicle", "carmodel"]
-    names, values = fields(c("_line"), wanted)
+    d = d.withColumn("_found", field_entries(c("_line"), wanted))
+    names, values = fields(c("_found"))
     d = d.select("page_id", "html", "_rsc", "_line", names.alias("_names"), values.alias("_values"))
     raw = {f: field_of(c("_names"), c("_values"), f) for f in wanted}
     d = d.select("page_id", "html", "_rsc", "_line", *[v.alias(f"_raw_{k}") for k, v in raw.items()])
