@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -111,17 +112,18 @@ def time_limit(spark: SparkSession, seconds: float) -> Iterator[threading.Event]
     Other jobs of the session and the context go on.  The event tells whether
     the time was up; interrupting goes on until the block is left, as a job
     may follow the one that was interrupted."""
-    tag, left, up = f"guarded_{uuid.uuid4().hex}", threading.Event(), threading.Event()
+    sc, tag = spark.sparkContext, f"guarded_{uuid.uuid4().hex}"
+    left, up = threading.Event(), threading.Event()
 
     def watch() -> None:
         if left.wait(seconds):
             return
         up.set()
         while not left.is_set():
-            spark.interruptTag(tag)
+            sc.cancelJobsWithTag(tag)
             left.wait(0.2)
 
-    spark.addTag(tag)
+    sc.addJobTag(tag)
     watcher = threading.Thread(target=watch, daemon=True)
     watcher.start()
     try:
@@ -129,7 +131,7 @@ def time_limit(spark: SparkSession, seconds: float) -> Iterator[threading.Event]
     finally:
         left.set()
         watcher.join()
-        spark.removeTag(tag)
+        sc.removeJobTag(tag)
 
 
 def bounded_rows(res: GuardedResult, max_limit: int = AU.DEFAULT_MAX_LIMIT,
@@ -149,7 +151,7 @@ def bounded_rows(res: GuardedResult, max_limit: int = AU.DEFAULT_MAX_LIMIT,
         except Exception as e:  # noqa: BLE001 - what fails in a statement is data
             if up.is_set():
                 return {**failed, "error": f"Query timed out after {timeout}s"}
-            if not isinstance(e, PySparkException):
+            if not isinstance(e, (PySparkException, Py4JJavaError)):      # some failures of jobs stay Java's
                 raise
             return {**failed, "error": f"{type(e).__name__}: {e}"}
     return {"rows": rows[:max_limit], "columns": res.df.columns, "row_count": count,

@@ -62,19 +62,31 @@ def test_ingest_and_gold_pipeline(spark):
 
 def test_run_daily_records_phases(spark):
     from lotwright.plans import pipelines as P
-    from lotwright.schemas import RUN_EVENTS
+    from lotwright.schemas import LISTINGS, RUN_EVENTS
     from lotwright.sources import snapshots as SN
     from test_pages import DETAIL, EMPTY, FALLBACK, LISTING
     t = P.Tables(root=tempfile.mkdtemp(prefix="lotwright-daily-"))
     listing_pages = spark.createDataFrame([(1, "u", LISTING)], "page_id long, url string, html string")
-    detail_pages = spark.createDataFrame([(123, "u", DETAIL), (124, "u", FALLBACK), (125, "u", EMPTY)],
+    out = P.run_daily(spark, t, listing_pages, None, "www.example.com", dt.datetime(2024, 3, 1), run_id=1,
+                      complete_crawl=True)
+    urls = {r["listing_id"]: "https://www.example.com" + r["detail_url"]
+            for r in SN.read_table(spark, t.root, t.listings, LISTINGS).collect()}
+    first = sorted(urls)[0]
+    # The record's key is the work list's, whatever the page's number; pages of no entry give no record.
+    detail_pages = spark.createDataFrame([(900, urls[first], DETAIL), (901, "https://nowhere", FALLBACK), (902, "u", EMPTY)],
                                          "page_id long, url string, html string")
-    out = P.run_daily(spark, t, listing_pages, detail_pages, "www.example.com",
-                      dt.datetime(2024, 3, 1), run_id=1, complete_crawl=True)
-    assert out["status"] == "completed", out
-    assert out["phases"]["discover"]["new"] == 2 and out["phases"]["details"]["status"] == "ok"
+
+    def broken():
+        raise OSError("disk")
+    out = P.run_daily(spark, t, listing_pages, detail_pages, "www.example.com", dt.datetime(2024, 3, 2), run_id=2,
+                      complete_crawl=True, more=[("export", broken)])
+    got = {r["phase"]: (r["status"], r["error"], r["counts"]) for r in out.collect()}
+    assert got["discover"][2]["new"] == 0 and got["details"][2]["total"] == 1
+    assert got["export"][:2] == ("failed", "OSError: disk") and got["gold"][0] == "completed"
+    scraped = SN.read_table(spark, t.root, t.listings, LISTINGS).where("price IS NOT NULL").collect()
+    assert [r["listing_id"] for r in scraped] == [first]
     ev = SN.read_appended(spark, t.root, t.runs, RUN_EVENTS)
-    assert SN.run_state(ev).first()["status"] == "completed"
+    assert {r["run_id"]: r["status"] for r in SN.run_state(ev).collect()} == {1: "completed", 2: "failed"}
 
 
 def test_discovery_that_finds_nothing_delists_nothing(spark):
