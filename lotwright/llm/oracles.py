@@ -59,10 +59,11 @@ quality_ref AS (
 quality_distance AS (
   SELECT b.*,
     CASE WHEN r.lang IS NULL OR word_chars < {Q.MIN_CHARS} THEN 0 ELSE {distance("chars", "r_chars", 6)} END AS char_distance,
-    CASE WHEN r.lang IS NULL OR n_common < {Q.MIN_COMMON} THEN 0 ELSE {distance("hits", "r_hits", n_bins)} END AS word_distance
+    CASE WHEN r.lang IS NULL OR n_words < {Q.MIN_HISTOGRAM_WORDS} THEN 0 ELSE {distance("hits", "r_hits", n_bins)} END AS word_distance
   FROM quality_base b LEFT JOIN quality_ref r ON b.lang = r.lang),
 quality_verdict AS (
-  SELECT *, NOT base_failed AND char_distance <= {Q.MAX_CHAR_DISTANCE} AND word_distance <= {Q.MAX_WORD_DISTANCE} AS kept
+  SELECT *, NOT base_failed AND char_distance <= {Q.MAX_CHAR_DISTANCE} AND word_distance <= least({Q.SHORT_WORD_DISTANCE}::DOUBLE,
+      greatest({Q.LONG_WORD_DISTANCE}::DOUBLE, {Q.WORD_SPREAD}::DOUBLE / sqrt(greatest(n_words, 1)))) AS kept
   FROM quality_distance)"""
 
 

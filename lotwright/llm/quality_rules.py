@@ -47,10 +47,6 @@ SHORT_WORD_DISTANCE = 0.30
 LONG_WORD_DISTANCE = 0.25
 WORD_SPREAD = 3.6
 
-# The former word rule; only the SQL twin reads these two.
-MIN_COMMON = 20
-MAX_WORD_DISTANCE = 0.65
-
 #: Runs without ASCII punctuation; the symbols of the base rule are no punctuation.
 NOT_PUNCTUATION = r"[^!\\x22\\x27()+,./:;=?@\\x5B\\x5C\\x5D^_`{}~-]+"
 _WORDS = r"array_remove(split({t}, '[\\x20\\x09-\\x0D]+'), '')"
