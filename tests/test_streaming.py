@@ -36,7 +36,9 @@ def test_stream_equals_batch_and_replay_is_skipped(spark, files):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     got = SN.read_table(spark, f"{base}/t", "listings", LISTINGS).select("listing_id", *COLS)
-    want = SCD.collapse_batch(feed.drop("day"), ["listing_id"], "seq").select("listing_id", *COLS)
+    # Key 0 breaks its range rule, so its rows are in quarantine only.
+    valid = feed.where("listing_id <> 0")
+    want = SCD.collapse_batch(valid.drop("day"), ["listing_id"], "seq").select("listing_id", *COLS)
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
     hist = P.full_history(spark, P.Tables(f"{base}/t"))
     assert hist.where("is_current").groupBy("listing_id").count().where("count > 1").count() == 0
@@ -47,7 +49,7 @@ def test_stream_equals_batch_and_replay_is_skipped(spark, files):
     assert P.full_history(spark, P.Tables(f"{base}/t")).count() == n_hist
 
 
-@pytest.mark.parametrize("crash_after", [1, 2, 3, 4])
+@pytest.mark.parametrize("crash_after", [1, 2, 3, 4, 5])
 def test_crash_before_the_commit_and_replay(spark, monkeypatch, crash_after):
     """A job that dies after any of its writes leaves no trace once replayed."""
     root = tempfile.mkdtemp(prefix="lotwright-crash-")
@@ -55,15 +57,18 @@ def test_crash_before_the_commit_and_replay(spark, monkeypatch, crash_after):
     more = spark.createDataFrame([(1, 20, 150), (3, 21, 300)], "listing_id long, seq long, price long")
     make_batch_step(root, "seq", dt.datetime(2024, 1, 1))(rows, 0)
     step = make_batch_step(root, "seq", dt.datetime(2024, 1, 2))
-    done, append = [0], SN.Commit.append
+    done = [0]
 
-    def dying(self, *args, **kw):
-        append(self, *args, **kw)
-        done[0] += 1
-        if done[0] == crash_after:
-            raise RuntimeError("killed")
+    def dying(write):
+        def run(self, *args, **kw):
+            write(self, *args, **kw)
+            done[0] += 1
+            if done[0] == crash_after:
+                raise RuntimeError("killed")
+        return run
     with monkeypatch.context() as m:
-        m.setattr(SN.Commit, "append", dying)
+        m.setattr(SN.Commit, "append", dying(SN.Commit.append))      # quarantine, closed history, run event
+        m.setattr(SN.Commit, "merge", dying(SN.Commit.merge))        # current history, listings
         with pytest.raises(RuntimeError):
             step(more, 1)
     assert SN.read_table(spark, root, "listings", LISTINGS).count() == 2       # the state before
