@@ -10,9 +10,14 @@
 3. Every page is extracted again from the container on its host's winning
    path; a page without that path keeps its own best container.
 
-Whatever the container holds is kept, whole: character references are decoded,
-white space inside a block becomes one space, blocks are trimmed and joined
-in page order by one space.
+What a path stands for is an article whole (``selected``): the outermost
+``article`` around the container, title and sections included; without one,
+every container on the path, widened to the outermost ancestor marked as an
+article, and the text that its ancestors hold themselves.
+
+Whatever these hold is kept, whole: character references are decoded, white
+space inside a block becomes one space, blocks are trimmed and joined in page
+order by one space.  Inline and void elements other than ``br`` and ``hr`` are no break.
 
 Defined results: null or empty html gives an empty text; a null url, or one
 without a host, has no consensus and uses its own best container; ties of
@@ -32,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import materialize
+from .shipping import shipped
 
 # Elements by their role on a page.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -49,28 +55,51 @@ DROPPED_CLASSES = {
 }
 DROPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog", "form", "menu"}
 GOOD_CLASSES = {"article", "content", "post", "entry", "story", "main", "body", "text"}
+#: Layout words: the word before them says what a class or id name stands for.
+NEUTRAL = {"area", "articles", "author", "bar", "block", "body", "bottom", "box", "button", "buttons", "card", "col", "column",
+           "container", "content", "desktop", "dialog", "form", "group", "holder", "icon", "icons", "info", "inner", "item",
+           "items", "left", "link", "links", "list", "main", "message", "meta", "mobile", "outer", "panel", "placeholder",
+           "posts", "primary", "right", "row", "secondary", "section", "sections", "slot", "stories", "success", "text",
+           "title", "top", "unit", "warning", "widgets", "wrap", "wrapper", "x", "zone"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>", re.S | re.I)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)")
 _PIECES = re.compile(r"[a-z]+|[0-9]+", re.I)
 
 
 @dataclass
 class Page:
-    """Containers (parent, path, weight) and text blocks (container, text, characters outside links)."""
+    """Containers (parent, path, tag, weight, marked as an article) and text blocks (container, text, characters outside links)."""
     parents: list[int] = field(default_factory=lambda: [-1])
     paths: list[str] = field(default_factory=lambda: [""])
+    tags: list[str] = field(default_factory=lambda: [""])
+    marked: list[bool] = field(default_factory=lambda: [False])
     weights: list[float] = field(default_factory=lambda: [0.5])
     blocks: list[tuple[int, str, int]] = field(default_factory=list)
 
 
 def _attributes(text: str) -> dict[str, str]:
-    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(text)} if text else {}
+    """Attributes by name, read one after another; of a repeated one, the first."""
+    out: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(text):
+        out.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return out
+
+
+def _stands_for_dropped(name: str) -> bool:
+    """Whether a class or id name stands for a dropped part, as ``cookie-notice`` and ``ad-slot-2`` do.
+
+    Its last word that is no layout word tells: ``social-story`` is a story.
+    """
+    words = [w for w in _PIECES.findall(name) if not w.isdigit()]
+    while words and words[-1] in NEUTRAL:
+        words.pop()
+    return bool(words) and words[-1] in DROPPED_CLASSES
 
 
 def _dropped(tag: str, attributes: dict[str, str], inside_article: bool) -> bool:
@@ -82,8 +111,7 @@ def _dropped(tag: str, attributes: dict[str, str], inside_article: bool) -> bool
         return True
     if tag in ("body", "html", "article", "main"):
         return False
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
-    return any(p in DROPPED_CLASSES for p in _PIECES.findall(names))
+    return any(map(_stands_for_dropped, f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split()))
 
 
 def parse(html: str) -> Page:
@@ -117,12 +145,14 @@ def parse(html: str) -> Page:
         if tag in INLINE:
             if tag == "a":
                 links[0] = 0 if m[2] else 1
-            if not m[2] and not stack[-1][2] and tag == "span" and m[4]:
-                attributes = _attributes(m[4])
-                if _dropped(tag, attributes, True):
-                    stack.append((tag, stack[-1][1], True))
-            elif m[2] and stack[-1][0] == tag:
-                stack.pop()
+            top, container, gone = stack[-1]
+            if m[2]:
+                if top == tag:
+                    stack.pop()
+            elif top == tag if gone else m[4] and _dropped(tag, _attributes(m[4]), True):
+                stack.append((tag, container, True))
+            continue
+        if tag in VOID and tag not in ("br", "hr"):
             continue
         flush()
         if m[2]:
@@ -144,7 +174,9 @@ def parse(html: str) -> Page:
             name = re.sub(r"[0-9]+", "#", (attributes.get("class", "").split() or [""])[0].lower())
             page.parents.append(container)
             page.paths.append(f"{page.paths[container]}>{tag}{'.' + name if name else ''}")
+            page.tags.append(tag)
             good = bool(GOOD_CLASSES & set(_PIECES.findall(f"{name} {attributes.get('id', '')}".lower())))
+            page.marked.append(tag not in ("body", "article") and (good or tag == "main"))
             page.weights.append((2.0 if tag == "article" else 1.5 if tag == "main" else 1.0) * (1.5 if good else 1.0))
             container = len(page.parents) - 1
         if not m[4].rstrip().endswith("/") or tag in CONTAINERS:
@@ -174,12 +206,37 @@ def best_container(page: Page, path: str | None = None) -> tuple[int, float]:
     return -i, score
 
 
-def text_under(page: Page, container: int) -> str:
-    """Blocks of a container and of all inside it, in page order."""
+def text_under(page: Page, *containers: int, own: frozenset[int] = frozenset()) -> str:
+    """Blocks of containers and of all inside them, and those that ``own`` hold themselves, in page order."""
     inside = [False] * len(page.parents)
     for i, parent in enumerate(page.parents):                    # parents come first
-        inside[i] = i == container or (parent >= 0 and inside[parent])
-    return " ".join(text for c, text, _ in page.blocks if inside[c])
+        inside[i] = i in containers or (parent >= 0 and inside[parent])
+    return " ".join(text for c, text, _ in page.blocks if inside[c] or c in own)
+
+
+def _above(page: Page, container: int) -> list[int]:
+    """The container and what it lies in, without the page itself."""
+    out = []
+    while container > 0:
+        out.append(container)
+        container = page.parents[container]
+    return out
+
+
+def selected(page: Page, path: str | None = None) -> str:
+    """The article that ``path`` stands for, or the page's own best path if the page has no such container."""
+    best = best_container(page, path)[0] if path is not None else -1
+    if best < 0:
+        best = best_container(page)[0]
+    articles = [c for c in _above(page, best) if page.tags[c] == "article"]
+    if articles:
+        return text_under(page, articles[-1])
+    chosen, own = set(), set()
+    for c in (i for i, p in enumerate(page.paths) if p == page.paths[best]):
+        around = _above(page, c)
+        chosen.add(next((a for a in reversed(around) if page.marked[a]), c))
+        own.update(around)
+    return text_under(page, *chosen, own=frozenset(own))
 
 
 def host_of(url: str | None) -> str | None:
@@ -223,17 +280,14 @@ def _extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         for html, path in zip(batch.column("html").to_pylist(), batch.column("path").to_pylist()):
             text = ""
             if html:
-                page = parse(html)
-                container = best_container(page, path)[0] if path is not None else -1
-                if container < 0:
-                    container = best_container(page)[0]
-                text = text_under(page, container)
+                text = selected(parse(html), path)
             texts.append(text)
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
              pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
+@shipped
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for every page.
 

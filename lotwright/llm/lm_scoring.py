@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .shipping import shipped
 from .textops import mix, slices, words_of
 
 HELD_OUT_OF = 10
@@ -338,6 +339,7 @@ def _local(uri: str) -> str:
     return uri
 
 
+@shipped
 def train(docs: DataFrame) -> Model:
     """Count the training documents of ``docs`` (doc_id, text) and store the model."""
     spark = docs.sparkSession
@@ -421,6 +423,7 @@ def _score_batches(model: Model):
     return run
 
 
+@shipped
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """Per document: counts, base score, model score (log10) and perplexity."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(

@@ -24,7 +24,9 @@ is kept whole.
 Defined results: null and empty texts have an empty set and are linked with
 nothing; a text with fewer words than a shingle has one shingle; repeated rows
 share a component; a null doc_id has no order and gets the smallest id of its
-component, or null; empty tables give empty results; extra columns are ignored.
+component, or null; different texts under one doc_id, or under none, are told
+apart by a 128-bit text hash; empty tables give empty results; extra columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -39,6 +41,7 @@ from pyspark.sql import functions as F
 from ..sources.tables import materialize
 from .components import components
 from .prefilter import likely_in
+from .shipping import shipped
 from .textops import Words, chain, mix, slices, words_of
 
 K = 64
@@ -49,7 +52,9 @@ COLD = 32
 BLOCK_ROWS = 400
 BLOCK_VALUES = 1 << 20
 
-_SKETCH = "doc_id long, n long, k1 long, k2 long, sketch binary"
+_SKETCH = "doc_id long, t1 long, t2 long, n long, k1 long, k2 long, sketch binary"
+#: What names a row: its id and the hash of its text.
+_ROW = ("doc_id", "t1", "t2")
 
 
 def shingle_sets(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -100,8 +105,8 @@ def _sketch_batches(size: int):
                 k1, k2 = _set_keys(values, first)
                 sketch = [values[s:min(e, s + K)].tobytes() for s, e in zip(first[:-1], first[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), pa.array(np.diff(first)), pa.array(k1),
-                     pa.array(k2), pa.array(sketch, pa.binary())], names=["doc_id", "n", "k1", "k2", "sketch"])
+                    [*(batch.column(c).slice(a, b - a) for c in _ROW), pa.array(np.diff(first)), pa.array(k1),
+                     pa.array(k2), pa.array(sketch, pa.binary())], names=[*_ROW, "n", "k1", "k2", "sketch"])
     return run
 
 
@@ -232,6 +237,17 @@ def _prefix_length(percent: int):
     return F.expr(f"IF(n > {K}, {K - MIN_OVERLAP + MEETINGS}, least(n, greatest({whole}, {across})))")
 
 
+def _rows(docs: DataFrame, *columns) -> DataFrame:
+    """(doc_id, t1, t2, text) and other columns of ``docs``."""
+    text = docs["text"]
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("t1"),
+                       F.xxhash64(F.lit(1), text).alias("t2"), text.alias("text"), *columns)
+
+
+def _same_row(x: DataFrame, y: DataFrame):
+    return x["doc_id"].eqNullSafe(y["doc_id"]) & (x["t1"] == y["t1"]) & (x["t2"] == y["t2"])
+
+
 def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
     """(u, v): links between nodes whose components are those of all links."""
     values = nodes.where("n > 0").select("node", "n", "sketch").mapInArrow(
@@ -271,10 +287,11 @@ def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFra
                          .mapInArrow(_estimate_batches(percent), "u long, v long"), "near-likely")
 
     needed = (likely.select(F.col("u").alias("node")).union(likely.select("v")).union(families.select("node"))
-              .distinct().join(nodes.select("node", "rep"), "node"))
+              .distinct().join(nodes.select("node", "rep.*"), "node"))
     wanted = materialize(needed, "near-wanted")
-    source = likely_in(docs.select(F.col("doc_id").cast("long").alias("rep"), "text"), "rep", wanted, "rep", "near-bits")
-    sets = materialize(source.join(wanted, source["rep"].eqNullSafe(wanted["rep"])).select("node", "text")
+    row = F.xxhash64(*_ROW).alias("row")
+    source = likely_in(_rows(docs).select("*", row), "row", wanted.select(row), "row", "near-bits")
+    sets = materialize(source.join(wanted, _same_row(source, wanted)).select("node", "text")
                        .mapInArrow(_set_batches(size), "node long, shingles binary").dropDuplicates(["node"]), "near-sets")
     exact = likely
     for side in ("u", "v"):
@@ -293,23 +310,32 @@ def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFra
     return found.union(within)
 
 
+def _graph(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sketches of the rows, nodes (node, rep, n, sketch), and (node, root) of the linked ones.
+
+    ``rep`` is the node's first row: smallest doc_id (null last), then text hash.
+    """
+    sketched = materialize(_rows(docs).mapInArrow(_sketch_batches(size), _SKETCH), "near-sketch")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), *_ROW)).alias("rep")
+    nodes = materialize(sketched.where("n > 0").groupBy("k1", "k2").agg(
+        first, F.max("n").alias("n"), F.max("sketch").alias("sketch"))
+        .withColumnRenamed("k1", "node").drop("k2"), "near-nodes")
+    return sketched, nodes, components(links(docs, nodes, size, percent), "near-components")
+
+
+@shipped
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every document.
 
     ``size`` words make a shingle; documents link when
     100 * intersection >= ``percent`` * union.
     """
-    sketched = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                           .mapInArrow(_sketch_batches(size), _SKETCH), "near-sketch")
-    nodes = materialize(sketched.where("n > 0").groupBy("k1", "k2").agg(
-        F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("sketch").alias("sketch"))
-        .withColumnRenamed("k1", "node").drop("k2"), "near-nodes")
-    roots = components(links(docs, nodes, size, percent), "near-components")
-    rooted = nodes.select("node", "rep").join(roots, "node")
-    label = rooted.groupBy("root").agg(F.min("rep").alias("label"))
-    labels = materialize(nodes.select("node", "rep").join(
-        rooted.join(label, "root").select("node", "label"), "node", "left")
-        .select("node", F.coalesce("label", "rep").alias("component_id")), "near-labels")
+    sketched, nodes, roots = _graph(docs, size, percent)
+    ids = nodes.select("node", F.col("rep.doc_id").alias("low"))
+    rooted = ids.join(roots, "node")
+    label = rooted.groupBy("root").agg(F.min("low").alias("label"))
+    labels = materialize(ids.join(rooted.join(label, "root").select("node", "label"), "node", "left")
+                         .select("node", F.coalesce("label", "low").alias("component_id")), "near-labels")
     full = sketched.select("doc_id", "n", "k1").where("n > 0").join(labels, F.col("k1") == F.col("node"))
     empty = sketched.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return full.select("doc_id", "n", "component_id").union(empty).select(
@@ -317,15 +343,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+@shipped
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group of near duplicates, with its columns.
 
-    The document with the group's smallest doc_id stays; of rows that repeat a
+    The group's first row stays: smallest doc_id (null last), then text hash.
+    Documents without words are in no group and stay; of rows that repeat a
     document (same doc_id and text), one.
     """
-    kept = near_duplicates(docs, size, percent).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    sketched, nodes, roots = _graph(docs, size, percent)
+    linked = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    kept = (linked.groupBy("root").agg(F.min("rep").alias("rep")).select("rep.*").drop("no_id")
+            .union(sketched.where("n = 0").select(*_ROW).distinct()))
+    kept = materialize(kept, "near-kept")
     names = [f"c{i}" for i in range(len(docs.columns))]
-    held = docs.select(docs["doc_id"].cast("long").alias("_d"), F.xxhash64(docs["text"]).alias("_t"),
-                       F.struct(*[docs[c].alias(n) for c, n in zip(docs.columns, names)]).alias("_row"))
-    rows = held.join(kept, F.col("_d").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["_d", "_t"])
+    held = _rows(docs, F.struct(*[docs[c].alias(n) for c, n in zip(docs.columns, names)]).alias("_row")).drop("text")
+    rows = held.join(kept, _same_row(held, kept), "left_semi").dropDuplicates([*_ROW])
     return rows.select(*[F.col(f"_row.{n}").alias(c) for c, n in zip(docs.columns, names)])

@@ -6,8 +6,9 @@ source, of one duplicate cluster or of one document.  The clusters are the
 components of near duplicates (five-word shingles, similarity 0.8 or more).
 
 Pieces are dealt by a hash into groups of about ``GROUP_ITEMS``, so a source or
-cluster that holds a third of all rows is spread evenly, and every group is one
-small task whose size does not depend on the data.  Inside a group, pieces go
+cluster that holds a third of all rows is spread evenly.  Equal pieces are
+counted first and travel as bundles of at most ``BUNDLE``, dealt one by one, so
+rows that repeat very often are spread as well and every group is one small task.  Inside a group, pieces go
 longest first.  Open bins are kept ordered by residual; each carries a bitmap
 of its sources, clusters and documents.  The successor search starts at the
 first bin with room and continues until a compatible one is found, which is
@@ -28,9 +29,11 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import materialize
 from .near_dedup import near_duplicates
+from .shipping import shipped
 
 CAPACITY = 2048
 GROUP_ITEMS = 4096
+BUNDLE = 16
 _SCAN = 256
 
 #: Ids may repeat or be null, so a row meets its cluster by id and text.
@@ -122,6 +125,7 @@ def _codes(column: pa.ChunkedArray) -> np.ndarray:
 
 def _pack_group(capacity: int):
     def run(group: pa.Table) -> pa.Table:
+        group = group.take(np.repeat(np.arange(len(group)), np.asarray(group["copies"])))
         group = group.sort_by([("n_words", "descending"), ("doc_id", "ascending"), ("piece", "ascending"),
                                ("source", "ascending"), ("cluster", "ascending")])
         bins = best_fit(np.asarray(group["n_words"]),
@@ -132,10 +136,15 @@ def _pack_group(capacity: int):
     return run
 
 
+@shipped
 def pack(docs: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_ITEMS) -> DataFrame:
     """(doc_id, piece, start, n_words, bin_id) for every document; places are in words."""
     cut = materialize(pieces(docs, capacity), "pieces")
     n_groups = max(1, -(-cut.count() // group_items))
-    dealt = cut.withColumn("grp", F.expr(
-        f"pmod(xxhash64(doc_id, piece, source, cluster, n_words), {n_groups}L)"))
+    equal = ["doc_id", "piece", "start", "n_words", "source", "cluster"]
+    bundles = cut.groupBy(*equal).count().withColumn(
+        "bundle", F.explode(F.expr(f"sequence(0L, (count - 1) DIV {BUNDLE})"))).withColumn(
+        "copies", F.expr(f"least(count - bundle * {BUNDLE}, {BUNDLE}L)"))
+    dealt = bundles.select(*equal, "copies", F.expr(
+        f"pmod(xxhash64(doc_id, piece, source, cluster, n_words, bundle), {n_groups}L)").alias("grp"))
     return dealt.groupBy("grp").applyInArrow(_pack_group(capacity), _PACKED)

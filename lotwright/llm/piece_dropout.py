@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shipping import shipped
 from .textops import slices
 
 MARK = "▁"
@@ -408,6 +409,7 @@ def _encode_batches(model_file: str, seed: int, rate: float, variants: int):
     return run
 
 
+@shipped
 def encode(docs: DataFrame, model_file: str, seed: int = 1, rate: float = RATE, variants: int = VARIANTS) -> DataFrame:
     """(doc_id, text, variant, ids) for every document."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
@@ -430,6 +432,7 @@ def _decode_batches(model_file: str):
     return run
 
 
+@shipped
 def decode(encoded: DataFrame, model_file: str) -> DataFrame:
     """``encoded`` with the column ``decoded``; it may have any other columns besides ``ids``."""
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())])

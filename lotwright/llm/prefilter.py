@@ -19,13 +19,23 @@ def _place(column: str) -> str:
     return f"(pmod(xxhash64({column}), {BITS}L) + 1)"
 
 
-def likely_in(df: DataFrame, column: str, keys: DataFrame, key: str, name: str) -> DataFrame:
-    """Rows of ``df`` whose ``column`` may be among the ``key`` values of ``keys``."""
-    bitmap = materialize(keys.selectExpr(f"{_place(key)} AS _x").groupBy(F.expr("bitmap_bucket_number(_x)").alias("_bucket"))
-                         .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(_x))").alias("_bits")), name)
+def bitmap(keys: DataFrame, key: str, name: str) -> DataFrame:
+    """The written bitmap of the ``key`` values of ``keys``."""
+    return materialize(keys.selectExpr(f"{_place(key)} AS _x").groupBy(F.expr("bitmap_bucket_number(_x)").alias("_bucket"))
+                       .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(_x))").alias("_bits")), name)
+
+
+def mark_likely(df: DataFrame, column: str, bits: DataFrame, mark: str, how: str = "left") -> DataFrame:
+    """``df`` with the boolean ``mark``: whether ``column`` may be among the keys of the bitmap."""
     set_bit = ("(shiftright(CAST(conv(hex(substring(_bits, CAST(_at DIV 8 AS INT) + 1, 1)), 16, 10) AS INT), "
                "CAST(_at % 8 AS INT)) & 1) = 1")
-    marked = df.withColumns({"_bucket": F.expr(f"bitmap_bucket_number({_place(column)})"),
+    placed = df.withColumns({"_bucket": F.expr(f"bitmap_bucket_number({_place(column)})"),
                              "_at": F.expr(f"bitmap_bit_position({_place(column)})")})
     # At most BITS / 32768 rows of 4 KB.
-    return marked.join(F.broadcast(bitmap), "_bucket").where(set_bit).drop("_bucket", "_at", "_bits")
+    return placed.join(F.broadcast(bits), "_bucket", how).withColumn(
+        mark, F.coalesce(F.expr(set_bit), F.lit(False))).drop("_bucket", "_at", "_bits")
+
+
+def likely_in(df: DataFrame, column: str, keys: DataFrame, key: str, name: str) -> DataFrame:
+    """Rows of ``df`` whose ``column`` may be among the ``key`` values of ``keys``."""
+    return mark_likely(df, column, bitmap(keys, key, name), "_likely", "inner").where("_likely").drop("_likely")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SENT: set[str] = set()
 
@@ -27,3 +29,12 @@ def ship(spark: SparkSession) -> None:
                     out.write(path, os.path.join(name, os.path.relpath(path, package)))
     sc.addPyFile(target)
     _SENT.add(sc.applicationId)
+
+
+def shipped(operator: Callable) -> Callable:
+    """An operator on a table that sends the package first."""
+    @functools.wraps(operator)
+    def run(docs: DataFrame, *args, **kwargs):
+        ship(docs.sparkSession)
+        return operator(docs, *args, **kwargs)
+    return run

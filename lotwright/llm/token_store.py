@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 
 from ..session import scratch_path
 from ..sources.tables import materialize
+from .shipping import ship, shipped
 from .textops import slices
 
 END_ID = 2
@@ -141,6 +142,7 @@ def _encode_batches(tokenizer_file: str, end_id: int):
     return run
 
 
+@shipped
 def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = END_ID) -> None:
     """Encode ``docs`` (doc_id, text) and write the token files to ``path``.
 
@@ -194,6 +196,7 @@ def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def digest(spark: SparkSession, path: str) -> DataFrame:
     """Per document, read from the files: doc_id, start, n_tokens, ids_crc32."""
+    ship(spark)
     rows = read_tokens(spark, path).mapInArrow(
         _digest_batches, "part int, local_start long, doc_id long, n_tokens long, ids_crc32 long")
     return rows.join(part_offsets(spark, path), "part").select(

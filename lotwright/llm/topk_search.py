@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import materialize
+from .shipping import shipped
 
 K = 5
 NODES = 4
@@ -62,6 +63,7 @@ def _pack(group: pa.Table) -> pa.Table:
                      "cells": pa.array([cells], pa.binary())})
 
 
+@shipped
 def blocks(rows: DataFrame, name: str) -> DataFrame:
     """Rows packed into blocks of bounded size, numbered 0.. within each length."""
     per = F.least(F.lit(MAX_BLOCK_ROWS), F.greatest(F.lit(16), F.floor(F.lit(BLOCK_CELLS) / F.greatest("dim", F.lit(1)))))
@@ -105,7 +107,6 @@ def _search(k: int, nodes: int, resolve: bool):
                 q, v = (_matrix(row["q_cells"], len(q_ids), row["dim"]),
                         _matrix(row["cells"], len(v_ids), row["dim"]))
                 local = _local_scores(q, v, nodes)
-                whole = np.sum(local, axis=0)
                 found: list[tuple[int, int, int]] = []
                 for i, query in enumerate(q_ids):
                     if resolve:
@@ -114,13 +115,16 @@ def _search(k: int, nodes: int, resolve: bool):
                         for part in local:
                             entry |= part[i] * len(local) >= cutoff
                         rows = np.flatnonzero(entry & (v_ids != query))
-                        rows = rows[whole[i][rows] >= cutoff]
-                        rows = rows[_best(whole[i][rows], v_ids[rows], k)]
+                        whole = sum(part[i][rows] for part in local)       # of the collected rows alone
+                        rows, whole = rows[whole >= cutoff], whole[whole >= cutoff]
+                        best = _best(whole, v_ids[rows], k)
+                        rows, whole = rows[best], whole[best]
                     else:
                         other = np.flatnonzero(v_ids != query)
                         rows = np.unique(np.concatenate(
                             [other[_best(part[i][other], v_ids[other], k)] for part in local]))
-                    found += [(int(query), int(v_ids[r]), int(whole[i][r])) for r in rows]
+                        whole = sum(part[i][rows] for part in local)       # of the listed rows alone
+                    found += [(int(query), int(v_ids[r]), int(s)) for r, s in zip(rows, whole)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([f[j] for f in found], pa.int64()) for j in range(3)],
                     names=["query_id", "vec_id", "score"])

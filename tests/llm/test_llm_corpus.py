@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 
 from lotwright.llm import line_dedup as L
 from lotwright.llm import lm_scoring as M
@@ -92,9 +93,16 @@ def test_near_dedup_edges_and_small_table(spark):
     assert kept.columns == edge_docs(spark).columns and ids.count(8) == 1 and 7 not in ids and 1 in ids
 
 
+def text_order(text):
+    """Spark's xxhash64 of a text, which orders the texts of one id."""
+    return np.array(xxhash.xxh64_intdigest(text.encode(), seed=42), np.uint64).astype(np.int64).item()
+
+
 def brute_lines(rows):
-    """Removed line numbers by comparing each line with every earlier one."""
-    lines = [((d is not None, d or 0), i, w) for d, t in set(rows) for i, x in enumerate((t or "").split("\n"))
+    """(doc_id, removed line numbers) by comparing each line with every earlier one."""
+    def key(d, t):
+        return d is not None, d or 0, text_order(t or "")
+    lines = [(key(d, t), i, w) for d, t in set(rows) for i, x in enumerate((t or "").split("\n"))
              if len(w := words(x)) >= L.MIN_WORDS]
     lines.sort(key=lambda x: x[:2])
     removed = defaultdict(set)
@@ -103,7 +111,29 @@ def brute_lines(rows):
             if (e, m) < (d, n) and (v == w or min(len(v), len(w)) >= L.MIN_NEAR_WORDS and L.within_one_edit(v, w)):
                 removed[d].add(n)
                 break
-    return {d: ",".join(map(str, sorted(removed[(d is not None, d or 0)]))) for d, _ in rows}
+    return Counter((d, ",".join(map(str, sorted(removed[key(d, t)])))) for d, t in rows)
+
+
+def report_of(docs):
+    return Counter((r["doc_id"], r["removed"]) for r in L.report(docs).collect())
+
+
+def test_keep_one_of_repeated_and_null_ids(spark):
+    extra = f"{BASE} and one more word to make it long enough for a copy of it"
+    rows = [(3, extra), (5, extra + " tail"), (5, "a text of its own that nobody else has here"), (5, extra), (None, extra + " end"),
+            (None, "null own words are not those of others at all"), (None, "null own words are not those of others at all"),
+            (None, None), (None, ""), (4, ""), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = Counter(tuple(r) for r in N.keep_one(docs).collect())
+    assert kept == Counter({(3, extra): 1, rows[2]: 1, rows[5]: 1, (None, None): 1, (None, ""): 1, (4, ""): 1})
+    got = N.near_duplicates(docs, 5, 80).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_near(rows, 5, 80)
+
+
+def test_near_dedup_of_many_rows_without_id(spark):
+    rows = [(None, t) for _, t in copies(60, 3)] + [(1, copies(61, 3)[60][1])]
+    got = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2, 80).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_near(rows, 2, 80)
 
 
 def test_one_word_edits():
@@ -127,14 +157,25 @@ def test_line_dedup_matches_brute_force(spark):
             text.append("  ".join(w))
         rows.append((d, "\n".join(text)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {r["doc_id"]: r["removed"] for r in L.report(docs).collect()} == brute_lines(rows)
+    assert report_of(docs) == brute_lines(rows)
+
+
+def test_line_dedup_tells_rows_of_one_id_apart(spark):
+    one, two, near = "shared one two three", "uno dos tres cuatro", "a b c d e f g h i j"
+    rows = [(5, f"{two}\n{one}"), (5, "cinco seis siete\nnot a copy at all"), (3, f"{one}\nok"), (9, "ok\nown line"),
+            (None, f"{near}\nnull own"), (None, f"{near} k\nother null own"), (None, f"{one}\nthird"), (None, f"{one}\nthird"),
+            (7, f"{near}\nseven"), (7, f"{near} k"), (7, f"{near} k"), (8, None), (8, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert report_of(docs) == brute_lines(rows)
+    texts = [r["text"] for r in L.dedup(docs).collect() if r["text"]]
+    assert any("not a copy at all" in t for t in texts) and any("own line" == t for t in texts)
 
 
 def test_line_dedup_edges(spark):
     docs = edge_docs(spark)
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     got = L.report(docs).collect()
-    assert {r["doc_id"]: r["removed"] for r in got} == brute_lines(rows) and len(got) == len(rows)
+    assert Counter((r["doc_id"], r["removed"]) for r in got) == brute_lines(rows) and len(got) == len(rows)
     out = L.dedup(docs)
     by_id = {r["doc_id"]: r for r in out.collect()}
     assert out.columns == docs.columns and 7 not in by_id and by_id[2]["text"] is None and by_id[3]["text"] == ""
@@ -183,6 +224,14 @@ def test_packing_covers_every_word_without_conflicts(spark):
     assert K.pack(empty_docs(spark)).count() == 0
 
 
+def test_packing_spreads_repeated_rows(spark):
+    docs = spark.createDataFrame([(1, "one two three", "s")] * 300 + [(2, "x " * 50, "t")], "doc_id long, text string, source string")
+    packed = K.pack(docs, capacity=32, group_items=32).collect()
+    assert len(packed) == 302 and len({r["bin_id"] for r in packed}) >= 300
+    groups = Counter(r["bin_id"] >> 32 for r in packed if r["doc_id"] == 1)
+    assert len(groups) > 3 and max(groups.values()) < 150
+
+
 def test_near_copies_never_share_a_bin(spark):
     """Copies that differ by a word, each from a source of its own, among short other texts."""
     rows = []

@@ -6,6 +6,8 @@ import random
 import re
 from collections import Counter
 
+import pytest
+
 from lotwright.llm import html_extract as H
 from lotwright.llm import pii as P
 from lotwright.llm import quality_rules as Q
@@ -121,6 +123,24 @@ def test_pii_adds_spans_and_keeps_base(spark):
     assert {"(415) 555-0199", "kim.b@mailhost"} <= found and not any("2.0" in f or "1999" in f for f in found)
 
 
+def test_pii_leaves_numbers_with_a_wrong_check_digit(spark):
+    text = "order 9876543210987654 was sent\nid 1111222233334445 and 12345678901234567 are listed"
+    row = P.find(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row["n_card"] == row["n_added"] == 0 and row["spans"] == ""
+
+
+def test_pii_very_long_lines(spark, monkeypatch):
+    text = "call (415) 555-0199 or write to kim.b@mailhost " + "w1 and " * 40000
+    rows = [(i, text if i % 3 == 0 else text[:47]) for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {r["doc_id"]: r["spans"] for r in P.find(docs).collect()}
+    assert all("email:32:46" in w for w in want.values())
+    model = P.train(P.labelled_rows())
+    spans = P.crf_spans([t for _, t in rows], model, True)
+    monkeypatch.setattr(P, "BATCH_WORDS", 1)
+    assert P.crf_spans([t for _, t in rows], model, True) == spans
+
+
 def test_crf_held_out_accuracy():
     """Trained on the even rows of the labelled table, right on nearly all odd rows."""
     rows = P.labelled_rows()
@@ -182,6 +202,21 @@ def test_html_main_text():
     assert H.text_under(page, best) == MAIN
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<article><h1>T title</h1><div class='entry-content'><p>" + "body words " * 20 + "</div></article>", "T title " + "body words " * 20),
+    ("<body><div><div><p>first half, the longer one</p></div><div><p>Second half</p></div></div>", "first half, the longer one Second half"),
+    ("<body><div class=post><div class=title><h1>T</h1></div><div class=entry-content>long text of it</div></div>", "T long text of it"),
+    ("<body><h1>T</h1><div><p>A text of some length</p></div><div class=other>brief</div></body>", "T A text of some length"),
+    ("<div><p style='overflow:hidden'>Kept</p><p data-x='hidden'>also</p><p data-hidden>this</p><p hidden>not</p></div>", "Kept also this"),
+    ("<article>x<div class='post social-story'>news</div><p id='search-history'>past</p><div class='ad-slot-3'>BUY</div>"
+     "<div class='related-posts'>more</div><div class='comment-list'>me too</div></article>", "x news past"),
+    ("<p>super<wbr>cali A<img src=x>B a<br>b</p>", "supercali AB a b"),
+    ("<p>a <b hidden>x</b><i class=ad>y <i>q</i> z</i> <em title='a > b' class=\"note\">end</em></p>", "a end"),
+])
+def test_html_keeps_the_whole_article(html, want):
+    assert H.selected(H.parse(html)) == " ".join(want.split())
+
+
 def test_html_consensus_moves_an_odd_page(spark):
     plain = "<body><div class=a>{0}</div><div class=b>{1}</div></body>"
     rows = [(i, "http://h.example/x", plain.format("main text of some length " * 4, "short")) for i in range(5)]

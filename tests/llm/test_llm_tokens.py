@@ -162,7 +162,7 @@ def test_topk_matches_brute_force(spark, monkeypatch, cells):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.REGISTRY) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.REGISTRY) == list(range(1, 14))
     import __spark_entry__
     assert set(queries.REGISTRY) | {"pipeline"} <= set(__spark_entry__.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near", "pii", "pack"]
