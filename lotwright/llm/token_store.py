@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from ..session import scratch_path
 from ..sources.tables import materialize
 from .shipping import ship, shipped
-from .textops import slices
+from .textops import _LOWER, _SPACE, slices, words_of
 
 END_ID = 2
 ROW_GROUP_BYTES = 16 << 20
@@ -45,9 +45,14 @@ PAGE_ROWS = 2000
 CACHE_WORDS = 700_000
 CACHE_WORD_BYTES = 64
 _ENCODERS: dict[str, "WordEncoder"] = {}      # kept for the worker's life
-_TAIL = re.compile(rb"([a-z])([!-&(-/:-@\[-`{-~]+)(?=[\x20\x09-\x0D]|\Z)")     # no apostrophe
 _LETTERS = re.compile(rb"[a-z]+\Z")
 _SEPARATOR = " <|startoftext|> "
+#: Text bytes that are cut into words together.
+SLICE_BYTES = 8 << 20
+_PUNCT = np.zeros(256, bool)
+_PUNCT[list(rb"!\"#$%&()*+,-./:;<=>?@[\]^_`{|}~")] = True                  # no apostrophe
+_LETTER = np.zeros(256, bool)
+_LETTER[97:123] = True
 
 SCHEMA = T.StructType([
     T.StructField("part", T.IntegerType(), False),
@@ -65,10 +70,14 @@ class WordEncoder:
     text's ids are the ids of its words in a row; every word goes through the
     tokenizer once and is then remembered.  Two more properties of it keep the
     words few: it lower-cases, and ASCII punctuation after a letter is a
-    pre-token of its own.  (A text that may hold a special token stays as it is.)
+    pre-token of its own, so it is cut off a word's end.  (A word that may hold a
+    special token stays as it is.)  All three are checked when the file is read.
     A word of the letters a-z is one pre-token that normalising leaves alone, so
     the tokenizer's model takes it directly; other words go through the whole
     tokenizer, many at once, with a special token between them.
+
+    The words of a slice of texts are numbered in Arrow; only its distinct words
+    are looked up, and their ids are gathered by number.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -77,11 +86,48 @@ class WordEncoder:
         self.separator = self.tokenizer.token_to_id(_SEPARATOR.strip())
         if self.separator is None:
             raise ValueError(f"the vocabulary has no {_SEPARATOR.strip()}")
+        self._check()
         self.known: dict[bytes, bytes] = {}
 
+    def _check(self) -> None:
+        def ids(text: str) -> list[int]:
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        marks = bytes(np.flatnonzero(_PUNCT).tolist()).decode()
+        cuts = [*(("word" + m, "word " + m) for m in marks), (f"word{marks}", f"word {marks}")]
+        whole = " ".join(f"Word{m}" for m in marks) + "\tX1\n'll\x0b\x0cÉa\r"
+        if (any(ids(x) != ids(y) for x, y in cuts) or ids(whole) != ids(whole.lower())
+                or ids(whole) != [i for w in whole.split() for i in ids(w)]):
+            raise ValueError("the vocabulary must drop white space, lower-case, and set punctuation apart from letters")
+        if any("<|" not in t.content for t in self.tokenizer.get_added_tokens_decoder().values()):
+            raise ValueError("the added tokens of the vocabulary must hold <|")
+
     @staticmethod
-    def _words(text: bytes) -> list[bytes]:
-        return (text if b"<|" in text else _TAIL.sub(rb"\1 \2", text.lower())).split()
+    def _words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """(words of the texts one after another, their number by text)."""
+        w = words_of(texts)
+        starts, ends, data = w.starts, w.ends, _LOWER[w.raw]
+        if not len(starts):
+            return pa.array([], pa.binary()).dictionary_encode(), np.zeros(len(texts), np.int64)
+        # For every byte, the last one up to it that is no punctuation.
+        last = np.arange(len(data), dtype=np.int32 if len(data) < 1 << 31 else np.int64)
+        last[_PUNCT[data]] = -1
+        np.maximum.accumulate(last, out=last)
+        last = last[ends - 1]
+        cut = (last >= starts) & (last < ends - 1)
+        cut[cut] = _LETTER[data[last[cut]]]
+        special = np.flatnonzero((w.raw[:-1] == ord("<")) & (w.raw[1:] == ord("|")))
+        for i in np.unique(np.searchsorted(starts, special, "right") - 1).tolist():
+            data[starts[i]:ends[i]] = w.raw[starts[i]:ends[i]]
+            cut[i] = False
+        counts = np.diff(np.concatenate([[0], np.cumsum(1 + cut)])[w.first])
+        at = np.flatnonzero(cut)
+        sizes = np.insert(ends - starts, at + 1, (ends - last - 1)[cut])
+        sizes[at + np.arange(len(at))] = (last + 1 - starts)[cut]
+        # The words' bytes without the white space between them are the values of a binary array.
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        array = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [
+            None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[~_SPACE[w.raw]])])
+        return array.dictionary_encode(), counts
 
     def _ids(self, words: list[bytes]) -> list[bytes]:
         model, out = self.tokenizer.model, [b""] * len(words)
@@ -103,17 +149,23 @@ class WordEncoder:
                 out[i] = ids[x + 1:y].tobytes()
         return out
 
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        split = [self._words(t or b"") for t in texts]
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, their number by text)."""
+        coded, counts = self._words(texts)
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        new = list(set().union(*split).difference(self.known))
+        words = coded.dictionary.to_pylist()
+        new = [w for w in words if w not in self.known]
         self.known.update(zip(new, self._ids(new)))
-        out = [b"".join(map(self.known.__getitem__, words)) for words in split]
+        ids = [self.known[w] for w in words]
         for w in new:
             if len(w) > CACHE_WORD_BYTES:
                 del self.known[w]
-        return out
+        edges = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])]).astype(np.int64)
+        lists = pa.LargeListArray.from_arrays(pa.array(edges), pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32)))
+        lists = lists.take(coded.indices)
+        ends = np.asarray(lists.offsets) - lists.offsets[0].as_py()
+        return np.asarray(lists.flatten()), np.diff(ends[np.concatenate([[0], np.cumsum(counts)])])
 
 
 def _encode_batches(tokenizer_file: str, end_id: int):
@@ -123,16 +175,17 @@ def _encode_batches(tokenizer_file: str, end_id: int):
         if tokenizer_file not in _ENCODERS:
             _ENCODERS[tokenizer_file] = WordEncoder(tokenizer_file)
         encoder = _ENCODERS[tokenizer_file]
-        end = np.array([end_id], dtype="<u4").tobytes()
         part, written = TaskContext.get().partitionId(), 0
         for batch in batches:
             text = batch.column("text")
-            for a, b in slices(text):
-                rows = [ids + end for ids in
-                        encoder.encode(text.slice(a, b - a).cast(pa.binary()).to_pylist())]
-                sizes = np.array([len(r) // 4 for r in rows], dtype=np.int64)
+            for a, b in slices(text, SLICE_BYTES):
+                found, sizes = encoder.encode(text.slice(a, b - a))
+                sizes = sizes + 1
                 edges = np.concatenate([[0], np.cumsum(sizes)])
-                ids = np.frombuffer(b"".join(rows), dtype="<u4").astype(np.int32)
+                ids = np.full(int(edges[-1]), end_id, np.int32)
+                inside = np.ones(len(ids), bool)
+                inside[edges[1:] - 1] = False
+                ids[inside] = found
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(b - a, part, np.int32)), pa.array(written + edges[:-1]),
                     batch.column("doc_id").slice(a, b - a), pa.array(sizes),
