@@ -21,7 +21,7 @@ columns are not read.
 
 from __future__ import annotations
 
-import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -45,7 +45,6 @@ PAGE_ROWS = 2000
 CACHE_WORDS = 700_000
 CACHE_WORD_BYTES = 64
 _ENCODERS: dict[str, "WordEncoder"] = {}      # kept for the worker's life
-_LETTERS = re.compile(rb"[a-z]+\Z")
 _SEPARATOR = " <|startoftext|> "
 #: Text bytes that are cut into words together.
 SLICE_BYTES = 8 << 20
@@ -133,8 +132,8 @@ class WordEncoder:
         model, out = self.tokenizer.model, [b""] * len(words)
         rest: list[int] = []
         for i, w in enumerate(words):
-            if _LETTERS.match(w):
-                out[i] = np.array([t.id for t in model.tokenize(w.decode())], dtype="<u4").tobytes()
+            if w.isalpha() and w.islower():                    # of bytes: a-z only
+                out[i] = struct.pack(f"<{len(t := model.tokenize(w.decode()))}I", *[x.id for x in t])
             elif b"<|" in w:
                 ids = self.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids
                 out[i] = np.array(ids, dtype="<u4").tobytes()
