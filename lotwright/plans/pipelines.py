@@ -102,7 +102,9 @@ def store_history(spark: SparkSession, history: DataFrame, t: Tables) -> int:
     step = SN.Commit(spark, t.root)
     current = rows.where(F.col("is_current"))
     append_closed(step, rows.where(~F.col("is_current")), t)
-    step.merge(current, t.history, "listing_id", t.width, SN.touched_ranges(current, "listing_id", t.width))
+    ranges = SN.touched_ranges(current, "listing_id", t.width)
+    kept = SN.outside(step.read(t.history, HISTORY, ranges), "listing_id", t.width, ranges)   # ranges stored with them
+    step.merge(kept.unionByName(current), t.history, "listing_id", t.width, ranges)
     return step.finish()
 
 

@@ -9,7 +9,11 @@ snapshot table.  Append tables are all their commits up to the state's number.
 A *merged* table is cut into key ranges of a fixed width.  A commit rewrites
 the ranges its keys touch and leaves the files of the others alone; the state
 names the newest commit of every range.  As keys are unique, a range holds at
-most ``width`` rows, whatever the batches bring.
+most ``width`` rows, whatever the batches bring.  Narrow ranges are files of their
+own only while they are few: beyond ``MAX_STORED`` of them, 2, 4, 8 ... neighbours
+are stored together, up to ``FULL_WIDTH`` keys, so that the number of files follows
+the rows and not the keys' spread.  A commit that joins them rewrites the table,
+which happens once per doubling.
 
 A job that fails before its marker leaves folders nobody reads; the retry gets
 the same number and overwrites them, so a replay is harmless.  One writer
@@ -33,6 +37,9 @@ from .tables import empty_table, materialize
 COMMITS = "_commits"
 #: State entry of the schemas that the commits of each table were written with.
 SCHEMAS = "schemas"
+#: Stored ranges of a merged table before neighbours are joined, and the most keys that joining makes of one.
+MAX_STORED = 64
+FULL_WIDTH = 1_000_000
 
 
 def _fs(spark: SparkSession, path: str):
@@ -72,6 +79,22 @@ def touched_ranges(df: DataFrame, key: str, width: int) -> list[int]:
     return sorted(r[0] for r in df.where(F.col(key).isNotNull()).select(range_of(key, width)).distinct().collect())
 
 
+def outside(df: DataFrame, key: str, width: int, ranges: list[int]) -> DataFrame:
+    """The rows whose key is in none of ``ranges``."""
+    known = df.sparkSession.createDataFrame([(r,) for r in ranges], "_range long")
+    return df.join(F.broadcast(known), range_of(key, width) == F.col("_range"), "left_anti")
+
+
+def _shift(entry: dict, ranges: list[int]) -> int:
+    """2 to the result is how many ranges are stored together once ``ranges`` are live too."""
+    shift = entry.get("shift", 0)
+    live, new = {int(r) for r in entry["live"]}, {r >> shift for r in ranges}
+    while len(live | new) > MAX_STORED and (entry["width"] << shift + 1) <= FULL_WIDTH:
+        shift += 1
+        live, new = {r >> 1 for r in live}, {r >> 1 for r in new}
+    return shift
+
+
 class Commit:
     """The next commit of a root: write tables, then ``finish``."""
 
@@ -104,24 +127,36 @@ class Commit:
             self.content = {**self.content, SCHEMAS: {**known, table: [*known.get(table, []), [self.number, text]]}}
 
     def merge(self, df: DataFrame, table: str, key: str, width: int, ranges: list[int]) -> None:
-        """The new content of some key ranges of a merged table; the other ranges are not touched."""
+        """The new content of some key ranges of a merged table, and of those that ``read`` gives with
+        them; the other ranges are not touched."""
         entry = self.content.get(table) or {"width": width, "live": {}}
         if entry["width"] != width:
             raise ValueError(f"{table} has key ranges of {entry['width']}")
+        shift, live = _shift(entry, ranges), {int(r): n for r, n in entry["live"].items()}
+        replaced = {r >> shift for r in ranges}
+        if wider := shift - entry.get("shift", 0):         # the stored ranges change: all are written again
+            replaced, live = replaced | {r >> wider for r in live}, {}
         folder = f"{self.root}/{table}/commit={self.number}"
-        rows = df.withColumn("range", range_of(key, width))
+        rows = df.withColumn("range", F.shiftright(range_of(key, width), shift))
         rows.hint("rebalance", "range").write.mode("overwrite").partitionBy("range").parquet(folder)
         fs, path = _fs(self.spark, folder)
         names = [f.getPath().getName() for f in fs.listStatus(path)]
         written = {int(n.split("=")[1]) for n in names if n.startswith("range=")}
-        if not written <= set(ranges):
+        if not written <= replaced:
             raise ValueError(f"{table}: rows of ranges that the commit does not replace")
-        live = {r: n for r, n in entry["live"].items() if int(r) not in ranges}
+        live = {str(r): n for r, n in live.items() if r not in replaced}
         live |= {str(r): self.number for r in sorted(written)}
-        self.content = {**self.content, table: {"width": width, "live": live}}
+        stored = {"width": width, "shift": shift, "live": live} if shift else {"width": width, "live": live}
+        self.content = {**self.content, table: stored}
 
     def read(self, table: str, schema: T.StructType, ranges: list[int] | None = None) -> DataFrame:
-        """The table as this commit found or has made it."""
+        """The table as this commit found or has made it.
+
+        ``ranges`` reads some key ranges of a merged table: them and the ranges that are stored, or that
+        a ``merge`` of them would store, with them."""
+        entry = self.content.get(table)
+        if ranges is not None and isinstance(entry, dict) and _shift(entry, ranges) > entry.get("shift", 0):
+            ranges = None
         return _read_state(self.spark, self.root, self.content, table, schema, ranges)
 
     def append_numbered(self, df: DataFrame, table: str, id_col: str, order_by: list[str]) -> None:
@@ -167,7 +202,8 @@ def _read_state(spark: SparkSession, root: str, content: dict, table: str, schem
     if isinstance(entry, int):
         return conform(spark.read.parquet(f"{folder}/commit={entry}"), schema)
     live = {int(r): n for r, n in entry["live"].items()}
-    wanted = sorted(live if ranges is None else live.keys() & set(ranges))
+    shift = entry.get("shift", 0)
+    wanted = sorted(live if ranges is None else live.keys() & {r >> shift for r in ranges})
     if not wanted:
         return empty_table(spark, schema)
     wide = T.StructType([*schema.fields, T.StructField("commit", T.LongType()), T.StructField("range", T.LongType())])
@@ -182,7 +218,7 @@ def read_table(spark: SparkSession, root: str, table: str, schema: T.StructType,
                ranges: list[int] | None = None) -> DataFrame:
     """SNK-6: the current snapshot or merged table, or an empty frame of ``schema`` if none.
 
-    ``ranges`` reads some key ranges of a merged table only."""
+    ``ranges`` reads some key ranges of a merged table only, and those stored with them."""
     return _read_state(spark, root, state(spark, root)[1], table, schema, ranges)
 
 

@@ -192,3 +192,29 @@ def test_history_schema_of_an_empty_store(spark):
     t = P.Tables(tempfile.mkdtemp(prefix="lotwright-none-"))
     assert P.full_history(spark, t).columns == HISTORY.fieldNames()
     assert SN.run_state(SN.read_appended(spark, t.root, t.runs, RUN_EVENTS)).where(F.lit(True)).count() == 0
+
+
+def test_many_narrow_ranges_are_stored_together(spark, monkeypatch):
+    monkeypatch.setattr(SN, "MAX_STORED", 4)
+    t = P.Tables(tempfile.mkdtemp(prefix="lotwright-joined-"), width=10)
+
+    def listings():
+        return {r["listing_id"]: r["price"] for r in SN.read_table(spark, t.root, t.listings, LISTINGS).collect()}
+    P.ingest_batch(spark, batch(spark, [(k, k, "Available") for k in range(1, 31)]), t, 1, DAY)
+    assert set(SN.state(spark, t.root)[1][t.listings]["live"]) == {"0", "1", "2", "3"}         # few: stored one by one
+    P.ingest_batch(spark, batch(spark, [(k, 1000 + k, "Available") for k in range(25, 400, 10)]), t, 2, DAY)
+    want = {**{k: k for k in range(1, 31)}, **{k: 1000 + k for k in range(25, 400, 10)}}
+    assert listings() == want
+    for table in (t.listings, t.history):
+        entry = SN.state(spark, t.root)[1][table]
+        assert entry["width"] == 10 and len(entry["live"]) <= 4
+    assert len(files(t.root, t.listings)) <= 4 + 4
+    # One range of a stored group: its neighbours keep their rows, the other groups their files.
+    P.ingest_batch(spark, batch(spark, [(12, 7, "Reserved"), (395, 9, "Available")]), t, 3, DAY + dt.timedelta(days=1))
+    assert listings() == {**want, 12: 7, 395: 9}
+    assert sorted(SN.state(spark, t.root)[1][t.listings]["live"].values()) == [2, 3, 3]
+    history = P.full_history(spark, t)
+    assert history.where("is_current").count() == len(want) and P.key_history(spark, t, 12).count() == 2
+    h = spark.createDataFrame([(395, DAY, None, True)], "listing_id long, valid_from timestamp, valid_to timestamp, is_current boolean")
+    P.store_history(spark, h, t)                                             # replaces its own range only
+    assert P.full_history(spark, t).where("is_current").count() == len(want)
