@@ -53,8 +53,11 @@ _PARTS = pa.list_(pa.struct([("key", pa.int32()), ("limb", pa.int32()), ("value"
 # Symmetric eigenvalue problem on an interval.
 # ---------------------------------------------------------------------------
 def count_below(v: np.ndarray, shift: float) -> int:
-    """Eigenvalues of symmetric ``v`` below ``shift``: negative pivots of LDL' of v - shift I."""
+    """Eigenvalues of symmetric ``v`` below ``shift``: negative pivots of LDL' of v - shift I.
+
+    A pivot of the size of rounding is no sign: its eigenvalue is the shift."""
     a = v - shift * np.eye(len(v))
+    rounding = len(a) * np.finfo(float).eps * np.abs(v).max(initial=abs(shift))
     alpha, below = (1 + math.sqrt(17)) / 8, 0
     while len(a):
         diagonal, off = np.abs(np.diag(a)), np.abs(np.tril(a, -1))
@@ -65,7 +68,7 @@ def count_below(v: np.ndarray, shift: float) -> int:
         pivots = [i] if diagonal[i] >= alpha * off[r, s] else [s, r]       # of one row or two
         rest = np.setdiff1d(np.arange(len(a)), pivots)
         d, e = a[np.ix_(pivots, pivots)], a[np.ix_(rest, pivots)]
-        below += int(d[0, 0] < 0) if len(pivots) == 1 else 1               # two: one of each sign
+        below += int(d[0, 0] < -rounding) if len(pivots) == 1 else 1               # two: one of each sign
         a = a[np.ix_(rest, rest)] - e @ np.linalg.solve(d, e.T)
         a = (a + a.T) / 2
     return below
