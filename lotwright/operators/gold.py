@@ -176,7 +176,7 @@ def gold_transform(silver: DataFrame, as_of: dt.date, keep_delisted: bool = Fals
 
     The projection is written once: the ranks are taken from its stored metrics
     and joined to its stored rows, so a name is parsed once."""
-    gold = materialize(project_gold(tag_silver(silver), as_of, keep_delisted), "gold-unscored")
+    gold = materialize(project_gold(tag_silver(silver), as_of, keep_delisted), "gold-unscored", wide=True)
     return with_value_score(gold, coe_higher_is_better, n_buckets, max_broadcast_rows)
 
 

@@ -29,7 +29,7 @@ def gold_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gold table of the silver view: rebuilt and written once per session
     and input folder (SNK-2); questions and profiles read the stored table."""
     return TV.memo_view(spark, "gold", sf_dir, lambda: materialize(
-        G.gold_transform(TV.silver(spark, sf_dir), TV.TEST_AS_OF), "gold"))
+        G.gold_transform(TV.silver(spark, sf_dir), TV.TEST_AS_OF), "gold", wide=True))
 
 
 @register("gold_transform")

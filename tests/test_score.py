@@ -72,3 +72,29 @@ def test_adaptive_single_bucket_equals_many(spark):
     one = {r["k"]: r["rank"] for r in R.percentile_rank(df, "k", "metric", "v").collect()}
     many = {r["k"]: r["rank"] for r in R.percentile_rank(df, "k", "metric", "v", n_buckets=32).collect()}
     assert one == many
+
+
+def test_wide_gold_is_written_in_methods_the_jvm_compiles(spark, monkeypatch):
+    import datetime as dt
+
+    import pytest
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from lotwright.schemas import LISTINGS
+    from lotwright.sources import tables
+
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before, write, seen = spark.conf.get(key), DataFrameWriter.parquet, {}
+
+    def watched(self, path, *args, **kwargs):
+        seen[path.rsplit("/", 1)[-1].rsplit("-", 1)[0]] = int(spark.conf.get(key))
+        return write(self, path, *args, **kwargs)
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched)
+    row = {"listing_id": 1, "car_name": "BMW X5 xDrive40i", "price": 90000, "omv": 30000, "status": "Available"}
+    silver = spark.createDataFrame([tuple(row.get(f.name) for f in LISTINGS.fields)], LISTINGS)
+    gold = G.gold_transform(silver, dt.date(2002, 6, 30)).first()
+    assert (gold["brand"], gold["model"], gold["price_to_omv_ratio"]) == ("BMW", "X5", 3.0)
+    assert seen["gold-unscored"] <= 8000 and spark.conf.get(key) == before     # 65535 before: interpreted
+    with pytest.raises(ValueError), tables.compilable(spark):
+        raise ValueError
+    assert spark.conf.get(key) == before
