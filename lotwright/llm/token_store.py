@@ -86,6 +86,7 @@ class WordEncoder:
         if self.separator is None:
             raise ValueError(f"the vocabulary has no {_SEPARATOR.strip()}")
         self._check()
+        self.coded = [struct.pack("<I", i) for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
         self.known: dict[bytes, bytes] = {}
 
     def _check(self) -> None:
@@ -129,11 +130,11 @@ class WordEncoder:
         return array.dictionary_encode(), counts
 
     def _ids(self, words: list[bytes]) -> list[bytes]:
-        model, out = self.tokenizer.model, [b""] * len(words)
+        tokenize, coded, out = self.tokenizer.model.tokenize, self.coded, [b""] * len(words)
         rest: list[int] = []
         for i, w in enumerate(words):
             if w.isalpha() and w.islower():                    # of bytes: a-z only
-                out[i] = struct.pack(f"<{len(t := model.tokenize(w.decode()))}I", *[x.id for x in t])
+                out[i] = b"".join([coded[x.id] for x in tokenize(w.decode())])
             elif b"<|" in w:
                 ids = self.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids
                 out[i] = np.array(ids, dtype="<u4").tobytes()
@@ -153,14 +154,15 @@ class WordEncoder:
         coded, counts = self._words(texts)
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        words = coded.dictionary.to_pylist()
-        new = [w for w in words if w not in self.known]
-        self.known.update(zip(new, self._ids(new)))
-        ids = [self.known[w] for w in words]
-        for w in new:
-            if len(w) > CACHE_WORD_BYTES:
-                del self.known[w]
-        edges = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])]).astype(np.int64)
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()        # one call, no scalar per word
+        ids = list(map(self.known.get, words))
+        unknown = [i for i, x in enumerate(ids) if x is None]
+        new = [words[i] for i in unknown]
+        for i, w, x in zip(unknown, new, self._ids(new)):
+            ids[i] = x
+            if len(w) <= CACHE_WORD_BYTES:
+                self.known[w] = x
+        edges = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) // 4])
         lists = pa.LargeListArray.from_arrays(pa.array(edges), pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32)))
         lists = lists.take(coded.indices)
         ends = np.asarray(lists.offsets) - lists.offsets[0].as_py()
