@@ -30,6 +30,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -82,6 +83,7 @@ class Vocabulary:
         order = np.argsort(pairs)
         self.n_pieces, self.pairs = n, pairs[order]
         self.merged, self.merge_rank = (np.array(x, np.int32)[order] for x in zip(*merges.values()))
+        self._fill_slots()
         self.byte_ids = {int(pieces[i][3:5], 16): i for i in range(n) if model.is_byte(i)}
         self.raw = [b""] * n
         for p, i in self.ids.items():
@@ -96,10 +98,33 @@ class Vocabulary:
     def merges(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(merged id, rank) of pairs of ids; the rank is NO_MERGE where there is none."""
         key = left.astype(np.int64) * self.n_pieces + right
-        at = np.searchsorted(self.pairs, key)
-        at[at == len(self.pairs)] = 0
-        good = (self.pairs[at] == key) & (left >= 0) & (right >= 0)
-        return self.merged[at], np.where(good, self.merge_rank[at], NO_MERGE)
+        slot = self._slot(key)
+        at = self.slots[slot]
+        rank = np.full(len(key), NO_MERGE, np.int32)
+        look = np.flatnonzero((at >= 0) & (left >= 0) & (right >= 0))
+        while len(look):
+            here = at[look]
+            good = self.pairs[here] == key[look]
+            rank[look[good]] = self.merge_rank[here[good]]
+            look = look[~good]
+            slot[look] = (slot[look] + 1) & self.slot_mask
+            at[look] = self.slots[slot[look]]
+            look = look[at[look] >= 0]
+        return self.merged[at], rank
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) & self.slot_mask
+
+    def _fill_slots(self) -> None:
+        """Hash table of the pairs, linear probing: numbers of pairs, -1 where a slot is free."""
+        self.slot_mask = (1 << min(24, max(4, (8 * len(self.pairs)).bit_length()))) - 1
+        self.slots = np.full(self.slot_mask + 1, -1, np.int32)
+        left, slot = np.arange(len(self.pairs), dtype=np.int32), self._slot(self.pairs)
+        while len(left):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = left[free]              # of several, the last one stays
+            go_on = self.slots[slot] != left
+            left, slot = left[go_on], (slot[go_on] + 1) & self.slot_mask
 
     def decode(self, ids: list[int]) -> str:
         """The text of a piece sequence, without the dummy prefix."""
@@ -252,61 +277,89 @@ class Encoder:
         letters, which = np.unique(codes, return_inverse=True)
         ids = np.array([v.ids.get(MARK if x == 32 else "" if chr(x) == MARK else chr(x), -2) for x in letters.tolist()], np.int64)
         n, width = len(chunks), int(size.max())
-        column = np.arange(width)
-        inside = column < size[:, None]
-        symbol = np.full((n, width + 2), -1, np.int64)
-        symbol[:, :width][inside] = ids[which]
+        wide = width + 2                     # a column before the first symbol, and one for the end
+        inside = np.arange(width) < size[:, None]
+        symbol = np.full((n, wide), -1, np.int32)
+        symbol[:, 1:width + 1][inside] = ids[which]
         unknown = (symbol == -2).any(axis=1)
-        start = np.full((n, width + 2), 0, np.int64)
-        start[:, :width] = column
-        start[:, :width + 1][np.arange(n), size] = size             # where a row's last symbol ends
-        piece, rank = v.merges(symbol[:, :-1].ravel(), symbol[:, 1:].ravel())
-        piece, rank = piece.reshape(n, -1), rank.reshape(n, -1)
-        dropped = np.full((n, max(1, max(map(len, drops)))), -1, np.int64)
-        for i, d in enumerate(drops):
-            dropped[i, :len(d)] = d
+        # A symbol stays in the column of its first character; ``after`` and ``before`` lead to its neighbours.
+        before = np.tile(np.arange(-1, width + 1, dtype=np.int32), (n, 1)).ravel()
+        after = np.tile(np.arange(1, width + 3, dtype=np.int32), (n, 1)).ravel()
+        rank, piece = np.full((n, wide), NO_MERGE, np.int32), np.zeros((n, wide), np.int32)
+        # Characters are few: their pairs are looked up once each.
+        pair_piece, pair_rank = (x.reshape(len(ids), -1) for x in v.merges(np.repeat(ids, len(ids)), np.tile(ids, len(ids)))) \
+            if len(ids) * len(ids) < 4 * len(which) else (None, None)
+        pairs = inside[:, 1:]                # whether the column's character has one after it
+        first = np.cumsum(size) - size
+        last = np.ones(len(which), bool)
+        last[first + size - 1] = False
+        left = np.flatnonzero(last)
+        if pair_rank is None:
+            piece[:, 1:width][pairs], rank[:, 1:width][pairs] = v.merges(ids[which[left]], ids[which[left + 1]])
+        else:
+            piece[:, 1:width][pairs] = pair_piece[which[left], which[left + 1]]
+            rank[:, 1:width][pairs] = pair_rank[which[left], which[left + 1]]
+        n_drops = np.fromiter(map(len, drops), np.int64, n)
+        dropped = np.full((n, int(n_drops.max())), -1, np.int64)
+        dropped[np.arange(dropped.shape[1]) < n_drops[:, None]] = list(chain.from_iterable(drops))
         merged, n_merged = np.zeros((n, width), np.int64), np.zeros(n, np.int64)
-        live = np.arange(n)
+        flat_symbol, flat_piece = symbol.ravel(), piece.ravel()
+        live, open_ = np.arange(n), rank               # ``open_`` holds the ranks of the live rows
         while len(live):
-            best = rank[live].argmin(axis=1)
-            live, best = live[(some := rank[live, best] < NO_MERGE)], best[some]
-            left, right, end = (start[live, best + d] for d in range(3))
-            candidate = left << 42 | right << 21 | (end - left)
-            skip = (dropped[live] == candidate[:, None]).any(axis=1)
-            rank[live[skip], best[skip]] = NO_MERGE
-            rows, at = live[~skip], best[~skip]
-            if not len(rows):
-                continue
-            merged[rows, n_merged[rows]] = candidate[~skip]
+            best = open_.argmin(axis=1)
+            value = open_[np.arange(len(live)), best]
+            if (some := value < NO_MERGE).sum() < len(live):
+                live, best, open_ = live[some], best[some], open_[some]
+                if not len(live):
+                    break
+            at = live * wide + best
+            right = after[at].astype(np.int64)
+            end = after[live * wide + right].astype(np.int64)
+            if dropped.shape[1]:
+                candidate = (best - 1) << 42 | (right - 1) << 21 | (end - best)
+                skip = (dropped[live] == candidate[:, None]).any(axis=1)
+                open_[skip, best[skip]] = NO_MERGE
+                row = np.flatnonzero(~skip)
+                at, best, right, end, candidate = at[row], best[row], right[row], end[row], candidate[row]
+            else:
+                candidate, row = (best - 1) << 42 | (right - 1) << 21 | (end - best), np.arange(len(live))
+            rows = live[row]
+            merged[rows, n_merged[rows]] = candidate
             n_merged[rows] += 1
-            symbol[rows, at] = piece[rows, at]
-            # The right symbol of each merge goes: what follows moves up by one.
-            for table, first in ((symbol, 1), (start, 1), (piece, 0), (rank, 0)):
-                some = table[rows]
-                moved = np.where(np.arange(table.shape[1] - 1) >= (at + first)[:, None], some[:, 1:], some[:, :-1])
-                table[rows, :-1] = moved
-            for d in (-1, 0):
-                there = at + d >= 0
-                r, p = rows[there], at[there] + d
-                piece[r, p], rank[r, p] = v.merges(symbol[r, p], symbol[r, p + 1])
+            base = rows * wide
+            flat_symbol[at] = flat_piece[at]
+            flat_symbol[base + right] = -1
+            open_[row, right] = NO_MERGE
+            after[at] = end
+            before[base + end] = best
+            prior = before[at].astype(np.int64)
+            # The pairs with the symbol before (none in column 0: -1 there) and after.
+            new_piece, new_rank = v.merges(flat_symbol[np.concatenate([base + prior, at])], flat_symbol[np.concatenate([at, base + end])])
+            m = len(row)
+            flat_piece[base + prior], open_[row, prior] = new_piece[:m], new_rank[:m]
+            flat_piece[at], open_[row, best] = new_piece[m:], new_rank[m:]
+        symbol = symbol[:, 1:width + 1]
+        column = np.arange(width)
         kept = (symbol >= 0) & ~unknown[:, None]
         n_merged[unknown] = 0
         return symbol[kept], kept.sum(axis=1), merged[column < n_merged[:, None]], n_merged, unknown
 
     def _add(self, chunks: list[str], drops: list[tuple[int, ...]]) -> list[int]:
         """New outcomes of short chunks; -1 for those with unknown characters."""
-        order, out = sorted(range(len(chunks)), key=lambda i: len(chunks[i])), [-1] * len(chunks)
+        size, out = np.fromiter(map(len, chunks), np.int64, len(chunks)), np.full(len(chunks), -1, np.int64)
+        order = np.argsort(size, kind="stable")
         for a in range(0, len(order), 4096):
             some = order[a:a + 4096]
-            ids, n_ids, merged, n_merged, unknown = self._side_by_side([chunks[i] for i in some], [drops[i] for i in some])
+            these = some.tolist()
+            words, without = [chunks[i] for i in these], [drops[i] for i in these]
+            ids, n_ids, merged, n_merged, unknown = self._side_by_side(words, without)
             good = ~unknown
-            for i, at in zip(np.array(some)[good].tolist(), range(self.ids.n, self.ids.n + int(good.sum()))):
-                out[i] = at
-                self.chunk.append(chunks[i])
-                self.drops.append(drops[i])
+            out[some[good]] = np.arange(self.ids.n, self.ids.n + int(good.sum()))
+            self.chunk += compress(words, good.tolist())
+            self.drops += compress(without, good.tolist())
             self.ids.add(ids, n_ids[good])
             self.merged.add(merged, n_merged[good])
-        return out
+        return out.tolist()
 
     def learn(self, chunks: list[str]) -> None:
         """Outcomes without drops of chunks that are not known yet."""
@@ -333,9 +386,11 @@ class Encoder:
         step, which = np.unique(outcome * 64 + number, return_inverse=True)
         step = step.tolist()
         new = [s for s in step if s not in self.after]
-        drops = [(*self.drops[s >> 6], int(self.merged.values[self.merged.first[s >> 6] + (s & 63)])) for s in new]
+        at = np.array(new, np.int64)
+        candidates = self.merged.values[self.merged.first[at >> 6] + (at & 63)].tolist()
+        drops = [(*self.drops[s >> 6], c) for s, c in zip(new, candidates)]
         self.after.update(zip(new, self._add([self.chunk[s >> 6] for s in new], drops)))
-        return np.array([self.after[s] for s in step], np.int64)[which]
+        return np.array(list(map(self.after.__getitem__, step)), np.int64)[which]
 
     def encode_flat(self, texts: list[str | None], variants: list[int], docs: list[int | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, edges of the texts)."""
@@ -348,9 +403,13 @@ class Encoder:
         doc_key = np.array([self._key(v, (t or "") if d is None else str(d)) for t, v, d in zip(texts, variants, docs)], np.uint64)
         place = np.arange(len(chunks)) - np.repeat(np.cumsum(count) - count, count)
         key = _place_keys(np.repeat(doc_key, count), place)
-        new = set(chunks).difference(self.whole)
+        at = list(map(self.whole.get, chunks))
+        missing = [i for i, x in enumerate(at) if x is None]
+        new = {chunks[i] for i in missing}
         self.learn(list(new))
-        outcome = np.fromiter(map(self.whole.__getitem__, chunks), np.int64, len(chunks))
+        for i in missing:
+            at[i] = self.whole[chunks[i]]
+        outcome = np.array(at, np.int64)
         open_ = np.flatnonzero(outcome >= 0) if self.below else np.zeros(0, np.int64)
         while len(open_):
             at = outcome[open_]

@@ -195,3 +195,47 @@ def test_pipeline_stages(spark):
     packed = corpus_pipeline.pack(spark, clean, sf)
     assert {r["doc_id"] for r in packed.collect()} == single
     assert packed.count() == packing.pieces(clean).count()
+
+
+def test_pairs_are_found_by_hash(spark, vocabulary):
+    v, rng = vocabulary, np.random.default_rng(3)
+    some = rng.integers(0, len(v.pairs), 3000)
+    left = np.concatenate([v.pairs[some] // v.n_pieces, rng.integers(-2, v.n_pieces, 3000)])
+    right = np.concatenate([v.pairs[some] % v.n_pieces, rng.integers(-2, v.n_pieces, 3000)])
+    known = {int(p): (int(m), int(r)) for p, m, r in zip(v.pairs, v.merged, v.merge_rank)}
+    merged, rank = v.merges(left, right)
+    for a, b, m, r in zip(left.tolist(), right.tolist(), merged.tolist(), rank.tolist()):
+        want = known.get(a * v.n_pieces + b) if a >= 0 and b >= 0 else None
+        assert (m, r) == want if want else r == D.NO_MERGE
+    assert (v.slots >= 0).sum() == len(v.pairs)                 # sorted pairs and a binary search before
+
+
+def test_known_chunks_and_words_are_looked_up_once(spark, vocabulary):
+    class Once(dict):
+        reads = 0
+
+        def get(self, *key):
+            Once.reads += 1
+            return super().get(*key)
+
+        def __getitem__(self, key):
+            Once.reads += 1
+            return super().__getitem__(key)
+
+        def __contains__(self, key):
+            Once.reads += 1
+            return super().__contains__(key)
+
+    one = D.Encoder(vocabulary, 1, 0.1)
+    first = one.encode("known words stay known " * 50, 0, 1)
+    one.whole = Once(one.whole)
+    assert one.encode("known words stay known " * 50, 0, 1) == first
+    assert Once.reads == len(D._CHUNK.findall(" " + "known words stay known " * 50))
+
+    words = S.WordEncoder(WORD_BPE)
+    texts = pa.array(["known words stay known, Words " * 50, None, ""])
+    ids, sizes = words.encode(texts)
+    words.known, Once.reads = Once(words.known), 0
+    again, n = words.encode(texts)
+    assert again.tolist() == ids.tolist() and n.tolist() == sizes.tolist()
+    assert Once.reads == len(words.known)                       # twice before
