@@ -37,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..sources.tables import materialize
 from .components import components
@@ -51,22 +52,28 @@ MEETINGS = 3
 COLD = 32
 BLOCK_ROWS = 400
 BLOCK_VALUES = 1 << 20
+_STEP = np.uint64(0xD6E8FEB86659FD93)        # odd, as in ``chain``
 
-_SKETCH = "doc_id long, t1 long, t2 long, n long, k1 long, k2 long, sketch binary"
+#: Text bytes worked on at once: small enough that the working arrays stay in the cache.
+SKETCH_BYTES = 1 << 18
+
+_SKETCH = "n_words long, n long, k1 long, k2 long, sketch binary"
 #: What names a row: its id and the hash of its text.
 _ROW = ("doc_id", "t1", "t2")
 
 
 def shingle_sets(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(values, first): each row's distinct shingle hashes, ascending, and where they begin."""
-    h, row, count = words.hashes(), words.rows(), words.counts
+    h, count = words.hashes(), words.counts
+    row = words.rows()
     n = len(h) - size + 1
     if n > 0:
-        values = h[:n]
+        values = h[:n].copy()
         for i in range(1, size):
-            values = chain(values, h[i:i + n])
-        whole = row[:n] == row[size - 1:size - 1 + n]
-        values, at = values[whole], row[:n][whole]
+            values *= _STEP
+            values += h[i:i + n]
+        whole = row[:n] == row[size - 1:]
+        values, at = mix(values[whole]), row[:n][whole]
     else:
         values, at = h[:0], row[:0]
     short = np.flatnonzero((count > 0) & (count < size))
@@ -78,12 +85,17 @@ def shingle_sets(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
                 v = chain(v, h[words.first[r] + i:words.first[r] + i + 1])
             extra.append(mix(v + np.uint64(1)))
         values, at = np.concatenate([values, *extra]), np.concatenate([at, short])
-    order = np.lexsort((values, at))
-    values, at = values[order], at[order]
+        order = np.argsort(at, kind="stable")
+        values, at = values[order], at[order]
+    first = np.searchsorted(at, np.arange(len(count) + 1))
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+        if b - a > 1:
+            values[a:b].sort()
     keep = np.ones(len(values), bool)
     keep[1:] = (values[1:] != values[:-1]) | (at[1:] != at[:-1])
-    values, at = values[keep], at[keep]
-    return values, np.searchsorted(at, np.arange(len(count) + 1))
+    kept = np.zeros(len(values) + 1, np.int64)
+    np.cumsum(keep, out=kept[1:])
+    return values[keep], kept[first]
 
 
 def _set_keys(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,13 +112,16 @@ def _set_keys(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
 def _sketch_batches(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch.column("text")):
-                values, first = shingle_sets(words_of(batch.column("text").slice(a, b - a)), size)
+            own = batch.drop_columns(["text"])
+            for a, b in slices(batch.column("text"), SKETCH_BYTES):
+                words = words_of(batch.column("text").slice(a, b - a))
+                values, first = shingle_sets(words, size)
                 k1, k2 = _set_keys(values, first)
-                sketch = [values[s:min(e, s + K)].tobytes() for s, e in zip(first[:-1], first[1:])]
+                sketch = [values[s:min(e, s + K)].tobytes() for s, e in zip(first[:-1].tolist(), first[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(a, b - a) for c in _ROW), pa.array(np.diff(first)), pa.array(k1),
-                     pa.array(k2), pa.array(sketch, pa.binary())], names=[*_ROW, "n", "k1", "k2", "sketch"])
+                    [*own.slice(a, b - a).columns, pa.array(words.counts), pa.array(np.diff(first)), pa.array(k1),
+                     pa.array(k2), pa.array(sketch, pa.binary())],
+                    names=[*own.schema.names, "n_words", "n", "k1", "k2", "sketch"])
     return run
 
 
@@ -114,7 +129,7 @@ def _set_batches(size: int):
     """Full sets of documents (node, text); a row whose set is another node's goes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch.column("text")):
+            for a, b in slices(batch.column("text"), SKETCH_BYTES):
                 values, first = shingle_sets(words_of(batch.column("text").slice(a, b - a)), size)
                 k1, _ = _set_keys(values, first)
                 node = np.asarray(batch.column("node").slice(a, b - a))
@@ -310,12 +325,15 @@ def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFra
     return found.union(within)
 
 
-def _graph(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _graph(docs: DataFrame, size: int, percent: int, *held) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Sketches of the rows, nodes (node, rep, n, sketch), and (node, root) of the linked ones.
 
     ``rep`` is the node's first row: smallest doc_id (null last), then text hash.
+    The sketches carry the columns ``held`` of ``docs``.
     """
-    sketched = materialize(_rows(docs).mapInArrow(_sketch_batches(size), _SKETCH), "near-sketch")
+    rows = _rows(docs, *held)
+    schema = StructType([*rows.drop("text").schema, *StructType.fromDDL(_SKETCH)])
+    sketched = materialize(rows.mapInArrow(_sketch_batches(size), schema), "near-sketch")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), *_ROW)).alias("rep")
     nodes = materialize(sketched.where("n > 0").groupBy("k1", "k2").agg(
         first, F.max("n").alias("n"), F.max("sketch").alias("sketch"))
@@ -323,6 +341,15 @@ def _graph(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFra
     return sketched, nodes, components(links(docs, nodes, size, percent), "near-components")
 
 
+def _labels(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, component_id) of every node."""
+    ids = nodes.select("node", F.col("rep.doc_id").alias("low"))
+    rooted = ids.join(roots, "node")
+    label = rooted.groupBy("root").agg(F.min("low").alias("label"))
+    return materialize(ids.join(rooted.join(label, "root").select("node", "label"), "node", "left")
+                       .select("node", F.coalesce("label", "low").alias("component_id")), "near-labels")
+
+
 @shipped
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every document.
@@ -331,11 +358,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     100 * intersection >= ``percent`` * union.
     """
     sketched, nodes, roots = _graph(docs, size, percent)
-    ids = nodes.select("node", F.col("rep.doc_id").alias("low"))
-    rooted = ids.join(roots, "node")
-    label = rooted.groupBy("root").agg(F.min("low").alias("label"))
-    labels = materialize(ids.join(rooted.join(label, "root").select("node", "label"), "node", "left")
-                         .select("node", F.coalesce("label", "low").alias("component_id")), "near-labels")
+    labels = _labels(nodes, roots)
     full = sketched.select("doc_id", "n", "k1").where("n > 0").join(labels, F.col("k1") == F.col("node"))
     empty = sketched.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return full.select("doc_id", "n", "component_id").union(empty).select(
@@ -343,6 +366,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+@shipped
+def with_components(docs: DataFrame, held: str, size: int = 5, percent: int = 80) -> DataFrame:
+    """(held, n_words, component_id) for every document: its column ``held``, its words, its component.
+
+    Components are those of ``near_duplicates``; a document without words has none.
+    The text is read once for both.
+    """
+    sketched, nodes, roots = _graph(docs, size, percent, docs[held].alias("held"))
+    labels = _labels(nodes, roots)
+    full = sketched.where("n > 0").join(labels, F.col("k1") == F.col("node"))
+    empty = sketched.where("n = 0").withColumn("component_id", F.lit(None).cast("long"))
+    columns = [F.col("held").alias(held), "n_words", "component_id"]
+    return full.select(*columns).union(empty.select(*columns))
+
+
 @shipped
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group of near duplicates, with its columns.

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import materialize
-from .near_dedup import near_duplicates
+from .near_dedup import with_components
 from .shipping import shipped
 
 CAPACITY = 2048
@@ -36,16 +36,20 @@ GROUP_ITEMS = 4096
 BUNDLE = 16
 _SCAN = 256
 
-#: Ids may repeat or be null, so a row meets its cluster by id and text.
+#: Ids may repeat or be null, so a row is named by its id and text.
 _KEY = "xxhash64(CAST(doc_id AS BIGINT), lower(text))"
 _PACKED = "doc_id long, piece int, start long, n_words long, bin_id long"
 
 
-def clusters(docs: DataFrame) -> DataFrame:
-    """(key, cluster): the near-duplicate component of each text with words, in lower case."""
-    lowered = docs.select(F.lower("text").alias("text"), F.expr(_KEY).alias("doc_id"))
-    near = near_duplicates(lowered, size=5, percent=80).where("n_shingles > 0")
-    return near.select(F.col("doc_id").alias("key"), F.col("component_id").alias("cluster")).dropDuplicates(["key"])
+def sized(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, n, cluster): words and near-duplicate component, in lower case, of every document.
+
+    A document without words has no cluster.
+    """
+    own = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"))
+    lowered = docs.select(F.lower("text").alias("text"), F.expr(_KEY).alias("doc_id"), own.alias("own"))
+    near = with_components(lowered, "own", size=5, percent=80)
+    return near.select("own.doc_id", "own.source", F.col("n_words").alias("n"), F.col("component_id").alias("cluster"))
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -54,11 +58,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     The cluster of a document is its component of near duplicates; copies that
     differ in white space or case are one cluster, too.
     """
-    words = r"array_remove(split(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), '')"
-    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                        F.expr(_KEY).alias("key"), F.expr(f"CAST(size({words}) AS BIGINT)").alias("n"))
-    sized = sized.join(clusters(docs), "key", "left")
-    cut = sized.withColumn("piece", F.explode(F.expr(
+    cut = sized(docs).withColumn("piece", F.explode(F.expr(
         f"sequence(0, CAST(greatest(ceil(n / {capacity}) - 1, 0) AS INT))")))
     return cut.selectExpr("doc_id", "piece", f"CAST(piece AS BIGINT) * {capacity} AS start",
                           f"least(n - CAST(piece AS BIGINT) * {capacity}, {capacity}) AS n_words", "source", "cluster")

@@ -29,7 +29,8 @@ def mark_likely(df: DataFrame, column: str, bits: DataFrame, mark: str, how: str
     """``df`` with the boolean ``mark``: whether ``column`` may be among the keys of the bitmap."""
     set_bit = ("(shiftright(CAST(conv(hex(substring(_bits, CAST(_at DIV 8 AS INT) + 1, 1)), 16, 10) AS INT), "
                "CAST(_at % 8 AS INT)) & 1) = 1")
-    placed = df.withColumns({"_bucket": F.expr(f"bitmap_bucket_number({_place(column)})"),
+    # Never null: a null test, pushed below ``column``, would compute it a second time for every row.
+    placed = df.withColumns({"_bucket": F.expr(f"coalesce(bitmap_bucket_number({_place(column)}), 0L)"),
                              "_at": F.expr(f"bitmap_bit_position({_place(column)})")})
     # At most BITS / 32768 rows of 4 KB.
     return placed.join(F.broadcast(bits), "_bucket", how).withColumn(

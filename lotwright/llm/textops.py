@@ -42,10 +42,11 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def mix(h: np.ndarray) -> np.ndarray:
     """Finalise 64-bit values so that every output bit depends on every input bit."""
     h = h ^ (h >> np.uint64(30))
-    h = h * np.uint64(0xBF58476D1CE4E5B9)
-    h = h ^ (h >> np.uint64(27))
-    h = h * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    return h
 
 
 def chain(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -95,8 +96,8 @@ class Words:
         if not len(self.starts):
             return np.zeros(0, np.uint64)
         power, inverse = _powers(len(self.raw) + 1)
-        data = (_LOWER[self.raw] if lower else self.raw).astype(np.uint64)
-        data += np.uint64(1)
+        upper = ((self.raw - np.uint8(65)) < 26).view(np.uint8) if lower else np.uint8(0)
+        data = np.add(self.raw + (upper << np.uint8(5)), np.uint64(1), dtype=np.uint64)
         data *= power[:len(data)]
         total = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(data, out=total[1:])

@@ -5,14 +5,17 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from lotwright.llm import line_dedup as L
 from lotwright.llm import lm_scoring as M
 from lotwright.llm import near_dedup as N
 from lotwright.llm import packing as K
 from lotwright.llm.components import components
+from lotwright.llm.textops import words_of
 from support import BASE, documents, edge_docs, empty_docs, words
 
 SMALL = "/root/testdata/sf0.001"
@@ -232,6 +235,48 @@ def test_packing_spreads_repeated_rows(spark):
     assert len(groups) > 3 and max(groups.values()) < 150
 
 
+def test_packing_reads_each_text_twice(spark):
+    """Once for words and sketches, once for the sets of linked documents; no pass of its own counts words."""
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        reads.add(1)
+        return text
+
+    rows = [(i, f"text {i} of a few words " * 3, f"s{i}") for i in range(40)] + [(40, None, "s"), (None, " ", None)]
+    rows += [(50 + i, " ".join(f"w{j}" for j in range(100)) + f" end{i}", f"t{i}") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("text", seen("text"))
+    got = K.pack(docs).collect()
+    assert sorted(r["n_words"] for r in got) == [0, 0] + [18] * 40 + [101] * 3
+    assert reads.value <= 2 * len(rows)
+
+
+def test_components_carry_words_and_a_column(spark):
+    rows = [(1, BASE, "a"), (7, BASE.replace("lazy", "tired"), "b"), (7, BASE + " " + BASE, None), (3, " \t\n", "d"),
+            (4, None, "e"), (None, "one", "f"), (2, BASE, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, own string")
+    got = Counter(tuple(r) for r in N.with_components(docs, "own", 2, 50).collect())
+    n = len(BASE.split())
+    assert got == Counter({("a", n, 1): 2, ("b", n, 1): 1, (None, 2 * n, 1): 1, ("d", 0, None): 1, ("e", 0, None): 1,
+                           ("f", 1, None): 1})
+
+
+@pytest.mark.parametrize("size", [1, 2, 5])
+def test_shingle_sets_of_short_and_long_rows(size):
+    rng = np.random.default_rng(size)
+    texts = [" ".join(rng.choice(["a", "B", "b", "cc", "É"], n)) for n in rng.integers(0, 12, 300)]
+    values, first = N.shingle_sets(words_of(pa.array(texts)), size)
+    names = {}
+    for text, a, b in zip(texts, first[:-1], first[1:]):
+        w = words(text)
+        brute = {tuple(w[i:i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else {tuple(w)} if w else set()
+        assert b - a == len(brute) and (np.diff(values[a:b]) > 0).all()
+        assert names.setdefault(frozenset(brute), tuple(values[a:b])) == tuple(values[a:b])
+        for other, kept in list(names.items())[:40]:
+            assert len(set(kept) & set(values[a:b])) == len(other & brute)
+
+
 def test_near_copies_never_share_a_bin(spark):
     """Copies that differ by a word, each from a source of its own, among short other texts."""
     rows = []
