@@ -1,19 +1,22 @@
-"""Near-duplicate documents by bottom-k sketches from one hash function.
+"""Near-duplicate documents by banded minima and bottom-k sketches.
 
 A document's set is its distinct word shingles (A-Z lower-cased), each one
 64-bit hash.  Its sketch is the ``K`` smallest hashes; a set of up to ``K``
-is kept whole.
+is kept whole.  Its bands are hashes of four minima each (six, if the set is
+kept whole), every minimum in an order of its own.
 
 1. Documents with equal sets collapse to one node (128-bit set hash).
-2. Inverted lists.  Two sets at the limit share at least ``MIN_OVERLAP`` of
-   ``K`` retained values (probability of fewer below 1e-10; sets kept whole
-   have an exact bound).  With values ordered by document frequency, rarest
-   first, such a pair must meet ``MEETINGS`` times within the first
-   K - MIN_OVERLAP + MEETINGS, so only these enter the lists: common values
-   make no lists.
+2. Inverted lists of the bands.  Two sets of similarity J have the same value
+   in a band of r minima with probability J ** r; there are so many bands that
+   a pair at the limit meets in fewer than ``MEETINGS`` with probability
+   ``MISSED``.  A single shingle makes no list, however many documents hold it,
+   so lists of unlike documents stay short while the corpus grows, and a node
+   is in as many lists as it has bands.
 3. Lists of up to ``COLD`` nodes give pairs; those that meet often enough are
-   filtered by the estimate from the union's sketch, and exact Jaccard on the
-   full sets verifies the rest.
+   filtered by the estimate
+   from the union's sketch (two sets at the limit share at least ``MIN_OVERLAP``
+   of its ``K`` values, probability of fewer below 1e-10; two sets kept whole
+   are compared exactly), and exact Jaccard on the full sets verifies the rest.
 4. Longer lists are never expanded into pairs.  The nodes they connect form
    families (large groups of near copies), cut into blocks of bounded size;
    each pair of blocks is one task that computes all its exact intersections as
@@ -31,15 +34,17 @@ are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..sources.tables import materialize
+from ..sources import tables
+from .colocated import shuffles_end_with_the_write
 from .components import components
 from .prefilter import likely_in
 from .shipping import shipped
@@ -47,21 +52,30 @@ from .textops import Words, chain, mix, slices, words_of
 
 K = 64
 MIN_OVERLAP = 26
-#: Two sets at the limit meet in this many lists (or in all they can).
-MEETINGS = 3
+#: Two sets at the limit meet in this many lists, but with probability ``MISSED``.
+MEETINGS, MISSED = 2, 1e-11
+#: Minima in a band of sets kept whole, which share common shingles more often, and of others; fewer if the limit
+#: is so low that there would be more than ``MAX_BANDS``.
+BAND_ROWS, MAX_BANDS = (6, 4), 256
 COLD = 32
-BLOCK_ROWS = 400
+BLOCK_ROWS = 800
 BLOCK_VALUES = 1 << 20
 _STEP = np.uint64(0xD6E8FEB86659FD93)        # odd, as in ``chain``
 
 #: Text bytes worked on at once: small enough that the working arrays stay in the cache.
 SKETCH_BYTES = 1 << 18
 
-_SKETCH = "n_words long, n long, k1 long, k2 long, sketch binary"
+_SKETCH = "n_words long, n long, k1 long, k2 long, sketch binary, bands binary"
 #: What names a row: its id and the hash of its text.
 _ROW = ("doc_id", "t1", "t2")
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``tables.materialize``; the shuffle files go when the table is written."""
+    with shuffles_end_with_the_write(df.sparkSession):
+        return tables.materialize(df, name)
+
+
 def shingle_sets(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(values, first): each row's distinct shingle hashes, ascending, and where they begin."""
     h, count = words.hashes(), words.counts
@@ -109,7 +123,47 @@ def _set_keys(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
     return keys[0], keys[1]
 
 
-def _sketch_batches(size: int):
+def bands_for(percent: int, rows: int) -> tuple[int, int]:
+    """(bands, minima in a band): ``rows`` minima at most."""
+    for r in range(rows, 0, -1):
+        met = (percent / 100) ** r
+        bands = next((b for b in range(MEETINGS, MAX_BANDS + 1) if (1 - met) ** b + b * met * (1 - met) ** (b - 1) <= MISSED), None)
+        if bands:
+            return bands, r
+    raise ValueError(f"no bands for a limit of {percent} %")
+
+
+def _minima(values: np.ndarray, first: np.ndarray, bands: int, rows: int, salt: int) -> np.ndarray:
+    """(sets, bands): hashes of the minima of sets that are not empty."""
+    low = values.astype(np.uint32)                          # the sketch orders by the high bits
+    factors = (mix(np.arange(1, bands * rows + 1, dtype=np.uint64) * _STEP) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    out, work = np.zeros((len(first) - 1, bands), np.uint64), np.empty_like(low)
+    for band in range(bands):
+        key = np.full(len(out), salt * MAX_BANDS + band, np.uint64)
+        for factor in factors[band * rows:(band + 1) * rows]:
+            key = chain(key, np.minimum.reduceat(np.multiply(low, factor, out=work), first[:-1]).astype(np.uint64))
+        out[:, band] = key
+    return out
+
+
+def set_bands(values: np.ndarray, first: np.ndarray, percent: int) -> list[bytes]:
+    """The bands of each set: those of sets kept whole if a partner at the limit may be one, and the same for others.
+
+    A set so small that no other reaches the limit with it has none.
+    """
+    n = np.diff(first)
+    pairs = (n > 0) & (n * (100 - percent) >= percent)
+    out = [b""] * len(n)
+    for salt, (rows, some) in enumerate(zip(BAND_ROWS, (pairs & (percent * n <= 100 * K), pairs & (n > K)))):
+        at = np.flatnonzero(some)
+        if len(at):
+            own = _minima(values[np.repeat(some, n)], np.append(0, np.cumsum(n[at])), *bands_for(percent, rows), salt)
+            for i, x in zip(at.tolist(), own):
+                out[i] += x.tobytes()
+    return out
+
+
+def _sketch_batches(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = batch.drop_columns(["text"])
@@ -118,10 +172,11 @@ def _sketch_batches(size: int):
                 values, first = shingle_sets(words, size)
                 k1, k2 = _set_keys(values, first)
                 sketch = [values[s:min(e, s + K)].tobytes() for s, e in zip(first[:-1].tolist(), first[1:].tolist())]
+                bands = set_bands(values, first, percent)
                 yield pa.RecordBatch.from_arrays(
                     [*own.slice(a, b - a).columns, pa.array(words.counts), pa.array(np.diff(first)), pa.array(k1),
-                     pa.array(k2), pa.array(sketch, pa.binary())],
-                    names=[*own.schema.names, "n_words", "n", "k1", "k2", "sketch"])
+                     pa.array(k2), pa.array(sketch, pa.binary()), pa.array(bands, pa.binary())],
+                    names=[*own.schema.names, "n_words", "n", "k1", "k2", "sketch", "bands"])
     return run
 
 
@@ -139,16 +194,66 @@ def _set_batches(size: int):
     return run
 
 
-def _value_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _band_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(value, node, n) of every band of rows (node, n, bands)."""
     for batch in batches:
-        sketches = batch.column("sketch").to_pylist()
-        size = np.array([len(s) // 8 for s in sketches])
-        value = np.frombuffer(b"".join(sketches), np.int64)
+        bands = batch.column("bands").to_pylist()
+        size = np.array([len(b) // 8 for b in bands], np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(value), pa.array(np.repeat(np.asarray(batch.column("node")), size)),
+            [pa.array(np.frombuffer(b"".join(bands), np.int64)), pa.array(np.repeat(np.asarray(batch.column("node")), size)),
              pa.array(np.repeat(np.asarray(batch.column("n")), size))], names=["value", "node", "n"])
 
 
+def _met(u: np.ndarray, v: np.ndarray, cold: bool) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v)), pa.array(np.full(len(u), cold))],
+                                      names=["u", "v", "cold"])
+
+
+def _list_batches(percent: int, most: int):
+    """(u, v, cold) of rows (value, node, n) in order of ``value`` and ``node``; repeated rows count once.
+
+    A list of up to ``most`` nodes gives its pairs whose sizes allow the limit
+    (cold); a longer one links each node to its first, a batch at a time.
+    """
+    def pairs(value: np.ndarray, node: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        first = np.flatnonzero(np.append(True, value[1:] != value[:-1])) if len(value) else np.zeros(0, np.int64)
+        length = np.diff(np.append(first, len(value)))
+        head, size = np.repeat(first, length), np.repeat(length, length)
+        far = (size > most) & (head < np.arange(len(value)))
+        yield _met(node[head[far]], node[far], False)
+        rows = np.flatnonzero((size > 1) & (size <= most))
+        for step in range(1, most):
+            rows = rows[rows + step < head[rows] + size[rows]]
+            if not len(rows):
+                break
+            low, high = np.minimum(n[rows], n[rows + step]), np.maximum(n[rows], n[rows + step])
+            near = rows[100 * low >= percent * high]
+            yield _met(node[near], node[near + step], True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, pivot = [np.zeros(0, np.int64)] * 3, None    # rows of the last list; or its first node, if it is long
+        open_value = None
+        for batch in batches:
+            value, node, n = (np.concatenate([h, np.asarray(batch.column(c))]) for h, c in zip(held, ("value", "node", "n")))
+            if pivot is not None:
+                cut = int(np.searchsorted(value, open_value, side="right"))
+                yield _met(np.full(cut, pivot), node[:cut], False)
+                value, node, n = value[cut:], node[cut:], n[cut:]
+                pivot = None if len(value) else pivot
+            new = np.ones(len(value), bool)
+            new[1:] = (value[1:] != value[:-1]) | (node[1:] != node[:-1])
+            value, node, n = value[new], node[new], n[new]
+            last = int(np.searchsorted(value, value[-1])) if len(value) else 0
+            yield from pairs(value[:last], node[:last], n[:last])
+            held = [value[last:], node[last:], n[last:]]
+            if len(value) - last > most:
+                pivot, open_value = node[last], value[last]
+                yield _met(np.full(len(value) - last - 1, pivot), node[last + 1:], False)
+                held = [x[:0] for x in held]
+        yield from pairs(*held)
+    return run
+
+
 def _common(x: np.ndarray, y: np.ndarray) -> int:
     """Size of the intersection of two ascending arrays without repeats."""
     if len(x) > len(y):
@@ -239,19 +344,6 @@ def _family_links(percent: int):
     return run
 
 
-def _meetings(n: str, percent: int) -> str:
-    """In how many lists a set's pairs at the limit meet at least."""
-    return f"least({MEETINGS}, CAST(ceil({percent} * {n} / 100) AS INT))"
-
-
-def _prefix_length(percent: int):
-    """How many of a set's rarest retained values enter the lists."""
-    whole = f"n - CAST(ceil({percent} * n / 100) AS INT) + {_meetings('n', percent)}"
-    # A whole set's partner may be larger than K and so retain only a part.
-    across = f"n - ({K} - CAST(floor((100 * n) / {percent}) AS INT) + n) + {MEETINGS}"
-    return F.expr(f"IF(n > {K}, {K - MIN_OVERLAP + MEETINGS}, least(n, greatest({whole}, {across})))")
-
-
 def _rows(docs: DataFrame, *columns) -> DataFrame:
     """(doc_id, t1, t2, text) and other columns of ``docs``."""
     text = docs["text"]
@@ -263,38 +355,26 @@ def _same_row(x: DataFrame, y: DataFrame):
     return x["doc_id"].eqNullSafe(y["doc_id"]) & (x["t1"] == y["t1"]) & (x["t2"] == y["t2"])
 
 
-def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
+def links(docs: DataFrame, sketched: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
     """(u, v): links between nodes whose components are those of all links."""
-    values = nodes.where("n > 0").select("node", "n", "sketch").mapInArrow(
-        _value_batches, "value long, node long, n long")
-    frequency = values.groupBy("value").agg(F.count("*").alias("df")).where("df >= 2")
-    shared = values.join(frequency, "value")
-    by_node = Window.partitionBy("node")
-    prefix = (shared.withColumn("rank", F.row_number().over(by_node.orderBy("df", "value")))
-              .withColumn("unique", F.least("n", F.lit(K)) - F.count("*").over(by_node))
-              .where(F.col("rank") + F.col("unique") <= _prefix_length(percent))
-              .select("value", "node", "n"))
-    prefix = materialize(prefix, "near-prefix")
-    lists = prefix.groupBy("value").agg(F.count("*").alias("length"), F.min("node").alias("pivot")).where("length >= 2")
-    members = materialize(prefix.join(lists, "value"), "near-lists")
-
-    families = components(members.where((F.col("length") > COLD) & (F.col("node") != F.col("pivot")))
-                          .select(F.col("node").alias("u"), F.col("pivot").alias("v")), "near-families")
+    bands = sketched.where("n > 0").select(F.col("k1").alias("node"), "n", "bands").mapInArrow(
+        _band_batches, "value long, node long, n long")
+    met = materialize(bands.repartition("value").sortWithinPartitions("value", "node")
+                      .mapInArrow(_list_batches(percent, COLD), "u long, v long, cold boolean"), "near-met")
+
+    families = components(met.where("NOT cold").select("u", "v"), "near-families")
     families = materialize(families.select("node", F.col("root").alias("family")), "near-family")
 
-    cold = members.where(F.col("length") <= COLD).select("value", "node", "n")
-    other = cold.select("value", F.col("node").alias("v"), F.col("n").alias("n_v"))
-    close = (F.col("node") < F.col("v")) & (100 * F.least("n", "n_v") >= percent * F.greatest("n", "n_v"))
     # Nodes of different families share no longer list, so all their meetings count here.
-    pairs = (cold.join(other, "value").where(close).groupBy(F.col("node").alias("u"), "v")
-             .agg(F.count("*").alias("met"), F.min(F.least("n", "n_v")).alias("low"))
-             .where(F.col("met") >= F.expr(_meetings("low", percent))).select("u", "v"))
+    pairs = (met.where("cold").groupBy("u", "v").agg(F.count("*").alias("met"))
+             .where(F.col("met") >= MEETINGS).select("u", "v"))
     f_u = families.select(F.col("node").alias("u"), F.col("family").alias("f_u"))
     f_v = families.select(F.col("node").alias("v"), F.col("family").alias("f_v"))
     pairs = materialize(pairs.join(f_u, "u", "left").join(f_v, "v", "left")
                         .where("f_u IS NULL OR f_v IS NULL OR f_u <> f_v").select("u", "v"), "near-pairs")
     paired = pairs.select(F.col("u").alias("key")).union(pairs.select("v"))
-    sketches = likely_in(nodes.select("node", "n", "sketch"), "node", paired, "key", "near-bits")
+    sketches = (likely_in(sketched.select("k1", "n", "sketch"), "k1", paired, "key", "near-bits")
+                .groupBy(F.col("k1").alias("node")).agg(F.max("n").alias("n"), F.max("sketch").alias("sketch")))
     for side in ("u", "v"):
         pairs = pairs.join(sketches.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"),
                                            F.col("sketch").alias(f"sketch_{side}")), side)
@@ -326,19 +406,19 @@ def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFra
 
 
 def _graph(docs: DataFrame, size: int, percent: int, *held) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sketches of the rows, nodes (node, rep, n, sketch), and (node, root) of the linked ones.
+    """Sketches of the rows, nodes (node, rep, n), and (node, root) of the linked ones.
 
     ``rep`` is the node's first row: smallest doc_id (null last), then text hash.
     The sketches carry the columns ``held`` of ``docs``.
     """
     rows = _rows(docs, *held)
     schema = StructType([*rows.drop("text").schema, *StructType.fromDDL(_SKETCH)])
-    sketched = materialize(rows.mapInArrow(_sketch_batches(size), schema), "near-sketch")
+    sketched = materialize(rows.mapInArrow(_sketch_batches(size, percent), schema), "near-sketch")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), *_ROW)).alias("rep")
     nodes = materialize(sketched.where("n > 0").groupBy("k1", "k2").agg(
-        first, F.max("n").alias("n"), F.max("sketch").alias("sketch"))
+        first, F.max("n").alias("n"))
         .withColumnRenamed("k1", "node").drop("k2"), "near-nodes")
-    return sketched, nodes, components(links(docs, nodes, size, percent), "near-components")
+    return sketched, nodes, components(links(docs, sketched, nodes, size, percent), "near-components")
 
 
 def _labels(nodes: DataFrame, roots: DataFrame) -> DataFrame:

@@ -85,6 +85,22 @@ def test_near_dedup_matches_brute_force(spark, monkeypatch, cold):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_near_dedup_common_shingles_join_no_unlike_documents(spark, monkeypatch):
+    """Every shingle in more than ``COLD`` documents: they made one family of them all, compared pair by pair."""
+    rng = np.random.default_rng(9)
+    rows = [(d, " ".join(f"w{i}" for i in rng.integers(0, 30, 150))) for d in range(400)]
+    rows += [(400 + d, t + " end") for d, t in rows[:5]]
+    found = {}
+
+    def edges(pairs, name="components"):
+        found[name] = pairs.count()
+        return components(pairs, name)
+    monkeypatch.setattr(N, "components", edges)
+    got = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2, 80).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_near(rows, 2, 80)
+    assert found["near-families"] == 0 and found["near-components"] == 5
+
+
 def test_near_dedup_edges_and_small_table(spark):
     for docs, size in ((edge_docs(spark), 2), (documents(spark, SMALL), 5)):
         rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
