@@ -12,8 +12,12 @@ marker is the first word's context.  Three passes over the texts:
    too for frequent contexts, so no context fills a task.  Each part also sends
    partial sums per id: continuation counts of words, and how many successors
    of a context were seen once, twice or more often.
-3. Scoring.  Tasks memory-map the arrays, look up a slice's distinct words and
-   pairs, and sum log10 probabilities per document.
+3. Scoring.  Tasks memory-map the arrays, look up the distinct words and pairs
+   of 4 MB of text at a time, and sum log10 probabilities per document.
+
+A lookup visits nearly every file of the model, however little text it is for,
+and the files grow in number with the input.  So texts are gathered for it, and
+each part is one file with what belongs together.
 
 The model lives in the shared scratch folder, which must be mounted on all
 workers (a ``file:`` path), as memory maps need files.  Its arrays are never
@@ -45,7 +49,9 @@ from .textops import mix, slices, words_of
 
 HELD_OUT_OF = 10
 FLUSH = 2_000_000            # distinct entries a task holds before it sends them
-PART_TOKENS = 2_000_000      # training tokens for each part of the model
+UNIT_BYTES = 4 << 20         # text that is looked up together
+RANGE_BYTES = 32 << 20       # text for each range of the vocabulary
+PART_TOKENS = 3_000_000      # training tokens for each part of the model
 MIN_PARTS = 16
 SALT_UNIT = 500_000          # a context is spread over one more part for each so many tokens
 
@@ -111,11 +117,36 @@ def _gathered(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return merged(keys, counts)
 
 
-def _save(folder: str, name: str, array: np.ndarray) -> None:
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, in no order, and which of them each value is."""
+    coded = pa.array(values).dictionary_encode()
+    return coded.dictionary.to_numpy(), coded.indices.to_numpy()
+
+
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``UNIT_BYTES`` of text."""
+    held, size = [], 0
+
+    def joined() -> pa.RecordBatch:
+        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+    for batch in batches:
+        for a, b in slices(batch.column("text"), UNIT_BYTES):
+            held.append(batch.slice(a, b - a))
+            size += held[-1].column("text").nbytes
+            if size >= UNIT_BYTES:
+                yield joined()
+                held, size = [], 0
+    if held:
+        yield joined()
+
+
+def _save(folder: str, name: str, *arrays: np.ndarray) -> None:
     os.makedirs(folder, exist_ok=True)
-    temporary = f"{folder}/.{name}-{uuid.uuid4().hex}.npy"
-    np.save(temporary, array)
-    os.replace(temporary, f"{folder}/{name}.npy")
+    temporary = f"{folder}/.{name}-{uuid.uuid4().hex}"
+    with open(temporary, "wb") as out:
+        for array in arrays:
+            out.write(np.ascontiguousarray(array).data)
+    os.replace(temporary, f"{folder}/{name}")
 
 
 @dataclass
@@ -144,50 +175,76 @@ class _Arrays:
         self.model, self.open = model, {}
 
     def get(self, name: str) -> np.ndarray:
+        """The bytes of a file; none if there is no such file."""
         if name not in self.open:
-            if len(self.open) > 512:
+            if len(self.open) >= 512:
                 self.open.clear()
-            path = f"{self.model.folder}/{name}.npy"
-            self.open[name] = np.load(path, mmap_mode="r") if os.path.exists(path) else np.zeros(0, np.uint64)
+            path = f"{self.model.folder}/{name}"
+            some = os.path.exists(path) and os.path.getsize(path)
+            self.open[name] = np.memmap(path, np.uint8, "r").view(np.ndarray) if some else np.zeros(0, np.uint8)
         return self.open[name]
 
-    def _find(self, names: tuple[str, str], keys: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def counted(self, name: str, count_type: type) -> tuple[np.ndarray, np.ndarray]:
+        """(ascending keys, counts) of a file of both."""
+        raw = self.get(name)
+        n = len(raw) // (8 + np.dtype(count_type).itemsize)
+        return raw[:8 * n].view(np.uint64), raw[8 * n:].view(count_type)
+
+    def counts_of(self, part: int) -> np.ndarray:
+        """Counts of the words of a range of the vocabulary."""
+        return self.counted(f"vocabulary-{part}", np.int64)[1]
+
+    def _find(self, name: str, count_type: type, keys: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place in the part or -1, count) of each key."""
+        order = np.argsort(keys)
+        # A stable sort of numbers this short is a radix sort.
+        short = part[order].astype(np.uint16 if not len(part) or part.max() < 1 << 16 else np.int64)
+        by_part = np.argsort(short, kind="stable")
+        order, short = order[by_part], short[by_part]
+        keys = keys[order]
+        edges = np.append(np.flatnonzero(np.append(True, short[1:] != short[:-1])) if len(short) else [], len(short)).astype(int)
         place, count = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
-        order = np.argsort(part, kind="stable")
-        some, first = np.unique(part[order], return_index=True)
-        for p, rows in zip(some, np.split(order, first[1:])):
-            have = self.get(names[0].format(p))
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            have, counts = self.counted(name.format(short[a]), count_type)
             if not len(have):
                 continue
-            at = np.searchsorted(have, keys[rows])
+            at = np.searchsorted(have, keys[a:b])
             at[at == len(have)] = 0
-            hit = have[at] == keys[rows]
-            place[rows[hit]] = at[hit]
-            count[rows[hit]] = self.get(names[1].format(p))[at[hit]]
-        return place, count
+            hit = have[at] == keys[a:b]
+            place[a:b] = np.where(hit, at, -1)
+            count[a:b] = np.where(hit, counts[at], 0)
+        out_place, out_count = np.empty_like(place), np.empty_like(count)
+        out_place[order], out_count[order] = place, count
+        return out_place, out_count
 
     def words(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(id or -1, count) of each word hash."""
         part = (hashes >> np.uint64(self.model.shift)).astype(np.int64)
-        place, count = self._find(("vocabulary-{}", "counts-{}"), hashes, part)
+        place, count = self._find("vocabulary-{}", np.int64, hashes, part)
         return np.where(place >= 0, place + self.model.offsets[part], -1), count
 
     def pairs(self, keys: np.ndarray, context_count: np.ndarray) -> np.ndarray:
-        return self._find(("pairs-{}", "pair-counts-{}"), keys, pair_part(keys, context_count, self.model.n_parts))[1]
-
-    def lower(self, name: str, ids: np.ndarray) -> np.ndarray:
-        """Values of a lower-order array; ids of -1 give 0."""
-        out = np.zeros(len(ids), np.int64)
-        known = np.flatnonzero(ids >= 0)
-        part = ids[known] // self.model.id_step
-        for p in np.unique(part):
-            rows = known[part == p]
-            have = self.get(f"{name}-{p}")
-            if len(have):
-                out[rows] = have[ids[rows] - p * self.model.id_step]
+        part = pair_part(keys, context_count, self.model.n_parts)
+        return self._find("pairs-{}", np.uint32, keys, part)[1]
+
+    def lower(self, ids: np.ndarray) -> np.ndarray:
+        """(4, ids): contexts of a word, and its successors seen once, twice and more often; ids of -1 give 0."""
+        out = np.zeros((4, len(ids)), np.int64)
+        order = np.argsort(ids)
+        order = order[np.searchsorted(ids[order], 0):]
+        part = ids[order] // self.model.id_step
+        first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
+        for a, b in zip(first.tolist(), np.append(first[1:], len(part)).tolist()):
+            have = self.get(f"lower-{part[a]}").view(np.int64).reshape(4, -1)
+            if have.size:
+                out[:, order[a:b]] = have[:, ids[order[a:b]] - part[a] * self.model.id_step]
         return out
 
+    def begin(self) -> np.ndarray:
+        """As ``lower``, of the begin marker."""
+        have = self.get("lower--1").view(np.int64)
+        return have if len(have) else np.zeros(4, np.int64)
+
 
 def pair_part(keys: np.ndarray, context_count: np.ndarray, n_parts: int) -> np.ndarray:
     salt = np.maximum(1, -(-context_count // SALT_UNIT)).astype(np.uint64)
@@ -214,35 +271,42 @@ def _store_vocabulary(folder: str):
     def run(group: pa.Table) -> pa.Table:
         part = group["part"][0].as_py()
         keys, counts = _gathered(group)
-        _save(folder, f"vocabulary-{part}", keys)
-        _save(folder, f"counts-{part}", counts)
+        _save(folder, f"vocabulary-{part}", keys, counts)
         return pa.table({"part": pa.array([part], pa.int32()), "types": pa.array([len(keys)], pa.int64()),
                          "tokens": pa.array([int(counts.sum())], pa.int64())})
     return run
 
 
 class _Tokens:
-    """Ids, contexts and counts of a slice's tokens, the end token last in each row."""
+    """The tokens of some texts, the end token last in each row.
+
+    ``which`` is each token's place among the distinct words (ids, counts), and
+    ``before`` that of its context: their number for the begin marker.
+    """
 
     def __init__(self, arrays: _Arrays, text: pa.Array):
-        words = words_of(text)
-        n = words.counts
+        counts, parts = [], []
+        for a, b in slices(text):
+            words = words_of(text.slice(a, b - a))
+            counts.append(words.counts)
+            parts.append(words.hashes())
+        n = np.concatenate(counts)
         self.ends = np.cumsum(n + 1) - 1
         hashes = np.full(int((n + 1).sum()), _END)
         inside = np.ones(len(hashes), bool)
         inside[self.ends] = False
-        hashes[inside] = words.hashes()
-        distinct, which = np.unique(hashes, return_inverse=True)
-        ids, counts = arrays.words(distinct)
-        self.ids, self.counts = ids[which], counts[which]
-        end_count = counts[np.searchsorted(distinct, _END)] if len(distinct) else 0
-        begin = np.zeros(len(hashes), bool)
-        begin[np.append(0, self.ends[:-1] + 1)] = True
-        self.context = np.where(begin, np.int64(_BEGIN), np.append(0, self.ids[:-1]))
-        self.context_count = np.where(begin, end_count, np.append(0, self.counts[:-1]))
+        hashes[inside] = np.concatenate(parts)
+        distinct, self.which = _distinct(hashes)
+        self.ids, self.counts = arrays.words(distinct)
+        self.before = np.append(np.int32(0), self.which[:-1])
+        self.before[np.append(0, self.ends[:-1] + 1)] = len(distinct)
+        end = int(self.counts[self.which[self.ends[0]]])
+        self.context_ids, self.context_counts = np.append(self.ids, np.int64(_BEGIN)), np.append(self.counts, end)
 
-    def keys(self) -> np.ndarray:
-        return (self.context.astype(np.uint64) << np.uint64(32)) | self.ids.astype(np.uint64)
+    def keys(self, rows=slice(None)) -> np.ndarray:
+        """(context id, word id) of the tokens ``rows``."""
+        return ((self.context_ids.astype(np.uint64) << np.uint64(32))[self.before[rows]]
+                | self.ids.astype(np.uint64)[self.which[rows]])
 
 
 def _pair_runs(model: Model):
@@ -250,6 +314,10 @@ def _pair_runs(model: Model):
         arrays = _Arrays(model)
         end_count = int(arrays.words(np.array([_END]))[1][0])
 
+        def training() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(~held_out(batch.column("doc_id").to_pylist()), pa.bool_()))
+
         def part_of(keys: np.ndarray) -> np.ndarray:
             context = (keys >> np.uint64(32)).astype(np.int64)
             distinct, which = np.unique(context, return_inverse=True)
@@ -258,16 +326,13 @@ def _pair_runs(model: Model):
             count = np.zeros(len(distinct), np.int64)
             for p in np.unique(part[~begin]):
                 rows = np.flatnonzero((part == p) & ~begin)
-                count[rows] = arrays.get(f"counts-{p}")[distinct[rows] - model.offsets[p]]
+                count[rows] = arrays.counts_of(p)[distinct[rows] - model.offsets[p]]
             count[begin] = end_count
             return pair_part(keys, count[which], model.n_parts)
 
         runs = _Runs(part_of, model.n_parts)
-        for batch in batches:
-            train = ~held_out(batch.column("doc_id").to_pylist())
-            text = batch.column("text").filter(pa.array(train))
-            for a, b in slices(text):
-                yield from runs.add(*np.unique(_Tokens(arrays, text.slice(a, b - a)).keys(), return_counts=True))
+        for unit in _units(training()):
+            yield from runs.add(*np.unique(_Tokens(arrays, unit.column("text")).keys(), return_counts=True))
         yield from runs.rest()
     return run
 
@@ -282,8 +347,7 @@ def _store_pairs(model: Model):
     def run(group: pa.Table) -> pa.Table:
         part = group["part"][0].as_py()
         keys, counts = _gathered(group)
-        _save(model.folder, f"pairs-{part}", keys)
-        _save(model.folder, f"pair-counts-{part}", counts.astype(np.uint32))
+        _save(model.folder, f"pairs-{part}", keys, counts.astype(np.uint32))
         context, word = (keys >> np.uint64(32)).astype(np.int64), (keys & _LOW).astype(np.int64)
         kind = np.minimum(counts, 3)                       # 0: a word's contexts; 1..3: a context's successors
         sums = [merged((word << 2).astype(np.uint64), np.ones(len(keys), np.int64)),
@@ -313,13 +377,11 @@ def _store_lower(model: Model):
         first = int(_BEGIN) if part < 0 else part * model.id_step
         size = 1 if part < 0 else min(model.id_step, model.n_types - first)
         tally = np.zeros(6, np.int64)
-        for k, name in enumerate(("continuation", "once", "twice", "more")):
-            values = np.zeros(size, np.int64)
-            values[ids[kind == k] - first] = counts[kind == k]
-            _save(model.folder, f"{name}-{part}", values)
-            if k == 0:
-                tally[:4] = [int((values == i).sum()) for i in (1, 2, 3, 4)]
-                tally[4], tally[5] = int((values >= 3).sum()), int(values.sum())
+        values = np.zeros((4, size), np.int64)           # rows as in ``_Arrays.lower``
+        values[kind, ids - first] = counts
+        _save(model.folder, f"lower-{part}", values)
+        tally[:4] = [int((values[0] == i).sum()) for i in (1, 2, 3, 4)]
+        tally[4], tally[5] = int((values[0] >= 3).sum()), int(values[0].sum())
         return pa.table([pa.array([int(x)], pa.int64()) for x in tally], names=["n1", "n2", "n3", "n4", "more", "total"])
     return run
 
@@ -345,9 +407,9 @@ def train(docs: DataFrame) -> Model:
     spark = docs.sparkSession
     folder = _local(scratch_path(spark, f"lm-{uuid.uuid4().hex[:12]}"))
     texts = docs.select("doc_id", "text")
-    # About one range for each 16 MB of text, by the rows' lengths.
+    # About one range for each ``RANGE_BYTES`` of text, by the rows' lengths.
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    bits = max(4, int(size // (16 << 20)).bit_length())
+    bits = max(4, int(size // RANGE_BYTES).bit_length())
     shift, n_ranges = 64 - bits, 1 << bits
     stored = {r["part"]: r for r in texts.mapInArrow(_vocabulary_runs(shift, n_ranges), _RUNS).groupBy("part")
               .applyInArrow(_store_vocabulary(folder), "part int, types long, tokens long").collect()}
@@ -377,29 +439,26 @@ def train(docs: DataFrame) -> Model:
 def _log10_tokens(arrays: _Arrays, tokens: _Tokens) -> np.ndarray:
     """log10 of the interpolated probability of every token."""
     model = arrays.model
-    distinct, which = np.unique(tokens.ids, return_inverse=True)
-    seen = arrays.lower("continuation", distinct)
-    discount = np.array(model.word_discounts)
-    single = (np.maximum(seen - discount[np.minimum(seen, 3)], 0) / max(model.n_pairs, 1)
-              + model.word_left / (model.n_types + 1))[which]
-    usable = np.flatnonzero((tokens.context >= 0) & (tokens.context_count > 0))
-    p = single.copy()
+    lower = arrays.lower(tokens.ids)
+    seen, discount = lower[0], np.array(model.word_discounts)
+    p = (np.maximum(seen - discount[np.minimum(seen, 3)], 0) / max(model.n_pairs, 1)
+         + model.word_left / (model.n_types + 1))[tokens.which]
+    usable = np.flatnonzero(((tokens.context_ids >= 0) & (tokens.context_counts > 0))[tokens.before])
     if len(usable):
-        contexts, of = np.unique(tokens.context[usable], return_inverse=True)
-        begin = contexts == np.int64(_BEGIN)
-        left = np.zeros(len(contexts))
-        for name, d in zip(("once", "twice", "more"), model.pair_discounts[1:]):
-            values = arrays.lower(name, np.where(begin, -1, contexts))
-            values[begin] = arrays.get(f"{name}--1")[0] if begin.any() else 0
+        successors = np.column_stack([lower, arrays.begin()])[1:]
+        left = np.zeros(successors.shape[1])
+        for values, d in zip(successors, model.pair_discounts[1:]):
             left += d * values
-        total = tokens.context_count[usable]
-        known = tokens.ids[usable] >= 0
+        before = tokens.before[usable]
+        total = tokens.context_counts[before]
+        known = np.flatnonzero((tokens.ids >= 0)[tokens.which[usable]])
         count = np.zeros(len(usable), np.int64)
-        keys = tokens.keys()[usable[known]]
-        pairs, first, back = np.unique(keys, return_index=True, return_inverse=True)
-        count[known] = arrays.pairs(pairs, total[known][first])[back]
+        pairs, back = _distinct(tokens.keys(usable[known]))
+        context_count = np.empty(len(pairs), np.int64)
+        context_count[back] = total[known]
+        count[known] = arrays.pairs(pairs, context_count)[back]
         discount = np.array(model.pair_discounts)
-        p[usable] = (np.maximum(count - discount[np.minimum(count, 3)], 0) + left[of] * single[usable]) / total
+        p[usable] = (np.maximum(count - discount[np.minimum(count, 3)], 0) + left[before] * p[usable]) / total
     return np.log10(p)
 
 
@@ -407,19 +466,17 @@ def _score_batches(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays = _Arrays(model)
         floor = np.log10(model.n_tokens + 0.1 * (model.n_types + 1))
-        for batch in batches:
-            out = held_out(batch.column("doc_id").to_pylist())
-            for a, b in slices(batch.column("text")):
-                tokens = _Tokens(arrays, batch.column("text").slice(a, b - a))
-                first = np.append(0, tokens.ends[:-1] + 1)
-                n = tokens.ends - first + 1
-                base = np.add.reduceat(np.log10(tokens.counts + 0.1) - floor, first)
-                score = np.add.reduceat(_log10_tokens(arrays, tokens), first) if model.n_tokens else base
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), pa.array(out[a:b]), pa.array(n),
-                     pa.array(np.add.reduceat((tokens.counts > 0).astype(np.int64), first)),
-                     pa.array(np.full(b - a, model.n_tokens)), pa.array(base), pa.array(score)],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        for unit in _units(batches):
+            tokens = _Tokens(arrays, unit.column("text"))
+            first = np.append(0, tokens.ends[:-1] + 1)
+            n = tokens.ends - first + 1
+            base = np.add.reduceat((np.log10(tokens.counts + 0.1) - floor)[tokens.which], first)
+            score = np.add.reduceat(_log10_tokens(arrays, tokens), first) if model.n_tokens else base
+            yield pa.RecordBatch.from_arrays(
+                [unit.column("doc_id"), pa.array(held_out(unit.column("doc_id").to_pylist())), pa.array(n),
+                 pa.array(np.add.reduceat((tokens.counts > 0).astype(np.int64)[tokens.which], first)),
+                 pa.array(np.full(len(n), model.n_tokens)), pa.array(base), pa.array(score)],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return run
 
 

@@ -1,6 +1,7 @@
 """Near and line dedup, packing, language model: operators on the whole corpus."""
 
 import math
+import os
 import zlib
 from collections import Counter, defaultdict
 
@@ -368,6 +369,23 @@ def test_language_model_beats_its_base_on_held_out_text(spark):
     assert got["sum(score)"] > got["sum(base_score)"]
 
 
+def test_language_model_visits_each_file_once_for_many_short_batches(spark, monkeypatch):
+    """Every batch visited every file of the model, so the work grew with batches times files."""
+    monkeypatch.setattr(M, "PART_TOKENS", 1000)
+    rng = np.random.default_rng(4)
+    rows = [(d, " ".join(f"w{i}" for i in rng.integers(0, 4000, 300))) for d in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model, visits, get = M.train(docs), [], M._Arrays.get
+    monkeypatch.setattr(M._Arrays, "get", lambda self, name: visits.append(name) or get(self, name))
+    table = pa.table({"doc_id": [d for d, _ in rows], "text": [t for _, t in rows]})
+    out = pa.Table.from_batches(M._score_batches(model)(iter(table.to_batches(max_chunksize=10))))
+    files = len(os.listdir(model.folder))
+    assert model.n_parts > 50 and files <= len(visits) + 1 <= 2 * files
+    want = {r["doc_id"]: r["score"] for r in M.score(docs, model).collect()}
+    assert out["doc_id"].to_pylist() == [d for d, _ in rows]
+    assert out["score"].to_pylist() == pytest.approx([want[d] for d, _ in rows], rel=1e-12)
+
+
 def test_language_model_without_training_rows(spark):
     assert M.train_and_score(empty_docs(spark)).count() == 0
     row = M.train_and_score(spark.createDataFrame([(None, "a b")], "doc_id long, text string")).first()
