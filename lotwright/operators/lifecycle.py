@@ -59,9 +59,18 @@ def first_wins(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
             .select(key, "_row.*"))
 
 
+def sorted_side(keys: DataFrame) -> DataFrame:
+    """Keys that a join must sort, not send to the driver for a broadcast.
+
+    Spark takes a written table's bytes by the share of the columns read, at their
+    default widths.  One long of a compressed table whose other columns are mostly
+    NULL comes out far too small, so millions of keys would be broadcast."""
+    return keys.hint("merge")
+
+
 def new_only(incoming_ids: DataFrame, seen: DataFrame, key: str = "listing_id") -> DataFrame:
     """J-2 / FIL-4 / SET-2: distinct incoming keys not yet seen (left anti join)."""
-    return incoming_ids.select(key).distinct().join(seen.select(key), key, "left_anti")
+    return incoming_ids.select(key).distinct().join(sorted_side(seen.select(key)), key, "left_anti")
 
 
 def delist_unseen(listings: DataFrame, active_ids: DataFrame,
@@ -89,13 +98,13 @@ def unseen(listings: DataFrame, active_ids: DataFrame, key: str = "listing_id")
     hits = active_ids.where(F.col(key).isNotNull()).select(key).distinct()
     st = F.col("status")
     live = listings.where((st != "Delisted") & st.isin(*LK.DELISTABLE_STATUSES)).select(key)
-    gone = live.join(hits, key, "left_anti")
+    gone = live.join(sorted_side(hits), key, "left_anti")
     return gone.where(F.lit(False)) if hits.isEmpty() else gone
 
 
 def delist(listings: DataFrame, gone: DataFrame, key: str = "listing_id") -> DataFrame:
     """The listings with the status of the ``gone`` keys set to ``Delisted``."""
-    marked = listings.join(gone.select(key).withColumn("_gone", F.lit(True)), key, "left")
+    marked = listings.join(sorted_side(gone.select(key).withColumn("_gone", F.lit(True))), key, "left")
     status = F.when(F.col("_gone"), F.lit("Delisted")).otherwise(F.col("status"))
     return marked.withColumn("status", status).select(*listings.columns)
 

@@ -169,7 +169,7 @@ def discover_batch(spark: SparkSession, listing_pages: DataFrame, t: Tables, hos
     step = commit or SN.Commit(spark, t.root)
     found = materialize(PG.discover_links(listing_pages, host), "discovered")
     seen = step.read(t.listings, LISTINGS, SN.touched_ranges(found, "listing_id", t.width))
-    new = materialize(found.join(LC.new_only(found, seen), "listing_id"), "new-listings")
+    new = materialize(found.join(LC.sorted_side(LC.new_only(found, seen)), "listing_id"), "new-listings")
     gone = materialize(LC.unseen(step.read(t.listings, LISTINGS), found), "gone") if complete else \
         empty_table(spark, T.StructType([LISTINGS["listing_id"]]))
     counts = {"found": found.count(), "new": new.count(), "delisted": gone.count()}

@@ -137,6 +137,21 @@ def test_discovery_is_one_commit_that_survives_a_crash(spark, monkeypatch):
     assert part == {"found": 1, "new": 0, "delisted": 0}
 
 
+def test_discovery_sends_no_keys_to_the_driver(spark, monkeypatch):
+    """The size of the stored ids was taken far too small, so millions of them were broadcast."""
+    t, plans, write = P.Tables(tempfile.mkdtemp(prefix="lotwright-wide-"), width=50), {}, P.materialize
+    P.discover_batch(spark, pages(spark, {1: list(range(80))}), t, "www.example.com", DAY, complete=False)
+
+    def seen(df, name, **how):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name, **how)
+    monkeypatch.setattr(P, "materialize", seen)
+    got = P.discover_batch(spark, pages(spark, {2: list(range(40, 90))}), t, "www.example.com", DAY, complete=True)
+    assert got == {"found": 50, "new": 10, "delisted": 0}
+    assert plans["new-listings"].count("SortMergeJoin") == 2
+    assert not any("Broadcast" in plan for plan in plans.values())
+
+
 @pytest.mark.parametrize("files_per_trigger", [1, 7, 30])
 def test_page_stream_keeps_the_first_link(spark, files_per_trigger):
     from lotwright.streaming.ingest import discovery_stream
